@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,3 +24,15 @@ def decode(text: Column, schema: T.StructType) -> Column:
 def data_type_of(topic: Column) -> Column:
     """``reddit.posts`` → ``posts``: the last dotted part of a topic."""
     return F.element_at(F.split(topic, r"[.]"), -1)
+
+
+def evaluate_once(df: DataFrame) -> DataFrame:
+    """Pass every row through a one-row generator.
+
+    Catalyst pushes a filter below the projection that defines the columns
+    it tests and substitutes their definitions, so a filter on fields of a
+    parsed record would parse the text again for each field it reads. A
+    filter is not pushed below a generator whose output it references, so
+    the expensive expressions above run exactly once per row.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))

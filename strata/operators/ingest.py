@@ -10,13 +10,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.records import data_type_of, decode, is_json_object
+from pyspark.sql import types as T
+
+from ..functions.records import data_type_of, evaluate_once, is_json_object
 from ..functions.time import raw_time, row_time
 from ..schemas import ENTITY_SCHEMAS, PARTITION_COLUMNS
 
 OK, MALFORMED, MISSING_TIME, BAD_TIME = "ok", "malformed_json", "missing_time", "bad_time"
 
 META = ["_key", "_topic", "_partition", "_offset", "_arrival"]
+CORRUPT = "_corrupt_record"
 
 
 def route(envelope: DataFrame) -> DataFrame:
@@ -37,15 +40,26 @@ def parse(texts: DataFrame, entity: str, keep: list[str] | None = None) -> DataF
     ``created_utc`` kept as text), ``_status`` and ``_raw``, plus ``keep``.
     A field of the wrong type is NULL while the row is kept (``"7"`` or
     ``1.5`` for a long); only text that is not a JSON object is malformed.
+
+    The text is parsed once: the parser's corrupt-record column flags
+    suspicious rows, and only those are checked again for object syntax.
+    ``evaluate_once`` keeps later filters on ``_status`` from being
+    rewritten into fresh parses of the text.
     """
-    schema = ENTITY_SCHEMAS[entity]
+    base = ENTITY_SCHEMAS[entity]
+    schema = T.StructType(list(base.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
     keep = [c for c in (keep or []) if c in texts.columns]
-    d = texts.select(*keep, "_raw", decode(F.col("_raw"), schema).alias("_rec")).select(*keep, "_raw", "_rec.*")
-    status = (F.when(~is_json_object(F.col("_raw")), F.lit(MALFORMED))
+    rec = F.from_json(F.col("_raw"), schema, {"columnNameOfCorruptRecord": CORRUPT})
+    d = texts.select(*keep, "_raw", rec.alias("_rec"))
+    fields = [F.col("_rec." + f.name).alias(f.name) for f in base.fields]
+    malformed = F.col("_rec").isNull() | (F.col("_rec." + CORRUPT).isNotNull() & ~is_json_object(F.col("_raw")))
+    d = d.select(*keep, "_raw", malformed.alias("_malformed"), *fields)
+    status = (F.when(F.col("_malformed"), F.lit(MALFORMED))
               .when(raw_time().isNull(), F.lit(MISSING_TIME))
               .when(row_time().isNull(), F.lit(BAD_TIME))
               .otherwise(F.lit(OK)))
-    return d.withColumn("_status", status).withColumn("timestamp", row_time())
+    out = d.withColumn("_status", status).withColumn("timestamp", row_time()).drop("_malformed")
+    return evaluate_once(out)
 
 
 def decode_entity(envelope: DataFrame, entity: str, strict_time: bool = False) -> DataFrame:

@@ -17,6 +17,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Small shuffles (a few MB) still spread over all cores; large ones are
+    # sized by the 64 MB advisory partition size as usual.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     # Streaming state is a RocksDB store: it spills to disk instead of
