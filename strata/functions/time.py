@@ -48,15 +48,7 @@ def parse_day(date: str | _dt.date) -> _dt.date:
         raise ValueError(f"date filter must be YYYY-MM-DD, got {date!r}") from e
 
 
-def on_date(df: DataFrame, date: str | _dt.date, ts: str = "timestamp") -> DataFrame:
-    """Rows whose UTC day is ``date``.
-
-    Written as a half-open range on the raw time column (not a cast of it) so
-    the predicate reaches the Parquet reader; when the table carries the
-    stored ``year/month/day`` partition columns those are constrained too,
-    which turns the filter into partition pruning.
-    """
-    d = parse_day(date)
+def _day_condition(df: DataFrame, d: _dt.date, ts: str) -> Column:
     nxt = d + _dt.timedelta(days=1)
     dtype = df.schema[ts].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
@@ -65,9 +57,30 @@ def on_date(df: DataFrame, date: str | _dt.date, ts: str = "timestamp") -> DataF
         cond = (F.col(ts) >= lo) & (F.col(ts) < hi)
     else:
         cond = F.to_date(F.col(ts)) == F.lit(d)
-    cols = set(df.columns)
-    if {"year", "month", "day"} <= cols:
+    if {"year", "month", "day"} <= set(df.columns):
         cond = (F.col("year") == d.year) & (F.col("month") == d.month) & (F.col("day") == d.day) & cond
+    return cond
+
+
+def on_date(df: DataFrame, date: str | _dt.date, ts: str = "timestamp") -> DataFrame:
+    """Rows whose UTC day is ``date``.
+
+    Written as a half-open range on the raw time column (not a cast of it) so
+    the predicate reaches the Parquet reader; when the table carries the
+    stored ``year/month/day`` partition columns those are constrained too,
+    which turns the filter into partition pruning.
+    """
+    return df.filter(_day_condition(df, parse_day(date), ts))
+
+
+def on_dates(df: DataFrame, dates, ts: str = "timestamp") -> DataFrame:
+    """Rows whose UTC day is any of ``dates`` (one disjunctive filter)."""
+    conds = [_day_condition(df, parse_day(d), ts) for d in dates]
+    if not conds:
+        return df.limit(0)
+    cond = conds[0]
+    for c in conds[1:]:
+        cond = cond | c
     return df.filter(cond)
 
 

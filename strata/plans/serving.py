@@ -7,11 +7,40 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import on_date, parse_day
+from ..functions.time import on_dates, parse_day
 from ..operators import views
 
 MEASURES = ["num_posts", "total_score", "total_comments", "scored"]
 
+# Key columns of each serving table.
+SERVING_KEYS = {
+    "top_posts": ["subreddit", "date", "post_id"],
+    "user_activity": ["user_id"],
+    "subreddit_activity": ["subreddit", "date"],
+    "posts_per_minute": ["window_start", "subreddit"],
+    "comments_per_minute": ["window_start", "post_id"],
+}
+
+
+def with_serving_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Add ``key``: the key columns joined as text, usable as a document id.
+    A NULL part is spelled ``null``; the two NULL-user rows of
+    ``user_activity`` therefore share one key and would overwrite each
+    other in an index that upserts by id."""
+    parts = [F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys]
+    return df.withColumn("key", F.concat_ws("|", *parts))
+
+
+def load_serving(views_by_name: dict[str, DataFrame], path: str) -> None:
+    """Write batch views as serving tables with a ``key`` column; tables
+    with a ``date`` are partitioned by it so a refresh can replace days."""
+    for name, df in views_by_name.items():
+        out = with_serving_key(df, SERVING_KEYS[name])
+        w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        if "date" in out.columns:
+            w = w.partitionBy("date")
+        w.parquet(f"{path.rstrip('/')}/{name}")
+
 
 def write_daily(posts: DataFrame, path: str, days=None) -> None:
     """Write the additive daily measures partitioned by ``date``.
@@ -22,12 +51,7 @@ def write_daily(posts: DataFrame, path: str, days=None) -> None:
     idempotent.
     """
     if days is not None:
-        days = [parse_day(d) for d in days]
-        sel = None
-        for d in days:
-            one = on_date(posts, d)
-            sel = one if sel is None else sel.unionByName(one)
-        posts = sel
+        posts = on_dates(posts, [parse_day(d) for d in days])
     (views.daily_measures(posts).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path))
 

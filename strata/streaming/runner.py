@@ -24,6 +24,8 @@ def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append", foreac
         w = w.trigger(processingTime=processing_time)
     if foreach_batch is not None:
         return w.foreachBatch(foreach_batch).start()
+    if fmt == "console":
+        return w.format("console").option("truncate", "false").start()
     return w.format(fmt).option("path", path).start()
 
 

@@ -39,3 +39,18 @@ def compact(spark: SparkSession, path: str, keys: list[str], snapshot_path: str)
 def with_event_time(df: DataFrame) -> DataFrame:
     """Expose ``window_start`` as the serving event time field."""
     return df.withColumn("event_time", F.col("window_start"))
+
+
+class IndexSink:
+    """Optional adapter: upsert micro-batches into a search index through
+    its Spark connector (not installed here). The document id is the
+    serving key, so a replayed batch overwrites the same documents."""
+
+    def __init__(self, resource: str, id_column: str = "key", options: dict[str, str] | None = None,
+                 fmt: str = "org.elasticsearch.spark.sql"):
+        self.resource, self.id_column, self.options, self.fmt = resource, id_column, dict(options or {}), fmt
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        (batch.write.format(self.fmt).mode("append").options(**self.options)
+         .option("es.mapping.id", self.id_column).option("es.write.operation", "upsert")
+         .save(self.resource))

@@ -59,3 +59,11 @@ def test_batch_job_writes_three_views(spark, tmp):
     sa = spark.read.parquet(f"{tmp}/out/subreddit_activity")
     assert sa.agg(F.sum("num_posts")).collect()[0][0] == 2
     assert read_partitioned(spark, f"{tmp}/store", "users").count() == 2
+
+
+def test_load_serving_adds_keys(spark, tmp):
+    _, posts = day_posts(spark)
+    serving.load_serving(batch_job.compute_views(posts, decoded(spark, [], "comments")), tmp)
+    sa = spark.read.parquet(f"{tmp}/subreddit_activity")
+    assert sa.select("key").distinct().count() == sa.count() == 8
+    assert sa.filter(F.col("key") == "a|2024-01-01").count() == 1

@@ -128,3 +128,28 @@ def test_speed_job_starts_all_views(spark, tmp):
     assert read_latest(spark, f"{tmp}/views/posts_per_minute", KEYS).count() == 1
     assert spark.read.parquet(f"{tmp}/views/user_feed").count() == 1
     assert spark.read.parquet(f"{tmp}/views/comments_per_minute").filter(F.col("num_comments") > 0).count() == 0
+
+
+def test_streaming_ingest_with_bootstrap_is_exactly_once(spark, tmp):
+    from strata.sources.partitioned import read_partitioned
+    from strata.streaming.ingest_stream import start_ingest
+    from tests.helpers import text
+    spark.createDataFrame([(text(post("boot1", ts=ts(5))),), ("{bad",)], "value string") \
+        .write.text(f"{tmp}/dump/posts.json")
+    spark.createDataFrame([(text(user("u9")),)], "value string").write.text(f"{tmp}/dump/users.json")
+    spark.createDataFrame([], "value string").write.text(f"{tmp}/dump/comments.json")
+    land(spark, f"{tmp}/in", [post("live1", ts=ts(6, hour=3)), post("nt", ts="", created="")])
+
+    def run():
+        src = file_envelope_source(spark, f"{tmp}/in")
+        for q in start_ingest(spark, src, f"{tmp}/store", f"{tmp}/ck", bootstrap_dir=f"{tmp}/dump",
+                              available_now=True).values():
+            run_to_end(q)
+
+    run()
+    run()  # restart: nothing is ingested twice
+    posts = read_partitioned(spark, f"{tmp}/store", "posts")
+    assert sorted((r.post_id, r.hour) for r in posts.collect()) == [("boot1", 0), ("live1", 3)]
+    assert read_partitioned(spark, f"{tmp}/store", "users").count() == 1
+    q = spark.read.parquet(f"{tmp}/store/_quarantine")
+    assert sorted(r.reason for r in q.collect()) == ["malformed_json", "missing_time"]
