@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.time import as_wall_clock
 from ..operators import ingest, quality, views
+from ..schemas import ENVELOPE
 from ..session import ensure_utc, scratch_path
 from ..sources import bindings as B
 from ..sources.bootstrap import bootstrap_load
@@ -118,10 +119,13 @@ def user_activity_daily(spark, sf):
 # --- ingest and the stored table -----------------------------------------------------------------
 
 def _ingested(spark, sf, entities, envelope=None):
-    """Run the batch ingest of the test tables into a fresh store."""
+    """Land the test tables as wire records, then batch-ingest them into a
+    fresh store."""
     base = scratch_path(spark, "store")
     env = envelope if envelope is not None else B.envelope(spark, sf, entities)
-    ingest.ingest_batch(env, base, entities=entities)
+    write_envelope(env, f"{base}/_landed", partitions=B.TOPIC_PARTITIONS)
+    landed = spark.read.schema(ENVELOPE).parquet(f"{base}/_landed")
+    ingest.ingest_batch(landed, base, entities=entities)
     return base
 
 
@@ -196,7 +200,7 @@ def _landed_envelope(spark, sf, entities, name, copies=1):
     d = scratch_path(spark, name)
     env = B.envelope(spark, sf, entities)
     for _ in range(copies):
-        write_envelope(env, f"{d}/envelope")
+        write_envelope(env, f"{d}/envelope", partitions=B.TOPIC_PARTITIONS)
     return d, file_envelope_source(spark, f"{d}/envelope")
 
 

@@ -26,6 +26,8 @@ DEFAULT_CONF = {
     # holding every open window on the JVM heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Commit only the changes of a micro-batch instead of a full snapshot.
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 

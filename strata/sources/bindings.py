@@ -100,7 +100,10 @@ def arrival_delay_ms() -> Column:
     return F.pmod(F.col("event_id"), F.lit(2000))
 
 
-def to_envelope(recs: DataFrame, partitions: int = 8) -> DataFrame:
+TOPIC_PARTITIONS = 8
+
+
+def to_envelope(recs: DataFrame, partitions: int = TOPIC_PARTITIONS) -> DataFrame:
     """(event_id, ts, data_type, json) → Kafka envelope columns.
 
     The broker timestamp is the event time plus ``arrival_delay_ms``; the
