@@ -27,7 +27,8 @@ ENTITY_SCHEMAS = {"posts": POST, "comments": COMMENT, "users": USER}
 # Primary id of each entity.
 ENTITY_IDS = {"posts": "post_id", "comments": "comment_id", "users": "user_id"}
 
-# Topic names carry the entity as their last dotted part.
+# The topic of each record stream (the entity is the last
+# dotted part of the name).
 TOPICS = {"posts": "reddit.posts", "comments": "reddit.comments", "users": "reddit.users"}
 
 # Columns of Spark's Kafka source; the file-stream test double has the same.

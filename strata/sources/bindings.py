@@ -19,10 +19,13 @@ from pyspark.sql import functions as F
 from ..functions.time import iso_string
 from ..schemas import TOPICS
 
-# Fixed values of the binding.
+# Fixed values of the binding: which event types are posts and which are
+# comments, and the text patterns of generated titles and contents.
 POST_TYPES = ["view", "purchase", "signup"]
 COMMENT_TYPES = ["click", "error"]
 TITLE_PREFIX = "Post title "
+POST_CONTENT_PREFIX = "Post content for "
+COMMENT_CONTENT_PREFIX = "Comment content for "
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,7 +73,7 @@ def post_json(ev: DataFrame) -> DataFrame:
     rec = F.struct(_s("event_id").alias("post_id"), _s("user_id").alias("user_id"),
                    F.col("event_type").alias("subreddit"),
                    F.concat(F.lit(TITLE_PREFIX), _s("event_id")).alias("title"),
-                   F.concat(F.lit("Post content for "), _s("event_id")).alias("content"),
+                   F.concat(F.lit(POST_CONTENT_PREFIX), _s("event_id")).alias("content"),
                    _score().alias("score"), _k().alias("num_comments"),
                    t.alias("created_utc"), t.alias("timestamp"))
     return ev.filter(F.col("event_type").isin(POST_TYPES)).select(
@@ -81,7 +84,7 @@ def comment_json(ev: DataFrame) -> DataFrame:
     t = iso_string(F.col("ts"))
     rec = F.struct(_s("event_id").alias("comment_id"), _k().cast("string").alias("post_id"),
                    _s("user_id").alias("user_id"),
-                   F.concat(F.lit("Comment content for "), _s("event_id")).alias("content"),
+                   F.concat(F.lit(COMMENT_CONTENT_PREFIX), _s("event_id")).alias("content"),
                    _score().alias("score"), t.alias("created_utc"), t.alias("timestamp"))
     return ev.filter(F.col("event_type").isin(COMMENT_TYPES)).select(
         "event_id", "ts", F.lit("comments").alias("data_type"), F.to_json(rec).alias("json"))

@@ -27,14 +27,17 @@ def _bootstrap_texts(spark: SparkSession, directory: str, entity: str) -> DataFr
                           zip(META, ["string", "string", "int", "bigint", "timestamp"])])
 
 
-def start_ingest(spark: SparkSession, envelope: DataFrame, base: str, checkpoint_base: str,
+def start_ingest(spark: SparkSession, envelope, base: str, checkpoint_base: str,
                  entities=("posts", "comments", "users"), bootstrap_dir: str | None = None,
                  available_now: bool = False, fmt: str = "parquet") -> dict[str, StreamingQuery]:
-    routed = route(envelope)
+    """``envelope`` is one stream over all topics, or a function
+    ``entity -> stream`` (e.g. a Kafka source subscribed to that entity's
+    topic only, so no query reads records it discards)."""
+    source = envelope if callable(envelope) else (lambda _entity: envelope)
     queries = {}
     rejected = None
     for entity in entities:
-        texts = routed.filter(F.col("data_type") == entity)
+        texts = route(source(entity)).filter(F.col("data_type") == entity)
         if bootstrap_dir is not None:
             texts = texts.unionByName(_bootstrap_texts(spark, bootstrap_dir, entity))
         parsed = parse(texts, entity, keep=["data_type"] + META)

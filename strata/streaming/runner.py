@@ -62,6 +62,14 @@ def start_speed_views(envelope: DataFrame, out_base: str, checkpoint_base: str,
 
 def run_streaming_job(spark: SparkSession, envelope: DataFrame, out_base: str, checkpoint_base: str,
                       **kw) -> None:
-    """Start all speed views and block until one of them stops."""
-    start_speed_views(envelope, out_base, checkpoint_base, **kw)
-    spark.streams.awaitAnyTermination()
+    """Start all speed views and block until one of them stops; on an
+    interrupt stop them all (their checkpoints let a restart resume)."""
+    queries = start_speed_views(envelope, out_base, checkpoint_base, **kw)
+    try:
+        spark.streams.awaitAnyTermination()
+    except KeyboardInterrupt:
+        pass
+    finally:
+        for q in queries.values():
+            if q.isActive:
+                q.stop()

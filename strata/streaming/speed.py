@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Lateness allowed before a window closes, and the window size.
 WATERMARK = "10 minutes"
 WINDOW = "1 minute"
 
