@@ -15,7 +15,13 @@ from ..schemas import ENVELOPE, TOPICS
 
 def kafka_source(spark: SparkSession, servers: str, topics=None,
                  starting_offsets: str = "latest", max_offsets_per_trigger: int | None = None,
-                 extra: dict[str, str] | None = None) -> DataFrame:
+                 min_partitions: int | None = None, extra: dict[str, str] | None = None) -> DataFrame:
+    """Spark's Kafka reader over ``topics`` (default: all three).
+
+    ``max_offsets_per_trigger`` bounds a micro-batch; ``min_partitions``
+    lets Spark split the offset range of a busy topic partition over
+    several tasks, so one hot partition does not become one task.
+    """
     topics = topics or list(TOPICS.values())
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers)
@@ -24,6 +30,8 @@ def kafka_source(spark: SparkSession, servers: str, topics=None,
               .option("failOnDataLoss", "true"))
     if max_offsets_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
+    if min_partitions:
+        reader = reader.option("minPartitions", str(min_partitions))
     for k, v in (extra or {}).items():
         reader = reader.option(k, v)
     return reader.load()

@@ -61,5 +61,10 @@ def active_users_per_window(records: DataFrame, watermark: str = WATERMARK, wind
 def dedup_within_watermark(records: DataFrame, keys: list[str], watermark: str = WATERMARK) -> DataFrame:
     """Drop redelivered records. An id alone is not unique (producers
     restart their counters), so keys include the event time; state for a
-    key is kept until the watermark passes it."""
+    key is kept until the watermark passes it.
+
+    Streaming deduplication has no map-side step: all copies of one key in a
+    micro-batch meet in one task. Bound micro-batches
+    (``maxOffsetsPerTrigger``) where a redelivery storm of one key is
+    possible; the batch form (``operators.quality.dedup``) pre-aggregates."""
     return records.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(keys)
