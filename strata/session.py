@@ -62,18 +62,21 @@ def checkpoint_root(spark: SparkSession) -> str:
     private temporary folder, which is what tests use; on a cluster the
     setting is required because executors must see the same path.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote session has no local context
+        sc = None
+    if not root and sc is not None:
+        root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        current = sc.getCheckpointDir()
-        if current:
-            root = current
-    if not root:
-        if not sc.master.startswith("local"):
+        master = sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
-        sc.setCheckpointDir(root)
-    elif not sc.getCheckpointDir():
+        if sc is not None:
+            sc.setCheckpointDir(root)
+    elif sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
 

@@ -39,3 +39,11 @@ def test_records_round_trip_through_decode(spark):
 def test_iso_time_parses_to_utc_instant(spark):
     p = decoded(spark, [post("p", ts="2024-01-15T10:30:00.123456+00:00")]).collect()[0]
     assert p.timestamp.replace(tzinfo=None) == dt.datetime(2024, 1, 15, 10, 30, 0, 123456)
+
+
+def test_scratch_folders_live_under_the_session_checkpoint_dir(spark):
+    from strata.session import checkpoint_root, scratch_path
+    root = checkpoint_root(spark)
+    assert root == (spark.conf.get("spark.checkpoint.dir", None) or root)
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(root)
