@@ -48,13 +48,17 @@ def parse_day(date: str | _dt.date) -> _dt.date:
         raise ValueError(f"date filter must be YYYY-MM-DD, got {date!r}") from e
 
 
+def midnight(d: _dt.date, dtype: T.DataType) -> Column:
+    """Start of day ``d`` as a literal of ``dtype``, read in the session
+    zone (a Python datetime literal would use the driver's OS zone)."""
+    return F.lit(f"{d.isoformat()} 00:00:00").cast(dtype)
+
+
 def _day_condition(df: DataFrame, d: _dt.date, ts: str) -> Column:
     nxt = d + _dt.timedelta(days=1)
     dtype = df.schema[ts].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        lo = F.lit(_dt.datetime(d.year, d.month, d.day)).cast(dtype)
-        hi = F.lit(_dt.datetime(nxt.year, nxt.month, nxt.day)).cast(dtype)
-        cond = (F.col(ts) >= lo) & (F.col(ts) < hi)
+        cond = (F.col(ts) >= midnight(d, dtype)) & (F.col(ts) < midnight(nxt, dtype))
     else:
         cond = F.to_date(F.col(ts)) == F.lit(d)
     if {"year", "month", "day"} <= set(df.columns):

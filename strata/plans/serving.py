@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-import datetime as _dt
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.time import on_dates, parse_day
+from ..functions.time import midnight, on_dates, parse_day
 from ..operators import views
 
 MEASURES = ["num_posts", "total_score", "total_comments", "scored"]
@@ -66,9 +64,8 @@ def merge_batch_and_speed(batch_daily: DataFrame, speed_minutes: DataFrame, cuto
     day. The ranges are disjoint, measures are summed and the average is
     re-derived from sum and count, never averaged twice."""
     cut = parse_day(cutoff)
-    cut_ts = _dt.datetime(cut.year, cut.month, cut.day)
     b = batch_daily.filter(F.col("date") < F.lit(cut)).select("subreddit", "date", *MEASURES)
-    s = (speed_minutes.filter(F.col("window_start") >= F.lit(cut_ts).cast(speed_minutes.schema["window_start"].dataType))
+    s = (speed_minutes.filter(F.col("window_start") >= midnight(cut, speed_minutes.schema["window_start"].dataType))
          .select("subreddit", F.to_date("window_start").alias("date"), *MEASURES))
     merged = (b.unionByName(s).groupBy("subreddit", "date")
               .agg(*[F.sum(m).alias(m) for m in MEASURES]))
