@@ -81,7 +81,7 @@ def on_dates(df: DataFrame, dates, ts: str = "timestamp") -> DataFrame:
     """Rows whose UTC day is any of ``dates`` (one disjunctive filter)."""
     conds = [_day_condition(df, parse_day(d), ts) for d in dates]
     if not conds:
-        return df.limit(0)
+        return df.filter(F.lit(False))
     cond = conds[0]
     for c in conds[1:]:
         cond = cond | c

@@ -96,6 +96,7 @@ BODIES = {
         SELECT CAST(post_id AS VARCHAR) AS post_id, CAST(user_id AS VARCHAR) AS user_id, subreddit, score,
                ts AS timestamp FROM posts""",
     "ingest_quarantine": "SELECT status, count(*) AS n FROM fault GROUP BY 1",
+    "stream_ingest_quarantine": "SELECT status, count(*) AS n FROM fault GROUP BY 1",
     "reconcile_missing": """
         SELECT CAST(event_id AS VARCHAR) AS id, CAST(1 AS BIGINT) AS produced, CAST(0 AS BIGINT) AS landed,
                'missing' AS status FROM fault WHERE status <> 'ok'""",

@@ -24,6 +24,7 @@ from ..sources.kafka import file_envelope_source, write_envelope
 from ..sources.partitioned import read_partitioned
 from ..streaming import speed
 from ..streaming.runner import run_to_end, start
+from ..streaming.ingest_stream import start_ingest
 from ..streaming.sinks import ChangelogSink, read_latest
 from . import serving
 
@@ -175,6 +176,24 @@ def ingest_quarantine(spark, sf):
     return ok.unionByName(bad)
 
 
+@query
+def stream_ingest_quarantine(spark, sf):
+    """The same faulty records through the streaming ingest (exactly-once
+    file sinks, one query per entity plus the quarantine query)."""
+    d = scratch_path(spark, "stream_store")
+    write_envelope(_damaged_envelope(spark, sf), f"{d}/envelope", partitions=B.TOPIC_PARTITIONS)
+    src = file_envelope_source(spark, f"{d}/envelope")
+    for q in start_ingest(spark, src, f"{d}/store", f"{d}/checkpoint", entities=("posts", "comments"),
+                          available_now=True).values():
+        run_to_end(q)
+    stored = (read_partitioned(spark, f"{d}/store", "posts").select("post_id")
+              .unionByName(read_partitioned(spark, f"{d}/store", "comments").select(F.col("comment_id").alias("post_id"))))
+    ok = stored.agg(F.count(F.lit(1)).alias("n")).select(F.lit(ingest.OK).alias("status"), "n")
+    bad = (spark.read.parquet(f"{d}/store/_quarantine").groupBy(F.col("reason").alias("status"))
+           .agg(F.count(F.lit(1)).alias("n")))
+    return ok.unionByName(bad)
+
+
 @query
 def reconcile_missing(spark, sf):
     base = _ingested(spark, sf, ("posts", "comments"), envelope=_damaged_envelope(spark, sf))

@@ -13,6 +13,7 @@ from tests.helpers import envelope, plan_text, post
 
 SF = "/root/testdata/sf0.001"
 STREAMING_OR_WRITING = {"scan_partitioned", "partition_counts", "bootstrap_load_posts", "ingest_quarantine",
+                        "stream_ingest_quarantine",
                         "reconcile_missing", "posts_per_minute", "comments_per_minute", "user_feed",
                         "stream_decode", "dedup_events", "latest_window", "incremental_subreddit_activity",
                         "serving_merge"}
