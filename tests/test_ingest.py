@@ -111,3 +111,24 @@ def test_json_store_round_trip(spark, tmp):
     assert back.count() == 5
     assert sorted(r.hour for r in back.collect()) == [0, 1, 2, 3, 4]
     assert back.filter(F.col("timestamp").isNull()).count() == 0
+
+
+def test_hot_hour_is_split_over_several_write_tasks(spark, tmp):
+    """One hour holding most rows is written by several tasks (AQE splits the
+    skewed rebalance partition), while every row still lands."""
+    import glob
+    import hashlib
+    noise = [hashlib.sha256(str(i).encode()).hexdigest() * 4 for i in range(3000)]  # does not compress away
+    recs = [post(f"h{i}", content=noise[i], ts="2024-01-07T09:00:00Z") for i in range(3000)]
+    recs += [post(f"c{i}", ts=f"2024-01-0{1 + i % 5}T0{i % 9}:00:00Z") for i in range(100)]
+    rows = ingest.stored_rows(parsed(spark, recs).repartition(8), "posts")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        ingest.write_partitioned(rows, f"{tmp}/posts")
+    finally:
+        spark.conf.set(key, old)
+    hot = glob.glob(f"{tmp}/posts/year=2024/month=01/day=07/hour=09/*.parquet")
+    assert len(hot) > 1
+    assert read_partitioned(spark, tmp, "posts").count() == 3100
