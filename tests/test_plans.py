@@ -70,3 +70,15 @@ def test_wire_record_is_parsed_once(spark, tmp):
 def test_registered_queries_have_no_python_udf(spark, name):
     plan = plan_text(REGISTRY[name](spark, SF))
     assert "PythonUDF" not in plan and "EvalPython" not in plan and "MapInPandas" not in plan
+
+
+def test_entity_routing_prunes_other_topics(spark, tmp):
+    from strata.schemas import ENVELOPE
+    from strata.sources.kafka import write_envelope
+    from tests.helpers import comment
+    write_envelope(envelope(spark, [post("a")]).unionByName(envelope(spark, [comment("c")], "comments")), tmp)
+    landed = spark.read.schema(ENVELOPE).parquet(tmp)
+    plan = plan_text(ingest.decode_entity(landed, "posts"))
+    pf = re.search(r"PartitionFilters: \[(.*)\]", plan).group(1)
+    assert "topic" in pf
+    assert [r.post_id for r in ingest.decode_entity(landed, "posts").collect()] == ["a"]
