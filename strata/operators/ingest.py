@@ -75,10 +75,11 @@ def decode_entity(envelope: DataFrame, entity: str, strict_time: bool = False) -
 
 
 def classify(envelope: DataFrame) -> DataFrame:
-    """Every envelope row with its data_type and ingest status."""
-    routed = route(envelope)
-    return parse(routed, "posts", keep=["data_type"] + META).select("data_type", *META, "_status", "_raw",
-                                                                       "timestamp")
+    """Every envelope row with its data_type and ingest status. The status
+    depends only on JSON syntax and the two time fields, which all entities
+    share, so one parse classifies every topic."""
+    return parse(route(envelope), "posts", keep=["data_type"] + META).select(
+        "data_type", *META, "_status", "_raw", "timestamp")
 
 
 def with_partition_columns(df: DataFrame) -> DataFrame:
@@ -127,6 +128,5 @@ def ingest_batch(envelope: DataFrame, base: str, entities=("posts", "comments",
     for entity in entities:
         parsed = parse(routed.filter(F.col("data_type") == entity), entity, keep=["data_type"] + META)
         write_partitioned(stored_rows(parsed, entity), f"{base}/{entity}", fmt=fmt)
-    bad = parse(routed, "posts", keep=["data_type"] + META)
-    (quarantined_rows(bad).write.mode("append").partitionBy("data_type", "reason")
+    (quarantined_rows(classify(envelope)).write.mode("append").partitionBy("data_type", "reason")
      .format(fmt).save(f"{base}/_quarantine"))

@@ -30,10 +30,14 @@ def with_serving_key(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def load_serving(views_by_name: dict[str, DataFrame], path: str) -> None:
-    """Write batch views as serving tables with a ``key`` column; tables
-    with a ``date`` are partitioned by it so a refresh can replace days."""
+    """Write views as serving tables with a ``key`` column; tables with a
+    ``date`` are partitioned by it so a refresh can replace days. Minute
+    tables expose ``window_start`` as their ``event_time``, the time field
+    a dashboard reads."""
     for name, df in views_by_name.items():
         out = with_serving_key(df, SERVING_KEYS[name])
+        if "window_start" in out.columns:
+            out = out.withColumn("event_time", F.col("window_start"))
         w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         if "date" in out.columns:
             w = w.partitionBy("date")

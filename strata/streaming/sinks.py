@@ -11,7 +11,6 @@ changelog into one snapshot so reads stay cheap as batches accumulate.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.views import latest_per_key
 
@@ -36,11 +35,6 @@ def compact(spark: SparkSession, path: str, keys: list[str], snapshot_path: str)
     return spark.read.parquet(snapshot_path)
 
 
-def with_event_time(df: DataFrame) -> DataFrame:
-    """Expose ``window_start`` as the serving event time field."""
-    return df.withColumn("event_time", F.col("window_start"))
-
-
 class IndexSink:
     """Optional adapter: upsert micro-batches into a search index through
     its Spark connector (not installed here). The document id is the

@@ -60,7 +60,6 @@ def test_user_activity_join_adds_no_exchange(spark):
 
 def test_wire_record_is_parsed_once(spark, tmp):
     envelope(spark, [post("a")]).write.parquet(tmp)
-    from strata.sources.kafka import file_envelope_source  # noqa: F401
     df = ingest.decode_entity(spark.read.parquet(tmp), "posts")
     plan = plan_text(df, "simple")
     assert plan.count("from_json(") == 1
