@@ -7,6 +7,8 @@ dropped silently: rows in = stored rows + quarantined rows.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +18,7 @@ from ..functions.records import data_type_of, evaluate_once, is_json_object
 from ..functions.time import raw_time, row_time
 from ..schemas import ENTITY_SCHEMAS, PARTITION_COLUMNS
 
-OK, MALFORMED, MISSING_TIME, BAD_TIME = "ok", "malformed_json", "missing_time", "bad_time"
+OK, MALFORMED, MISSING_TIME, BAD_TIME, FUTURE_TIME = "ok", "malformed_json", "missing_time", "bad_time", "future_time"
 
 META = ["_key", "_topic", "_partition", "_offset", "_arrival"]
 CORRUPT = "_corrupt_record"
@@ -33,7 +35,8 @@ def route(envelope: DataFrame) -> DataFrame:
         F.col("timestamp").alias("_arrival"))
 
 
-def parse(texts: DataFrame, entity: str, keep: list[str] | None = None) -> DataFrame:
+def parse(texts: DataFrame, entity: str, keep: list[str] | None = None,
+          max_future: str | None = None) -> DataFrame:
     """Decode the ``_raw`` JSON text of one entity and classify each row.
 
     Output: the entity fields (``timestamp`` parsed to a timestamp,
@@ -45,6 +48,11 @@ def parse(texts: DataFrame, entity: str, keep: list[str] | None = None) -> DataF
     suspicious rows, and only those are checked again for object syntax.
     ``evaluate_once`` keeps later filters on ``_status`` from being
     rewritten into fresh parses of the text.
+
+    ``max_future`` (e.g. ``"1 hour"``, off by default): a record whose event
+    time is more than that after its arrival (``_arrival``) is quarantined
+    as ``future_time``; replayed into a stream it would push the watermark
+    ahead and make live records look late.
     """
     base = ENTITY_SCHEMAS[entity]
     schema = T.StructType(list(base.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
@@ -56,29 +64,35 @@ def parse(texts: DataFrame, entity: str, keep: list[str] | None = None) -> DataF
     d = d.select(*keep, "_raw", malformed.alias("_malformed"), *fields)
     status = (F.when(F.col("_malformed"), F.lit(MALFORMED))
               .when(raw_time().isNull(), F.lit(MISSING_TIME))
-              .when(row_time().isNull(), F.lit(BAD_TIME))
-              .otherwise(F.lit(OK)))
+              .when(row_time().isNull(), F.lit(BAD_TIME)))
+    if max_future is not None and "_arrival" in d.columns:
+        if not re.fullmatch(r"\d+ (second|minute|hour|day)s?", max_future):
+            raise ValueError(f"max_future must look like '2 hours', got {max_future!r}")
+        status = status.when(row_time() > F.col("_arrival") + F.expr(f"INTERVAL {max_future}"),
+                             F.lit(FUTURE_TIME))
+    status = status.otherwise(F.lit(OK))
     out = d.withColumn("_status", status).withColumn("timestamp", row_time()).drop("_malformed")
     return evaluate_once(out)
 
 
-def decode_entity(envelope: DataFrame, entity: str, strict_time: bool = False) -> DataFrame:
+def decode_entity(envelope: DataFrame, entity: str, strict_time: bool = False,
+                  max_future: str | None = None) -> DataFrame:
     """Envelope (batch or stream) → decoded rows of one entity.
 
     Malformed JSON never becomes an all-NULL row; with ``strict_time`` rows
     without a usable time are left out as well (windows ignore them anyway).
     """
     routed = route(envelope).filter(F.col("data_type") == entity)
-    parsed = parse(routed, entity, keep=META)
-    ok = (F.col("_status") == OK) if strict_time else (F.col("_status") != MALFORMED)
+    parsed = parse(routed, entity, keep=META, max_future=max_future)
+    ok = (F.col("_status") == OK) if strict_time else F.col("_status").isin(OK, MISSING_TIME, BAD_TIME)
     return parsed.filter(ok).drop("_status", "_raw")
 
 
-def classify(envelope: DataFrame) -> DataFrame:
+def classify(envelope: DataFrame, max_future: str | None = None) -> DataFrame:
     """Every envelope row with its data_type and ingest status. The status
     depends only on JSON syntax and the two time fields, which all entities
     share, so one parse classifies every topic."""
-    return parse(route(envelope), "posts", keep=["data_type"] + META).select(
+    return parse(route(envelope), "posts", keep=["data_type"] + META, max_future=max_future).select(
         "data_type", *META, "_status", "_raw", "timestamp")
 
 
@@ -121,12 +135,13 @@ def write_partitioned(rows: DataFrame, path: str, fmt: str = "parquet", mode: st
 
 
 def ingest_batch(envelope: DataFrame, base: str, entities=("posts", "comments", "users"),
-                 fmt: str = "parquet") -> None:
+                 fmt: str = "parquet", max_future: str | None = None) -> None:
     """Batch ingest of an envelope DataFrame into ``base/<entity>/...`` and
     ``base/_quarantine/data_type=/reason=``."""
     routed = route(envelope)
     for entity in entities:
-        parsed = parse(routed.filter(F.col("data_type") == entity), entity, keep=["data_type"] + META)
+        parsed = parse(routed.filter(F.col("data_type") == entity), entity, keep=["data_type"] + META,
+                       max_future=max_future)
         write_partitioned(stored_rows(parsed, entity), f"{base}/{entity}", fmt=fmt)
-    (quarantined_rows(classify(envelope)).write.mode("append").partitionBy("data_type", "reason")
+    (quarantined_rows(classify(envelope, max_future)).write.mode("append").partitionBy("data_type", "reason")
      .format(fmt).save(f"{base}/_quarantine"))

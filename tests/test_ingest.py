@@ -132,3 +132,17 @@ def test_hot_hour_is_split_over_several_write_tasks(spark, tmp):
     hot = glob.glob(f"{tmp}/posts/year=2024/month=01/day=07/hour=09/*.parquet")
     assert len(hot) > 1
     assert read_partitioned(spark, tmp, "posts").count() == 3100
+
+
+def test_future_event_times_can_be_quarantined(spark):
+    recs = [post("now", ts="2024-01-01T00:30:00Z"), post("future", ts="2024-01-05T00:00:00Z")]
+    env = envelope(spark, recs)  # arrival 2024-01-01T00:00Z
+    keep = ["data_type"] + ingest.META
+    off = {r.post_id: r._status for r in ingest.parse(ingest.route(env), "posts", keep=keep).collect()}
+    assert off == {"now": "ok", "future": "ok"}
+    on = {r.post_id: r._status for r in ingest.parse(ingest.route(env), "posts", keep=keep,
+                                                     max_future="1 day").collect()}
+    assert on == {"now": "ok", "future": "future_time"}
+    assert [r.post_id for r in ingest.decode_entity(env, "posts", max_future="1 day").collect()] == ["now"]
+    with pytest.raises(ValueError):
+        ingest.parse(ingest.route(env), "posts", keep=keep, max_future="1 day; drop")
