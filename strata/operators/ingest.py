@@ -143,5 +143,5 @@ def ingest_batch(envelope: DataFrame, base: str, entities=("posts", "comments",
         parsed = parse(routed.filter(F.col("data_type") == entity), entity, keep=["data_type"] + META,
                        max_future=max_future)
         write_partitioned(stored_rows(parsed, entity), f"{base}/{entity}", fmt=fmt)
-    (quarantined_rows(classify(envelope, max_future)).write.mode("append").partitionBy("data_type", "reason")
-     .format(fmt).save(f"{base}/_quarantine"))
+    (quarantined_rows(classify(envelope, max_future)).hint("rebalance", "data_type", "reason")
+     .write.mode("append").partitionBy("data_type", "reason").format(fmt).save(f"{base}/_quarantine"))

@@ -38,10 +38,11 @@ def load_serving(views_by_name: dict[str, DataFrame], path: str) -> None:
         out = with_serving_key(df, SERVING_KEYS[name])
         if "window_start" in out.columns:
             out = out.withColumn("event_time", F.col("window_start"))
-        w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         if "date" in out.columns:
-            w = w.partitionBy("date")
-        w.parquet(f"{path.rstrip('/')}/{name}")
+            w = out.hint("rebalance", "date").write.partitionBy("date")
+        else:
+            w = out.write
+        w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{path.rstrip('/')}/{name}")
 
 
 def write_daily(posts: DataFrame, path: str, days=None) -> None:
@@ -54,7 +55,7 @@ def write_daily(posts: DataFrame, path: str, days=None) -> None:
     """
     if days is not None:
         posts = on_dates(posts, [parse_day(d) for d in days])
-    (views.daily_measures(posts).write.mode("overwrite")
+    (views.daily_measures(posts).hint("rebalance", "date").write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path))
 
 

@@ -8,6 +8,11 @@ and one more query appends every rejected row to ``base/_quarantine``.
 The bootstrap dump joins the same queries as a second, file-stream input
 (one JSON-lines folder per entity): it is read exactly once, tracked by the
 same checkpoint, and lands in the same table as the live records.
+
+Unlike the batch write, rows are not redistributed by hour first: in a live
+micro-batch nearly every row belongs to the current hour, so that would put
+the whole batch on one task. Each input task writes its own file per hour
+instead; the trigger interval sets the file size.
 """
 
 from __future__ import annotations
