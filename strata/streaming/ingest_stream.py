@@ -34,7 +34,8 @@ def _bootstrap_texts(spark: SparkSession, directory: str, entity: str) -> DataFr
 
 def start_ingest(spark: SparkSession, envelope, base: str, checkpoint_base: str,
                  entities=("posts", "comments", "users"), bootstrap_dir: str | None = None,
-                 available_now: bool = False, fmt: str = "parquet") -> dict[str, StreamingQuery]:
+                 available_now: bool = False, fmt: str = "parquet",
+                 max_future: str | None = None) -> dict[str, StreamingQuery]:
     """``envelope`` is one stream over all topics, or a function
     ``entity -> stream`` (e.g. a Kafka source subscribed to that entity's
     topic only, so no query reads records it discards)."""
@@ -45,7 +46,7 @@ def start_ingest(spark: SparkSession, envelope, base: str, checkpoint_base: str,
         texts = route(source(entity)).filter(F.col("data_type") == entity)
         if bootstrap_dir is not None:
             texts = texts.unionByName(_bootstrap_texts(spark, bootstrap_dir, entity))
-        parsed = parse(texts, entity, keep=["data_type"] + META)
+        parsed = parse(texts, entity, keep=["data_type"] + META, max_future=max_future)
         bad = (parsed.filter(F.col("_status") != OK)
                .select("data_type", F.col("_status").alias("reason"), F.col("_raw").alias("value"), *META))
         rejected = bad if rejected is None else rejected.unionByName(bad)
