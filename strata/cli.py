@@ -66,6 +66,7 @@ def parser() -> argparse.ArgumentParser:
     i.add_argument("--store", required=True)
     i.add_argument("--bootstrap")
     i.add_argument("--max-future", help="quarantine event times this far past arrival, e.g. '1 day'")
+    i.add_argument("--files-per-hour", type=int, help="backfill: salt each hour over this many writers")
 
     n = sub.add_parser("incremental", help="recompute the daily view for the given days")
     n.add_argument("--store", required=True)
@@ -97,7 +98,8 @@ def main(argv=None, spark=None) -> int:
         queries = start_ingest(spark, lambda entity: _source(spark, args, topics=[TOPICS[entity]])
                                if args.kafka else _source(spark, args),
                                args.store, args.checkpoint, bootstrap_dir=args.bootstrap,
-                               available_now=args.available_now, max_future=args.max_future)
+                               available_now=args.available_now, max_future=args.max_future,
+                               files_per_hour=args.files_per_hour)
         _wait(spark, queries, args.available_now)
     elif args.cmd == "incremental":
         posts = read_partitioned(spark, args.store, "posts")

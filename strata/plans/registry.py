@@ -36,6 +36,7 @@ SERVING_CUTOFF = "2024-01-16"
 TOP_K_POSTS = 3
 TOP_K_USERS = 10
 TOP_K_SUBREDDITS = 2
+BACKFILL_FILES_PER_HOUR = 2
 
 
 def query(fn):
@@ -179,12 +180,14 @@ def ingest_quarantine(spark, sf):
 @query
 def stream_ingest_quarantine(spark, sf):
     """The same faulty records through the streaming ingest (exactly-once
-    file sinks, one query per entity plus the quarantine query)."""
+    file sinks, one query per entity plus the quarantine query). A month
+    replayed at once is a backfill, so hours are salted two ways instead of
+    every input task writing a file into every hour."""
     d = scratch_path(spark, "stream_store")
     write_envelope(_damaged_envelope(spark, sf), f"{d}/envelope", partitions=B.TOPIC_PARTITIONS)
     src = file_envelope_source(spark, f"{d}/envelope")
     for q in start_ingest(spark, src, f"{d}/store", f"{d}/checkpoint", entities=("posts", "comments"),
-                          available_now=True).values():
+                          available_now=True, files_per_hour=BACKFILL_FILES_PER_HOUR).values():
         run_to_end(q)
     stored = (read_partitioned(spark, f"{d}/store", "posts").select("post_id")
               .unionByName(read_partitioned(spark, f"{d}/store", "comments").select(F.col("comment_id").alias("post_id"))))

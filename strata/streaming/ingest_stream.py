@@ -9,10 +9,13 @@ The bootstrap dump joins the same queries as a second, file-stream input
 (one JSON-lines folder per entity): it is read exactly once, tracked by the
 same checkpoint, and lands in the same table as the live records.
 
-Unlike the batch write, rows are not redistributed by hour first: in a live
-micro-batch nearly every row belongs to the current hour, so that would put
-the whole batch on one task. Each input task writes its own file per hour
-instead; the trigger interval sets the file size.
+Unlike the batch write, rows are not redistributed by hour by default: in a
+live micro-batch nearly every row belongs to the current hour, so that would
+put the whole batch on one task. Each input task writes its own file per
+hour instead; the trigger interval sets the file size. For a backfill that
+replays many hours through the stream, ``files_per_hour`` redistributes
+rows by (hour, id hash mod n): at most n files per hour, and a hot hour
+still spread over n tasks.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ingest import META, OK, PARTITION_COLUMNS, parse, route, stored_rows
+from ..schemas import ENTITY_IDS
 
 
 def _bootstrap_texts(spark: SparkSession, directory: str, entity: str) -> DataFrame:
@@ -35,7 +39,7 @@ def _bootstrap_texts(spark: SparkSession, directory: str, entity: str) -> DataFr
 def start_ingest(spark: SparkSession, envelope, base: str, checkpoint_base: str,
                  entities=("posts", "comments", "users"), bootstrap_dir: str | None = None,
                  available_now: bool = False, fmt: str = "parquet",
-                 max_future: str | None = None) -> dict[str, StreamingQuery]:
+                 max_future: str | None = None, files_per_hour: int | None = None) -> dict[str, StreamingQuery]:
     """``envelope`` is one stream over all topics, or a function
     ``entity -> stream`` (e.g. a Kafka source subscribed to that entity's
     topic only, so no query reads records it discards)."""
@@ -50,7 +54,11 @@ def start_ingest(spark: SparkSession, envelope, base: str, checkpoint_base: str,
         bad = (parsed.filter(F.col("_status") != OK)
                .select("data_type", F.col("_status").alias("reason"), F.col("_raw").alias("value"), *META))
         rejected = bad if rejected is None else rejected.unionByName(bad)
-        w = (stored_rows(parsed, entity).writeStream.format(fmt).outputMode("append")
+        rows = stored_rows(parsed, entity)
+        if files_per_hour:
+            salt = F.pmod(F.xxhash64(F.col(ENTITY_IDS[entity])), F.lit(files_per_hour))
+            rows = rows.repartition(*[F.col(c) for c in PARTITION_COLUMNS], salt)
+        w = (rows.writeStream.format(fmt).outputMode("append")
              .partitionBy(*PARTITION_COLUMNS)
              .option("path", f"{base}/{entity}").option("checkpointLocation", f"{checkpoint_base}/{entity}"))
         if available_now:
