@@ -1,8 +1,9 @@
 """Ingest: wire records → validated rows + quarantine, and the hour-partitioned store.
 
 One parse produces every row with a ``_status``: ``ok``, or the reason it is
-quarantined (``malformed_json``, ``missing_time``, ``bad_time``). Nothing is
-dropped silently: rows in = stored rows + quarantined rows.
+quarantined (``malformed_json``, ``missing_time``, ``bad_time``, and the
+opt-in ``future_time``). Nothing is dropped silently: rows in = stored rows
++ quarantined rows.
 """
 
 from __future__ import annotations
@@ -11,14 +12,15 @@ import re
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-
 from pyspark.sql import types as T
 
 from ..functions.records import data_type_of, evaluate_once, is_json_object
 from ..functions.time import raw_time, row_time
 from ..schemas import ENTITY_SCHEMAS, PARTITION_COLUMNS
 
-OK, MALFORMED, MISSING_TIME, BAD_TIME, FUTURE_TIME = "ok", "malformed_json", "missing_time", "bad_time", "future_time"
+# Ingest status of a record: stored when OK, quarantined under the others.
+OK, MALFORMED, MISSING_TIME, BAD_TIME, FUTURE_TIME = (
+    "ok", "malformed_json", "missing_time", "bad_time", "future_time")
 
 META = ["_key", "_topic", "_partition", "_offset", "_arrival"]
 CORRUPT = "_corrupt_record"
@@ -136,8 +138,10 @@ def write_partitioned(rows: DataFrame, path: str, fmt: str = "parquet", mode: st
 
 def ingest_batch(envelope: DataFrame, base: str, entities=("posts", "comments", "users"),
                  fmt: str = "parquet", max_future: str | None = None) -> None:
-    """Batch ingest of an envelope DataFrame into ``base/<entity>/...`` and
-    ``base/_quarantine/data_type=/reason=``."""
+    """Batch ingest of the given entities' records into ``base/<entity>/...``
+    and ``base/_quarantine/data_type=/reason=``. Records of other topics
+    are not read (a topic-partitioned landing folder is pruned)."""
+    envelope = envelope.filter(data_type_of(F.col("topic")).isin(list(entities)))
     routed = route(envelope)
     for entity in entities:
         parsed = parse(routed.filter(F.col("data_type") == entity), entity, keep=["data_type"] + META,

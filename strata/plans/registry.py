@@ -21,7 +21,7 @@ from ..session import ensure_utc, scratch_path
 from ..sources import bindings as B
 from ..sources.bootstrap import bootstrap_load
 from ..sources.kafka import file_envelope_source, write_envelope
-from ..sources.partitioned import read_partitioned
+from ..sources.partitioned import read_partitioned, read_quarantine
 from ..streaming import speed
 from ..streaming.runner import run_to_end, start
 from ..streaming.ingest_stream import start_ingest
@@ -172,7 +172,7 @@ def ingest_quarantine(spark, sf):
     stored = (read_partitioned(spark, base, "posts").select("post_id")
               .unionByName(read_partitioned(spark, base, "comments").select(F.col("comment_id").alias("post_id"))))
     ok = stored.agg(F.count(F.lit(1)).alias("n")).select(F.lit(ingest.OK).alias("status"), "n")
-    bad = (spark.read.parquet(f"{base}/_quarantine").groupBy(F.col("reason").alias("status"))
+    bad = (read_quarantine(spark, base).groupBy(F.col("reason").alias("status"))
            .agg(F.count(F.lit(1)).alias("n")))
     return ok.unionByName(bad)
 
@@ -192,7 +192,7 @@ def stream_ingest_quarantine(spark, sf):
     stored = (read_partitioned(spark, f"{d}/store", "posts").select("post_id")
               .unionByName(read_partitioned(spark, f"{d}/store", "comments").select(F.col("comment_id").alias("post_id"))))
     ok = stored.agg(F.count(F.lit(1)).alias("n")).select(F.lit(ingest.OK).alias("status"), "n")
-    bad = (spark.read.parquet(f"{d}/store/_quarantine").groupBy(F.col("reason").alias("status"))
+    bad = (read_quarantine(spark, f"{d}/store").groupBy(F.col("reason").alias("status"))
            .agg(F.count(F.lit(1)).alias("n")))
     return ok.unionByName(bad)
 

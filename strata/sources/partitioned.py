@@ -26,3 +26,23 @@ def read_partitioned(spark: SparkSession, base: str, entity: str, fmt: str = "pa
     """
     path = f"{base.rstrip('/')}/{entity}"
     return spark.read.schema(stored_schema(entity)).option("basePath", path).format(fmt).load(path)
+
+
+QUARANTINE = T.StructType([
+    T.StructField("value", T.StringType(), True),
+    T.StructField("_key", T.StringType(), True),
+    T.StructField("_topic", T.StringType(), True),
+    T.StructField("_partition", T.IntegerType(), True),
+    T.StructField("_offset", T.LongType(), True),
+    T.StructField("_arrival", T.TimestampType(), True),
+    T.StructField("data_type", T.StringType(), True),
+    T.StructField("reason", T.StringType(), True),
+])
+
+
+def read_quarantine(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
+    """Rejected records with their reason (``data_type`` and ``reason`` are
+    the partition folders). Fixed schema, so an empty quarantine reads as
+    an empty table."""
+    path = f"{base.rstrip('/')}/_quarantine"
+    return spark.read.schema(QUARANTINE).option("basePath", path).format(fmt).load(path)

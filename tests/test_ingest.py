@@ -9,7 +9,7 @@ from strata.functions.time import on_date
 from strata.operators import ingest, views
 from strata.schemas import ENVELOPE, TOPICS
 from strata.sources.bootstrap import bootstrap_load
-from strata.sources.partitioned import read_partitioned
+from strata.sources.partitioned import read_partitioned, read_quarantine
 from tests.helpers import envelope, parsed, post, text
 
 
@@ -68,7 +68,7 @@ def test_rows_in_equal_stored_plus_quarantined(spark, tmp):
             post("d", ts="2024-01-02T00:00:00Z")]
     ingest.ingest_batch(envelope(spark, recs), tmp, entities=("posts",))
     stored = read_partitioned(spark, tmp, "posts")
-    q = spark.read.parquet(f"{tmp}/_quarantine")
+    q = read_quarantine(spark, tmp)
     assert stored.count() == 2
     assert sorted(r.reason for r in q.collect()) == ["bad_time", "malformed_json", "missing_time"]
     assert stored.count() + q.count() == len(recs)
@@ -146,3 +146,11 @@ def test_future_event_times_can_be_quarantined(spark):
     assert [r.post_id for r in ingest.decode_entity(env, "posts", max_future="1 day").collect()] == ["now"]
     with pytest.raises(ValueError):
         ingest.parse(ingest.route(env), "posts", keep=keep, max_future="1 day; drop")
+
+
+def test_ingest_of_one_entity_ignores_other_topics(spark, tmp):
+    from tests.helpers import user
+    env = envelope(spark, [post("a")]).unionByName(envelope(spark, [user("u", ts="")], "users"))
+    ingest.ingest_batch(env, tmp, entities=("posts",))
+    assert read_partitioned(spark, tmp, "posts").count() == 1
+    assert read_quarantine(spark, tmp).count() == 0

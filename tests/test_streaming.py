@@ -131,7 +131,7 @@ def test_speed_job_starts_all_views(spark, tmp):
 
 
 def test_streaming_ingest_with_bootstrap_is_exactly_once(spark, tmp):
-    from strata.sources.partitioned import read_partitioned
+    from strata.sources.partitioned import read_partitioned, read_quarantine
     from strata.streaming.ingest_stream import start_ingest
     from tests.helpers import text
     spark.createDataFrame([(text(post("boot1", ts=ts(5))),), ("{bad",)], "value string") \
@@ -151,7 +151,7 @@ def test_streaming_ingest_with_bootstrap_is_exactly_once(spark, tmp):
     posts = read_partitioned(spark, f"{tmp}/store", "posts")
     assert sorted((r.post_id, r.hour) for r in posts.collect()) == [("boot1", 0), ("live1", 3)]
     assert read_partitioned(spark, f"{tmp}/store", "users").count() == 1
-    q = spark.read.parquet(f"{tmp}/store/_quarantine")
+    q = read_quarantine(spark, f"{tmp}/store")
     assert sorted(r.reason for r in q.collect()) == ["malformed_json", "missing_time"]
 
 
