@@ -81,3 +81,21 @@ def test_entity_routing_prunes_other_topics(spark, tmp):
     pf = re.search(r"PartitionFilters: \[(.*)\]", plan).group(1)
     assert "topic" in pf
     assert [r.post_id for r in ingest.decode_entity(landed, "posts").collect()] == ["a"]
+
+
+def test_serving_merge_pushes_the_cutoff_into_the_changelog_scan(spark, tmp):
+    import datetime as dt
+    from strata.plans import serving
+    from strata.streaming.sinks import ChangelogSink, read_latest
+    minutes = spark.createDataFrame(
+        [(dt.datetime(2024, 1, d), dt.datetime(2024, 1, d, 0, 1), "a", 1, 2, 3, 1) for d in range(1, 20)],
+        "window_start timestamp, window_end timestamp, subreddit string, num_posts long, total_score long, "
+        "total_comments long, scored long")
+    ChangelogSink(f"{tmp}/log")(minutes, 0)
+    views.daily_measures(B.posts(spark, SF)).write.parquet(f"{tmp}/daily")
+    merged = serving.merge_batch_and_speed(spark.read.parquet(f"{tmp}/daily"),
+                                           read_latest(spark, f"{tmp}/log", ["window_start", "subreddit"]),
+                                           "2024-01-16")
+    plan = plan_text(merged)
+    assert re.search(r"PushedFilters: \[[^\n]*GreaterThanOrEqual\(window_start,2024-01-16", plan)
+    assert re.search(r"PushedFilters: \[[^\n]*LessThan\(date,2024-01-16\)", plan)
