@@ -189,3 +189,17 @@ def test_late_filter_lags_the_watermark_by_one_batch(spark, tmp):
     dropped = sum(sum(op.get("numRowsDroppedByWatermark", 0) for op in p["stateOperators"])
                   for p in q.recentProgress)
     assert dropped == 1
+
+
+def test_streaming_throughput_and_latency_panels(spark, tmp):
+    land(spark, f"{tmp}/in", [post("a", ts=ts(1, 10)), post("b", ts=ts(1, 20)), post("c", ts=ts(2))])
+    src = ingest.decode_entity(file_envelope_source(spark, f"{tmp}/in"), "posts")
+    for name, view in [("tp", speed.events_per_minute(src)), ("lat", speed.latency_per_minute(src))]:
+        run_to_end(start(view, f"{tmp}/ck_{name}", output_mode="update",
+                         foreach_batch=ChangelogSink(f"{tmp}/{name}"), available_now=True))
+    tp = {r.window_start.minute: (r.events, r.per_second)
+          for r in read_latest(spark, f"{tmp}/tp", ["window_start"]).collect()}
+    assert tp == {1: (2, 2 / 60), 2: (1, 1 / 60)}
+    # helpers.envelope stamps every arrival at 2024-01-01T00:00Z, i.e. before these event times
+    lat = {r.window_start.minute: (r.n, r.max_ms) for r in read_latest(spark, f"{tmp}/lat", ["window_start"]).collect()}
+    assert lat == {1: (2, -70000.0), 2: (1, -120000.0)}
