@@ -166,9 +166,8 @@ def _damaged_envelope(spark, sf):
     return B.to_envelope(B.damaged_events_json(spark, sf))
 
 
-@query
-def ingest_quarantine(spark, sf):
-    base = _ingested(spark, sf, ("posts", "comments"), envelope=_damaged_envelope(spark, sf))
+def _status_counts(spark, base):
+    """Stored rows of posts and comments as ``ok``, plus quarantined rows by reason."""
     stored = (read_partitioned(spark, base, "posts").select("post_id")
               .unionByName(read_partitioned(spark, base, "comments").select(F.col("comment_id").alias("post_id"))))
     ok = stored.agg(F.count(F.lit(1)).alias("n")).select(F.lit(ingest.OK).alias("status"), "n")
@@ -177,6 +176,12 @@ def ingest_quarantine(spark, sf):
     return ok.unionByName(bad)
 
 
+@query
+def ingest_quarantine(spark, sf):
+    base = _ingested(spark, sf, ("posts", "comments"), envelope=_damaged_envelope(spark, sf))
+    return _status_counts(spark, base)
+
+
 @query
 def stream_ingest_quarantine(spark, sf):
     """The same faulty records through the streaming ingest (exactly-once
@@ -189,12 +194,7 @@ def stream_ingest_quarantine(spark, sf):
     for q in start_ingest(spark, src, f"{d}/store", f"{d}/checkpoint", entities=("posts", "comments"),
                           available_now=True, files_per_hour=BACKFILL_FILES_PER_HOUR).values():
         run_to_end(q)
-    stored = (read_partitioned(spark, f"{d}/store", "posts").select("post_id")
-              .unionByName(read_partitioned(spark, f"{d}/store", "comments").select(F.col("comment_id").alias("post_id"))))
-    ok = stored.agg(F.count(F.lit(1)).alias("n")).select(F.lit(ingest.OK).alias("status"), "n")
-    bad = (read_quarantine(spark, f"{d}/store").groupBy(F.col("reason").alias("status"))
-           .agg(F.count(F.lit(1)).alias("n")))
-    return ok.unionByName(bad)
+    return _status_counts(spark, f"{d}/store")
 
 
 @query
