@@ -128,16 +128,19 @@ def subreddit_trend(posts: DataFrame) -> DataFrame:
 
 
 def user_activity_daily(posts: DataFrame, comments: DataFrame) -> DataFrame:
-    """Posts and comments per user and day in one aggregation over the
-    union of both sides, plus the change against the user's previous
-    active day."""
-    both = (posts.select("user_id", day_of("timestamp").alias("date"), F.lit(1).alias("is_post"))
-            .unionByName(comments.select("user_id", day_of("timestamp").alias("date"),
-                                         F.lit(0).alias("is_post"))))
-    daily = both.groupBy("user_id", "date").agg(
-        F.sum("is_post").alias("num_posts"),
-        F.sum(1 - F.col("is_post")).alias("num_comments"),
-        F.count(F.lit(1)).alias("total_activity"))
+    return daily_user_activity(activity(posts, comments))
+
+
+def daily_user_activity(records: DataFrame) -> DataFrame:
+    """Posts and comments per user and day from (data_type, user_id,
+    timestamp) records in one aggregation, plus the change against the
+    user's previous active day (a window over per-day rows only)."""
+    is_post = (F.col("data_type") == "posts").cast("int")
+    daily = (records.select("user_id", day_of("timestamp").alias("date"), is_post.alias("is_post"))
+             .groupBy("user_id", "date").agg(
+                 F.sum("is_post").alias("num_posts"),
+                 F.sum(1 - F.col("is_post")).alias("num_comments"),
+                 F.count(F.lit(1)).alias("total_activity")))
     w = Window.partitionBy("user_id").orderBy("date")
     return daily.withColumn("delta", F.col("total_activity") - F.lag("total_activity").over(w))
 

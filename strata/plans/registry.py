@@ -95,7 +95,7 @@ def load_summary(spark, sf):
 
 @query
 def active_users_hourly(spark, sf):
-    return views.active_users(views.activity(_posts(spark, sf), _comments(spark, sf)), "hour")
+    return views.active_users(B.activity(spark, sf), "hour")
 
 
 @query
@@ -105,7 +105,7 @@ def top_subreddits(spark, sf):
 
 @query
 def throughput_per_minute(spark, sf):
-    return views.throughput_per_minute(views.activity(_posts(spark, sf), _comments(spark, sf)))
+    return views.throughput_per_minute(B.activity(spark, sf))
 
 
 @query
@@ -115,7 +115,7 @@ def subreddit_trend(spark, sf):
 
 @query
 def user_activity_daily(spark, sf):
-    return views.user_activity_daily(_posts(spark, sf), _comments(spark, sf))
+    return views.daily_user_activity(B.activity(spark, sf))
 
 
 # --- ingest and the stored table -----------------------------------------------------------------

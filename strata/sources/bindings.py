@@ -55,6 +55,15 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
         _score().alias("score"), F.col("ts").alias("timestamp"))
 
 
+def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Posts and comments as (data_type, user_id, timestamp) in one scan of
+    ``events`` (the union of the two bindings would scan it twice)."""
+    ev = table(spark, sf_dir, "events")
+    kind = F.when(F.col("event_type").isin(POST_TYPES), F.lit("posts")).otherwise(F.lit("comments"))
+    return ev.filter(F.col("event_type").isin(POST_TYPES + COMMENT_TYPES)).select(
+        kind.alias("data_type"), "user_id", F.col("ts").alias("timestamp"))
+
+
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = table(spark, sf_dir, "customer")
     return cu.select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("username"),
