@@ -1,6 +1,6 @@
 """Command line: the batch job, the speed job, ingest, incremental refresh, serving merge.
 
-    python -m strata batch STORE OUTPUT [--date YYYY-MM-DD] [--format parquet|json]
+    python -m strata batch STORE OUTPUT [--date YYYY-MM-DD] [--format parquet|json] [--store-format ...]
     python -m strata stream (--kafka SERVERS | --envelope DIR) --out DIR --checkpoint DIR
     python -m strata ingest (--kafka SERVERS | --envelope DIR) --store DIR --checkpoint DIR [--bootstrap DIR]
     python -m strata incremental --store DIR --daily DIR --days 2024-01-10,2024-01-11
@@ -55,7 +55,10 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("store")
     b.add_argument("output")
     b.add_argument("--date")
-    b.add_argument("--format", default="parquet", choices=["parquet", "json"])
+    b.add_argument("--format", default="parquet", choices=["parquet", "json"], help="format of the written views")
+    b.add_argument("--store-format", default="parquet", choices=["parquet", "json"])
+    b.add_argument("--time-fallback", action="store_true",
+                   help="fill a missing timestamp from created_utc (stores written by other tools)")
 
     s = sub.add_parser("stream", help="posts, comments and users views of the speed layer")
     _stream_args(s)
@@ -86,7 +89,8 @@ def main(argv=None, spark=None) -> int:
     spark = spark or build_session(master=args.master, app_name=f"strata-{args.cmd}")
     ensure_utc(spark)
     if args.cmd == "batch":
-        summary = batch_job.run_batch_job(spark, args.store, args.output, fmt=args.format, date_filter=args.date)
+        summary = batch_job.run_batch_job(spark, args.store, args.output, fmt=args.format, date_filter=args.date,
+                                          time_fallback=args.time_fallback, store_format=args.store_format)
         for row in summary.collect():  # three rows
             print(f"{row.data_type}: {row.n}")
     elif args.cmd == "stream":

@@ -33,16 +33,16 @@ def write_views(computed: dict[str, DataFrame], output: str, fmt: str = "parquet
 
 
 def run_batch_job(spark: SparkSession, store: str, output: str, fmt: str = "parquet",
-                  date_filter=None) -> DataFrame:
+                  date_filter=None, time_fallback: bool = False, store_format: str = "parquet") -> DataFrame:
     """Load posts, comments and users from the store, write the views and
     return the load summary (one job for all three counts).
 
     Nothing is cached: each view reads only the Parquet columns it needs
     (users only for their count), which at scale is cheaper than holding
     a full copy of the posts table in executor memory or local disk."""
-    posts = read_partitioned(spark, store, "posts")
-    comments = read_partitioned(spark, store, "comments")
-    users = read_partitioned(spark, store, "users")
+    posts = read_partitioned(spark, store, "posts", store_format, time_fallback)
+    comments = read_partitioned(spark, store, "comments", store_format, time_fallback)
+    users = read_partitioned(spark, store, "users", store_format, time_fallback)
     summary = views.load_summary(posts, comments, users)
     write_views(compute_views(posts, comments, date_filter), output, fmt)
     return summary

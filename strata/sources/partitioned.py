@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import ENTITY_SCHEMAS, PARTITION_COLUMNS
@@ -17,15 +18,24 @@ def stored_schema(entity: str) -> T.StructType:
     return T.StructType(fields)
 
 
-def read_partitioned(spark: SparkSession, base: str, entity: str, fmt: str = "parquet") -> DataFrame:
+def read_partitioned(spark: SparkSession, base: str, entity: str, fmt: str = "parquet",
+                     time_fallback: bool = False) -> DataFrame:
     """Read one entity of the store from its base directory.
 
     Reading the directory (not a glob of files) keeps partition discovery:
     ``year, month, day, hour`` come back as ints and predicates on them
     prune directories. The schema is fixed, so there is no inference scan.
+
+    ``time_fallback`` fills a missing ``timestamp`` from ``created_utc`` per
+    row, for stores written by other tools. It is off by default: as an
+    expression, ``timestamp`` no longer takes pushed-down filters.
     """
     path = f"{base.rstrip('/')}/{entity}"
-    return spark.read.schema(stored_schema(entity)).option("basePath", path).format(fmt).load(path)
+    df = spark.read.schema(stored_schema(entity)).option("basePath", path).format(fmt).load(path)
+    if time_fallback:
+        created = F.try_to_timestamp(F.nullif(F.col("created_utc"), F.lit("")))
+        df = df.withColumn("timestamp", F.coalesce(F.col("timestamp"), created))
+    return df
 
 
 QUARANTINE = T.StructType([

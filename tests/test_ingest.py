@@ -154,3 +154,30 @@ def test_ingest_of_one_entity_ignores_other_topics(spark, tmp):
     ingest.ingest_batch(env, tmp, entities=("posts",))
     assert read_partitioned(spark, tmp, "posts").count() == 1
     assert read_quarantine(spark, tmp).count() == 0
+
+
+def test_reads_an_existing_json_store_with_one_record_per_file(spark, tmp):
+    """A store laid out as JSON files with two-digit partition folders, one
+    record per file and ISO times with an offset, reads back with parsed
+    times and int partition columns."""
+    import json
+    import os
+    for i, (day, hour) in enumerate([(1, 3), (1, 3), (2, 10)]):
+        folder = f"{tmp}/posts/year=2024/month=01/day={day:02d}/hour={hour:02d}"
+        os.makedirs(folder, exist_ok=True)
+        rec = post(f"p{i}", ts=f"2024-01-{day:02d}T{hour:02d}:15:00.123456+00:00")
+        with open(f"{folder}/data_{i}.json", "w") as f:
+            f.write(json.dumps(rec) + "\n")
+    t = read_partitioned(spark, tmp, "posts", fmt="json")
+    rows = sorted((r.post_id, r.timestamp.replace(tzinfo=None), r.day, r.hour) for r in t.collect())
+    assert rows == [("p0", dt.datetime(2024, 1, 1, 3, 15, 0, 123456), 1, 3),
+                    ("p1", dt.datetime(2024, 1, 1, 3, 15, 0, 123456), 1, 3),
+                    ("p2", dt.datetime(2024, 1, 2, 10, 15, 0, 123456), 2, 10)]
+    assert views.top_posts(t, date_filter="2024-01-02").count() == 1
+    # a record with only created_utc gets its time with the fallback
+    folder = f"{tmp}/posts/year=2024/month=01/day=03/hour=00"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/data_9.json", "w") as f:
+        f.write(json.dumps({"post_id": "old", "created_utc": "2024-01-03T00:05:00+00:00"}) + "\n")
+    old = read_partitioned(spark, tmp, "posts", fmt="json", time_fallback=True).filter("post_id = 'old'")
+    assert old.collect()[0].timestamp.replace(tzinfo=None) == dt.datetime(2024, 1, 3, 0, 5)
