@@ -95,7 +95,8 @@ def main(argv=None, spark=None) -> int:
             print(f"{row.data_type}: {row.n}")
     elif args.cmd == "stream":
         # the posts view carries the measures the serving merge needs
-        queries = start_speed_views(_source(spark, args), args.out, args.checkpoint, serving=True,
+        per_topic = (lambda entity: _source(spark, args, topics=[TOPICS[entity]])) if args.kafka else _source(spark, args)
+        queries = start_speed_views(per_topic, args.out, args.checkpoint, serving=True,
                                     available_now=args.available_now, processing_time=args.trigger)
         _wait(spark, queries, args.available_now)
     elif args.cmd == "ingest":

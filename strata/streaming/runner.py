@@ -37,30 +37,34 @@ def run_to_end(q: StreamingQuery) -> StreamingQuery:
     return q
 
 
-def start_speed_views(envelope: DataFrame, out_base: str, checkpoint_base: str, *,
+def start_speed_views(envelope, out_base: str, checkpoint_base: str, *,
                       views=("posts", "comments", "users"), available_now: bool = False,
                       processing_time: str | None = None, serving: bool = False) -> dict[str, StreamingQuery]:
-    """Start the posts, comments and users views of the speed layer over one
-    envelope stream. Windowed views go to changelog serving tables (update
+    """Start the posts, comments and users views of the speed layer.
+
+    ``envelope`` is one stream over all topics, or a function
+    ``entity -> stream`` (e.g. a Kafka source subscribed to that entity's
+    topic only). Windowed views go to changelog serving tables (update
     mode); the user feed is appended to a file sink."""
+    source = envelope if callable(envelope) else (lambda _entity: envelope)
     queries = {}
     trig = dict(available_now=available_now, processing_time=processing_time)
     if "posts" in views:
-        v = speed.posts_per_minute(decode_entity(envelope, "posts"), serving=serving)
+        v = speed.posts_per_minute(decode_entity(source("posts"), "posts"), serving=serving)
         queries["posts"] = start(v, f"{checkpoint_base}/posts", output_mode="update",
                                  foreach_batch=ChangelogSink(f"{out_base}/posts_per_minute"), **trig)
     if "comments" in views:
-        v = speed.comments_per_minute(decode_entity(envelope, "comments"))
+        v = speed.comments_per_minute(decode_entity(source("comments"), "comments"))
         queries["comments"] = start(v, f"{checkpoint_base}/comments", output_mode="update",
                                     foreach_batch=ChangelogSink(f"{out_base}/comments_per_minute"), **trig)
     if "users" in views:
-        v = speed.user_feed(decode_entity(envelope, "users"))
+        v = speed.user_feed(decode_entity(source("users"), "users"))
         queries["users"] = start(v, f"{checkpoint_base}/users", output_mode="append",
                                  path=f"{out_base}/user_feed", **trig)
     return queries
 
 
-def run_streaming_job(spark: SparkSession, envelope: DataFrame, out_base: str, checkpoint_base: str,
+def run_streaming_job(spark: SparkSession, envelope, out_base: str, checkpoint_base: str,
                       **kw) -> None:
     """Start all speed views and block until one of them stops; on an
     interrupt stop them all (their checkpoints let a restart resume)."""
