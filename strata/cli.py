@@ -57,6 +57,7 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--date")
     b.add_argument("--format", default="parquet", choices=["parquet", "json"], help="format of the written views")
     b.add_argument("--store-format", default="parquet", choices=["parquet", "json"])
+    b.add_argument("--top-k", type=int, help="also write the k best posts per subreddit and day")
     b.add_argument("--time-fallback", action="store_true",
                    help="fill a missing timestamp from created_utc (stores written by other tools)")
 
@@ -90,7 +91,8 @@ def main(argv=None, spark=None) -> int:
     ensure_utc(spark)
     if args.cmd == "batch":
         summary = batch_job.run_batch_job(spark, args.store, args.output, fmt=args.format, date_filter=args.date,
-                                          time_fallback=args.time_fallback, store_format=args.store_format)
+                                          time_fallback=args.time_fallback, store_format=args.store_format,
+                                          top_k=args.top_k)
         for row in summary.collect():  # three rows
             print(f"{row.data_type}: {row.n}")
     elif args.cmd == "stream":

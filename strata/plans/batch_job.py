@@ -10,14 +10,19 @@ from ..sources.partitioned import read_partitioned
 VIEW_NAMES = ("top_posts", "user_activity", "subreddit_activity")
 
 
-def compute_views(posts: DataFrame, comments: DataFrame, date_filter=None) -> dict[str, DataFrame]:
+def compute_views(posts: DataFrame, comments: DataFrame, date_filter=None,
+                  top_k: int | None = None) -> dict[str, DataFrame]:
     """The three batch views, unordered (a stored table has no order;
-    readers sort with the ordered forms in ``operators.views``)."""
-    return {
+    readers sort with the ordered forms in ``operators.views``), plus the
+    k best posts per subreddit and day when ``top_k`` is given."""
+    out = {
         "top_posts": views.post_totals(posts, date_filter),
         "user_activity": views.user_activity_unordered(posts, comments),
         "subreddit_activity": views.subreddit_activity_unordered(posts),
     }
+    if top_k:
+        out["top_k_posts"] = views.top_k_posts(posts, k=top_k, date_filter=date_filter)
+    return out
 
 
 def write_views(computed: dict[str, DataFrame], output: str, fmt: str = "parquet") -> None:
@@ -33,7 +38,8 @@ def write_views(computed: dict[str, DataFrame], output: str, fmt: str = "parquet
 
 
 def run_batch_job(spark: SparkSession, store: str, output: str, fmt: str = "parquet",
-                  date_filter=None, time_fallback: bool = False, store_format: str = "parquet") -> DataFrame:
+                  date_filter=None, time_fallback: bool = False, store_format: str = "parquet",
+                  top_k: int | None = None) -> DataFrame:
     """Load posts, comments and users from the store, write the views and
     return the load summary (one job for all three counts).
 
@@ -44,5 +50,5 @@ def run_batch_job(spark: SparkSession, store: str, output: str, fmt: str = "parq
     comments = read_partitioned(spark, store, "comments", store_format, time_fallback)
     users = read_partitioned(spark, store, "users", store_format, time_fallback)
     summary = views.load_summary(posts, comments, users)
-    write_views(compute_views(posts, comments, date_filter), output, fmt)
+    write_views(compute_views(posts, comments, date_filter, top_k), output, fmt)
     return summary

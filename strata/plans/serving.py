@@ -13,6 +13,7 @@ MEASURES = ["num_posts", "total_score", "total_comments", "scored"]
 # Key columns of each serving table.
 SERVING_KEYS = {
     "top_posts": ["subreddit", "date", "post_id"],
+    "top_k_posts": ["subreddit", "date", "rank"],
     "user_activity": ["user_id"],
     "subreddit_activity": ["subreddit", "date"],
     "posts_per_minute": ["window_start", "subreddit"],

@@ -18,9 +18,11 @@ def test_cli_end_to_end(spark, tmp, capsys):
                  "--checkpoint", f"{tmp}/ck/ingest", "--available-now"], spark=spark) == 0
     assert read_partitioned(spark, f"{tmp}/store", "posts").count() == 12
 
-    main(["batch", f"{tmp}/store", f"{tmp}/views"], spark=spark)
+    main(["batch", f"{tmp}/store", f"{tmp}/views", "--top-k", "1"], spark=spark)
     assert "posts: 12" in capsys.readouterr().out
     assert spark.read.parquet(f"{tmp}/views/subreddit_activity").count() == 6
+    best = {(r.subreddit, r.date.day): r.post_id for r in spark.read.parquet(f"{tmp}/views/top_k_posts").collect()}
+    assert best == {("a", 1): "p12", ("b", 1): "p13", ("a", 2): "p22", ("b", 2): "p23", ("a", 3): "p32", ("b", 3): "p33"}
 
     main(["stream", "--envelope", f"{tmp}/env", "--out", f"{tmp}/speed", "--checkpoint", f"{tmp}/ck/speed",
           "--available-now"], spark=spark)
