@@ -55,10 +55,6 @@ def decoded(spark, records, entity="posts"):
     return parsed(spark, records, entity).filter(F.col("_status") == ingest.OK)
 
 
-def collect_sorted(df, *cols):
-    return [tuple(r) for r in df.orderBy(*cols).collect()] if cols else sorted(tuple(r) for r in df.collect())
-
-
 def plan_text(df, mode="formatted") -> str:
     buf = io.StringIO()
     with contextlib.redirect_stdout(buf):

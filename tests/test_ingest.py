@@ -13,10 +13,6 @@ from strata.sources.partitioned import read_partitioned, read_quarantine
 from tests.helpers import envelope, parsed, post, text
 
 
-def status_of(spark, records, entity="posts"):
-    return [r._status for r in parsed(spark, records, entity).orderBy("_raw").collect()]
-
-
 def test_malformed_json_is_quarantined_not_a_null_row(spark):
     rows = parsed(spark, ["{bad", "", "[1]", "null"]).collect()
     assert [r._status for r in rows] == ["malformed_json"] * 4
