@@ -25,6 +25,10 @@ OK, MALFORMED, MISSING_TIME, BAD_TIME, FUTURE_TIME = (
 META = ["_key", "_topic", "_partition", "_offset", "_arrival"]
 CORRUPT = "_corrupt_record"
 
+# The fields the status depends on, shared by every entity.
+TIME_FIELDS = T.StructType([T.StructField("created_utc", T.StringType(), True),
+                            T.StructField("timestamp", T.StringType(), True)])
+
 
 def route(envelope: DataFrame) -> DataFrame:
     """Envelope → (data_type, text, metadata): one reader over several
@@ -37,7 +41,7 @@ def route(envelope: DataFrame) -> DataFrame:
         F.col("timestamp").alias("_arrival"))
 
 
-def parse(texts: DataFrame, entity: str, keep: list[str] | None = None,
+def parse(texts: DataFrame, entity: str | None, keep: list[str] | None = None,
           max_future: str | None = None) -> DataFrame:
     """Decode the ``_raw`` JSON text of one entity and classify each row.
 
@@ -55,8 +59,11 @@ def parse(texts: DataFrame, entity: str, keep: list[str] | None = None,
     time is more than that after its arrival (``_arrival``) is quarantined
     as ``future_time``; replayed into a stream it would push the watermark
     ahead and make live records look late.
+
+    ``entity=None`` decodes only the two time fields: enough for the status,
+    which is the same under every entity's schema.
     """
-    base = ENTITY_SCHEMAS[entity]
+    base = ENTITY_SCHEMAS[entity] if entity else TIME_FIELDS
     schema = T.StructType(list(base.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
     keep = [c for c in (keep or []) if c in texts.columns]
     rec = F.from_json(F.col("_raw"), schema, {"columnNameOfCorruptRecord": CORRUPT})
@@ -93,8 +100,8 @@ def decode_entity(envelope: DataFrame, entity: str, strict_time: bool = False,
 def classify(envelope: DataFrame, max_future: str | None = None) -> DataFrame:
     """Every envelope row with its data_type and ingest status. The status
     depends only on JSON syntax and the two time fields, which all entities
-    share, so one parse classifies every topic."""
-    return parse(route(envelope), "posts", keep=["data_type"] + META, max_future=max_future).select(
+    share, so one narrow parse classifies every topic."""
+    return parse(route(envelope), None, keep=["data_type"] + META, max_future=max_future).select(
         "data_type", *META, "_status", "_raw", "timestamp")
 
 

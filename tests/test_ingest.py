@@ -177,3 +177,14 @@ def test_reads_an_existing_json_store_with_one_record_per_file(spark, tmp):
         f.write(json.dumps({"post_id": "old", "created_utc": "2024-01-03T00:05:00+00:00"}) + "\n")
     old = read_partitioned(spark, tmp, "posts", fmt="json", time_fallback=True).filter("post_id = 'old'")
     assert old.collect()[0].timestamp.replace(tzinfo=None) == dt.datetime(2024, 1, 3, 0, 5)
+
+
+def test_narrow_classification_agrees_with_the_entity_parse(spark):
+    recs = [post("a"), post("b", score="7"), "{bad", "", "[1]", post("c", ts="", created=""),
+            post("d", ts="garbage", created="x"), post("e", ts="", created="2024-01-02T00:00:00Z")]
+    env = envelope(spark, recs)
+    full = sorted((r._offset, r._status) for r in ingest.parse(ingest.route(env), "posts", keep=ingest.META).collect())
+    narrow = sorted((r._offset, r._status) for r in ingest.classify(env).collect())
+    assert full == narrow
+    assert [s for _, s in full] == ["ok", "ok", "malformed_json", "malformed_json", "malformed_json",
+                                    "missing_time", "bad_time", "ok"]
