@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -28,8 +27,3 @@ def tmp(spark):
     """A fresh folder under the session's checkpoint root."""
     from strata.session import scratch_path
     return scratch_path(spark, "test")
-
-
-@pytest.fixture(scope="session")
-def local_tmp():
-    return tempfile.mkdtemp(prefix="strata-tests-")
