@@ -230,7 +230,7 @@ def _run_posts_per_minute(spark, sf, serving_measures=False):
     d, src = _landed_envelope(spark, sf, ("posts",), "posts_per_minute")
     view = speed.posts_per_minute(ingest.decode_entity(src, "posts"), serving=serving_measures)
     run_to_end(start(view, f"{d}/checkpoint", output_mode="update",
-                     foreach_batch=ChangelogSink(f"{d}/serving"), available_now=True))
+                     foreach_batch=ChangelogSink(f"{d}/serving", files=1), available_now=True))
     return read_latest(spark, f"{d}/serving", ["window_start", "subreddit"])
 
 

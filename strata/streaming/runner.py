@@ -51,8 +51,9 @@ def start_speed_views(envelope, out_base: str, checkpoint_base: str, *,
     trig = dict(available_now=available_now, processing_time=processing_time)
     if "posts" in views:
         v = speed.posts_per_minute(decode_entity(source("posts"), "posts"), serving=serving)
+        # few updates per batch (subreddits x open minutes): one file each
         queries["posts"] = start(v, f"{checkpoint_base}/posts", output_mode="update",
-                                 foreach_batch=ChangelogSink(f"{out_base}/posts_per_minute"), **trig)
+                                 foreach_batch=ChangelogSink(f"{out_base}/posts_per_minute", files=1), **trig)
     if "comments" in views:
         v = speed.comments_per_minute(decode_entity(source("comments"), "comments"))
         queries["comments"] = start(v, f"{checkpoint_base}/comments", output_mode="update",

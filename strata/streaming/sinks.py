@@ -16,10 +16,18 @@ from ..operators.views import latest_per_key
 
 
 class ChangelogSink:
-    def __init__(self, path: str):
+    """``files``: write each micro-batch's updates as that many files. Use
+    it only for views whose updates per batch are few (e.g. posts per
+    subreddit and minute); without it every non-empty state partition
+    writes its own file."""
+
+    def __init__(self, path: str, files: int | None = None):
         self.path = path.rstrip("/")
+        self.files = files
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        if self.files:
+            batch = batch.repartition(self.files)
         batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
 
