@@ -11,6 +11,7 @@ changelog into one snapshot so reads stay cheap as batches accumulate.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.views import latest_per_key
 
@@ -31,15 +32,26 @@ class ChangelogSink:
         batch.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
 
 
-def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
+def read_latest(spark: SparkSession, path: str, keys: list[str], snapshot: str | None = None) -> DataFrame:
+    """Newest row per key. With a ``snapshot`` written by ``compact``, only
+    the batches after it are read from the changelog (``batch_id`` is a
+    partition column, so older batch folders are pruned, not scanned)."""
     log = spark.read.parquet(path)
+    if snapshot is not None:
+        snap = spark.read.parquet(snapshot)
+        upto = snap.agg(F.max("batch_id")).first()[0]  # one scalar
+        if upto is not None:
+            log = log.filter(F.col("batch_id") > upto).unionByName(snap.select(*log.columns))
     values = [c for c in log.columns if c not in keys and c != "batch_id"]
     return latest_per_key(log, keys, "batch_id", values).drop("batch_id")
 
 
 def compact(spark: SparkSession, path: str, keys: list[str], snapshot_path: str) -> DataFrame:
-    """Write the latest row per key as a new snapshot table and return it."""
-    read_latest(spark, path, keys).write.mode("overwrite").parquet(snapshot_path)
+    """Fold the changelog into a snapshot: the newest row per key together
+    with the batch it came from. Later reads pass it to ``read_latest``."""
+    log = spark.read.parquet(path)
+    values = [c for c in log.columns if c not in keys and c != "batch_id"]
+    latest_per_key(log, keys, "batch_id", values).write.mode("overwrite").parquet(snapshot_path)
     return spark.read.parquet(snapshot_path)
 
 
