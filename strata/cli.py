@@ -4,7 +4,8 @@
     python -m strata stream (--kafka SERVERS | --envelope DIR) --out DIR --checkpoint DIR
     python -m strata ingest (--kafka SERVERS | --envelope DIR) --store DIR --checkpoint DIR [--bootstrap DIR]
     python -m strata incremental --store DIR --daily DIR --days 2024-01-10,2024-01-11
-    python -m strata serve --daily DIR --speed DIR --cutoff YYYY-MM-DD --out DIR
+    python -m strata serve --daily DIR --speed DIR --cutoff YYYY-MM-DD --out DIR [--snapshot DIR]
+    python -m strata compact --changelog DIR --keys window_start,subreddit --snapshot DIR
 
 Streaming commands run until stopped, or with ``--available-now`` until
 their input is consumed. Checkpoint folders must be on storage shared by
@@ -23,7 +24,7 @@ from .sources.kafka import file_envelope_source, kafka_source
 from .sources.partitioned import read_partitioned
 from .streaming.ingest_stream import start_ingest
 from .streaming.runner import run_to_end, start_speed_views
-from .streaming.sinks import read_latest
+from .streaming.sinks import compact, read_latest
 
 
 def _source(spark, args, topics=None):
@@ -82,6 +83,12 @@ def parser() -> argparse.ArgumentParser:
     v.add_argument("--speed", required=True, help="posts_per_minute changelog folder")
     v.add_argument("--cutoff", required=True)
     v.add_argument("--out", required=True)
+    v.add_argument("--snapshot", help="snapshot of the speed changelog written by 'compact'")
+
+    c = sub.add_parser("compact", help="fold a changelog serving table into a snapshot")
+    c.add_argument("--changelog", required=True)
+    c.add_argument("--keys", required=True)
+    c.add_argument("--snapshot", required=True)
     return ap
 
 
@@ -112,9 +119,11 @@ def main(argv=None, spark=None) -> int:
         posts = read_partitioned(spark, args.store, "posts")
         serving.write_daily(posts, args.daily, days=args.days.split(","))
     elif args.cmd == "serve":
-        minutes = read_latest(spark, args.speed, ["window_start", "subreddit"])
+        minutes = read_latest(spark, args.speed, ["window_start", "subreddit"], snapshot=args.snapshot)
         merged = serving.merge_batch_and_speed(spark.read.parquet(args.daily), minutes, args.cutoff)
         merged.write.mode("overwrite").parquet(args.out)
+    elif args.cmd == "compact":
+        compact(spark, args.changelog, args.keys.split(","), args.snapshot)
     return 0
 
 

@@ -30,8 +30,10 @@ def test_cli_end_to_end(spark, tmp, capsys):
 
     main(["incremental", "--store", f"{tmp}/store", "--daily", f"{tmp}/daily", "--days",
           "2024-01-01,2024-01-02,2024-01-03"], spark=spark)
+    main(["compact", "--changelog", f"{tmp}/speed/posts_per_minute", "--keys", "window_start,subreddit",
+          "--snapshot", f"{tmp}/speed_snapshot"], spark=spark)
     main(["serve", "--daily", f"{tmp}/daily", "--speed", f"{tmp}/speed/posts_per_minute", "--cutoff",
-          "2024-01-03", "--out", f"{tmp}/served"], spark=spark)
+          "2024-01-03", "--out", f"{tmp}/served", "--snapshot", f"{tmp}/speed_snapshot"], spark=spark)
     served = sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/served").collect())
     batch = sorted(tuple(r) for r in spark.read.parquet(f"{tmp}/views/subreddit_activity").select(
         "subreddit", "date", "num_posts", "total_score", "total_comments", "avg_score").collect())
