@@ -209,11 +209,10 @@ def reconcile_missing(spark, sf):
 
 @query
 def latency_stats(spark, sf):
+    # one narrow parse of both topics: latency needs only the type, event time and arrival
     env = B.envelope(spark, sf, ("posts", "comments"))
-    rows = (ingest.decode_entity(env, "posts").select(F.lit("posts").alias("data_type"), "timestamp", "_arrival")
-            .unionByName(ingest.decode_entity(env, "comments")
-                         .select(F.lit("comments").alias("data_type"), "timestamp", "_arrival")))
-    return quality.latency_stats(rows, ["data_type"])
+    rows = ingest.classify(env).filter(F.col("_status") == ingest.OK)
+    return quality.latency_stats(rows.select("data_type", "timestamp", "_arrival"), ["data_type"])
 
 
 # --- streaming ---------------------------------------------------------------------------------
