@@ -188,3 +188,14 @@ def test_narrow_classification_agrees_with_the_entity_parse(spark):
     assert full == narrow
     assert [s for _, s in full] == ["ok", "ok", "malformed_json", "malformed_json", "malformed_json",
                                     "missing_time", "bad_time", "ok"]
+
+
+def test_on_dates_selects_exactly_the_given_days(spark, tmp):
+    from strata.functions.time import on_dates
+    recs = [post(f"p{d}", ts=f"2024-01-{d:02d}T23:59:59Z") for d in range(1, 6)]
+    ingest.ingest_batch(envelope(spark, recs), tmp, entities=("posts",))
+    t = read_partitioned(spark, tmp, "posts")
+    assert sorted(r.post_id for r in on_dates(t, ["2024-01-02", "2024-01-04"]).collect()) == ["p2", "p4"]
+    assert on_dates(t, []).count() == 0
+    # the same on the unpartitioned binding form (range on the raw time column)
+    assert sorted(r.post_id for r in on_dates(parsed(spark, recs), ["2024-01-05"]).collect()) == ["p5"]
