@@ -99,3 +99,10 @@ def test_serving_merge_pushes_the_cutoff_into_the_changelog_scan(spark, tmp):
     plan = plan_text(merged)
     assert re.search(r"PushedFilters: \[[^\n]*GreaterThanOrEqual\(window_start,2024-01-16", plan)
     assert re.search(r"PushedFilters: \[[^\n]*LessThan\(date,2024-01-16\)", plan)
+
+
+def test_latency_query_parses_each_record_once(spark):
+    """The envelope is a union of the post and comment renderings; the parse
+    is pushed into each branch, so there is one parse per scanned input."""
+    plan = plan_text(REGISTRY["latency_stats"](spark, SF), "simple")
+    assert plan.count("from_json(") == plan.count("FileScan parquet") == 2
