@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
+from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
+from ..session import ensure_utc, scratch_path
+
+
+def prepared(query):
+    """Wrap a query or stage: its Python workers can import this package from
+    where the driver has it (on a cluster: installed, or the same path), and
+    the session works in UTC."""
+    @functools.wraps(query)
+    def run(spark: SparkSession, *args):
+        home = str(Path(__file__).resolve().parents[2])
+        known = spark.sparkContext.environment.get("PYTHONPATH", "")
+        if home not in known.split(":"):
+            spark.sparkContext.environment["PYTHONPATH"] = f"{home}:{known}".rstrip(":")
+        ensure_utc(spark)
+        return query(spark, *args)
+    return run
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from .common import prepared
 from .jaccard_join import op2_ngram_jaccard_join
+from .language_id import op6_language_id
 
-REGISTRY = {f.__name__: f for f in (
+REGISTRY = {f.__name__: prepared(f) for f in (
     op2_ngram_jaccard_join,
+    op6_language_id,
 )}
 
 #: DuckDB SQL by query, where SQL can express the operator.
