@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from .common import prepared
+from .decontaminate import op10_benchmark_decontamination
 from .jaccard_join import op2_ngram_jaccard_join
 from .language_id import op6_language_id
+from .suffix_dedup import op7_suffix_array_dedup
 
 REGISTRY = {f.__name__: prepared(f) for f in (
     op2_ngram_jaccard_join,
     op6_language_id,
+    op7_suffix_array_dedup,
+    op10_benchmark_decontamination,
 )}
 
 #: DuckDB SQL by query, where SQL can express the operator.
