@@ -6,12 +6,16 @@ from .common import prepared
 from .decontaminate import op10_benchmark_decontamination
 from .jaccard_join import op2_ngram_jaccard_join
 from .language_id import op6_language_id
+from .sentence_piece import op3_sentencepiece
 from .suffix_dedup import op7_suffix_array_dedup
+from .token_files import op8_token_files
 
 REGISTRY = {f.__name__: prepared(f) for f in (
     op2_ngram_jaccard_join,
+    op3_sentencepiece,
     op6_language_id,
     op7_suffix_array_dedup,
+    op8_token_files,
     op10_benchmark_decontamination,
 )}
 
