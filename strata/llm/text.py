@@ -101,3 +101,34 @@ def shingle_sets(texts: list, size: int) -> Iterator[np.ndarray]:
         hashes, offsets = shingle_hashes([t or "" for t in texts[a:b]], size)
         for i in range(b - a):
             yield np.unique(hashes[offsets[i]:offsets[i + 1]])
+
+
+@functools.cache
+def _lower() -> np.ndarray:
+    """Lower case of each code point whose lower case is one code point."""
+    out = np.arange(0x110000, dtype=np.uint32)
+    for i in range(0x110000):
+        low = chr(i).lower()
+        if len(low) == 1:
+            out[i] = ord(low)
+    return out
+
+
+def word_ranges(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash (by lower case) of each word in an array of code points."""
+    is_word, values = _characters()
+    inside = np.concatenate([is_word[text], [False]])
+    step = np.diff(inside.astype(np.int8), prepend=np.int8(0))
+    start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    up, down = _powers(1 << max(10, int(len(text)).bit_length()))
+    total = np.zeros(len(text) + 1, dtype=np.uint64)
+    np.cumsum(np.where(inside[:-1], values[_lower()[text]], np.uint64(0)) * up[:len(text)], out=total[1:])
+    return start, end, mix64((total[end] - total[start]) * down[start])
+
+
+def range_hashes(values: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int) -> np.ndarray:
+    """A hash of each range of an array of 64-bit values, by its content."""
+    up, down = _powers(1 << max(10, int(len(values)).bit_length()))
+    total = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(mix64(values ^ np.uint64(seed)) * up[:len(values)], out=total[1:])
+    return mix64((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64))
