@@ -4,20 +4,28 @@ from __future__ import annotations
 
 from .common import prepared
 from .decontaminate import op10_benchmark_decontamination
+from .html_text import op5_html_extraction
 from .jaccard_join import op2_ngram_jaccard_join
 from .language_id import op6_language_id
+from .one_bit_search import ORACLE_OP9, op9_one_bit_neighbours
 from .sentence_piece import op3_sentencepiece
+from .sentence_spans import op1_substring_dedup
 from .suffix_dedup import op7_suffix_array_dedup
 from .token_files import op8_token_files
+from .url_rank import op4_url_trust
 
 REGISTRY = {f.__name__: prepared(f) for f in (
+    op1_substring_dedup,
     op2_ngram_jaccard_join,
     op3_sentencepiece,
+    op4_url_trust,
+    op5_html_extraction,
     op6_language_id,
     op7_suffix_array_dedup,
     op8_token_files,
+    op9_one_bit_neighbours,
     op10_benchmark_decontamination,
 )}
 
 #: DuckDB SQL by query, where SQL can express the operator.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_one_bit_neighbours": ORACLE_OP9}
