@@ -13,10 +13,15 @@ from pyspark.sql import functions as F
 from ..session import ensure_utc, scratch_path
 
 
+#: Bytes of rows that a Python worker gets at once. Texts are held a few times
+#: over while they are worked on, so this bounds a worker's memory.
+BATCH_BYTES = 8 << 20
+
+
 def prepared(query):
     """Wrap a query or stage: its Python workers can import this package from
-    where the driver has it (on a cluster: installed, or the same path), and
-    the session works in UTC."""
+    where the driver has it (on a cluster: installed, or the same path), get
+    small batches, and the session works in UTC."""
     @functools.wraps(query)
     def run(spark: SparkSession, *args):
         home = str(Path(__file__).resolve().parents[2])
@@ -24,6 +29,9 @@ def prepared(query):
         if home not in known.split(":"):
             spark.sparkContext.environment["PYTHONPATH"] = f"{home}:{known}".rstrip(":")
         ensure_utc(spark)
+        size = "spark.sql.execution.arrow.maxBytesPerBatch"
+        if not 0 < int(spark.conf.get(size).rstrip("b")) <= BATCH_BYTES:
+            spark.conf.set(size, str(BATCH_BYTES))
         return query(spark, *args)
     return run
 

@@ -37,9 +37,9 @@ LENGTH = 400
 #: Bytes of an anchor: three quarters of the window.
 GRAM = 300
 #: Different contexts of one anchor that are sorted in one task.
-MOST = 4096
+MOST = 1024
 #: Symbols sorted in one suffix array (a whole anchor at least).
-SYMBOLS = 100_000
+SYMBOLS = 60_000
 
 
 def _bytes(texts: pd.Series) -> list[bytes]:
