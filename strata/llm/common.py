@@ -36,6 +36,22 @@ def prepared(query):
     return run
 
 
+#: Scratch tables of the running or latest stage.
+_written: list[str] = []
+
+
+def stage(function):
+    """Wrap a pipeline stage. Its result is written before the next stage
+    starts, so a stage first removes the scratch tables of the one before."""
+    @functools.wraps(function)
+    def run(spark: SparkSession, *args):
+        while _written:
+            folder = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        return prepared(function)(spark, *args)
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -47,6 +63,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     not the steps before, and row ids given before the write stay fixed.
     """
     path = scratch_path(df.sparkSession, name)
+    _written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -227,6 +227,14 @@ def _cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["kept", "n_removed", "n_spans", "spans"])
 
 
+def _with_spans(docs: DataFrame, length: int, **options) -> DataFrame:
+    spans = materialise(repeated_spans(docs, length, **options).select(
+        F.col("h1").alias("_strata_h1"), F.col("h2").alias("_strata_h2"),
+        F.col("starts").alias("_strata_starts"), F.col("ends").alias("_strata_ends")), "suffix-spans")
+    tagged = docs.withColumns(dict(zip(("_strata_h1", "_strata_h2"), text_key(docs["text"]))))
+    return tagged.join(spans, ["_strata_h1", "_strata_h2"], "left").drop("_strata_h1", "_strata_h2")
+
+
 def remove_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFrame:
     """``docs`` with a column ``_strata_cut``: struct of kept (the remaining
     bytes), n_removed, n_spans and spans ([start, end, start, end ...]).
@@ -234,29 +242,32 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, **options) -> DataFram
     A NULL text counts as empty. Copies of a text lose the same bytes, the
     first one too. Only ``text`` is looked at; all other columns stay.
     """
-    spans = materialise(repeated_spans(docs, length, **options), "suffix-spans")
-    marks = ["_strata_h1", "_strata_h2"]
-    tagged = docs.withColumns(dict(zip(marks, text_key(docs["text"]))))
-    joined = tagged.join(spans, (tagged[marks[0]] == spans["h1"]) & (tagged[marks[1]] == spans["h2"]), "left")
-    cut = _cut(docs["text"], spans["starts"], spans["ends"]).alias("_strata_cut")
-    return joined.select(*(docs[c] for c in docs.columns), cut)
+    cut = _cut("text", "_strata_starts", "_strata_ends").alias("_strata_cut")
+    return _with_spans(docs, length, **options).select(*(F.col(f"`{c}`") for c in docs.columns), cut)
+
+
+@F.pandas_udf(T.StringType())
+def _cut_text(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series:
+    out = []
+    for text, s, e in zip(texts, starts, ends):
+        if text is not None and s is not None and len(s):
+            raw = text.encode("utf-8", "surrogatepass")
+            s, e = _merge(s, e)
+            text = b"".join(raw[a:b] for a, b in zip([0, *e], [*s, len(raw)])).decode("utf-8", "ignore")
+        out.append(text)
+    return pd.Series(out, dtype=object)
 
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with the repeated strings cut out of ``text``, and ``n_chars``
     set anew where it is a column. A character that loses a byte goes; a NULL
-    text stays NULL."""
-    cut = materialise(remove_repeats(docs), "suffix-cut")
-    kept = F.when(F.col("text").isNotNull(), _decode(F.col("_strata_cut.kept")))
-    out = cut.withColumn("text", kept)
+    text stays NULL. All rows and columns stay."""
+    out = _with_spans(docs, LENGTH).select(
+        *(_cut_text("text", "_strata_starts", "_strata_ends").alias("text") if c == "text" else F.col(f"`{c}`")
+          for c in docs.columns))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
-
-
-@F.pandas_udf(T.StringType())
-def _decode(raw: pd.Series) -> pd.Series:
-    return raw.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+    return out
 
 
 def op7_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
