@@ -3,6 +3,7 @@
     python -m strata batch STORE OUTPUT [--date YYYY-MM-DD] [--format parquet|json] [--store-format ...]
     python -m strata stream (--kafka SERVERS | --envelope DIR) --out DIR --checkpoint DIR
     python -m strata ingest (--kafka SERVERS | --envelope DIR) --store DIR --checkpoint DIR [--bootstrap DIR]
+    python -m strata load --envelope DIR --store DIR --name LOAD [--bootstrap DIR]
     python -m strata incremental --store DIR --daily DIR --days 2024-01-10,2024-01-11
     python -m strata serve --daily DIR --speed DIR --cutoff YYYY-MM-DD --out DIR [--snapshot DIR]
     python -m strata compact --changelog DIR --keys window_start,subreddit --snapshot DIR
@@ -17,13 +18,15 @@ from __future__ import annotations
 import argparse
 import sys
 
+from .operators.ingest import ingest_batch
 from .plans import batch_job, serving
-from .schemas import TOPICS
+from .schemas import ENVELOPE, TOPICS
 from .session import build_session, ensure_utc
+from .sources.bootstrap import ingest_bootstrap
 from .sources.kafka import file_envelope_source, kafka_source
 from .sources.partitioned import read_partitioned
 from .streaming.ingest_stream import start_ingest
-from .streaming.runner import run_to_end, start_speed_views
+from .streaming.runner import run_streaming_job, wait
 from .streaming.sinks import compact, read_latest
 
 
@@ -50,6 +53,9 @@ def _stream_args(p):
 def parser() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="strata")
     ap.add_argument("--master")
+    ap.add_argument("--shuffle-partitions", type=int,
+                    help="width of shuffles; AQE joins small ones, so size it for the largest (streaming state keeps "
+                         "the width of its first start)")
     sub = ap.add_subparsers(dest="cmd", required=True)
 
     b = sub.add_parser("batch", help="load the store, write the three batch views")
@@ -59,19 +65,28 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--format", default="parquet", choices=["parquet", "json"], help="format of the written views")
     b.add_argument("--store-format", default="parquet", choices=["parquet", "json"])
     b.add_argument("--top-k", type=int, help="also write the k best posts per subreddit and day")
-    b.add_argument("--time-fallback", action="store_true",
-                   help="fill a missing timestamp from created_utc (stores written by other tools)")
+    b.add_argument("--serving", help="also write serving tables with keys to this folder")
 
     s = sub.add_parser("stream", help="posts, comments and users views of the speed layer")
     _stream_args(s)
     s.add_argument("--out", required=True)
+    s.add_argument("--panels", action="store_true", help="also active users, throughput and latency")
+    s.add_argument("--console", action="store_true", help="print the comments and users views")
+    s.add_argument("--late", default="report", choices=["report", "raise"],
+                   help="with --available-now: what to do when rows were dropped as late")
 
     i = sub.add_parser("ingest", help="records (and a bootstrap dump) into the hour-partitioned store")
     _stream_args(i)
     i.add_argument("--store", required=True)
     i.add_argument("--bootstrap")
     i.add_argument("--max-future", help="quarantine event times this far past arrival, e.g. '1 day'")
-    i.add_argument("--files-per-hour", type=int, help="backfill: salt each hour over this many writers")
+
+    d = sub.add_parser("load", help="landed envelope files or a bootstrap dump into the store, as one named load")
+    d.add_argument("--envelope")
+    d.add_argument("--bootstrap")
+    d.add_argument("--store", required=True)
+    d.add_argument("--name", help="load of the envelope files; the same name again replaces its rows")
+    d.add_argument("--max-future")
 
     n = sub.add_parser("incremental", help="recompute the daily view for the given days")
     n.add_argument("--store", required=True)
@@ -89,32 +104,40 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--changelog", required=True)
     c.add_argument("--keys", required=True)
     c.add_argument("--snapshot", required=True)
+    c.add_argument("--remove", action="store_true", help="delete folded batches and snapshots before the last")
     return ap
 
 
 def main(argv=None, spark=None) -> int:
     args = parser().parse_args(argv)
-    spark = spark or build_session(master=args.master, app_name=f"strata-{args.cmd}")
+    spark = spark or build_session(master=args.master, app_name=f"strata-{args.cmd}",
+                                   shuffle_partitions=args.shuffle_partitions)
     ensure_utc(spark)
     if args.cmd == "batch":
         summary = batch_job.run_batch_job(spark, args.store, args.output, fmt=args.format, date_filter=args.date,
-                                          time_fallback=args.time_fallback, store_format=args.store_format,
-                                          top_k=args.top_k)
+                                          store_format=args.store_format, top_k=args.top_k,
+                                          serving_path=args.serving)
         for row in summary.collect():  # three rows
             print(f"{row.data_type}: {row.n}")
     elif args.cmd == "stream":
         # the posts view carries the measures the serving merge needs
         per_topic = (lambda entity: _source(spark, args, topics=[TOPICS[entity]])) if args.kafka else _source(spark, args)
-        queries = start_speed_views(per_topic, args.out, args.checkpoint, serving=True,
-                                    available_now=args.available_now, processing_time=args.trigger)
-        _wait(spark, queries, args.available_now)
+        run_streaming_job(spark, per_topic, args.out, args.checkpoint, late=args.late, serving=True,
+                          views=("posts", "comments", "users") + ("panels",) * args.panels, console=args.console,
+                          available_now=args.available_now, processing_time=args.trigger)
     elif args.cmd == "ingest":
-        queries = start_ingest(spark, lambda entity: _source(spark, args, topics=[TOPICS[entity]])
-                               if args.kafka else _source(spark, args),
-                               args.store, args.checkpoint, bootstrap_dir=args.bootstrap,
-                               available_now=args.available_now, max_future=args.max_future,
-                               files_per_hour=args.files_per_hour)
-        _wait(spark, queries, args.available_now)
+        queries = start_ingest(spark, _source(spark, args), args.store, args.checkpoint, bootstrap_dir=args.bootstrap,
+                               available_now=args.available_now, processing_time=args.trigger,
+                               max_future=args.max_future)
+        wait(spark, queries, args.available_now)
+    elif args.cmd == "load":
+        if args.bootstrap:
+            ingest_bootstrap(spark, args.bootstrap, args.store)
+        if args.envelope:
+            if not args.name:
+                raise SystemExit("--envelope needs --name")
+            ingest_batch(spark.read.schema(ENVELOPE).parquet(args.envelope), args.store, max_future=args.max_future,
+                         load=args.name)
     elif args.cmd == "incremental":
         posts = read_partitioned(spark, args.store, "posts")
         serving.write_daily(posts, args.daily, days=args.days.split(","))
@@ -123,24 +146,9 @@ def main(argv=None, spark=None) -> int:
         merged = serving.merge_batch_and_speed(spark.read.parquet(args.daily), minutes, args.cutoff)
         merged.write.mode("overwrite").parquet(args.out)
     elif args.cmd == "compact":
-        compact(spark, args.changelog, args.keys.split(","), args.snapshot)
+        compact(spark, args.changelog, args.keys.split(","), args.snapshot, remove=args.remove)
     return 0
 
 
-def _wait(spark, queries, available_now):
-    if available_now:
-        for q in queries.values():
-            run_to_end(q)
-        return
-    try:
-        spark.streams.awaitAnyTermination()
-    except KeyboardInterrupt:
-        pass
-    finally:
-        for q in queries.values():
-            if q.isActive:
-                q.stop()
-
-
 if __name__ == "__main__":
     sys.exit(main())

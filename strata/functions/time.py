@@ -3,17 +3,23 @@
 from __future__ import annotations
 
 import datetime as _dt
+import functools
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+# A time without a full date would silently become one of the day of the run.
+FULL_DATE = r"^\s*\d{4}-\d{2}-\d{2}([T ]|$)"
+
+
 def row_time(timestamp: str = "timestamp", created_utc: str = "created_utc") -> Column:
     """Per-row event time: ``timestamp``, else ``created_utc``; empty strings
-    count as missing, unparsable text gives NULL instead of failing the job."""
-    raw = F.coalesce(F.nullif(F.col(timestamp), F.lit("")), F.nullif(F.col(created_utc), F.lit("")))
-    return F.try_to_timestamp(raw)
+    count as missing. Text that is no time, or none with a full date, gives
+    NULL instead of failing the job."""
+    raw = raw_time(timestamp, created_utc)
+    return F.when(raw.rlike(FULL_DATE), F.try_to_timestamp(raw))
 
 
 def raw_time(timestamp: str = "timestamp", created_utc: str = "created_utc") -> Column:
@@ -30,13 +36,6 @@ def day_of(ts: str | Column = "timestamp") -> Column:
     return F.to_date(c)
 
 
-def partition_columns(ts: str | Column = "timestamp") -> list[Column]:
-    """year / month / day / hour of the (UTC) event time, as ints."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    return [F.year(c).alias("year"), F.month(c).alias("month"),
-            F.dayofmonth(c).alias("day"), F.hour(c).alias("hour")]
-
-
 def parse_day(date: str | _dt.date) -> _dt.date:
     """Validate a ``YYYY-MM-DD`` filter argument up front (ANSI casts would
     otherwise fail deep inside a job)."""
@@ -54,15 +53,18 @@ def midnight(d: _dt.date, dtype: T.DataType) -> Column:
     return F.lit(f"{d.isoformat()} 00:00:00").cast(dtype)
 
 
-def _day_condition(df: DataFrame, d: _dt.date, ts: str) -> Column:
-    nxt = d + _dt.timedelta(days=1)
+def _range_condition(df: DataFrame, first: _dt.date, last: _dt.date, ts: str) -> Column:
+    """Days ``first`` to ``last``, both included."""
+    after = last + _dt.timedelta(days=1)
     dtype = df.schema[ts].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        cond = (F.col(ts) >= midnight(d, dtype)) & (F.col(ts) < midnight(nxt, dtype))
+        cond = (F.col(ts) >= midnight(first, dtype)) & (F.col(ts) < midnight(after, dtype))
     else:
-        cond = F.to_date(F.col(ts)) == F.lit(d)
+        cond = F.to_date(F.col(ts)).between(F.lit(first), F.lit(last))
     if {"year", "month", "day"} <= set(df.columns):
-        cond = (F.col("year") == d.year) & (F.col("month") == d.month) & (F.col("day") == d.day) & cond
+        number = F.col("year") * 10000 + F.col("month") * 100 + F.col("day")
+        low, high = (d.year * 10000 + d.month * 100 + d.day for d in (first, last))
+        cond = number.between(low, high) & cond
     return cond
 
 
@@ -74,18 +76,22 @@ def on_date(df: DataFrame, date: str | _dt.date, ts: str = "timestamp") -> DataF
     stored ``year/month/day`` partition columns those are constrained too,
     which turns the filter into partition pruning.
     """
-    return df.filter(_day_condition(df, parse_day(date), ts))
+    return on_dates(df, [date], ts)
 
 
 def on_dates(df: DataFrame, dates, ts: str = "timestamp") -> DataFrame:
-    """Rows whose UTC day is any of ``dates`` (one disjunctive filter)."""
-    conds = [_day_condition(df, parse_day(d), ts) for d in dates]
-    if not conds:
+    """Rows whose UTC day is any of ``dates``: one range for each run of
+    consecutive days."""
+    days = sorted({parse_day(d) for d in dates})
+    if not days:
         return df.filter(F.lit(False))
-    cond = conds[0]
-    for c in conds[1:]:
-        cond = cond | c
-    return df.filter(cond)
+    runs: list[list[_dt.date]] = []
+    for d in days:
+        if runs and d - runs[-1][1] == _dt.timedelta(days=1):
+            runs[-1][1] = d
+        else:
+            runs.append([d, d])
+    return df.filter(functools.reduce(Column.__or__, (_range_condition(df, a, b, ts) for a, b in runs)))
 
 
 def as_wall_clock(c: Column) -> Column:

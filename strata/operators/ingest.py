@@ -1,29 +1,38 @@
 """Ingest: wire records → validated rows + quarantine, and the hour-partitioned store.
 
 One parse produces every row with a ``_status``: ``ok``, or the reason it is
-quarantined (``malformed_json``, ``missing_time``, ``bad_time``, and the
-opt-in ``future_time``). Nothing is dropped silently: rows in = stored rows
-+ quarantined rows.
+quarantined (``malformed_json``, ``missing_time``, ``bad_time``,
+``unknown_topic`` and the opt-in ``future_time``). Nothing is dropped
+silently: rows in = stored rows + quarantined rows. A record with fields
+that the schema lacks, or whose value is of another type, is stored with its
+whole text in ``_rescued``.
+
+One load is one write: stored and quarantined rows of all entities go out
+together under ``data_type=/status=/load=/year=/month=/day=/hour=``, and a
+load that runs again replaces its own partitions. Batch, bootstrap and
+stream use the same writer.
 """
 
 from __future__ import annotations
 
+import functools
 import re
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.records import data_type_of, evaluate_once, is_json_object
+from ..functions.records import data_type_of, evaluate_once
 from ..functions.time import raw_time, row_time
-from ..schemas import ENTITY_SCHEMAS, PARTITION_COLUMNS
+from ..schemas import ENTITY_SCHEMAS, LOAD_COLUMNS, PARTITION_COLUMNS, RECORD
 
 # Ingest status of a record: stored when OK, quarantined under the others.
-OK, MALFORMED, MISSING_TIME, BAD_TIME, FUTURE_TIME = (
-    "ok", "malformed_json", "missing_time", "bad_time", "future_time")
+OK, MALFORMED, MISSING_TIME, BAD_TIME, FUTURE_TIME, UNKNOWN_TOPIC = (
+    "ok", "malformed_json", "missing_time", "bad_time", "future_time", "unknown_topic")
+REASONS = (MALFORMED, MISSING_TIME, BAD_TIME, FUTURE_TIME, UNKNOWN_TOPIC)
 
 META = ["_key", "_topic", "_partition", "_offset", "_arrival"]
-CORRUPT = "_corrupt_record"
+RESCUED = "_rescued"
 
 # The fields the status depends on, shared by every entity.
 TIME_FIELDS = T.StructType([T.StructField("created_utc", T.StringType(), True),
@@ -41,19 +50,28 @@ def route(envelope: DataFrame) -> DataFrame:
         F.col("timestamp").alias("_arrival"))
 
 
+def _decoded(base: T.StructType) -> Column:
+    """The text in ``_raw`` decoded as the only element of an array, so that
+    text behind the object is an error instead of being ignored. Numbers are
+    decoded as text: ``parse`` casts them and can tell a value that does not
+    fit from none."""
+    schema = T.ArrayType(T.StructType([T.StructField(f.name, T.StringType()) for f in base.fields]))
+    return F.from_json(F.concat(F.lit("["), F.col("_raw"), F.lit("]")), schema)
+
+
 def parse(texts: DataFrame, entity: str | None, keep: list[str] | None = None,
-          max_future: str | None = None) -> DataFrame:
+          max_future: str | None = None, fields: list[str] | None = None, rescue: bool = False) -> DataFrame:
     """Decode the ``_raw`` JSON text of one entity and classify each row.
 
     Output: the entity fields (``timestamp`` parsed to a timestamp,
     ``created_utc`` kept as text), ``_status`` and ``_raw``, plus ``keep``.
-    A field of the wrong type is NULL while the row is kept (``"7"`` or
-    ``1.5`` for a long); only text that is not a JSON object is malformed.
+    A number that does not fit its field (``1.5`` for a long) is NULL while
+    the row is kept; a number sent as text is read. Text that is not exactly
+    one JSON object is malformed.
 
-    The text is parsed once: the parser's corrupt-record column flags
-    suspicious rows, and only those are checked again for object syntax.
-    ``evaluate_once`` keeps later filters on ``_status`` from being
-    rewritten into fresh parses of the text.
+    The text is parsed once: ``evaluate_once`` keeps what is derived from the
+    parsed record, and later filters on that, from being rewritten into fresh
+    parses of the text.
 
     ``max_future`` (e.g. ``"1 hour"``, off by default): a record whose event
     time is more than that after its arrival (``_arrival``) is quarantined
@@ -61,16 +79,30 @@ def parse(texts: DataFrame, entity: str | None, keep: list[str] | None = None,
     ahead and make live records look late.
 
     ``entity=None`` decodes only the two time fields: enough for the status,
-    which is the same under every entity's schema.
+    which is the same under every entity's schema; ``entity="*"`` decodes the
+    fields of all entities. ``fields`` limits decoding to those named (and
+    the times). With ``rescue`` a row whose text holds more than its columns
+    do has that text in ``_rescued``.
     """
-    base = ENTITY_SCHEMAS[entity] if entity else TIME_FIELDS
-    schema = T.StructType(list(base.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+    base = RECORD if entity == "*" else ENTITY_SCHEMAS[entity] if entity else TIME_FIELDS
+    if fields is not None:
+        base = T.StructType([f for f in base.fields if f.name in fields or f.name in TIME_FIELDS.fieldNames()])
     keep = [c for c in (keep or []) if c in texts.columns]
-    rec = F.from_json(F.col("_raw"), schema, {"columnNameOfCorruptRecord": CORRUPT})
-    d = texts.select(*keep, "_raw", rec.alias("_rec"))
-    fields = [F.col("_rec." + f.name).alias(f.name) for f in base.fields]
-    malformed = F.col("_rec").isNull() | (F.col("_rec." + CORRUPT).isNotNull() & ~is_json_object(F.col("_raw")))
-    d = d.select(*keep, "_raw", malformed.alias("_malformed"), *fields)
+    d = evaluate_once(texts.select(*keep, "_raw", _decoded(base).alias("_found")))
+    whole = (F.size("_found") == 1) & F.col("_raw").rlike(r"\}\s*$")
+    d = d.select(*keep, "_raw", F.when(whole, F.element_at("_found", 1)).alias("_rec"))
+    columns, lost = [], F.lit(False)
+    for f in base.fields:
+        text = F.col("_rec." + f.name)
+        if isinstance(f.dataType, T.LongType):
+            columns.append(text.try_cast("bigint").alias(f.name))
+            lost = lost | (text.isNotNull() & text.try_cast("bigint").isNull())
+        else:
+            columns.append(text.alias(f.name))
+    if rescue:
+        extra = F.size(F.array_except(F.json_object_keys("_raw"), F.lit(base.fieldNames()))) > 0
+        columns.append(F.when(F.col("_rec").isNotNull() & (lost | extra), F.col("_raw")).alias(RESCUED))
+    d = d.select(*keep, "_raw", F.col("_rec").isNull().alias("_malformed"), *columns)
     status = (F.when(F.col("_malformed"), F.lit(MALFORMED))
               .when(raw_time().isNull(), F.lit(MISSING_TIME))
               .when(row_time().isNull(), F.lit(BAD_TIME)))
@@ -80,19 +112,19 @@ def parse(texts: DataFrame, entity: str | None, keep: list[str] | None = None,
         status = status.when(row_time() > F.col("_arrival") + F.expr(f"INTERVAL {max_future}"),
                              F.lit(FUTURE_TIME))
     status = status.otherwise(F.lit(OK))
-    out = d.withColumn("_status", status).withColumn("timestamp", row_time()).drop("_malformed")
-    return evaluate_once(out)
+    return d.withColumn("_status", status).withColumn("timestamp", row_time()).drop("_malformed")
 
 
 def decode_entity(envelope: DataFrame, entity: str, strict_time: bool = False,
-                  max_future: str | None = None) -> DataFrame:
+                  max_future: str | None = None, fields: list[str] | None = None) -> DataFrame:
     """Envelope (batch or stream) → decoded rows of one entity.
 
     Malformed JSON never becomes an all-NULL row; with ``strict_time`` rows
     without a usable time are left out as well (windows ignore them anyway).
+    ``fields`` names what the caller uses: other fields are not decoded.
     """
     routed = route(envelope).filter(F.col("data_type") == entity)
-    parsed = parse(routed, entity, keep=META, max_future=max_future)
+    parsed = parse(routed, entity, keep=META, max_future=max_future, fields=fields)
     ok = (F.col("_status") == OK) if strict_time else F.col("_status").isin(OK, MISSING_TIME, BAD_TIME)
     return parsed.filter(ok).drop("_status", "_raw")
 
@@ -122,13 +154,6 @@ def stored_rows(parsed: DataFrame, entity: str) -> DataFrame:
     return with_partition_columns(parsed.filter(F.col("_status") == OK).select(*fields))
 
 
-def quarantined_rows(parsed: DataFrame, data_type: str | None = None) -> DataFrame:
-    dt = F.col("data_type") if "data_type" in parsed.columns else F.lit(data_type)
-    keep = [c for c in META if c in parsed.columns]
-    return (parsed.filter(F.col("_status") != OK)
-            .select(dt.alias("data_type"), F.col("_status").alias("reason"), F.col("_raw").alias("value"), *keep))
-
-
 def write_partitioned(rows: DataFrame, path: str, fmt: str = "parquet", mode: str = "append",
                       max_records_per_file: int = 1_000_000) -> None:
     """Append rows under ``path/year=/month=/day=/hour=``.
@@ -143,16 +168,50 @@ def write_partitioned(rows: DataFrame, path: str, fmt: str = "parquet", mode: st
      .partitionBy(*PARTITION_COLUMNS).format(fmt).save(path))
 
 
+def load_rows(texts: DataFrame, load: str, entities=("posts", "comments", "users"),
+              max_future: str | None = None) -> DataFrame:
+    """Routed texts → one row per record, as a load is written: the fields of
+    all entities, and for quarantined rows the text and its metadata.
+
+    Records of a known entity that is not among ``entities`` are left out by
+    request; those of no known entity are quarantined.
+    """
+    known = F.col("data_type").isin(list(ENTITY_SCHEMAS))
+    wanted = texts.filter(~F.coalesce(known, F.lit(False)) | F.col("data_type").isin(list(entities)))
+    parsed = parse(wanted, "*", keep=["data_type"] + META, max_future=max_future, rescue=True)
+    status = F.when(F.coalesce(known, F.lit(False)), F.col("_status")).otherwise(F.lit(UNKNOWN_TOPIC))
+    parsed = parsed.withColumn("status", status)
+    ok = F.col("status") == OK
+    # Fields of other entities are extra fields of this one.
+    own = functools.reduce(lambda c, e: c.when(F.col("data_type") == e, F.lit(ENTITY_SCHEMAS[e].fieldNames())),
+                           ENTITY_SCHEMAS, F.when(F.lit(False), F.lit(list(RECORD.fieldNames()))))
+    others = functools.reduce(Column.__or__, (
+        F.col(f.name).isNotNull() & ~F.array_contains(own, f.name) for f in RECORD.fields
+        if not all(f.name in e.fieldNames() for e in ENTITY_SCHEMAS.values())))
+    rows = with_partition_columns(parsed)
+    return rows.select(
+        *(F.when(ok, F.col(f.name)).alias(f.name) for f in RECORD.fields),
+        F.when(ok, F.coalesce(F.col(RESCUED), F.when(others, F.col("_raw")))).alias(RESCUED),
+        F.when(~ok, F.col("_raw")).alias("value"),
+        *(F.when(~ok, F.col(c)).alias(c) for c in META if c in rows.columns),
+        F.coalesce("data_type", F.lit("")).alias("data_type"), "status", F.lit(load).alias("load"),
+        *(F.when(ok, F.col(c)).alias(c) for c in PARTITION_COLUMNS))
+
+
+def write_load(rows: DataFrame, base: str, fmt: str = "parquet", max_records_per_file: int = 1_000_000) -> None:
+    """Write one load's rows: one job, replacing what the same load wrote before.
+
+    The ``rebalance`` hint gives evenly sized tasks: small hours share one, a
+    large hour is split over several."""
+    (rows.hint("rebalance", "data_type", "status", *PARTITION_COLUMNS)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .option("maxRecordsPerFile", max_records_per_file)
+     .partitionBy(*LOAD_COLUMNS, *PARTITION_COLUMNS).format(fmt).save(base))
+
+
 def ingest_batch(envelope: DataFrame, base: str, entities=("posts", "comments", "users"),
-                 fmt: str = "parquet", max_future: str | None = None) -> None:
-    """Batch ingest of the given entities' records into ``base/<entity>/...``
-    and ``base/_quarantine/data_type=/reason=``. Records of other topics
-    are not read (a topic-partitioned landing folder is pruned)."""
-    envelope = envelope.filter(data_type_of(F.col("topic")).isin(list(entities)))
-    routed = route(envelope)
-    for entity in entities:
-        parsed = parse(routed.filter(F.col("data_type") == entity), entity, keep=["data_type"] + META,
-                       max_future=max_future)
-        write_partitioned(stored_rows(parsed, entity), f"{base}/{entity}", fmt=fmt)
-    (quarantined_rows(classify(envelope, max_future)).hint("rebalance", "data_type", "reason")
-     .write.mode("append").partitionBy("data_type", "reason").format(fmt).save(f"{base}/_quarantine"))
+                 max_future: str | None = None, load: str = "batch") -> None:
+    """Batch ingest of the given entities' records into the store, as load
+    ``load``. The same load again replaces its rows; another name adds.
+    A topic-partitioned landing folder is pruned to the topics read."""
+    write_load(load_rows(route(envelope), load, entities, max_future), base)

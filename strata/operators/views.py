@@ -10,13 +10,11 @@ already parsed into a timestamp (``timestamp`` or ``timestamp_ntz``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.time import as_wall_clock, day_of, on_date
 
-POST_MEASURES = ["num_posts", "post_score", "num_comments", "comment_score"]
-
 
 # --- V1 ---------------------------------------------------------------------------------------
 
@@ -39,7 +37,8 @@ def top_posts(posts: DataFrame, date_filter=None) -> DataFrame:
 
 
 def top_k_posts(posts: DataFrame, k: int = 3, date_filter=None) -> DataFrame:
-    """The k best posts per (subreddit, day); ties go to the lower post_id.
+    """The k best posts per (subreddit, day); ties go to the lower post_id,
+    then user_id and title (ids are reused), so the order is total.
 
     Written as ``row_number() <= k`` so the planner inserts a partial
     ``WindowGroupLimit`` before the shuffle: a (subreddit, day) holding a
@@ -47,7 +46,7 @@ def top_k_posts(posts: DataFrame, k: int = 3, date_filter=None) -> DataFrame:
     """
     if k < 1:
         raise ValueError("k must be >= 1")
-    w = Window.partitionBy("subreddit", "date").orderBy(F.col("total_score").desc(), F.col("post_id"))
+    w = Window.partitionBy("subreddit", "date").orderBy(F.col("total_score").desc(), "post_id", "user_id", "title")
     return (post_totals(posts, date_filter)
             .withColumn("rank", F.row_number().over(w))
             .filter(F.col("rank") <= k))
@@ -55,32 +54,63 @@ def top_k_posts(posts: DataFrame, k: int = 3, date_filter=None) -> DataFrame:
 
 # --- V2 ---------------------------------------------------------------------------------------
 
-def user_activity_unordered(posts: DataFrame, comments: DataFrame) -> DataFrame:
-    """Aggregate each side per user first, then full-outer join the two
-    per-user tables: both are already hash-partitioned on ``user_id`` by
-    their aggregation, so the join adds no exchange. NULL users do not
-    match each other and come out as two rows."""
-    p = posts.groupBy("user_id").agg(F.count("post_id").alias("num_posts"),
-                                     F.sum("score").alias("post_score"))
-    c = comments.groupBy("user_id").agg(F.count("comment_id").alias("num_comments"),
-                                        F.sum("score").alias("comment_score"))
-    return (p.join(c, "user_id", "full_outer")
-            .fillna(0, subset=POST_MEASURES)
+def scored_activity(posts: DataFrame, comments: DataFrame) -> DataFrame:
+    """Posts and comments as one (data_type, user_id, id, score) table."""
+    return (posts.select(F.lit("posts").alias("data_type"), "user_id", F.col("post_id").alias("id"), "score")
+            .unionByName(comments.select(F.lit("comments").alias("data_type"), "user_id",
+                                         F.col("comment_id").alias("id"), "score")))
+
+
+def user_totals(records: DataFrame) -> DataFrame:
+    """Activity per user from (data_type, user_id, id, score) records: one
+    aggregation with one exchange. A user seen on one side only has zeros on
+    the other. Records without a user are not one user's: they come out as
+    one row a side, told apart by ``side`` (NULL for every real user)."""
+    def measure(kind: str, number: Column) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("data_type") == kind, number)), F.lit(0))
+    counted = F.col("id").isNotNull().cast("bigint")
+    return (records.withColumn("side", F.when(F.col("user_id").isNull(), F.col("data_type")))
+            .groupBy("user_id", "side").agg(
+                measure("posts", counted).alias("num_posts"), measure("posts", F.col("score")).alias("post_score"),
+                measure("comments", counted).alias("num_comments"),
+                measure("comments", F.col("score")).alias("comment_score"))
             .withColumn("total_activity", F.col("num_posts") + F.col("num_comments"))
             .withColumn("total_score", F.col("post_score") + F.col("comment_score")))
 
 
+def user_activity_unordered(posts: DataFrame, comments: DataFrame) -> DataFrame:
+    return user_totals(scored_activity(posts, comments))
+
+
+def order_activity(totals: DataFrame) -> DataFrame:
+    """Most active first. Equally active users are ordered by id, so the sort
+    deals them over its tasks instead of putting all ties into one."""
+    return totals.orderBy(F.col("total_activity").desc(), F.col("user_id").asc_nulls_last(), "side").drop("side")
+
+
 def user_activity(posts: DataFrame, comments: DataFrame) -> DataFrame:
-    return user_activity_unordered(posts, comments).orderBy(F.col("total_activity").desc())
+    return order_activity(user_activity_unordered(posts, comments))
+
+
+def user_days(posts: DataFrame, comments: DataFrame) -> DataFrame:
+    """Posts and comments per user and day: a full outer join of the two
+    sides' daily counts, zeros where a user has only one of them that day."""
+    def side(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy("user_id", day_of("timestamp").alias("date")).agg(
+            F.count(F.lit(1)).alias(f"num_{name}"), F.sum("score").alias(f"{name}_score"))
+    both = side(posts, "posts").join(side(comments, "comments"), ["user_id", "date"], "full_outer")
+    return both.fillna(0, subset=["num_posts", "posts_score", "num_comments", "comments_score"])
 
 
 def top_contributors(posts: DataFrame, comments: DataFrame, k: int = 10) -> DataFrame:
     """Global top-k users by activity, user_id breaking ties (a
     ``TakeOrderedAndProject``: k rows per task reach the driver)."""
-    return (user_activity_unordered(posts, comments)
-            .orderBy(F.col("total_activity").desc(), F.col("user_id").asc_nulls_last())
-            .limit(k)
-            .select("user_id", "num_posts", "num_comments", "total_activity", "total_score"))
+    return best_contributors(user_activity_unordered(posts, comments), k)
+
+
+def best_contributors(totals: DataFrame, k: int = 10) -> DataFrame:
+    return order_activity(totals).limit(k).select(
+        "user_id", "num_posts", "num_comments", "total_activity", "total_score")
 
 
 # --- V3 ---------------------------------------------------------------------------------------

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import views
 from ..sources.partitioned import read_partitioned
-
-VIEW_NAMES = ("top_posts", "user_activity", "subreddit_activity")
+from .serving import load_serving
 
 
 def compute_views(posts: DataFrame, comments: DataFrame, date_filter=None,
@@ -25,30 +24,36 @@ def compute_views(posts: DataFrame, comments: DataFrame, date_filter=None,
     return out
 
 
-def write_views(computed: dict[str, DataFrame], output: str, fmt: str = "parquet") -> None:
-    """Replace each view (``subreddit_activity`` and ``top_posts`` by day
-    partition, so a later incremental run can overwrite single days)."""
+def write_views(computed: dict[str, DataFrame], output: str, fmt: str = "parquet",
+                one_day: bool = False) -> None:
+    """Replace each view. Views with a day are partitioned by it; when they
+    were computed for one day only (``one_day``) the other days stay."""
     for name, df in computed.items():
         if "date" in df.columns:
             # one task per day (split if large) instead of every task writing every day
             w = df.hint("rebalance", "date").write.partitionBy("date")
         else:
             w = df.write
-        w.mode("overwrite").format(fmt).save(f"{output.rstrip('/')}/{name}")
+        mode = "dynamic" if one_day and "date" in df.columns else "static"
+        w.mode("overwrite").option("partitionOverwriteMode", mode).format(fmt).save(f"{output.rstrip('/')}/{name}")
 
 
 def run_batch_job(spark: SparkSession, store: str, output: str, fmt: str = "parquet",
-                  date_filter=None, time_fallback: bool = False, store_format: str = "parquet",
-                  top_k: int | None = None) -> DataFrame:
-    """Load posts, comments and users from the store, write the views and
+                  date_filter=None, store_format: str = "parquet", top_k: int | None = None,
+                  serving_path: str | None = None) -> DataFrame:
+    """Load posts, comments and users from the store, write the views (and
+    with ``serving_path`` their serving tables with keys) and
     return the load summary (one job for all three counts).
 
     Nothing is cached: each view reads only the Parquet columns it needs
     (users only for their count), which at scale is cheaper than holding
     a full copy of the posts table in executor memory or local disk."""
-    posts = read_partitioned(spark, store, "posts", store_format, time_fallback)
-    comments = read_partitioned(spark, store, "comments", store_format, time_fallback)
-    users = read_partitioned(spark, store, "users", store_format, time_fallback)
+    posts = read_partitioned(spark, store, "posts", store_format)
+    comments = read_partitioned(spark, store, "comments", store_format)
+    users = read_partitioned(spark, store, "users", store_format)
     summary = views.load_summary(posts, comments, users)
-    write_views(compute_views(posts, comments, date_filter, top_k), output, fmt)
+    computed = compute_views(posts, comments, date_filter, top_k)
+    write_views(computed, output, fmt, one_day=date_filter is not None)
+    if serving_path is not None:
+        load_serving(computed, serving_path, one_day=date_filter is not None)
     return summary

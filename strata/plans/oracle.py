@@ -38,9 +38,14 @@ ppm AS (
          subreddit, count(post_id) AS num_posts, CAST(sum(score) AS BIGINT) AS total_score
   FROM posts GROUP BY ALL),
 fault AS (
-  SELECT event_id, CASE WHEN event_id % 97 = 0 THEN 'malformed_json' WHEN event_id % 89 = 0 THEN 'missing_time'
-                        WHEN event_id % 83 = 0 THEN 'bad_time' ELSE 'ok' END AS status
-  FROM events WHERE event_type IN ('view', 'purchase', 'signup', 'click', 'error'))
+  SELECT event_id, event_type, CASE WHEN event_id % 61 = 0 THEN 'unknown_topic'
+                        WHEN event_id % 97 = 0 THEN 'malformed_json' WHEN event_id % 89 = 0 THEN 'missing_time'
+                        WHEN event_id % 83 = 0 THEN 'bad_time' WHEN event_id % 79 = 0 THEN 'malformed_json'
+                        WHEN event_id % 73 = 0 THEN 'bad_time' ELSE 'ok' END AS status
+  FROM events WHERE event_type IN ('view', 'purchase', 'signup', 'click', 'error')),
+fault_counts AS (
+  SELECT status, count(*) AS n FROM fault GROUP BY 1
+  UNION ALL SELECT 'rescued', count(*) FROM fault WHERE status = 'ok' AND (event_id % 71 = 0 OR event_id % 67 = 0))
 """
 
 BODIES = {
@@ -50,10 +55,18 @@ BODIES = {
     "top_k_posts": """
         SELECT * FROM (
           SELECT *, CAST(row_number() OVER (PARTITION BY subreddit, date
-                                            ORDER BY total_score DESC, post_id) AS INT) AS rank
+                                            ORDER BY total_score DESC, post_id, user_id, title) AS INT) AS rank
           FROM post_totals) WHERE rank <= 3""",
     "user_activity": """
         SELECT *, num_posts + num_comments AS total_activity, post_score + comment_score AS total_score FROM ua""",
+    "user_activity_daily_join": """
+        SELECT user_id, date, coalesce(num_posts, 0) AS num_posts, coalesce(posts_score, 0) AS posts_score,
+               coalesce(num_comments, 0) AS num_comments, coalesce(comments_score, 0) AS comments_score
+        FROM (SELECT user_id, CAST(ts AS DATE) AS date, count(*) AS num_posts, CAST(sum(score) AS BIGINT) AS posts_score
+              FROM posts GROUP BY 1, 2) p
+        FULL JOIN (SELECT user_id, CAST(ts AS DATE) AS date, count(*) AS num_comments,
+                          CAST(sum(score) AS BIGINT) AS comments_score
+              FROM comments GROUP BY 1, 2) c USING (user_id, date)""",
     "top_contributors": """
         SELECT user_id, num_posts, num_comments, num_posts + num_comments AS total_activity,
                post_score + comment_score AS total_score
@@ -95,16 +108,27 @@ BODIES = {
     "bootstrap_load_posts": """
         SELECT CAST(post_id AS VARCHAR) AS post_id, CAST(user_id AS VARCHAR) AS user_id, subreddit, score,
                ts AS timestamp FROM posts""",
-    "ingest_quarantine": "SELECT status, count(*) AS n FROM fault GROUP BY 1",
-    "stream_ingest_quarantine": "SELECT status, count(*) AS n FROM fault GROUP BY 1",
+    "ingest_quarantine": "SELECT * FROM fault_counts",
+    "stream_ingest_quarantine": "SELECT * FROM fault_counts",
+    "ingest_bootstrap_and_live": """
+        SELECT CASE WHEN event_type IN ('click', 'error') THEN 'comments' ELSE 'posts' END AS data_type,
+               CAST(event_id AS VARCHAR) AS id, ts AS timestamp
+        FROM events WHERE event_type IN ('view', 'purchase', 'signup', 'click', 'error')
+        UNION ALL SELECT 'users', CAST(c_custkey AS VARCHAR),
+               TIMESTAMP '2024-01-01 00:00:00' + to_minutes(CAST(c_custkey AS BIGINT)) FROM customer""",
     "reconcile_missing": """
-        SELECT CAST(event_id AS VARCHAR) AS id, CAST(1 AS BIGINT) AS produced, CAST(0 AS BIGINT) AS landed,
-               'missing' AS status FROM fault WHERE status <> 'ok'""",
+        SELECT *, CASE WHEN landed = 0 THEN 'missing' WHEN produced = 0 THEN 'unexpected'
+                       WHEN landed > produced THEN 'duplicated' ELSE 'short' END AS status
+        FROM (SELECT CAST(event_id AS VARCHAR) AS id,
+                     CAST(CASE WHEN event_id % 59 = 0 THEN 0 WHEN event_id % 43 = 0 THEN 2 ELSE 1 END AS BIGINT) AS produced,
+                     CAST(CASE WHEN status <> 'ok' THEN 0 WHEN event_id % 47 = 0 THEN 2 ELSE 1 END AS BIGINT) AS landed
+              FROM fault) WHERE produced <> landed""",
     "latency_stats": """
         SELECT CASE WHEN event_type IN ('click', 'error') THEN 'comments' ELSE 'posts' END AS data_type,
                count(*) AS n, avg(event_id % 2000) AS avg_ms, CAST(max(event_id % 2000) AS DOUBLE) AS max_ms
         FROM events WHERE event_type IN ('view', 'purchase', 'signup', 'click', 'error') GROUP BY 1""",
     "posts_per_minute": "SELECT * FROM ppm",
+    "posts_per_minute_batches": "SELECT * FROM ppm",
     "comments_per_minute": """
         SELECT date_trunc('minute', ts) AS window_start, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end,
                CAST(post_id AS VARCHAR) AS post_id, count(comment_id) AS num_comments FROM comments GROUP BY ALL""",
@@ -116,11 +140,16 @@ BODIES = {
                num_comments, ts AS timestamp FROM posts""",
     "dedup_events": """
         SELECT event_id, ts FROM events WHERE event_type IN ('view', 'purchase', 'signup', 'click', 'error')""",
+    "dedup_events_batches": """
+        SELECT event_id, ts FROM events WHERE event_type IN ('view', 'purchase', 'signup', 'click', 'error')""",
     "latest_window": """
         SELECT subreddit, max(window_start) AS window_start, arg_max(num_posts, window_start) AS num_posts,
                arg_max(total_score, window_start) AS total_score FROM ppm GROUP BY 1""",
     "incremental_subreddit_activity": "SELECT * FROM daily",
     "serving_merge": "SELECT * FROM daily",
+    "serving_top_posts": """
+        SELECT concat_ws('|', subreddit, CAST(date AS VARCHAR), CAST(post_id AS VARCHAR), title, CAST(user_id AS VARCHAR)) AS key,
+               post_id, total_score, total_comments FROM post_totals""",
 }
 
 ORACLE_SQL = {name: PRELUDE + body for name, body in BODIES.items()}

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from ..functions.time import midnight, on_dates, parse_day
 from ..operators import views
+from ..session import remove_path
 
 MEASURES = ["num_posts", "total_score", "total_comments", "scored"]
 
 # Key columns of each serving table.
 SERVING_KEYS = {
-    "top_posts": ["subreddit", "date", "post_id"],
+    "top_posts": ["subreddit", "date", "post_id", "title", "user_id"],
     "top_k_posts": ["subreddit", "date", "rank"],
-    "user_activity": ["user_id"],
+    "user_activity": ["user_id", "side"],
     "subreddit_activity": ["subreddit", "date"],
     "posts_per_minute": ["window_start", "subreddit"],
     "comments_per_minute": ["window_start", "post_id"],
@@ -22,17 +23,20 @@ SERVING_KEYS = {
 
 
 def with_serving_key(df: DataFrame, keys: list[str]) -> DataFrame:
-    """Add ``key``: the key columns joined as text, usable as a document id.
-    A NULL part is spelled ``null``; the two NULL-user rows of
-    ``user_activity`` therefore share one key and would overwrite each
-    other in an index that upserts by id."""
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("null")) for k in keys]
-    return df.withColumn("key", F.concat_ws("|", *parts))
+    """Add ``key``: the key columns joined by ``|``, usable as a document id.
 
+    Different keys give different texts: ``\\`` and ``|`` inside a value are
+    escaped with ``\\``, and a NULL is spelled ``\\N``, which no value is."""
+    def part(k: str):
+        text = F.col(k).cast("string")
+        return F.coalesce(F.replace(F.replace(text, F.lit("\\"), F.lit("\\\\")), F.lit("|"), F.lit("\\|")), F.lit("\\N"))
+    return df.withColumn("key", F.concat_ws("|", *(part(k) for k in keys if k in df.columns)))
 
-def load_serving(views_by_name: dict[str, DataFrame], path: str) -> None:
+
+def load_serving(views_by_name: dict[str, DataFrame], path: str, one_day: bool = False) -> None:
     """Write views as serving tables with a ``key`` column; tables with a
-    ``date`` are partitioned by it so a refresh can replace days. Minute
+    ``date`` are partitioned by it, and ``one_day`` replaces only the days at
+    hand. Minute
     tables expose ``window_start`` as their ``event_time``, the time field
     a dashboard reads."""
     for name, df in views_by_name.items():
@@ -43,21 +47,32 @@ def load_serving(views_by_name: dict[str, DataFrame], path: str) -> None:
             w = out.hint("rebalance", "date").write.partitionBy("date")
         else:
             w = out.write
-        w.mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(f"{path.rstrip('/')}/{name}")
+        mode = "dynamic" if one_day and "date" in out.columns else "static"
+        w.mode("overwrite").option("partitionOverwriteMode", mode).parquet(f"{path.rstrip('/')}/{name}")
 
 
 def write_daily(posts: DataFrame, path: str, days=None) -> None:
     """Write the additive daily measures partitioned by ``date``.
 
-    With ``days`` only those day partitions are recomputed and replaced
-    (dynamic partition overwrite): the hourly job touches the days that
-    received data and leaves every other day as it is. Rerunning it is
+    With ``days`` exactly those day partitions are replaced: the hourly job
+    touches the days that received data and leaves every other day as it is.
+    A day without any rows left loses its partition. Rerunning it is
     idempotent.
     """
+    path = path.rstrip("/")
+    if days is not None:
+        days = [parse_day(d) for d in days]
+        posts = on_dates(posts, days)
+    measures = views.daily_measures(posts)
+    if days is not None:  # a few rows for each day and community
+        measures = measures.where(F.col("date").isin(days))
+    (measures.hint("rebalance", "date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic" if days is not None else "static").partitionBy("date").parquet(path))
     if days is not None:
-        posts = on_dates(posts, [parse_day(d) for d in days])
-    (views.daily_measures(posts).hint("rebalance", "date").write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(path))
+        spark = posts.sparkSession
+        held = {r["date"] for r in posts.select(F.to_date("timestamp").alias("date")).distinct().collect()}
+        for d in set(days) - held:  # only of the days asked for
+            remove_path(spark, f"{path}/date={d.isoformat()}")
 
 
 def read_daily(spark: SparkSession, path: str) -> DataFrame:

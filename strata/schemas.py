@@ -24,11 +24,16 @@ USER = _struct(("user_id", S), ("username", S), ("karma", L), ("created_utc", S)
 
 ENTITY_SCHEMAS = {"posts": POST, "comments": COMMENT, "users": USER}
 
+# The fields of all entities: how a load of several entities is written.
+RECORD = _struct(("post_id", S), ("comment_id", S), ("user_id", S), ("username", S), ("subreddit", S), ("title", S),
+                 ("content", S), ("score", L), ("num_comments", L), ("karma", L), ("created_utc", S), ("timestamp", S))
+
 # Primary id of each entity.
 ENTITY_IDS = {"posts": "post_id", "comments": "comment_id", "users": "user_id"}
 
 # The topic of each record stream (the entity is the last
 # dotted part of the name).
+TOPIC_PREFIX = "reddit."
 TOPICS = {"posts": "reddit.posts", "comments": "reddit.comments", "users": "reddit.users"}
 
 # Columns of Spark's Kafka source; the file-stream test double has the same.
@@ -43,3 +48,6 @@ ENVELOPE = T.StructType([
 ])
 
 PARTITION_COLUMNS = ["year", "month", "day", "hour"]
+
+# Partition folders above the hours: what a load wrote of each entity, stored or not.
+LOAD_COLUMNS = ["data_type", "status", "load"]

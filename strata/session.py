@@ -7,6 +7,7 @@ assume ``spark.sql.session.timeZone=UTC``.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -17,9 +18,6 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Small shuffles (a few MB) still spread over all cores; large ones are
-    # sized by the 64 MB advisory partition size as usual.
-    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     # Streaming state is a RocksDB store: it spills to disk instead of
@@ -73,7 +71,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         root = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
         master = sc.master if sc is not None else (spark.conf.get("spark.master", None) or "")
-        if not master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", master):  # one process; local-cluster is not
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
         if sc is not None:
@@ -86,3 +84,21 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never-reused folder under the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/strata/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder exists, in whatever store the path names."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly in ``path``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()) if fs.exists(p) else []

@@ -44,13 +44,8 @@ def file_envelope_source(spark: SparkSession, path: str, max_files_per_trigger:
     return reader.parquet(path)
 
 
-def write_envelope(envelope: DataFrame, path: str, mode: str = "append", partitions: int | None = None) -> None:
-    """Land an envelope DataFrame where ``file_envelope_source`` reads it.
-
-    One folder per topic (``topic=...``), so a reader of one entity prunes
-    the others' files, and files grouped by the envelope's own
-    ``partition`` column the way a broker keeps one log per topic
-    partition (so readers get that many splits)."""
-    if partitions:
-        envelope = envelope.repartition(partitions, "partition")
-    envelope.write.mode(mode).partitionBy("topic").parquet(path)
+def write_envelope(envelope: DataFrame, path: str, mode: str = "append") -> None:
+    """Land an envelope DataFrame where ``file_envelope_source`` reads it:
+    one folder per topic (``topic=...``), so a reader of one entity prunes
+    the others' files."""
+    envelope.hint("rebalance", "topic").write.mode(mode).partitionBy("topic").parquet(path)

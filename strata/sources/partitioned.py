@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.ingest import MALFORMED, REASONS, RESCUED, parse
 from ..schemas import ENTITY_SCHEMAS, PARTITION_COLUMNS
+from ..session import path_exists, subfolders
 
 
 def stored_schema(entity: str) -> T.StructType:
@@ -19,23 +21,41 @@ def stored_schema(entity: str) -> T.StructType:
 
 
 def read_partitioned(spark: SparkSession, base: str, entity: str, fmt: str = "parquet",
-                     time_fallback: bool = False) -> DataFrame:
-    """Read one entity of the store from its base directory.
+                     rescued: bool = False) -> DataFrame:
+    """Read one entity of the store.
 
-    Reading the directory (not a glob of files) keeps partition discovery:
-    ``year, month, day, hour`` come back as ints and predicates on them
-    prune directories. The schema is fixed, so there is no inference scan.
+    The loads' folders are read (``data_type=<entity>/status=ok``) and, if
+    there are none, a plain table ``<base>/<entity>``. Reading directories
+    (not a glob of files) keeps partition discovery: ``year, month, day,
+    hour`` come back as ints and predicates on them prune directories. The
+    schema is fixed, so there is no inference scan. An entity that the store
+    does not hold is empty; a store that does not exist is an error.
 
-    ``time_fallback`` fills a missing ``timestamp`` from ``created_utc`` per
-    row, for stores written by other tools. It is off by default: as an
-    expression, ``timestamp`` no longer takes pushed-down filters.
+    JSON tables of other tools are read as text and go through the same
+    parse as ingest: lines that are no record are left out, and a missing
+    ``timestamp`` falls back to ``created_utc``.
+
+    ``rescued`` adds ``_rescued``, the text of records that hold more than
+    their columns do.
     """
-    path = f"{base.rstrip('/')}/{entity}"
-    df = spark.read.schema(stored_schema(entity)).option("basePath", path).format(fmt).load(path)
-    if time_fallback:
-        created = F.try_to_timestamp(F.nullif(F.col("created_utc"), F.lit("")))
-        df = df.withColumn("timestamp", F.coalesce(F.col("timestamp"), created))
-    return df
+    base = base.rstrip("/")
+    schema = stored_schema(entity)
+    columns = schema.fieldNames()
+    loads, plain = f"{base}/data_type={entity}/status=ok", f"{base}/{entity}"
+    if fmt == "json":
+        parts = T.StructType([T.StructField("value", T.StringType()), *schema.fields[-len(PARTITION_COLUMNS):]])
+        lines = spark.read.schema(parts).option("basePath", plain).text(plain)
+        parsed = parse(lines.withColumnRenamed("value", "_raw"), entity, keep=PARTITION_COLUMNS)
+        return parsed.filter(F.col("_status") != MALFORMED).select(*columns)
+    if path_exists(spark, loads):
+        schema = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType(), True)])
+        rows = spark.read.schema(schema).option("basePath", loads).parquet(loads)
+        return rows.select(*columns, *([RESCUED] if rescued else []))
+    if path_exists(spark, plain):
+        return spark.read.schema(schema).option("basePath", plain).format(fmt).load(plain)
+    if not path_exists(spark, base):
+        raise FileNotFoundError(f"no store at {base}")
+    return spark.createDataFrame([], schema)
 
 
 QUARANTINE = T.StructType([
@@ -46,13 +66,17 @@ QUARANTINE = T.StructType([
     T.StructField("_offset", T.LongType(), True),
     T.StructField("_arrival", T.TimestampType(), True),
     T.StructField("data_type", T.StringType(), True),
-    T.StructField("reason", T.StringType(), True),
+    T.StructField("status", T.StringType(), True),
 ])
 
 
-def read_quarantine(spark: SparkSession, base: str, fmt: str = "parquet") -> DataFrame:
-    """Rejected records with their reason (``data_type`` and ``reason`` are
-    the partition folders). Fixed schema, so an empty quarantine reads as
-    an empty table."""
-    path = f"{base.rstrip('/')}/_quarantine"
-    return spark.read.schema(QUARANTINE).option("basePath", path).format(fmt).load(path)
+def read_quarantine(spark: SparkSession, base: str) -> DataFrame:
+    """Rejected records with their reason, of all loads. Only quarantine
+    folders are listed; a store without any reads as an empty table."""
+    base = base.rstrip("/")
+    columns = [F.col(c) for c in QUARANTINE.fieldNames()[:-1]] + [F.col("status").alias("reason")]
+    folders = [f"{base}/{t}/status={r}" for t in subfolders(spark, base) if t.startswith("data_type=") for r in REASONS
+               if path_exists(spark, f"{base}/{t}/status={r}")]
+    if not folders:
+        return spark.createDataFrame([], QUARANTINE).select(*columns)
+    return spark.read.schema(QUARANTINE).option("basePath", base).parquet(*folders).select(*columns)

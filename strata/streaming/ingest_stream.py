@@ -1,72 +1,47 @@
 """Streaming ingest into the hour-partitioned store.
 
-One query per entity appends validated rows to ``base/<entity>`` through
-Spark's file sink (exactly-once: its log lists the files of committed
-batches only, so a batch retried after a lost executor never doubles rows),
-and one more query appends every rejected row to ``base/_quarantine``.
-
-The bootstrap dump joins the same queries as a second, file-stream input
-(one JSON-lines folder per entity): it is read exactly once, tracked by the
-same checkpoint, and lands in the same table as the live records.
-
-Unlike the batch write, rows are not redistributed by hour by default: in a
-live micro-batch nearly every row belongs to the current hour, so that would
-put the whole batch on one task. Each input task writes its own file per
-hour instead; the trigger interval sets the file size. For a backfill that
-replays many hours through the stream, ``files_per_hour`` redistributes
-rows by (hour, id hash mod n): at most n files per hour, and a hot hour
-still spread over n tasks.
+One query reads all topics once, parses each record once and writes stored
+and quarantined rows together: micro-batch ``n`` is load
+``<checkpoint id>-<n>``, which a replay after a failure replaces. Batch and
+bootstrap loads use the same writer, so they share the store; no file-sink
+log decides what readers see.
+
+The bootstrap dump is a batch load of its own, written before the stream
+starts; running it again replaces it.
 """
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.ingest import META, OK, PARTITION_COLUMNS, parse, route, stored_rows
-from ..schemas import ENTITY_IDS
-
-
-def _bootstrap_texts(spark: SparkSession, directory: str, entity: str) -> DataFrame:
-    """Lines of ``<dir>/<entity>.json/`` as a stream in the routed layout."""
-    lines = spark.readStream.format("text").load(f"{directory.rstrip('/')}/{entity}.json")
-    return lines.select(F.lit(entity).alias("data_type"), F.col("value").alias("_raw"),
-                        *[F.lit(None).cast(t).alias(c) for c, t in
-                          zip(META, ["string", "string", "int", "bigint", "timestamp"])])
+from ..operators.ingest import load_rows, route, write_load
+from ..sources.bootstrap import ingest_bootstrap
+from .sinks import checkpoint_id
 
 
 def start_ingest(spark: SparkSession, envelope, base: str, checkpoint_base: str,
                  entities=("posts", "comments", "users"), bootstrap_dir: str | None = None,
-                 available_now: bool = False, fmt: str = "parquet",
-                 max_future: str | None = None, files_per_hour: int | None = None) -> dict[str, StreamingQuery]:
+                 available_now: bool = False, processing_time: str | None = None,
+                 max_future: str | None = None) -> dict[str, StreamingQuery]:
     """``envelope`` is one stream over all topics, or a function
-    ``entity -> stream`` (e.g. a Kafka source subscribed to that entity's
-    topic only, so no query reads records it discards)."""
-    source = envelope if callable(envelope) else (lambda _entity: envelope)
-    queries = {}
-    rejected = None
-    for entity in entities:
-        texts = route(source(entity)).filter(F.col("data_type") == entity)
-        if bootstrap_dir is not None:
-            texts = texts.unionByName(_bootstrap_texts(spark, bootstrap_dir, entity))
-        parsed = parse(texts, entity, keep=["data_type"] + META, max_future=max_future)
-        bad = (parsed.filter(F.col("_status") != OK)
-               .select("data_type", F.col("_status").alias("reason"), F.col("_raw").alias("value"), *META))
-        rejected = bad if rejected is None else rejected.unionByName(bad)
-        rows = stored_rows(parsed, entity)
-        if files_per_hour:
-            salt = F.pmod(F.xxhash64(F.col(ENTITY_IDS[entity])), F.lit(files_per_hour))
-            rows = rows.repartition(*[F.col(c) for c in PARTITION_COLUMNS], salt)
-        w = (rows.writeStream.format(fmt).outputMode("append")
-             .partitionBy(*PARTITION_COLUMNS)
-             .option("path", f"{base}/{entity}").option("checkpointLocation", f"{checkpoint_base}/{entity}"))
-        if available_now:
-            w = w.trigger(availableNow=True)
-        queries[entity] = w.start()
-    w = (rejected.writeStream.format(fmt).outputMode("append").partitionBy("data_type", "reason")
-         .option("path", f"{base}/_quarantine").option("checkpointLocation", f"{checkpoint_base}/_quarantine"))
+    ``entity -> stream``, whose streams are then read by the one query."""
+    if bootstrap_dir is not None:
+        ingest_bootstrap(spark, bootstrap_dir, base, entities)
+    source = envelope
+    if callable(envelope):
+        source = functools.reduce(DataFrame.unionByName, [envelope(e) for e in entities])
+    checkpoint = f"{checkpoint_base}/ingest"
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        load = f"{checkpoint_id(batch.sparkSession, checkpoint)}-{batch_id}"
+        write_load(load_rows(batch, load, entities, max_future), base)
+
+    w = route(source).writeStream.option("checkpointLocation", checkpoint).foreachBatch(store)
     if available_now:
         w = w.trigger(availableNow=True)
-    queries["_quarantine"] = w.start()
-    return queries
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return {"ingest": w.start()}

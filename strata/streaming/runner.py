@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
@@ -9,6 +11,8 @@ from ..operators.ingest import decode_entity
 from . import speed
 from .sinks import ChangelogSink
 
+log = logging.getLogger(__name__)
+
 
 def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append", foreach_batch=None,
           path: str | None = None, fmt: str = "parquet", available_now: bool = False,
@@ -29,47 +33,87 @@ def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append", foreac
     return w.format(fmt).option("path", path).start()
 
 
-def run_to_end(q: StreamingQuery) -> StreamingQuery:
+def dropped_rows(q: StreamingQuery) -> int:
+    """Rows that stateful operators left out as later than the watermark
+    allows, over the reported micro-batches. Windowed aggregates count rows
+    after partial aggregation, so this tells that rows were lost, not how many
+    records."""
+    return sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p["stateOperators"])
+
+
+def run_to_end(q: StreamingQuery, late: str = "report") -> StreamingQuery:
+    """Wait for a query's end; its failure is raised. Rows dropped as late
+    are logged, or with ``late="raise"`` an error."""
     q.awaitTermination()
     err = q.exception()
     if err is not None:
         raise RuntimeError(f"streaming query failed: {err}")
+    dropped = dropped_rows(q)
+    if dropped:
+        said = f"{dropped} rows were later than the watermark allows and are not in the result"
+        if late == "raise":
+            raise RuntimeError(said)
+        log.warning(said)
     return q
 
 
+#: The fields that each speed view reads.
+VIEW_FIELDS = {
+    "posts": ["post_id", "subreddit", "score", "num_comments"],
+    "comments": ["comment_id", "post_id"],
+    "users": ["user_id", "username", "karma"],
+    "panels": ["user_id"],
+}
+
+
 def start_speed_views(envelope, out_base: str, checkpoint_base: str, *,
                       views=("posts", "comments", "users"), available_now: bool = False,
-                      processing_time: str | None = None, serving: bool = False) -> dict[str, StreamingQuery]:
-    """Start the posts, comments and users views of the speed layer.
+                      processing_time: str | None = None, serving: bool = False,
+                      console: bool = False) -> dict[str, StreamingQuery]:
+    """Start the posts, comments and users views of the speed layer, and with
+    the view ``panels`` active users, throughput and latency of the posts.
 
     ``envelope`` is one stream over all topics, or a function
     ``entity -> stream`` (e.g. a Kafka source subscribed to that entity's
     topic only). Windowed views go to changelog serving tables (update
-    mode); the user feed is appended to a file sink."""
+    mode); the user feed is appended to a file sink. With ``console`` the
+    comments and users views are printed instead."""
     source = envelope if callable(envelope) else (lambda _entity: envelope)
-    queries = {}
     trig = dict(available_now=available_now, processing_time=processing_time)
+
+    def decoded(entity: str, view: str | None = None) -> DataFrame:
+        return decode_entity(source(entity), entity, fields=VIEW_FIELDS[view or entity])
+
+    def changelog(name: str, df: DataFrame) -> StreamingQuery:
+        checkpoint = f"{checkpoint_base}/{name}"
+        return start(df, checkpoint, output_mode="update", foreach_batch=ChangelogSink(f"{out_base}/{name}", checkpoint), **trig)
+
+    queries = {}
     if "posts" in views:
-        v = speed.posts_per_minute(decode_entity(source("posts"), "posts"), serving=serving)
-        # few updates per batch (subreddits x open minutes): one file each
-        queries["posts"] = start(v, f"{checkpoint_base}/posts", output_mode="update",
-                                 foreach_batch=ChangelogSink(f"{out_base}/posts_per_minute", files=1), **trig)
+        queries["posts"] = changelog("posts_per_minute", speed.posts_per_minute(decoded("posts"), serving=serving))
     if "comments" in views:
-        v = speed.comments_per_minute(decode_entity(source("comments"), "comments"))
-        queries["comments"] = start(v, f"{checkpoint_base}/comments", output_mode="update",
-                                    foreach_batch=ChangelogSink(f"{out_base}/comments_per_minute"), **trig)
+        per_minute = speed.comments_per_minute(decoded("comments"))
+        queries["comments"] = (start(per_minute, f"{checkpoint_base}/comments_console", output_mode="update", fmt="console", **trig)
+                               if console else changelog("comments_per_minute", per_minute))
     if "users" in views:
-        v = speed.user_feed(decode_entity(source("users"), "users"))
-        queries["users"] = start(v, f"{checkpoint_base}/users", output_mode="append",
-                                 path=f"{out_base}/user_feed", **trig)
+        feed = speed.user_feed(decoded("users"))
+        queries["users"] = start(feed, f"{checkpoint_base}/user_feed{'_console' * console}", output_mode="append",
+                                 path=f"{out_base}/user_feed", fmt="console" if console else "parquet", **trig)
+    if "panels" in views:
+        posts = decoded("posts", "panels")
+        for name, df in (("active_users", speed.active_users_per_window(posts)),
+                         ("throughput", speed.events_per_minute(posts)), ("latency", speed.latency_per_minute(posts))):
+            queries[name] = changelog(name, df)
     return queries
 
 
-def run_streaming_job(spark: SparkSession, envelope, out_base: str, checkpoint_base: str,
-                      **kw) -> None:
-    """Start all speed views and block until one of them stops; on an
-    interrupt stop them all (their checkpoints let a restart resume)."""
-    queries = start_speed_views(envelope, out_base, checkpoint_base, **kw)
+def wait(spark: SparkSession, queries: dict[str, StreamingQuery], available_now: bool, late: str = "report") -> None:
+    """Until the input ends, or until a query stops; on an interrupt all are
+    stopped (their checkpoints let a restart resume)."""
+    if available_now:
+        for q in queries.values():
+            run_to_end(q, late)
+        return
     try:
         spark.streams.awaitAnyTermination()
     except KeyboardInterrupt:
@@ -78,3 +122,9 @@ def run_streaming_job(spark: SparkSession, envelope, out_base: str, checkpoint_b
         for q in queries.values():
             if q.isActive:
                 q.stop()
+
+
+def run_streaming_job(spark: SparkSession, envelope, out_base: str, checkpoint_base: str, late: str = "report",
+                      **kw) -> None:
+    """Start the speed views and wait for them."""
+    wait(spark, start_speed_views(envelope, out_base, checkpoint_base, **kw), kw.get("available_now", False), late)

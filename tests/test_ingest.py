@@ -14,14 +14,15 @@ from tests.helpers import envelope, parsed, post, text
 
 
 def test_malformed_json_is_quarantined_not_a_null_row(spark):
-    rows = parsed(spark, ["{bad", "", "[1]", "null"]).collect()
-    assert [r._status for r in rows] == ["malformed_json"] * 4
+    good = text(post("p"))
+    rows = parsed(spark, ["{bad", "", "[1]", "null", good + " trailing", good + good, good + "," + good, good + "]"]).collect()
+    assert [r._status for r in rows] == ["malformed_json"] * 8
 
 
-def test_wrong_typed_fields_are_null_but_row_kept(spark):
+def test_wrong_typed_fields_keep_the_row(spark):
     rows = {r.post_id: r for r in parsed(spark, [post("a", score="7"), post("b", score=1.5),
                                                  post("c", score=99999999999)]).collect()}
-    assert rows["a"].score is None and rows["a"]._status == "ok"
+    assert rows["a"].score == 7 and rows["a"]._status == "ok"  # a number sent as text is read
     assert rows["b"].score is None and rows["b"]._status == "ok"
     assert rows["c"].score == 99999999999
 
@@ -35,8 +36,12 @@ def test_time_falls_back_to_created_utc_per_row(spark):
 def test_missing_and_bad_time(spark):
     rows = {r.post_id: r._status for r in parsed(spark, [post("none", ts="", created=""),
                                                         post("absent", ts=None, created=None),
-                                                        post("bad", ts="garbage", created="garbage")]).collect()}
-    assert rows == {"none": "missing_time", "absent": "missing_time", "bad": "bad_time"}
+                                                        post("bad", ts="garbage", created="garbage"),
+                                                        post("hour", ts="12:30:45", created="12:30:45"),
+                                                        post("year", ts="2024", created="2024"),
+                                                        post("month", ts="2024-03", created="2024-03")]).collect()}
+    assert rows == {"none": "missing_time", "absent": "missing_time", "bad": "bad_time", "hour": "bad_time",
+                    "year": "bad_time", "month": "bad_time"}
 
 
 def test_offsets_normalise_to_utc_and_partition_by_utc_day(spark):
@@ -170,12 +175,13 @@ def test_reads_an_existing_json_store_with_one_record_per_file(spark, tmp):
                     ("p1", dt.datetime(2024, 1, 1, 3, 15, 0, 123456), 1, 3),
                     ("p2", dt.datetime(2024, 1, 2, 10, 15, 0, 123456), 2, 10)]
     assert views.top_posts(t, date_filter="2024-01-02").count() == 1
-    # a record with only created_utc gets its time with the fallback
+    # a record with only created_utc gets its time from it
     folder = f"{tmp}/posts/year=2024/month=01/day=03/hour=00"
     os.makedirs(folder, exist_ok=True)
     with open(f"{folder}/data_9.json", "w") as f:
         f.write(json.dumps({"post_id": "old", "created_utc": "2024-01-03T00:05:00+00:00"}) + "\n")
-    old = read_partitioned(spark, tmp, "posts", fmt="json", time_fallback=True).filter("post_id = 'old'")
+        f.write("{broken\n")
+    old = read_partitioned(spark, tmp, "posts", fmt="json").filter("day = 3")  # the broken line is no row
     assert old.collect()[0].timestamp.replace(tzinfo=None) == dt.datetime(2024, 1, 3, 0, 5)
 
 
@@ -199,3 +205,68 @@ def test_on_dates_selects_exactly_the_given_days(spark, tmp):
     assert on_dates(t, []).count() == 0
     # the same on the unpartitioned binding form (range on the raw time column)
     assert sorted(r.post_id for r in on_dates(parsed(spark, recs), ["2024-01-05"]).collect()) == ["p5"]
+
+
+def test_the_same_load_replaces_itself_and_another_adds(spark, tmp):
+    env = envelope(spark, [post("a"), "{bad"])
+    ingest.ingest_batch(env, tmp, load="one")
+    ingest.ingest_batch(env, tmp, load="one")
+    assert (read_partitioned(spark, tmp, "posts").count(), read_quarantine(spark, tmp).count()) == (1, 1)
+    ingest.ingest_batch(env, tmp, load="two")
+    assert (read_partitioned(spark, tmp, "posts").count(), read_quarantine(spark, tmp).count()) == (2, 2)
+
+
+def test_unknown_topics_are_quarantined(spark, tmp):
+    env = envelope(spark, [post("a")]).unionByName(
+        envelope(spark, ["x"]).withColumn("topic", F.lit("reddit.votes")))
+    ingest.ingest_batch(env, tmp, entities=("posts",))
+    q = read_quarantine(spark, tmp).collect()
+    assert [(r.data_type, r.reason, r.value) for r in q] == [("votes", "unknown_topic", "x")]
+    assert read_partitioned(spark, tmp, "posts").count() == 1
+
+
+def test_records_that_hold_more_than_their_columns_are_rescued(spark, tmp):
+    import json
+    recs = [post("plain"), post("text", score="7"), post("fraction", score=1.5), post("extra", awards=["x"]),
+            post("other", karma=3)]
+    ingest.ingest_batch(envelope(spark, recs), tmp, entities=("posts",))
+    got = {r.post_id: r._rescued for r in read_partitioned(spark, tmp, "posts", rescued=True).collect()}
+    assert got["plain"] is None and got["text"] is None
+    assert json.loads(got["fraction"])["score"] == 1.5
+    assert json.loads(got["extra"])["awards"] == ["x"]
+    assert json.loads(got["other"])["karma"] == 3
+
+
+def test_a_store_without_an_entity_is_empty_and_no_store_is_an_error(spark, tmp):
+    ingest.ingest_batch(envelope(spark, [post("a")]), tmp)
+    assert read_partitioned(spark, tmp, "users").count() == 0
+    assert read_quarantine(spark, tmp).count() == 0
+    with pytest.raises(FileNotFoundError):
+        read_partitioned(spark, f"{tmp}/nothing", "posts")
+
+
+def test_bootstrap_reads_plain_files_and_joins_the_store(spark, tmp):
+    import os
+    import re
+
+    from strata.sources.bootstrap import ingest_bootstrap
+    from tests.helpers import user
+    folder = re.sub("^file:", "", tmp) + "/dump"
+    os.makedirs(folder)
+    for name, recs in (("posts", [post("p1"), "{bad"]), ("users", [user("u1")])):  # no comments
+        with open(f"{folder}/{name}.json", "w") as f:
+            f.write("\n".join(text(r) for r in recs) + "\n")
+    for _ in range(2):
+        ingest_bootstrap(spark, f"{tmp}/dump", f"{tmp}/store")
+    ingest.ingest_batch(envelope(spark, [post("live")]), f"{tmp}/store")
+    assert sorted(r.post_id for r in read_partitioned(spark, f"{tmp}/store", "posts").collect()) == ["live", "p1"]
+    assert read_partitioned(spark, f"{tmp}/store", "users").count() == 1
+    assert [r.reason for r in read_quarantine(spark, f"{tmp}/store").collect()] == ["malformed_json"]
+
+
+def test_consecutive_days_are_one_range(spark):
+    from strata.functions.time import on_dates
+    from tests.helpers import plan_text
+    df = parsed(spark, [post("a")])
+    plan = plan_text(on_dates(df, [f"2024-01-{d:02d}" for d in range(1, 29)]), "simple")
+    assert " OR " not in plan

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from strata.functions.time import on_date
 from strata.operators import ingest, views
@@ -13,7 +14,8 @@ from tests.helpers import envelope, plan_text, post
 
 SF = "/root/testdata/sf0.001"
 STREAMING_OR_WRITING = {"scan_partitioned", "partition_counts", "bootstrap_load_posts", "ingest_quarantine",
-                        "stream_ingest_quarantine",
+                        "stream_ingest_quarantine", "ingest_bootstrap_and_live", "posts_per_minute_batches",
+                        "dedup_events_batches", "serving_top_posts",
                         "reconcile_missing", "posts_per_minute", "comments_per_minute", "user_feed",
                         "stream_decode", "dedup_events", "latest_window", "incremental_subreddit_activity",
                         "serving_merge"}
@@ -50,12 +52,40 @@ def test_date_filter_prunes_stored_partitions(spark, tmp):
     assert "year" in pf and "month" in pf and "day" in pf
 
 
-def test_user_activity_join_adds_no_exchange(spark):
-    plan = plan_text(views.user_activity_unordered(B.posts(spark, SF), B.comments(spark, SF)), "simple")
-    # one hash exchange per aggregation side, none extra for the full outer join
-    assert plan.count("Exchange ") == 2
-    assert len(re.findall(r"Exchange hashpartitioning\(user_id", plan)) == 2
-    assert "partial_count" in plan
+def test_user_activity_is_one_scan_and_one_exchange(spark):
+    plan = plan_text(views.user_totals(B.activity(spark, SF)), "simple")
+    assert plan.count("FileScan parquet") == 1 and plan.count("Exchange ") == 1
+    assert "partial_sum" in plan
+
+
+def test_equally_active_users_are_sorted_in_several_tasks(spark):
+    users = spark.range(40_000).select(F.lit("posts").alias("data_type"), F.col("id").alias("user_id"), "id",
+                                       F.lit(1).alias("score"))
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        ranked = views.order_activity(views.user_totals(users))
+        sizes = [r["count"] for r in ranked.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+    assert len(sizes) > 4 and max(sizes) < 20_000
+
+
+def test_speed_views_decode_only_the_fields_they_use(spark, tmp):
+    from strata.streaming.runner import VIEW_FIELDS
+    envelope(spark, [post("a")]).write.parquet(tmp)
+    df = ingest.decode_entity(spark.read.parquet(tmp), "posts", fields=VIEW_FIELDS["posts"])
+    plan = plan_text(df, "simple")
+    assert "title" not in plan and "content" not in plan and "subreddit" in plan
+
+
+def test_writes_name_no_fixed_width():
+    import pathlib
+    import strata
+    for path in pathlib.Path(strata.__file__).parent.rglob("*.py"):
+        if "llm" not in path.parts:
+            text = path.read_text()
+            assert not re.search(r"repartition\(\d|coalesce\(\d", text), path
 
 
 def test_wire_record_is_parsed_once(spark, tmp):

@@ -67,3 +67,33 @@ def test_load_serving_adds_keys(spark, tmp):
     sa = spark.read.parquet(f"{tmp}/subreddit_activity")
     assert sa.select("key").distinct().count() == sa.count() == 8
     assert sa.filter(F.col("key") == "a|2024-01-01").count() == 1
+
+
+def test_a_day_without_rows_loses_its_partition(spark, tmp):
+    recs, posts = day_posts(spark)
+    serving.write_daily(posts, tmp)
+    left = decoded(spark, [r for r in recs if not r["timestamp"].startswith("2024-01-02")])
+    serving.write_daily(left, tmp, days=["2024-01-02", "2024-01-03"])
+    assert {r.date.day for r in serving.read_daily(spark, tmp).collect()} == {1, 3, 4}
+
+
+def test_one_day_batch_keeps_the_other_days(spark, tmp):
+    _, posts = day_posts(spark)
+    none = decoded(spark, [], "comments")
+    batch_job.write_views(batch_job.compute_views(posts, none), tmp)
+    batch_job.write_views(batch_job.compute_views(posts, none, date_filter="2024-01-02"), tmp, one_day=True)
+    for view in ("top_posts", "subreddit_activity"):
+        assert {r.date.day for r in spark.read.parquet(f"{tmp}/{view}").select("date").distinct().collect()} == {1, 2, 3, 4}
+
+
+def test_serving_keys_tell_rows_apart(spark, tmp):
+    rows = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), (None, "x"), ("null", "x"), ("\\N", "x"), ("a\\", "b")],
+                                 "p string, q string")
+    keyed = serving.with_serving_key(rows, ["p", "q"])
+    assert keyed.select("key").distinct().count() == 6
+    posts = decoded(spark, [post("p1", title="one"), post("p1", title="two"), post("p2", user_id=None)])
+    comments = decoded(spark, [comment("c1", user_id=None)], "comments")
+    serving.load_serving(batch_job.compute_views(posts, comments), tmp)
+    for view in ("top_posts", "user_activity"):
+        served = spark.read.parquet(f"{tmp}/{view}")
+        assert served.select("key").distinct().count() == served.count() == 3

@@ -22,7 +22,7 @@ def run_ppm(spark, base):
     src = file_envelope_source(spark, f"{base}/in")
     view = speed.posts_per_minute(ingest.decode_entity(src, "posts"))
     return run_to_end(start(view, f"{base}/ck", output_mode="update",
-                            foreach_batch=ChangelogSink(f"{base}/out"), available_now=True))
+                            foreach_batch=ChangelogSink(f"{base}/out", f"{base}/ck"), available_now=True))
 
 
 def latest(spark, base):
@@ -211,3 +211,72 @@ def test_streaming_throughput_and_latency_panels(spark, tmp):
     # helpers.envelope stamps every arrival at 2024-01-01T00:00Z, i.e. before these event times
     lat = {r.window_start.minute: (r.n, r.max_ms) for r in read_latest(spark, f"{tmp}/lat", ["window_start"]).collect()}
     assert lat == {1: (2, -70000.0), 2: (1, -120000.0)}
+
+
+def test_a_changelog_refuses_another_checkpoint(spark, tmp):
+    import pytest
+    land(spark, f"{tmp}/in", [post("a", ts=ts(1))])
+    run_ppm(spark, tmp)
+    view = speed.posts_per_minute(ingest.decode_entity(file_envelope_source(spark, f"{tmp}/in"), "posts"))
+    with pytest.raises(Exception, match="another checkpoint"):
+        run_to_end(start(view, f"{tmp}/ck2", output_mode="update", available_now=True,
+                         foreach_batch=ChangelogSink(f"{tmp}/out", f"{tmp}/ck2")))
+    assert latest(spark, tmp) == {(dt.datetime(2024, 1, 1, 0, 1), "python"): (1, 10)}
+
+
+def test_dropped_rows_are_reported_or_raised(spark, tmp):
+    import pytest
+
+    from strata.streaming.runner import dropped_rows
+    for minute in (0, 30):
+        land(spark, f"{tmp}/in", [post(f"p{minute}", ts=ts(minute))])
+        run_ppm(spark, tmp)
+    land(spark, f"{tmp}/in", [post("late", ts=ts(1))])
+    src = file_envelope_source(spark, f"{tmp}/in")
+    view = speed.posts_per_minute(ingest.decode_entity(src, "posts"))
+    q = start(view, f"{tmp}/ck", output_mode="update", available_now=True,
+              foreach_batch=ChangelogSink(f"{tmp}/out", f"{tmp}/ck"))
+    with pytest.raises(RuntimeError, match="later than the watermark"):
+        run_to_end(q, late="raise")
+    assert dropped_rows(q) == 1
+
+
+def test_batch_bootstrap_and_stream_share_a_store(spark, tmp):
+    from strata.sources.partitioned import read_partitioned
+    from strata.streaming.ingest_stream import start_ingest
+    ingest.ingest_batch(envelope(spark, [post("batch1")]), f"{tmp}/store")
+    land(spark, f"{tmp}/in", [post("live1")])
+    for _ in range(2):
+        for q in start_ingest(spark, file_envelope_source(spark, f"{tmp}/in"), f"{tmp}/store", f"{tmp}/ck",
+                              available_now=True).values():
+            run_to_end(q)
+    ingest.ingest_batch(envelope(spark, [post("batch2")]), f"{tmp}/store", load="later")
+    assert sorted(r.post_id for r in read_partitioned(spark, f"{tmp}/store", "posts").collect()) == [
+        "batch1", "batch2", "live1"]
+    # a new checkpoint reads its input again, as loads of its own
+    for q in start_ingest(spark, file_envelope_source(spark, f"{tmp}/in"), f"{tmp}/store", f"{tmp}/ck2",
+                          available_now=True).values():
+        run_to_end(q)
+    assert read_partitioned(spark, f"{tmp}/store", "posts").count() == 4
+
+
+def test_compaction_goes_on_from_the_last_snapshot(spark, tmp):
+    from strata.streaming.sinks import compact
+    for minute in (1, 2, 3):
+        land(spark, f"{tmp}/in", [post(f"p{minute}", ts=ts(minute))])
+        run_ppm(spark, tmp)
+        compact(spark, f"{tmp}/out", KEYS, f"{tmp}/snap", remove=True)
+        via = read_latest(spark, f"{tmp}/out", KEYS, snapshot=f"{tmp}/snap")
+        assert sorted(r.window_start.minute for r in via.collect()) == list(range(1, minute + 1))
+
+
+def test_panels_and_console(spark, tmp):
+    land(spark, f"{tmp}/in", [post("a", ts=ts(1))])
+    src = file_envelope_source(spark, f"{tmp}/in")
+    qs = start_speed_views(src, f"{tmp}/v", f"{tmp}/ck", views=("comments", "users", "panels"), console=True,
+                           available_now=True)
+    for q in qs.values():
+        run_to_end(q)
+    assert set(qs) == {"comments", "users", "active_users", "throughput", "latency"}
+    for name in ("active_users", "throughput", "latency"):
+        assert read_latest(spark, f"{tmp}/v/{name}", ["window_start"]).count() == 1
