@@ -22,6 +22,8 @@ any store that Spark can write to will do.
 from __future__ import annotations
 
 import functools
+import itertools
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -41,8 +43,8 @@ PERCENTILE = 0.9
 #: Ids of a segment, about (a document stays whole).
 SEGMENT = 1 << 20
 END = 0
-#: Different words whose ids a worker remembers.
-REMEMBERED = 300_000
+#: Different words whose ids a worker remembers, twice (new ones and older ones).
+REMEMBERED = 450_000
 
 
 def default_tokenizer() -> str:
@@ -161,46 +163,106 @@ def read_blocks(data: np.ndarray, index: np.ndarray) -> np.ndarray:
 # ------------------------------------------------------------------ encoding
 
 class Encoder:
-    """Ids of whole texts by the tokenizers library, remembering common words.
+    """Ids of whole texts by the tokenizers library, remembering its answers.
 
-    The tokenizer never joins a character that is not white space with a blank
-    behind it, so a text may be cut there and the parts encoded apart. The
-    library encodes each part that is not remembered.
+    The tokenizer never joins a character that is not white space with white
+    space behind it, so a text may be cut there and the parts encoded apart:
+    at blanks and line ends, and anywhere else in the rare text that has
+    white space before a blank. The library encodes each part that is not
+    remembered.
     """
 
-    _cut = re.compile(r"(?<=\S)(?= )")
-    _close = re.compile(r"\s\s|^ |\s$")
+    _cut = re.compile(r"(?<=\S)(?=\s)")
+    _marks = ".,;:!?*#%&$+=-_()[]{}<>/|\""
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         # The names of special tokens in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
+        self._batch = functools.partial(self.tokenizer.encode_batch_fast, add_special_tokens=False)
+        self.line_end, = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self._end = np.array([self.line_end], dtype="<u4").tobytes()
+        self.words: dict[str, bytes] = {}  # word -> ids of it with a blank (or its own line end) in front
+        self.older: dict[str, bytes] = {}  # what was known before; used words move on
+        self.tails: dict[str, bytes] = {}
 
     def _encode(self, parts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype="<u4").tobytes()
-                for e in self.tokenizer.encode_batch(parts, add_special_tokens=False)]
+        out: list[bytes] = []
+        for a in range(0, len(parts), 20_000):
+            ids = [e.ids for e in self._batch(parts[a:a + 20_000])]
+            out += _split(np.fromiter(itertools.chain.from_iterable(ids), dtype="<u4"), list(map(len, ids)))
+        return out
+
+    def _encode_words(self, words: list[str], blank: str) -> list[bytes]:
+        """As ``_encode`` of ``blank + word``, many at once as lines of one text:
+        a line end between two of them is a token of its own."""
+        out: list[bytes] = []
+        for a in range(0, len(words), 100 * 200):
+            lines = [words[i:i + 100] for i in range(a, min(len(words), a + 100 * 200), 100)]
+            for own, e in zip(lines, self._batch([blank + f"\n{blank}".join(own) for own in lines])):
+                ids = np.array(e.ids, dtype="<u4")
+                ends = np.flatnonzero(ids == self.line_end)
+                if len(ends) == len(own) - 1:
+                    raw = ids.tobytes()
+                    at = [-1, *ends.tolist(), len(ids)]
+                    out += [raw[4 * x + 4:4 * y] for x, y in zip(at, at[1:])]
+                else:
+                    out += self._encode([blank + w for w in own])
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        # Marks behind a letter are tokens of their own: fewer different words.
+        cut = [(w, len(w.rstrip(self._marks))) for w in new]
+        ended = [(w, n) for w, n in cut if 0 < n < len(w) and w[n - 1].isalpha()]
+        whole = [w for w, n in cut if not (0 < n < len(w) and w[n - 1].isalpha())]
+        whole = list({*whole, *(w[:n] for w, n in ended)}.difference(self.words))
+        known = self.older
+        self.words.update((w, known[w]) for w in whole if w in known)
+        whole = [w for w in whole if w not in known]
+        # White space at a word's start could join the line end in front of it.
+        line = [w for w in whole if w[0] == "\n" and not w[1:2].isspace()]
+        inside = [w for w in whole if not w[0].isspace()]
+        odd = [w for w in whole if w[0].isspace() and (w[0] != "\n" or w[1:2].isspace())]
+        self.words.update(zip(odd, self._encode([w if w[0] == "\n" else f" {w}" for w in odd])))
+        self.words.update(zip(inside, self._encode_words(inside, " ")))
+        end = self._end
+        self.words.update((w, end + ids) for w, ids in zip(line, self._encode_words([w[1:] for w in line], "")) if len(w) > 1)
+        tails = list({w[n:] for w, n in ended}.difference(self.tails))
+        self.tails.update(zip(tails, self._encode(tails)))
+        self.words.update((w, self.words[w[:n]] + self.tails[w[n:]]) for w, n in ended)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
-        known = self.known
-        split = [self._cut.split(t) if self._close.search(t) else _by_blank(t) for t in texts]
-        new = list({w for words in split for w in words}.difference(known))
-        if len(known) + len(new) > REMEMBERED:
-            known.clear()
-            new = list({w for words in split for w in words})
-        for a in range(0, len(new), 20_000):
-            known.update(zip(new[a:a + 20_000], self._encode(new[a:a + 20_000])))
-        return [b"".join(map(known.__getitem__, words)) for words in split]
-
-
-def _by_blank(text: str) -> list[str]:
-    """Parts of a text with single blanks only, each but the first with its blank."""
-    if not text:
-        return []
-    first, *rest = text.split(" ")
-    return [first, *map(" ".__add__, rest)]
+        words = self.words
+        split = [t.replace("\n", " \n").split(" ") for t in texts]
+        heads = [s[0] for s in split]
+        split = [s[1:] for s in split]
+        new = set().union(*split)
+        new.difference_update(words)
+        if len(words) + len(new) > REMEMBERED:
+            self.older, self.words, self.tails = words, {}, {}
+            words = self.words
+            new = set().union(*split)
+        # White space before a blank: the text may not be cut there.
+        self._learn([w for w in new if w and not w[-1].isspace()])
+        first = self._encode(heads)
+        out = []
+        for text, head, ids, rest in zip(texts, heads, first, split):
+            try:
+                if rest and (not head or head[-1].isspace()):
+                    raise KeyError
+                out.append(ids + b"".join(map(words.__getitem__, rest)))
+            except KeyError:
+                out.append(b"".join(self._encode(self._cut.split(text))))
+        return out
+
+
+def _split(ids: np.ndarray, sizes: list[int]) -> list[bytes]:
+    raw = ids.tobytes()
+    ends = list(itertools.accumulate(sizes, initial=0))
+    return [raw[4 * x:4 * y] for x, y in zip(ends, ends[1:])]
 
 
 @functools.cache
