@@ -110,6 +110,13 @@ BODIES = {
                ts AS timestamp FROM posts""",
     "ingest_quarantine": "SELECT * FROM fault_counts",
     "stream_ingest_quarantine": "SELECT * FROM fault_counts",
+    "batch_job_views": "SELECT * FROM daily",
+    "streaming_job_views": """
+        SELECT 'user_feed' AS view, count(*) AS n, count(*) AS records FROM customer
+        UNION ALL SELECT 'posts_per_minute', count(*), CAST(sum(num_posts) AS BIGINT) FROM ppm
+        UNION ALL SELECT 'comments_per_minute', count(DISTINCT (date_trunc('minute', ts), post_id)), count(*) FROM comments
+        UNION ALL SELECT 'throughput', count(DISTINCT date_trunc('minute', ts)), count(*) FROM posts
+        UNION ALL SELECT 'latency', count(DISTINCT date_trunc('minute', ts)), count(*) FROM posts""",
     "ingest_bootstrap_and_live": """
         SELECT CASE WHEN event_type IN ('click', 'error') THEN 'comments' ELSE 'posts' END AS data_type,
                CAST(event_id AS VARCHAR) AS id, ts AS timestamp
@@ -125,7 +132,9 @@ BODIES = {
               FROM fault) WHERE produced <> landed""",
     "latency_stats": """
         SELECT CASE WHEN event_type IN ('click', 'error') THEN 'comments' ELSE 'posts' END AS data_type,
-               count(*) AS n, avg(event_id % 2000) AS avg_ms, CAST(max(event_id % 2000) AS DOUBLE) AS max_ms
+               count(*) AS n, avg(event_id % 2000) AS avg_ms, CAST(max(event_id % 2000) AS DOUBLE) AS max_ms,
+               CAST(quantile_disc(event_id % 2000, 0.5) AS DOUBLE) AS p50_ms,
+               CAST(quantile_disc(event_id % 2000, 0.95) AS DOUBLE) AS p95_ms
         FROM events WHERE event_type IN ('view', 'purchase', 'signup', 'click', 'error') GROUP BY 1""",
     "posts_per_minute": "SELECT * FROM ppm",
     "posts_per_minute_batches": "SELECT * FROM ppm",

@@ -17,16 +17,17 @@ from pyspark.sql import functions as F
 from ..functions.time import as_wall_clock
 from ..operators import ingest, quality, views
 from ..schemas import ENTITY_IDS, ENVELOPE
-from ..session import ensure_utc, scratch_path
+from ..session import ensure_utc, remove_path, scratch_path
 from ..sources import bindings as B
 from ..sources.bootstrap import bootstrap_load
 from ..sources.kafka import file_envelope_source, write_envelope
 from ..sources.partitioned import read_partitioned, read_quarantine
 from ..streaming import speed
-from ..streaming.runner import VIEW_FIELDS, run_to_end, start
+from ..streaming.runner import VIEW_FIELDS, run_streaming_job, run_to_end, start
 from ..streaming.ingest_stream import start_ingest
 from ..streaming.sinks import ChangelogSink, read_latest
 from . import serving
+from .batch_job import run_batch_job
 
 REGISTRY: dict = {}
 
@@ -136,6 +137,7 @@ def _ingested(spark, sf, entities, envelope=None):
     write_envelope(env, f"{base}/_landed")
     landed = spark.read.schema(ENVELOPE).parquet(f"{base}/_landed")
     ingest.ingest_batch(landed, base, entities=entities)
+    remove_path(spark, f"{base}/_landed")
     return base
 
 
@@ -153,6 +155,16 @@ def partition_counts(spark, sf):
     return views.partition_counts(read_partitioned(spark, base, "posts"))
 
 
+@query
+def batch_job_views(spark, sf):
+    """The batch job as it runs: ingest all entities, load the store, write
+    the views; the daily view as written."""
+    base = _ingested(spark, sf, ("posts", "comments", "users"))
+    run_batch_job(spark, base, f"{base}/_views")
+    return spark.read.parquet(f"{base}/_views/subreddit_activity").select(
+        "subreddit", "date", "num_posts", "total_score", "total_comments", "avg_score")
+
+
 @query
 def ingest_route(spark, sf):
     return ingest.route(B.envelope(spark, sf)).groupBy("data_type").agg(F.count(F.lit(1)).alias("n"))
@@ -252,7 +264,7 @@ def latency_stats(spark, sf):
     # one narrow parse of both topics: latency needs only the type, event time and arrival
     env = B.envelope(spark, sf, ("posts", "comments"))
     rows = ingest.classify(env).filter(F.col("_status") == ingest.OK)
-    return quality.latency_stats(rows.select("data_type", "timestamp", "_arrival"), ["data_type"])
+    return quality.latency_stats(rows.select("data_type", "timestamp", "_arrival"), ["data_type"], quantiles=True)
 
 
 # --- streaming ---------------------------------------------------------------------------------
@@ -331,6 +343,24 @@ def user_feed(spark, sf):
     return spark.read.parquet(f"{d}/feed").select("user_id", "username", "karma")
 
 
+@query
+def streaming_job_views(spark, sf):
+    """The speed job as it runs, with its panels: rows of each view, and the
+    records that they add up to."""
+    d, src = _landed_envelope(spark, sf, ("posts", "comments", "users"), "streaming_job")
+    run_streaming_job(spark, src, f"{d}/views", f"{d}/checkpoint", late="raise", available_now=True,
+                      views=("posts", "comments", "users", "panels"))
+    counted = {"posts_per_minute": (["window_start", "subreddit"], "num_posts"),
+               "comments_per_minute": (["window_start", "post_id"], "num_comments"),
+               "throughput": (["window_start"], "events"), "latency": (["window_start"], "n")}
+    out = spark.read.parquet(f"{d}/views/user_feed").agg(
+        F.lit("user_feed").alias("view"), F.count(F.lit(1)).alias("n"), F.count("user_id").alias("records"))
+    for name, (keys, total) in counted.items():
+        out = out.unionByName(read_latest(spark, f"{d}/views/{name}", keys).agg(
+            F.lit(name).alias("view"), F.count(F.lit(1)).alias("n"), F.sum(total).alias("records")))
+    return out
+
+
 @query
 def stream_decode(spark, sf):
     d, src = _landed_envelope(spark, sf, ("posts",), "stream_decode")

@@ -15,7 +15,7 @@ from tests.helpers import envelope, plan_text, post
 SF = "/root/testdata/sf0.001"
 STREAMING_OR_WRITING = {"scan_partitioned", "partition_counts", "bootstrap_load_posts", "ingest_quarantine",
                         "stream_ingest_quarantine", "ingest_bootstrap_and_live", "posts_per_minute_batches",
-                        "dedup_events_batches", "serving_top_posts",
+                        "dedup_events_batches", "serving_top_posts", "batch_job_views", "streaming_job_views",
                         "reconcile_missing", "posts_per_minute", "comments_per_minute", "user_feed",
                         "stream_decode", "dedup_events", "latest_window", "incremental_subreddit_activity",
                         "serving_merge"}

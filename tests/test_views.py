@@ -147,4 +147,4 @@ def test_latency_stats_from_arrival(spark):
         "data_type string, timestamp timestamp, _arrival timestamp")
     r = quality.latency_stats(df, ["data_type"], quantiles=True).collect()[0]
     assert (r.n, r.avg_ms, r.max_ms) == (2, 2000.0, 3000.0)
-    assert r.p50_p95_ms[1] == 3000.0
+    assert r.p95_ms == 3000.0
