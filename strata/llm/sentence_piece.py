@@ -40,12 +40,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import shuffle_width, table
+from .text import code_points
 
 SPACE = "▁"
 #: Characters of the texts of one block.
 BLOCK = 48_000_000
 #: Characters of a unit that goes through the relational lattice.
 LONGEST = 48
+#: Words that are cut into units at once.
+SLICE = 20_000
+#: Units of a task whose edges are grouped in memory (a few KB each) before it sorts.
+GROUPS = 30_000
 #: What an unknown character costs below the worst piece, as in SentencePiece.
 UNKNOWN_PENALTY = 10.0
 
@@ -68,6 +73,10 @@ class Pieces:
 
     @classmethod
     def load(cls, path: str) -> Pieces:
+        """The model file's pieces; of the normal ones, those that a best path can hold.
+
+        A piece whose text has a better path of other pieces is on no best path,
+        so it is left out of the table (its id still decodes)."""
         import sentencepiece
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         normal, byte_ids, texts = {}, [0] * 256, []
@@ -81,8 +90,9 @@ class Pieces:
             else:
                 normal[piece] = (i, float(model.get_score(i)))
                 texts.append(piece.replace(SPACE, " ").encode())
-        return cls(normal, tuple(byte_ids), tuple(texts), max(map(len, normal)),
-                   min(s for _, s in normal.values()) - UNKNOWN_PENALTY,
+        worst = min(s for _, s in normal.values())
+        normal = {p: v for p, v in normal.items() if len(p) == 1 or _best_of_others(p, normal) <= v[1]}
+        return cls(normal, tuple(byte_ids), tuple(texts), max(map(len, normal)), worst - UNKNOWN_PENALTY,
                    frozenset(p[i:i + 2] for p in normal for i in range(len(p) - 1)))
 
     def words(self, text: str) -> list[str]:
@@ -98,13 +108,51 @@ class Pieces:
         alone = f"{free}|" if free else ""
         return re.compile(f"{alone}{SPACE}*[^{SPACE}{free}]+|{SPACE}+")
 
+    @functools.cached_property
+    def _pair_table(self) -> tuple[np.ndarray, np.ndarray]:
+        near = np.zeros(_NEAR * _NEAR, dtype=bool)
+        codes = np.array(sorted(ord(p[0]) << 21 | ord(p[1]) for p in self.pairs), dtype=np.int64)
+        a, b = codes >> 21, codes & 0x1FFFFF
+        both = (a < _NEAR) & (b < _NEAR)
+        near[a[both] * _NEAR + b[both]] = True
+        return near, codes
+
+    def units_of(self, words: list[str]) -> tuple[list[str], np.ndarray]:
+        """The words cut wherever no piece covers both neighbours: all units in
+        order, and the number of each word's first (one more at the end)."""
+        text = "".join(words)
+        ends = np.cumsum([len(w) for w in words], dtype=np.int64)
+        if not text:
+            return [], np.zeros(len(words) + 1, dtype=np.int64)
+        near, codes = self._pair_table
+        cp = code_points(text).astype(np.int64)
+        a, b = cp[:-1], cp[1:]
+        far = (a >= _NEAR) | (b >= _NEAR)
+        inside = near[np.where(far, 0, a * _NEAR + b)]
+        if far.any():
+            inside[far] = np.isin(a[far] << 21 | b[far], codes)
+        cut = ~inside
+        cut[ends[:-1] - 1] = True
+        at = np.concatenate([[0], np.flatnonzero(cut) + 1, [len(cp)]])
+        bounds = at.tolist()
+        return ([text[x:y] for x, y in zip(bounds, bounds[1:])],
+                np.concatenate([[0], np.searchsorted(at, ends)]))
+
     def units(self, word: str) -> list[str]:
-        """Cuts a word wherever no piece covers both neighbours."""
-        pairs = self.pairs
-        cuts = [i for i in range(1, len(word)) if word[i - 1:i + 1] not in pairs]
-        if not cuts:
-            return [word]
-        return [word[a:b] for a, b in zip([0, *cuts], [*cuts, len(word)])]
+        return self.units_of([word])[0]
+
+    def quick_words(self, text: str) -> list[str] | None:
+        """The words of an ordinary text by a plain split; NULL if it has blanks
+        in a row or at an end. A word stands for ``marked(word)``."""
+        if self._alone and text and text[0] != " " != text[-1] and not (
+                "  " in text or " \n" in text or SPACE in text):
+            return text.replace("\n", " \n").split(" ")
+        return None
+
+    @functools.cached_property
+    def _alone(self) -> bool:
+        """Whether no piece goes across a line end or a blank behind a character."""
+        return not any("\n" in p or p[1] == SPACE != p[0] for p in self.pairs)
 
     def best_path(self, unit: str) -> list[int]:
         """The ids of the best path; of equal paths, that whose last piece is longest."""
@@ -129,6 +177,26 @@ class Pieces:
         return raw.removeprefix(b" ").decode("utf-8", "replace")
 
 
+#: Characters whose pairs are looked up in a plain table.
+_NEAR = 1024
+
+
+def _best_of_others(piece: str, normal: dict[str, tuple[int, float]]) -> float:
+    """The best score of the piece's text by other pieces."""
+    n = len(piece)
+    score = [0.0] + [-np.inf] * n
+    for end in range(1, n + 1):
+        for start in range(end):
+            found = normal.get(piece[start:end]) if end - start < n else None
+            if found:
+                score[end] = max(score[end], score[start] + found[1])
+    return score[n]
+
+
+def _marked(word: str) -> str:
+    return word if word[0] == "\n" else SPACE + word
+
+
 def _block(number: int, held: int) -> int:
     """Blocks count up within a partition, so that one never spans two."""
     return number * (1 << 20) + held // BLOCK
@@ -138,22 +206,30 @@ def _units_of_blocks(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces: Pieces = shared.value
         held, now = 0, None
+        quick: set[str] = set()
         words: set[str] = set()
 
         def sent() -> Iterator[pa.RecordBatch]:
-            units = {u for w in words for u in (pieces.units(w)) if len(u) <= LONGEST}
+            units: set[str] = set()
+            every = [*map(_marked, quick), *words]
+            for a in range(0, len(every), SLICE):
+                units.update(u for u in pieces.units_of(every[a:a + SLICE])[0] if len(u) <= LONGEST)
             table_ = pa.table({"unit": pa.array(units, pa.string()), "block": pa.array([now] * len(units), pa.int64())})
             yield from table_.to_batches(max_chunksize=20_000)
         for batch in batches:
             for text, number in zip(batch.column("text").to_pylist(), batch.column("_strata_partition").to_pylist()):
                 block = _block(number, held)
                 if block != now:
-                    if words:
+                    if quick or words:
                         yield from sent()
-                    words, now = set(), block
+                    quick, words, now = set(), set(), block
                 held += len(text or "")
-                words.update(pieces.words(text or ""))
-        if words:
+                own = pieces.quick_words(text or "")
+                if own is None:
+                    words.update(pieces.words(text or ""))
+                else:
+                    quick.update(own)
+        if quick or words:
             yield from sent()
     return run
 
@@ -169,7 +245,7 @@ def _packed_texts(shared, names: list[str]):
             sizes = [len(t or "") for t in batch.column("text").to_pylist()]
             begin = i = 0
             while begin < len(sizes):
-                block, room, i = _block(number, held), 2_000_000, begin
+                block, room, i = _block(number, held), 1_000_000, begin
                 while i < len(sizes) and room > 0 and _block(number, held) == block:
                     held += sizes[i]
                     room -= sizes[i] + 100
@@ -185,21 +261,25 @@ def _packed_texts(shared, names: list[str]):
 
 
 def _packed_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(block, unit, ids) -> one blob per block and batch; place 0 is before any text."""
+    """(unit, blocks, ids) -> one blob per block and batch; place 0 is before any text."""
     options = pa.ipc.IpcWriteOptions(compression="zstd")
     for batch in batches:
-        whole = pa.Table.from_batches([batch]).sort_by("block")
-        blocks = whole.column("block").to_numpy()
-        edges = [0, *(np.flatnonzero(np.diff(blocks)) + 1), len(blocks)]
+        blocks = batch.column("blocks")
+        number = blocks.flatten().to_numpy()
+        row = np.repeat(np.arange(len(batch)), np.diff(blocks.offsets.to_numpy()))
+        order = np.argsort(number, kind="stable")
+        number, row = number[order], row[order]
+        coded = batch.select(["unit", "ids"])
+        edges = [0, *(np.flatnonzero(np.diff(number)) + 1), len(number)]
         rows = []
         for a, b in zip(edges, edges[1:]):
             if a == b:
                 continue
-            part = whole.slice(a, b - a).select(["unit", "ids"]).combine_chunks()
+            part = coded.take(pa.array(row[a:b]))
             sink = pa.BufferOutputStream()
             with pa.ipc.new_stream(sink, part.schema, options=options) as out:
-                out.write_table(part)
-            rows.append((blocks[a], 0, sink.getvalue().to_pybytes()))
+                out.write_batch(part)
+            rows.append((number[a], 0, sink.getvalue().to_pybytes()))
         if rows:
             yield pa.RecordBatch.from_pydict({
                 "block": pa.array([r[0] for r in rows], pa.int64()), "place": pa.array([r[1] for r in rows], pa.int64()),
@@ -209,24 +289,22 @@ def _packed_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _encode_blocks(shared, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces: Pieces = shared.value
-        now, known = None, {}
+        now = coder = None
         for batch in batches:
             for block, place, blob in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 if block != now:
-                    now, known = block, {}
+                    now, coder = block, Coder(pieces)
                 rows = pa.ipc.open_stream(blob).read_all()
                 if not place:
                     ids = rows.column("ids").combine_chunks()
                     flat = ids.flatten().to_numpy().astype("<i4").tobytes()
                     at = ids.offsets.to_numpy() * 4
                     at = at - at[0]
-                    known.update(zip(rows.column("unit").to_pylist(), (flat[a:b] for a, b in zip(at, at[1:]))))
+                    coder.units.update(zip(rows.column("unit").to_pylist(), (flat[a:b] for a, b in zip(at, at[1:]))))
                     continue
-                texts = rows.column("text").to_pylist()
-                coded = [_coded(pieces, known, t or "") for t in texts]
+                coded, same = coder.encode([t or "" for t in rows.column("text").to_pylist()])
                 ends = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int32)
                 flat = np.frombuffer(b"".join(coded), dtype="<i4")
-                same = [pieces.decode(flat[a:b].tolist()) == (t or "") for t, a, b in zip(texts, ends, ends[1:])]
                 out = {n: rows.column(n).combine_chunks() for n in names}
                 out |= {"_strata_ids": pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int32())),
                         "_strata_same": pa.array(same, pa.bool_())}
@@ -234,23 +312,49 @@ def _encode_blocks(shared, names: list[str]):
     return run
 
 
-def _coded(pieces: Pieces, known: dict[str, bytes], text: str) -> bytes:
-    out = []
-    for word in pieces.words(text):
-        code = known.get(word)
-        if code is None:
-            parts = []
-            for u in pieces.units(word):
-                part = known.get(u)
-                if part is None:
-                    ids = pieces.best_path(u)
-                    part = struct.pack(f"<{len(ids)}i", *ids)
-                parts.append(part)
-            code = b"".join(parts)
-            if len(word) <= LONGEST:
-                known[word] = code
-        out.append(code)
-    return b"".join(out)
+class Coder:
+    """Writes texts as ids, from the ids of their units."""
+
+    def __init__(self, pieces: Pieces):
+        self.pieces = pieces
+        self.units: dict[str, bytes] = {}  # the block's encoded units
+        self.quick: dict[str, bytes] = {}  # words by ``quick_words`` -> ids
+        self.wrong: set[str] = set()  # those that do not decode to themselves
+
+    def _codes(self, words: list[str]) -> list[bytes]:
+        if len(words) > SLICE:
+            return [c for a in range(0, len(words), SLICE) for c in self._codes(words[a:a + SLICE])]
+        units, first = self.pieces.units_of(words)
+        known = self.units
+        for u in set(units).difference(known):
+            ids = self.pieces.best_path(u)
+            known[u] = struct.pack(f"<{len(ids)}i", *ids)
+        codes = list(map(known.__getitem__, units))
+        at = first.tolist()
+        return [codes[a] if b - a == 1 else b"".join(codes[a:b]) for a, b in zip(at, at[1:])]
+
+    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bool]]:
+        """The ids of each text, and whether they decode to it. Decoding goes
+        id by id, so a text comes back if each of its words does."""
+        pieces = self.pieces
+        split = [pieces.quick_words(t) for t in texts]
+        new = list(set().union(*(s for s in split if s is not None)).difference(self.quick))
+        codes = self._codes([_marked(w) for w in new])
+        self.quick.update(zip(new, codes))
+        for w, c in zip(new, codes):
+            if b"".join(map(pieces.texts.__getitem__, memoryview(c).cast("i"))) != _marked(w).replace(SPACE, " ").encode(
+                    "utf-8", "surrogatepass"):
+                self.wrong.add(w)
+        out, same = [], []
+        for text, words in zip(texts, split):
+            if words is None:
+                code = b"".join(self._codes(pieces.words(text)))
+                same.append(pieces.decode(memoryview(code).cast("i")) == text)
+            else:
+                code = b"".join(map(self.quick.__getitem__, words))
+                same.append(self.wrong.isdisjoint(words) if self.wrong else True)
+            out.append(code)
+        return out, same
 
 
 def piece_table(spark: SparkSession, pieces: Pieces) -> DataFrame:
@@ -330,8 +434,9 @@ def encode(docs: DataFrame, model: str | None = None, keep: list[str] | None = N
     numbered = docs.withColumn("_strata_partition", F.spark_partition_id())
     sent = numbered.select("text", "_strata_partition").mapInArrow(_units_of_blocks(shared), "unit string, block long")
     units = sent.groupBy("unit").agg(F.collect_list("block").alias("blocks"))
-    coded = lattice(units, pieces, "blocks").select(F.explode("blocks").alias("block"), "unit", "ids")
-    packed = coded.mapInArrow(_packed_units, "block long, place long, blob binary")
+    # A unit's edges stand together, so grouping them by hash needs no sort.
+    spark.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(GROUPS))
+    packed = lattice(units, pieces, "blocks").select("unit", "blocks", "ids").mapInArrow(_packed_units, "block long, place long, blob binary")
     rows = numbered.mapInArrow(_packed_texts(shared, names), "block long, place long, blob binary")
     dealt = (packed.union(rows).repartition(shuffle_width(spark), "block")
              .sortWithinPartitions("block", "place"))
