@@ -44,7 +44,7 @@ PERCENTILE = 0.9
 SEGMENT = 1 << 20
 END = 0
 #: Different words whose ids a worker remembers, twice (new ones and older ones).
-REMEMBERED = 450_000
+REMEMBERED = 1_000_000
 
 
 def default_tokenizer() -> str:
@@ -80,24 +80,40 @@ def _unpack(words: np.ndarray, width: int) -> np.ndarray:
     return np.ascontiguousarray(out.T).reshape(len(words), BLOCK)
 
 
+def _widths(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each block the least width that holds the percentile's share of its
+    values, and how many values are larger."""
+    spare = BLOCK - 1 - min(BLOCK - 1, int(PERCENTILE * BLOCK))
+    largest = rows.max(axis=1) if len(rows) else np.zeros(0, np.uint32)
+    widths = np.frexp(largest.astype(np.float64))[1].astype(np.int64)
+    counts = np.zeros(len(rows), dtype=np.int64)
+    open_ = np.flatnonzero(widths)
+    while len(open_):  # a bit less as long as few enough values don't fit
+        limit = (np.uint64(1) << (widths[open_] - 1).astype(np.uint64)).astype(np.uint32)
+        beyond = np.count_nonzero(rows[open_] >= limit[:, None], axis=1)
+        fits = beyond <= spare
+        open_, beyond = open_[fits], beyond[fits]
+        widths[open_] -= 1
+        counts[open_] = beyond
+        open_ = open_[widths[open_] > 0]
+    return widths, counts
+
+
 def write_segment(ids: np.ndarray, lengths: np.ndarray) -> bytes:
     """The ids of consecutive documents -> a segment."""
     n = len(ids)
     blocks = -(-n // BLOCK)
-    padded = np.zeros(blocks * BLOCK, dtype=np.int64)
+    padded = np.zeros(blocks * BLOCK, dtype=np.uint32)
     padded[:n] = ids
     if n % BLOCK:
         padded[n:] = padded[(blocks - 1) * BLOCK:n].min()
     rows = padded.reshape(blocks, BLOCK)
-    low = rows.min(axis=1) if blocks else np.zeros(0, np.int64)
+    low = rows.min(axis=1) if blocks else np.zeros(0, np.uint32)
     rows = rows - low[:, None]
-    at = min(BLOCK - 1, int(PERCENTILE * BLOCK))
-    widths = np.zeros(blocks, dtype=np.int64)
-    if blocks:
-        widths = np.frexp(np.partition(rows, at, axis=1)[:, at].astype(np.float64))[1].astype(np.int64)
-    over = rows >= (np.int64(1) << widths)[:, None]
-    counts = over.sum(axis=1)
-    packed = np.where(over, 0, rows)
+    widths, counts = _widths(rows)
+    over = rows > ((np.uint64(1) << widths.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)[:, None]
+    packed = rows.copy()
+    packed[over] = 0
     sizes = 8 + widths * (BLOCK // 8) + counts * 6
     start = 16 + 4 * blocks + 4 * len(lengths)
     index = start + np.concatenate([[0], np.cumsum(sizes)])
@@ -187,6 +203,7 @@ class Encoder:
         self.words: dict[str, bytes] = {}  # word -> ids of it with a blank (or its own line end) in front
         self.older: dict[str, bytes] = {}  # what was known before; used words move on
         self.tails: dict[str, bytes] = {}
+        self.heads: dict[str, bytes] = {}  # first words: nothing in front of them
 
     def _encode(self, parts: list[str]) -> list[bytes]:
         out: list[bytes] = []
@@ -242,18 +259,19 @@ class Encoder:
         new = set().union(*split)
         new.difference_update(words)
         if len(words) + len(new) > REMEMBERED:
-            self.older, self.words, self.tails = words, {}, {}
+            self.older, self.words, self.tails, self.heads = words, {}, {}, {}
             words = self.words
             new = set().union(*split)
         # White space before a blank: the text may not be cut there.
         self._learn([w for w in new if w and not w[-1].isspace()])
-        first = self._encode(heads)
+        fresh = list(set(heads).difference(self.heads))
+        self.heads.update(zip(fresh, self._encode(fresh)))
         out = []
-        for text, head, ids, rest in zip(texts, heads, first, split):
+        for text, head, rest in zip(texts, heads, split):
             try:
                 if rest and (not head or head[-1].isspace()):
                     raise KeyError
-                out.append(ids + b"".join(map(words.__getitem__, rest)))
+                out.append(self.heads[head] + b"".join(map(words.__getitem__, rest)))
             except KeyError:
                 out.append(b"".join(self._encode(self._cut.split(text))))
         return out
@@ -276,13 +294,13 @@ def _segments(path: str):
         end = np.array([END], dtype="<u4").tobytes()
         ids: list[bytes] = []
         docs: list = []
-        held = number = 0
+        held = number = before = 0
         part = None
 
         def done() -> pd.DataFrame:
             lengths = np.array([len(x) // 4 for x in ids], dtype=np.int64)
             flat = np.frombuffer(b"".join(ids), dtype="<u4")
-            return pd.DataFrame({"part": [part], "segment": [number], "n_ids": [len(flat)],
+            return pd.DataFrame({"part": [part], "segment": [number], "before": [before], "n_ids": [len(flat)],
                                  "doc_ids": [np.array(docs, dtype=object)], "payload": [write_segment(flat, lengths)]})
         for pdf in batches:
             texts = [t or "" for t in pdf["text"]]
@@ -294,7 +312,7 @@ def _segments(path: str):
                     held += len(x) // 4 + 1
                     if held >= SEGMENT:
                         yield done()
-                        ids, docs, held, number = [], [], 0, number + 1
+                        ids, docs, held, number, before = [], [], 0, number + 1, before + held
         if ids:
             yield done()
     return run
@@ -311,7 +329,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
                .withColumn("h", F.xxhash64("text"))
                .repartitionByRange(shuffle_width(spark), "doc_id", "h").sortWithinPartitions("doc_id", "h")
                .withColumn("part", F.spark_partition_id()).select("part", "doc_id", "text"))
-    schema = "part int, segment int, n_ids long, doc_ids array<long>, payload binary"
+    schema = "part int, segment int, before long, n_ids long, doc_ids array<long>, payload binary"
     (ordered.mapInPandas(_segments(tokenizer or default_tokenizer()), schema)
      .write.option("compression", "none").parquet(path))
 
@@ -332,17 +350,12 @@ def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """doc_id, start, n_tokens and ids_crc32 of every document in the files."""
     segments = spark.read.parquet(path)
-    # One row per segment of a million ids; the running sum is first taken
-    # within each part, and then over the parts.
-    sizes = segments.select("part", "segment", "n_ids")
-    parts = sizes.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    earlier = (parts.withColumn("earlier", F.sum("n").over(Window.orderBy("part")) - F.col("n"))
-               .select("part", "earlier"))
-    inside = Window.partitionBy("part").orderBy("segment")
-    before = (sizes.withColumn("before", F.sum("n_ids").over(inside) - F.col("n_ids")).join(earlier, "part")
-              .select("part", "segment", (F.col("before") + F.col("earlier")).alias("before")))
-    return (segments.select("part", "segment", "doc_ids", "payload").join(before, ["part", "segment"])
-            .select("doc_ids", "payload", "before")
+    # One row per writing task, of which there are as many as the shuffle is
+    # wide, whatever the ids: small enough to send to every task.
+    parts = segments.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    earlier = parts.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("earlier"))
+    return (segments.join(F.broadcast(earlier), "part")
+            .select("doc_ids", "payload", (F.col("before") + F.col("earlier")).alias("before"))
             .mapInArrow(_documents, "doc_id long, start long, n_tokens long, ids_crc32 long"))
 
 
