@@ -28,6 +28,7 @@ texts differently when it ran again: the result does not depend on the blocks.
 from __future__ import annotations
 
 import functools
+import itertools
 import re
 import struct
 from collections.abc import Iterator
@@ -47,6 +48,8 @@ SPACE = "▁"
 BLOCK = 48_000_000
 #: Characters of a unit that goes through the relational lattice.
 LONGEST = 48
+#: Words whose ids a task remembers; others are put together from their units again.
+REMEMBERED = 150_000
 #: Words that are cut into units at once.
 SLICE = 20_000
 #: Units of a task whose edges are grouped in memory (a few KB each) before it sorts.
@@ -143,8 +146,8 @@ class Pieces:
 
     def quick_words(self, text: str) -> list[str] | None:
         """The words of an ordinary text by a plain split; NULL if it has blanks
-        in a row or at an end. A word stands for ``marked(word)``."""
-        if self._alone and text and text[0] != " " != text[-1] and not (
+        in a row or at an end, or begins with a line end. A word stands for ``marked(word)``."""
+        if self._alone and text and text[0] not in " \n" and text[-1] != " " and not (
                 "  " in text or " \n" in text or SPACE in text):
             return text.replace("\n", " \n").split(" ")
         return None
@@ -211,11 +214,13 @@ def _units_of_blocks(shared):
 
         def sent() -> Iterator[pa.RecordBatch]:
             units: set[str] = set()
-            every = [*map(_marked, quick), *words]
-            for a in range(0, len(every), SLICE):
-                units.update(u for u in pieces.units_of(every[a:a + SLICE])[0] if len(u) <= LONGEST)
-            table_ = pa.table({"unit": pa.array(units, pa.string()), "block": pa.array([now] * len(units), pa.int64())})
-            yield from table_.to_batches(max_chunksize=20_000)
+            every = itertools.chain(map(_marked, quick), words)
+            while part := list(itertools.islice(every, SLICE)):
+                units.update(u for u in pieces.units_of(part)[0] if len(u) <= LONGEST)
+            while units:
+                part = [units.pop() for _ in range(min(SLICE, len(units)))]
+                yield pa.RecordBatch.from_pydict({"unit": pa.array(part, pa.string()),
+                                                  "block": pa.array([now] * len(part), pa.int64())})
         for batch in batches:
             for text, number in zip(batch.column("text").to_pylist(), batch.column("_strata_partition").to_pylist()):
                 block = _block(number, held)
@@ -339,6 +344,9 @@ class Coder:
         pieces = self.pieces
         split = [pieces.quick_words(t) for t in texts]
         new = list(set().union(*(s for s in split if s is not None)).difference(self.quick))
+        if len(self.quick) + len(new) > REMEMBERED:
+            self.quick.clear()
+            new = list(set().union(*(s for s in split if s is not None)))
         codes = self._codes([_marked(w) for w in new])
         self.quick.update(zip(new, codes))
         for w, c in zip(new, codes):

@@ -14,7 +14,7 @@ from strata.llm.common import table
 
 from . import brute
 
-TEXTS = [None, "", " ", "a  b", "Hello, world!\nNew line.", "漢字 and é", "tab\tand\r\nreturn", "x" * 200, "  two", "end  ",
+TEXTS = [None, "", " ", "\nfirst", "\n", "a\n", "\n b", "a \n\n b\n", "a  b", "Hello, world!\nNew line.", "漢字 and é", "tab\tand\r\nreturn", "x" * 200, "  two", "end  ",
          "don't 123 <|endoftext|>", "Ungewöhnlich lange Wörter", "a" * 50 + " " + "the " * 30]
 
 
@@ -66,6 +66,19 @@ def test_paths_score_as_the_library(pieces):
         assert score(pieces, own) == score(pieces, theirs) and library.decode(own) == text
 
 
+def test_both_ways_to_words_agree(pieces):
+    rng = random.Random(7)
+    for _ in range(3000):
+        text = "".join(rng.choices("ab \n.▁é", weights=[4, 4, 3, 2, 1, 0.2, 1], k=rng.randrange(1, 12)))
+        words = pieces.quick_words(text)
+        if words is not None:
+            assert "".join(map(sentence_piece._marked, words)) == "".join(pieces.words(text))
+        coder = sentence_piece.Coder(pieces)
+        (code,), (same,) = coder.encode([text])
+        assert list(memoryview(code).cast("i")) == [i for w in pieces.words(text) for i in pieces.best_path(w)]
+        assert same == (sentence_piece.SPACE not in text)
+
+
 def test_sql_lattice_alone(llm, pieces):
     units = llm.createDataFrame([(w, [1]) for w in ("▁the", "▁漢é", "x", "\n", "▁information", "😀", "ab漢cd")], "unit string, blocks array<long>")
     for r in sentence_piece.lattice(units, pieces, "blocks").collect():
