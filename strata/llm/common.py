@@ -15,7 +15,7 @@ from ..session import ensure_utc, scratch_path
 
 #: Bytes of rows that a Python worker gets at once. Texts are held a few times
 #: over while they are worked on, so this bounds a worker's memory.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def prepared(query):

@@ -49,11 +49,11 @@ BLOCK = 48_000_000
 #: Characters of a unit that goes through the relational lattice.
 LONGEST = 48
 #: Words whose ids a task remembers; others are put together from their units again.
-REMEMBERED = 150_000
+REMEMBERED = 100_000
 #: Words that are cut into units at once.
 SLICE = 20_000
 #: Units of a task whose edges are grouped in memory (a few KB each) before it sorts.
-GROUPS = 30_000
+GROUPS = 20_000
 #: What an unknown character costs below the worst piece, as in SentencePiece.
 UNKNOWN_PENALTY = 10.0
 
@@ -250,7 +250,7 @@ def _packed_texts(shared, names: list[str]):
             sizes = [len(t or "") for t in batch.column("text").to_pylist()]
             begin = i = 0
             while begin < len(sizes):
-                block, room, i = _block(number, held), 1_000_000, begin
+                block, room, i = _block(number, held), 500_000, begin
                 while i < len(sizes) and room > 0 and _block(number, held) == block:
                     held += sizes[i]
                     room -= sizes[i] + 100
