@@ -2,9 +2,10 @@
 
 A text is cut into sentences: behind a line end, and behind ``. ! ?`` before
 white space or the end. A sentence of over ``LONG`` words counts as several,
-one for every ``LONG`` words. Every run of ``RUN`` consecutive sentences of at
-least ``WORDS`` words together is a span, identified by a 128-bit hash of its
-words in lower case. Of spans that occur more than once anywhere, all but the
+one for every ``LONG`` words. From every sentence on, the fewest consecutive
+ones that are ``RUN`` at least and have ``WORDS`` words together are a span,
+identified by a 128-bit hash of its words in lower case (``growing_runs``;
+``fixed_runs`` takes only runs of exactly ``RUN`` sentences). Of spans that occur more than once anywhere, all but the
 first occurrence (smallest doc_id, then place in the text) are cut out.
 
 Hashes are first counted over all texts; a bitmap of bounded size then lets a
@@ -36,12 +37,11 @@ def _is_space(cp: np.ndarray) -> np.ndarray:
         cp == 0x2028) | (cp == 0x2029) | (cp == 0x3000)
 
 
-def spans(texts: list[str], run: int = RUN, words: int = WORDS, long: int = LONG) -> dict[str, np.ndarray]:
-    """All spans of the texts: text number, first and end character (in code
-    points, from the text's start) and two hashes."""
+def _sentences(texts: list[str], long: int):
+    """Of the joined texts: their characters, ends, each word's start and hash,
+    and each sentence's first word and text."""
     cp = code_points("".join(t + "\n" for t in texts))
-    lengths = np.array([len(t) + 1 for t in texts], dtype=np.int64)
-    ends = np.cumsum(lengths)
+    ends = np.cumsum(np.array([len(t) + 1 for t in texts], dtype=np.int64))
     start, _, value = word_ranges(cp)
     stop = np.isin(cp, _END) & np.concatenate([_is_space(cp[1:]), [True]])
     stop |= cp == 10
@@ -50,41 +50,59 @@ def spans(texts: list[str], run: int = RUN, words: int = WORDS, long: int = LONG
     first = np.flatnonzero(new)
     place = np.arange(len(start)) - np.repeat(first, np.diff(np.concatenate([first, [len(start)]])))
     first = np.flatnonzero(place % long == 0)
-    count = np.diff(np.concatenate([first, [len(start)]]))
-    text = np.searchsorted(ends, start[first], side="right")
-    n = len(first) - run + 1
-    if n <= 0:
-        return {k: np.zeros(0, np.int64) for k in ("text", "begin", "end", "a", "b")}
-    begin = first[:n]
-    end = np.concatenate([first, [len(start)]])[run:]
-    ok = (text[:n] == text[run - 1:]) & (end - begin >= words)
-    before = np.cumsum(np.concatenate([[0], lengths]))[:-1]
-    # A sentence reaches to the next one's first word, a text's last one to its end.
-    at = np.concatenate([start[first], [len(cp)]])
-    close = np.minimum(at[run:], ends[text[run - 1:]] - 1)
-    begin, end, owner = begin[ok], end[ok], text[:n][ok]
-    return {"text": owner, "begin": start[begin] - before[owner], "end": close[ok] - before[owner],
+    return cp, ends, start, value, first, np.searchsorted(ends, start[first], side="right")
+
+
+def _ranges(cp, ends, start, value, begin, end) -> dict[str, np.ndarray]:
+    """The spans of the words ``begin`` to ``end`` (exclusive), each within a text."""
+    owner = np.searchsorted(ends, start[begin], side="right")
+    before = np.concatenate([[0], ends])[owner]
+    # A span reaches to the next word, a text's last one to its end.
+    close = np.minimum(np.concatenate([start, [len(cp)]])[end], ends[owner] - 1)
+    return {"text": owner, "begin": start[begin] - before, "end": close - before,
             "a": range_hashes(value, begin, end, 1).view(np.int64),
             "b": range_hashes(value, begin, end, 2).view(np.int64)}
 
 
-def _count(run: int, words: int, long: int):
+def fixed_runs(texts: list[str], run: int = RUN, words: int = WORDS, long: int = LONG) -> dict[str, np.ndarray]:
+    """The spans of exactly ``run`` sentences, if of ``words`` words: text number, first
+    and end character (in code points, from the text's start) and two hashes."""
+    cp, ends, start, value, first, text = _sentences(texts, long)
+    n = max(0, len(first) - run + 1)
+    begin = first[:n]
+    end = np.concatenate([first, [len(start)]])[run:run + n]
+    ok = (text[:n] == text[run - 1:run - 1 + n]) & (end - begin >= words)
+    return _ranges(cp, ends, start, value, begin[ok], end[ok])
+
+
+def growing_runs(texts: list[str], run: int = RUN, words: int = WORDS, long: int = LONG) -> dict[str, np.ndarray]:
+    """As ``fixed_runs``, of the fewest sentences from each one on that are
+    ``run`` at least and have ``words`` words together."""
+    cp, ends, start, value, first, text = _sentences(texts, long)
+    bounds = np.concatenate([first, [len(start)]])
+    last = np.maximum(np.arange(len(first)) + run, np.searchsorted(bounds, first + words))
+    ok = last <= len(first)
+    ok[ok] = text[last[ok] - 1] == text[ok]
+    return _ranges(cp, ends, start, value, first[ok], bounds[last[ok]])
+
+
+def _count(rule, run: int, words: int, long: int):
     def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = pdf["text"].tolist()
             for a, b in chunks(texts):
-                found, n = np.unique(spans([t or "" for t in texts[a:b]], run, words, long)["a"], return_counts=True)
+                found, n = np.unique(rule([t or "" for t in texts[a:b]], run, words, long)["a"], return_counts=True)
                 yield pd.DataFrame({"a": found, "n": n})
     return go
 
 
-def _send(run: int, words: int, long: int, shared):
+def _send(rule, run: int, words: int, long: int, shared):
     def go(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         wanted = np.frombuffer(shared.value, np.uint8)
         for pdf in batches:
             texts = pdf["text"].tolist()
             for a, b in chunks(texts):
-                found = pd.DataFrame(spans([t or "" for t in texts[a:b]], run, words, long))
+                found = pd.DataFrame(rule([t or "" for t in texts[a:b]], run, words, long))
                 found = found[bits.contains(wanted, found["a"].to_numpy())] if len(found) else found
                 if len(found):
                     keys = pdf[["doc_id", "h1", "h2"]].iloc[a + found["text"].to_numpy()].reset_index(drop=True)
@@ -92,15 +110,15 @@ def _send(run: int, words: int, long: int, shared):
     return go
 
 
-def later_spans(docs: DataFrame, run: int = RUN, words: int = WORDS, long: int = LONG) -> DataFrame:
+def later_spans(docs: DataFrame, run: int = RUN, words: int = WORDS, long: int = LONG, rule=fixed_runs) -> DataFrame:
     """(doc_id, h1, h2, begins, ends): character ranges of spans that occurred before."""
     h1, h2 = text_key(F.col("text"))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).where("text IS NOT NULL")
-    again = materialise(source.select("text").mapInPandas(_count(run, words, long), "a long, n long")
+    again = materialise(source.select("text").mapInPandas(_count(rule, run, words, long), "a long, n long")
                         .groupBy("a").agg(F.sum("n").alias("n")).where("n > 1").select("a"), "span-hashes")
     shared = docs.sparkSession.sparkContext.broadcast(bits.build(again).tobytes())
     found = materialise(source.select("doc_id", "text", h1.alias("h1"), h2.alias("h2")).mapInPandas(
-        _send(run, words, long, shared), "doc_id long, h1 long, h2 long, begin long, end long, a long, b long"), "spans")
+        _send(rule, run, words, long, shared), "doc_id long, h1 long, h2 long, begin long, end long, a long, b long"), "spans")
     at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2", "begin")
     firsts = found.groupBy("a", "b").agg(F.min(at).alias("first"))
     later = (found.join(firsts, ["a", "b"]).where(at != F.col("first"))
@@ -128,8 +146,9 @@ def _cut(texts: pd.Series, begins: pd.Series, ends: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["text", "n_removed", "n_spans"])
 
 
-def remove_later_spans(docs: DataFrame, run: int = RUN, words: int = WORDS, long: int = LONG) -> DataFrame:
-    """``docs`` (doc_id, text) without sentences in a span that occurred before.
+def remove_later_spans(docs: DataFrame, run: int = RUN, words: int = WORDS, long: int = LONG,
+                       rule=fixed_runs) -> DataFrame:
+    """``docs`` (doc_id, text) without sentences in a span (by ``rule``) that occurred before.
 
     One row per input row: doc_id, n_chars (of the input), n_removed
     (characters cut), n_spans (places cut) and text (what is left). A NULL text
@@ -137,7 +156,7 @@ def remove_later_spans(docs: DataFrame, run: int = RUN, words: int = WORDS, long
     come after all others. Rows that repeat a doc_id and its text are the same
     document and lose the same spans; other columns are ignored.
     """
-    later = materialise(later_spans(docs, run, words, long), "later-spans")
+    later = materialise(later_spans(docs, run, words, long, rule), "later-spans")
     h1, h2 = text_key(F.col("text"))
     tagged = docs.select(F.col("doc_id"), F.col("text"), h1.alias("t1"), h2.alias("t2"))
     joined = tagged.join(later, tagged["doc_id"].cast("long").eqNullSafe(later["doc_id"])
@@ -149,4 +168,4 @@ def remove_later_spans(docs: DataFrame, run: int = RUN, words: int = WORDS, long
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` without sentence spans that occurred before."""
-    return remove_later_spans(table(spark, sf_dir, "documents"))
+    return remove_later_spans(table(spark, sf_dir, "documents"), rule=growing_runs)

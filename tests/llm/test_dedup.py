@@ -167,6 +167,35 @@ def test_a_long_sentence_repeats(frame):
     assert passage.split()[10] in got[0] and passage.split()[10] not in got[1]
 
 
+def on_documents(llm, tmp_path, rows, query):
+    """What a query makes of (doc_id, text) rows: doc_id -> text."""
+    llm.createDataFrame(rows, "doc_id long, text string").coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    return {r.doc_id: r.text for r in query(llm, str(tmp_path)).collect()}
+
+
+def repeated_windows(rows, left, n=50):
+    """Windows of n words left in a text that stand in an earlier one."""
+    seen, out = set(), []
+    for d, text in rows:
+        w, kept = brute.words(text), brute.words(left[d])
+        out += [k for i in range(len(kept) - n + 1) if (k := tuple(kept[i:i + n])) in seen]
+        seen |= {tuple(w[i:i + n]) for i in range(len(w) - n + 1)}
+    return out
+
+
+def test_op1_cuts_passages_of_short_sentences(llm, tmp_path):
+    rng = random.Random(5)
+
+    def passage(end, size):
+        return "".join(f"p{rng.randrange(10_000)}" + (end if i % size == size - 1 else " ") for i in range(60))
+    passages = [passage("\n", 5), passage("! ", 3), passage("!! ", 1), passage(". ", 4)]
+    rows = [(10 * k + i, f"{prose(rng, 20)}.\n{p}\n{prose(rng, 20)}") for k, p in enumerate(passages) for i in range(3)]
+    left = on_documents(llm, tmp_path, rows, sentence_spans.op1_substring_dedup)
+    assert not repeated_windows(rows, left) and repeated_windows(rows, dict(rows))
+    for k, p in enumerate(passages):
+        assert left[10 * k] == rows[3 * k][1] and not {*brute.words(p)[20:40]} & {*brute.words(left[10 * k + 1])}
+
+
 # ------------------------------------------------------------------- op 10
 
 def test_layouts_reach_their_recall():
