@@ -1,11 +1,20 @@
 """Removal of sentences in runs that occurred before: substring dedup.
 
-A text is cut into sentences: behind a line end, and behind ``. ! ?`` before
-white space or the end. A sentence of over ``LONG`` words counts as several,
-one for every ``LONG`` words. From every sentence on, the fewest consecutive
-ones that are ``RUN`` at least and have ``WORDS`` words together are a span,
-identified by a 128-bit hash of its words in lower case (``growing_runs``;
-``fixed_runs`` takes only runs of exactly ``RUN`` sentences). Of spans that occur more than once anywhere, all but the
+A text is cut into sentences: behind a line end, behind a stop with white space
+(or the end) before the next word, whatever marks stand between, and behind a
+stop of scripts that put no blank there. Two kinds of spans are identified by a
+128-bit hash of their words in lower case (``passages``):
+
+- From every sentence on, the fewest consecutive ones that are ``RUN`` at least
+  and have ``WORDS`` words together.
+- ``LONG`` words from each word on that has the smallest hash of some ``LONG``
+  consecutive words. Their places depend on nothing but the words around, so
+  every run of ``2 * LONG - 1`` words that occurs again holds one in both
+  places, whatever its sentences and marks.
+
+A letter of a script without blanks counts as a word (Thai, Chinese, Japanese).
+``fixed_runs`` is a narrower rule: exactly ``RUN`` sentences, ended by ``. ! ?``
+directly before white space and cut at every ``LONG``-th word. Of spans that occur more than once anywhere, all but the
 first occurrence (smallest doc_id, then place in the text) are cut out.
 
 Hashes are first counted over all texts; a bitmap of bounded size then lets a
@@ -25,11 +34,18 @@ from pyspark.sql import types as T
 from . import bits
 from .common import materialise, table, text_key
 from .text import chunks, code_points, range_hashes, word_ranges
+from .winnow import _window_min
 
 RUN = 2
 WORDS = 12
 LONG = 25
+_PLACE = np.uint64((1 << 32) - 1)
 _END = np.frombuffer(".!?".encode("utf-32-le"), dtype="<u4")
+#: Stops that white space must follow, behind other marks or not; stops that end a sentence by themselves.
+_STOPS = np.frombuffer(".!?\u2026\u203c\u203d\u2047\u2048\u2049\u061f\u06d4\u0700\u0701\u0702\u0589\u1362\u1367\u1368"
+                       .encode("utf-32-le"), dtype="<u4")
+_FULL_STOPS = np.frombuffer("\u3002\uff0e\uff01\uff1f\uff61\u0964\u0965\u104a\u104b\u17d4\u17d5\u0f0d\u0f0e\u1803\u1809"
+                            .encode("utf-32-le"), dtype="<u4")
 
 
 def _is_space(cp: np.ndarray) -> np.ndarray:
@@ -75,15 +91,40 @@ def fixed_runs(texts: list[str], run: int = RUN, words: int = WORDS, long: int =
     return _ranges(cp, ends, start, value, begin[ok], end[ok])
 
 
-def growing_runs(texts: list[str], run: int = RUN, words: int = WORDS, long: int = LONG) -> dict[str, np.ndarray]:
-    """As ``fixed_runs``, of the fewest sentences from each one on that are
-    ``run`` at least and have ``words`` words together."""
-    cp, ends, start, value, first, text = _sentences(texts, long)
+def _stopped(cp: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """For each word, whether a sentence ends between the word before and it."""
+    at = np.arange(len(cp))
+    stop = np.maximum.accumulate(np.where(np.isin(cp, _STOPS), at, -1))
+    blank = np.maximum.accumulate(np.where(_is_space(cp), at, -1))
+    end = np.maximum.accumulate(np.where((cp == 10) | np.isin(cp, _FULL_STOPS), at, -1))
+    # White space behind a stop: one is its last place with a stop before it.
+    behind = np.where(blank >= 0, stop[blank], -1)
+    last = np.maximum(behind, end)[start]
+    return last >= np.concatenate([[0], start[:-1]])[:len(start)]
+
+
+def passages(texts: list[str], run: int = RUN, words: int = WORDS, long: int = LONG) -> dict[str, np.ndarray]:
+    """As ``fixed_runs``, the spans of both kinds: of the fewest sentences from
+    each one on that are ``run`` at least and have ``words`` words together, and
+    of ``long`` words at places chosen by the words."""
+    cp = code_points("".join(t + "\n" for t in texts))
+    ends = np.cumsum(np.array([len(t) + 1 for t in texts], dtype=np.int64))
+    start, _, value = word_ranges(cp, unspaced=True)
+    text = np.searchsorted(ends, start, side="right")
+    first = np.flatnonzero(_stopped(cp, start) | (np.diff(text, prepend=-1) != 0))
     bounds = np.concatenate([first, [len(start)]])
     last = np.maximum(np.arange(len(first)) + run, np.searchsorted(bounds, first + words))
     ok = last <= len(first)
-    ok[ok] = text[last[ok] - 1] == text[ok]
-    return _ranges(cp, ends, start, value, first[ok], bounds[last[ok]])
+    ok[ok] = text[first[last[ok] - 1]] == text[first[ok]]
+    begin, end = first[ok], bounds[last[ok]]
+    if len(start) >= long:
+        whole = text[long - 1:] == text[:len(text) - long + 1]  # windows within one text
+        least = _window_min((value & ~_PLACE) | np.arange(len(value), dtype=np.uint64), long) & _PLACE
+        piece = np.unique(least[whole].astype(np.int64))
+        piece = piece[piece + long <= len(start)]
+        piece = piece[text[piece + long - 1] == text[piece]]
+        begin, end = np.concatenate([begin, piece]), np.concatenate([end, piece + long])
+    return _ranges(cp, ends, start, value, begin, end)
 
 
 def _count(rule, run: int, words: int, long: int):
@@ -168,4 +209,4 @@ def remove_later_spans(docs: DataFrame, run: int = RUN, words: int = WORDS, long
 
 def op1_substring_dedup(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` without sentence spans that occurred before."""
-    return remove_later_spans(table(spark, sf_dir, "documents"), rule=growing_runs)
+    return remove_later_spans(table(spark, sf_dir, "documents"), rule=passages)

@@ -114,12 +114,33 @@ def _lower() -> np.ndarray:
     return out
 
 
-def word_ranges(text: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and hash (by lower case) of each word in an array of code points."""
+#: Scripts written without blanks between words.
+_UNSPACED = [(0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3040, 0x30FF), (0x31F0, 0x31FF), (0x3400, 0x4DBF),
+             (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x20000, 0x3FFFF)]
+
+
+@functools.cache
+def _unspaced() -> np.ndarray:
+    out = np.zeros(0x110000, dtype=bool)
+    for low, high in _UNSPACED:
+        out[low:high + 1] = True
+    return out & _characters()[0]
+
+
+def word_ranges(text: np.ndarray, unspaced: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and hash (by lower case) of each word in an array of code points.
+
+    ``unspaced``: each letter of a script without blanks counts as a word.
+    """
     is_word, values = _characters()
     inside = np.concatenate([is_word[text], [False]])
-    step = np.diff(inside.astype(np.int8), prepend=np.int8(0))
-    start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    before = np.concatenate([[False], inside[:-1]])
+    cut = np.zeros(len(inside), dtype=bool)
+    if unspaced:
+        alone = _unspaced()[text]
+        cut[:-1] |= alone
+        cut[1:] |= alone
+    start, end = np.flatnonzero(inside & (~before | cut)), np.flatnonzero(before & (~inside | cut))
     up, down = _powers(1 << max(10, int(len(text)).bit_length()))
     total = np.zeros(len(text) + 1, dtype=np.uint64)
     np.cumsum(np.where(inside[:-1], values[_lower()[text]], np.uint64(0)) * up[:len(text)], out=total[1:])

@@ -196,6 +196,36 @@ def test_op1_cuts_passages_of_short_sentences(llm, tmp_path):
         assert left[10 * k] == rows[3 * k][1] and not {*brute.words(p)[20:40]} & {*brute.words(left[10 * k + 1])}
 
 
+def test_op1_cuts_passages_whatever_their_sentences(llm, tmp_path):
+    rng = random.Random(6)
+
+    def words(n):
+        return [f"p{rng.randrange(10_000)}" for _ in range(n)]
+    running = [" ".join(words(n)) for n in (50, 64, 300)]
+    passages = [(p, p) for p in running]
+    marked = words(60)
+    passages.append((" ".join(f"{w}.***" if i % 8 == 7 else w for i, w in enumerate(marked)), " ".join(marked)))
+    quoted = words(60)
+    passages.append((" ".join(f'{w}."' if i % 7 == 6 else w for i, w in enumerate(quoted)),) * 2)
+    rows = []
+    for k, (one, two) in enumerate(passages):
+        rows += [(10 * k + i, f"{' '.join(words(3 + 7 * i))} {p} {' '.join(words(30))}") for i, p in enumerate([one, two, one])]
+    left = on_documents(llm, tmp_path, rows, sentence_spans.op1_substring_dedup)
+    assert not repeated_windows(rows, left) and all(left[10 * k] == rows[3 * k][1] for k in range(len(passages)))
+
+
+def test_sentences_of_other_scripts_and_closing_marks():
+    def cut(text):
+        first = sentence_spans.passages([text], run=1, words=1, long=1000)["begin"].tolist()
+        return [text[a:b].strip() for a, b in zip(first, [*first[1:], len(text)])]
+    assert cut("यह। वह") == ["यह।", "वह"] and cut("یہ ہے۔ وہ کیا؟ ہاں") == ["یہ ہے۔", "وہ کیا؟", "ہاں"]
+    assert cut("他来了。我走了！好吗？") == ["他来了。", "我走了！", "好吗？"]
+    assert cut('He said." Then 3.5 was.*** x') == ['He said."', "Then 3.5 was.***", "x"]
+    chinese = "他来了我走了今天天气很好我们一起去公园散步然后回家吃饭看书睡觉明天再见朋友们都很高兴见到你们来这里玩了一整天"
+    a, b = (sentence_spans.passages([t])["a"].tolist() for t in (chinese, "x" + chinese))
+    assert set(a) & set(b)
+
+
 # ------------------------------------------------------------------- op 10
 
 def test_layouts_reach_their_recall():
