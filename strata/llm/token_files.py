@@ -186,17 +186,22 @@ class Encoder:
     at blanks and line ends, and anywhere else in the rare text that has
     white space before a blank. The library encodes each part that is not
     remembered.
+
+    ``added``: names of added tokens in a text ("<|endoftext|>") become these
+    tokens' ids, as the library does by default, and texts that hold one are
+    encoded whole by it. Otherwise such names are ordinary text.
     """
 
     _cut = re.compile(r"(?<=\S)(?=\s)")
     _marks = ".,;:!?*#%&$+=-_()[]{}<>/|\""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        # The names of special tokens in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
+        self.added = re.compile("|".join(map(re.escape, names))) if names else None
         self._batch = functools.partial(self.tokenizer.encode_batch_fast, add_special_tokens=False)
         self.line_end, = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self._end = np.array([self.line_end], dtype="<u4").tobytes()
@@ -252,6 +257,19 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
+        whole = [i for i, t in enumerate(texts) if self.added.search(t)] if self.added else []
+        if whole:
+            texts = list(texts)
+            ids = self._encode([texts[i] for i in whole])
+            for i in whole:
+                texts[i] = ""
+            out = self._encode_plain(texts)
+            for i, x in zip(whole, ids):
+                out[i] = x
+            return out
+        return self._encode_plain(texts)
+
+    def _encode_plain(self, texts: list[str]) -> list[bytes]:
         words = self.words
         split = [t.replace("\n", " \n").split(" ") for t in texts]
         heads = [s[0] for s in split]
@@ -284,13 +302,13 @@ def _split(ids: np.ndarray, sizes: list[int]) -> list[bytes]:
 
 
 @functools.cache
-def _encoder(path: str) -> Encoder:
-    return Encoder(path)
+def _encoder(path: str, added: bool) -> Encoder:
+    return Encoder(path, added)
 
 
-def _segments(path: str):
+def _segments(path: str, added: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder = _encoder(path)
+        encoder = _encoder(path, added)
         end = np.array([END], dtype="<u4").tobytes()
         ids: list[bytes] = []
         docs: list = []
@@ -318,11 +336,12 @@ def _segments(path: str):
     return run
 
 
-def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
+def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, added: bool = False) -> None:
     """Encode the texts of ``docs`` (doc_id, text) and write them to ``path``.
 
     Ascending doc_id (NULL first); rows that share a doc_id come in the order
     of their text's hash. A NULL text is empty. Each document ends with id 0.
+    ``added``: names of added tokens become their ids (see ``Encoder``).
     """
     spark = docs.sparkSession
     ordered = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
@@ -330,7 +349,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None) -> None:
                .repartitionByRange(shuffle_width(spark), "doc_id", "h").sortWithinPartitions("doc_id", "h")
                .withColumn("part", F.spark_partition_id()).select("part", "doc_id", "text"))
     schema = "part int, segment int, before long, n_ids long, doc_ids array<long>, payload binary"
-    (ordered.mapInPandas(_segments(tokenizer or default_tokenizer()), schema)
+    (ordered.mapInPandas(_segments(tokenizer or default_tokenizer(), added), schema)
      .write.option("compression", "none").parquet(path))
 
 
@@ -362,5 +381,5 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 def op8_token_files(spark, sf_dir: str) -> DataFrame:
     """All ``documents`` written as ids, and read back from the files."""
     path = scratch_path(spark, "token-ids")
-    write_ids(table(spark, sf_dir, "documents"), path)
+    write_ids(table(spark, sf_dir, "documents"), path, added=True)
     return read_ids(spark, path)

@@ -279,6 +279,20 @@ def test_token_files(frame, llm, tmp, monkeypatch):
     assert token_files.read_ids(llm, tmp + "/none").count() == 0
 
 
+def test_op8_gives_added_tokens_their_ids(llm, tmp_path):
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(token_files.default_tokenizer())
+    texts = ["plain text", "a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|>\n<|endoftext|> y <|endoftext", None, "behind all"]
+    assert 50256 in whole.encode(texts[1], add_special_tokens=False).ids
+    llm.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(token_files.op8_token_files(llm, str(tmp_path)).collect(), key=lambda r: r.start)
+    start = 0
+    for i, t in enumerate(texts):
+        ids = [*whole.encode(t or "", add_special_tokens=False).ids, 0]
+        assert tuple(got[i]) == (i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+
+
 # ------------------------------------------------------------------- op 9
 
 def brute_nearest(rows, every, k):
