@@ -87,6 +87,11 @@ class Flattener(HTMLParser):
         self.links -= sum(e[0] == "a" for e in self.open[index:])
         del self.open[index:]
 
+    def parse_marked_section(self, i, report=1):
+        if self.rawdata[i + 3:i + 9].lower() == "cdata[":
+            return super().parse_marked_section(i, report)
+        return self.parse_bogus_comment(i, report)  # up to the next ">", whatever it names
+
     def handle_starttag(self, tag, attrs):
         if tag not in INLINE:
             self.flush()
@@ -134,11 +139,8 @@ class Flattener(HTMLParser):
 
 def blocks(html: str | None) -> list[tuple[str, int, int, bool, bool]]:
     parser = Flattener()
-    try:
-        parser.feed(html or "")
-        parser.close()
-    except AssertionError:  # html.parser's answer to some broken declarations
-        pass
+    parser.feed(html or "")
+    parser.close()
     parser.flush()
     return parser.blocks
 

@@ -176,6 +176,20 @@ def test_main_text(llm):
     assert html_text.main_text(pages.limit(0)).count() == 0
 
 
+def op5_text(llm, tmp_path, pages):
+    """What op5 makes of each page."""
+    llm.createDataFrame([(i, None, h) for i, h in enumerate(pages)], "page_id long, url string, html string").write.parquet(
+        f"{tmp_path}/pages.parquet")
+    return [r.text for r in sorted(html_text.op5_html_extraction(llm, str(tmp_path)).collect(), key=lambda r: r.page_id)]
+
+
+def test_op5_reads_on_behind_declarations(llm, tmp_path):
+    declarations = ["<![end if]-->", "<![ endif]>", "<![>", "<![foo[x]]>", "<![if !IE>", "<![endif]-->", "<!x>", "<![CDATA[a > b]]>"]
+    pages = [f"<article><p>one</p>{d}<p>two</p></article>" for d in declarations]
+    assert op5_text(llm, tmp_path, pages) == ["one two"] * len(declarations)
+    assert "two" in " ".join(b[0] for b in html_text.blocks("<p>one</p><p>two</p><![end if"))
+
+
 def test_the_tree_fits_its_table(llm):
     model = html_text.train_tree(llm)
     rows = llm.createDataFrame([tuple(map(float, r)) for r in html_text.LABELLED], [*html_text.FEATURES, "label"])
