@@ -28,6 +28,9 @@ FEATURES = ["words", "links", "words_before", "links_before", "words_behind", "l
 #: Elements whose content is no text of the page.
 SILENT = {"script", "style", "head", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio",
           "video", "select", "textarea", "button", "datalist", "title"}
+#: What may stand in a head; anything else ends it.
+IN_HEAD = {"base", "basefont", "bgsound", "head", "html", "link", "meta", "noframes", "noscript", "script", "style",
+           "template", "title"}
 ASIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset"}
 ARTICLE = {"article", "main"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
@@ -50,6 +53,7 @@ ASIDE_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advert
                "pager", "copyright", "legal", "disclaimer", "toolbar", "search"}
 COMMENT_WORDS = {"comment", "comments", "reply", "ad", "advert", "advertisement", "sponsored"}
 _WORDS = re.compile(r"[a-z0-9]+")
+_TITLE_END = re.compile(r"</?title|<body", re.IGNORECASE)
 
 
 def _names_aside(names: str, tag: str) -> bool:
@@ -71,6 +75,7 @@ class Flattener(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.open: list[tuple[str, bool, bool, bool]] = []  # tag, silent, aside, article (inherited)
         self.links = 0
+        self.at = 0
         self.parts: list[tuple[str, bool]] = []
         self.blocks: list[tuple[str, int, int, bool, bool]] = []
 
@@ -92,7 +97,25 @@ class Flattener(HTMLParser):
             return super().parse_marked_section(i, report)
         return self.parse_bogus_comment(i, report)  # up to the next ">", whatever it names
 
+    def parse_starttag(self, i):
+        self.at = i
+        return super().parse_starttag(i)
+
+    def _in_title(self, tag: str) -> bool:
+        """Whether the tag is text of an open title. One that is never closed ends here, and so does an open head."""
+        if self.open and self.open[-1][0] == "title":
+            found = _TITLE_END.search(self.rawdata, self.at)
+            if found and found.group(0).lower() == "</title":
+                return True
+            if tag not in IN_HEAD:
+                self._close(len(self.open) - 1)
+        if self.open and self.open[-1][0] == "head" and tag not in IN_HEAD:
+            self._close(len(self.open) - 1)
+        return False
+
     def handle_starttag(self, tag, attrs):
+        if self._in_title(tag):
+            return
         if tag not in INLINE:
             self.flush()
             self._end_implied(tag)
@@ -133,6 +156,8 @@ class Flattener(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.open and self.open[-1][0] == "head" and data.strip():
+            self._close(len(self.open) - 1)
         if not (self.open and self.open[-1][1]):
             self.parts.append((data, self.links > 0))
 

@@ -190,6 +190,16 @@ def test_op5_reads_on_behind_declarations(llm, tmp_path):
     assert "two" in " ".join(b[0] for b in html_text.blocks("<p>one</p><p>two</p><![end if"))
 
 
+def test_op5_reads_pages_without_end_of_head(llm, tmp_path):
+    body = "<article><h1>Head line</h1><p>Text <b>of</b> it</p></article>"
+    heads = ["<html><head><title>T</title><meta charset=x><style>p{}</style><body>", "<head><title>T</title><script>x</script>",
+             "<head><title>T<body>", "<title>T", "<head>", "<head><title>Use <b>bold</b> <p></title></head><body>",
+             "<head><noscript><link href=x></noscript><link href=y>", "<head><title>T</title></head><body>"]
+    pages = [h + body for h in heads]
+    assert op5_text(llm, tmp_path, pages) == ["Head line Text of it"] * len(pages)
+    assert html_text.blocks("<head><title>T</title> bare text")[0][0] == "bare text"
+
+
 def test_the_tree_fits_its_table(llm):
     model = html_text.train_tree(llm)
     rows = llm.createDataFrame([tuple(map(float, r)) for r in html_text.LABELLED], [*html_text.FEATURES, "label"])
