@@ -2,9 +2,10 @@
 
 A page is flattened to its text blocks. Each has its word count and link
 density (share of words inside links), those of the blocks before and behind
-it, and what encloses it: an article, and parts that are never its text
-(menus, headers, footers, sidebars, notices, adverts, forms, comments; by
-element, role and the words of class and id). A decision tree is trained on a
+it, and what encloses it: an article, parts that are never its text (menus,
+headers, footers, sidebars, notices, adverts, forms, comments; by element, role
+and exact class), and parts whose class or id only holds such a word, which
+counts with words and links but decides nothing alone (``named``). A decision tree is trained on a
 small labelled table of such blocks and applied as a column expression, so
 pages are neither shuffled nor split over tasks.
 """
@@ -23,7 +24,8 @@ from pyspark.sql import functions as F
 
 from .common import table
 
-FEATURES = ["words", "links", "words_before", "links_before", "words_behind", "links_behind", "article", "aside"]
+FEATURES = ["words", "links", "words_before", "links_before", "words_behind", "links_behind", "article", "aside",
+            "named"]
 
 #: Elements whose content is no text of the page.
 SILENT = {"script", "style", "head", "noscript", "template", "svg", "math", "iframe", "object", "canvas", "audio",
@@ -33,6 +35,7 @@ IN_HEAD = {"base", "basefont", "bgsound", "head", "html", "link", "meta", "nofra
            "template", "title"}
 ASIDE = {"nav", "header", "footer", "aside", "form", "menu", "dialog", "fieldset"}
 ARTICLE = {"article", "main"}
+HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 INLINE = {"a", "abbr", "acronym", "b", "bdi", "bdo", "big", "cite", "code", "data", "del", "dfn", "em", "font", "i",
           "ins", "kbd", "label", "mark", "meter", "nobr", "output", "progress", "q", "rp", "rt", "ruby", "s", "samp",
           "small", "span", "strike", "strong", "sub", "sup", "time", "tt", "u", "var", "wbr", "br", "img"}
@@ -57,7 +60,7 @@ _TITLE_END = re.compile(r"</?title|<body", re.IGNORECASE)
 
 
 def _names_aside(names: str, tag: str) -> bool:
-    """Whether class and id name a part that is no main text ("has-sidebar" does not)."""
+    """Whether class and id hold the name of a part that is no main text ("has-sidebar" does not)."""
     wanted = COMMENT_WORDS if tag in ARTICLE else ASIDE_WORDS
     for name in names.split():
         before = ""
@@ -68,25 +71,30 @@ def _names_aside(names: str, tag: str) -> bool:
     return False
 
 
+def _is_aside(classes: str, tag: str) -> bool:
+    """Whether a class is exactly such a name."""
+    return not (COMMENT_WORDS if tag in ARTICLE else ASIDE_WORDS).isdisjoint(classes.split())
+
+
 class Flattener(HTMLParser):
-    """Collects (text, words, words in links, in article, aside) per block."""
+    """Collects (text, words, words in links, in article, aside, named) per block."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool, bool]] = []  # tag, silent, aside, article (inherited)
+        self.open: list[tuple[str, bool, bool, bool, bool]] = []  # tag, silent, aside, article, named (inherited)
         self.links = 0
         self.at = 0
         self.parts: list[tuple[str, bool]] = []
-        self.blocks: list[tuple[str, int, int, bool, bool]] = []
+        self.blocks: list[tuple[str, int, int, bool, bool, bool]] = []
 
     def flush(self) -> None:
         parts, self.parts = self.parts, []
         text = " ".join("".join(p for p, _ in parts).split())
         if text:
-            _, _, aside, article = self.open[-1] if self.open else ("", False, False, False)
+            _, _, aside, article, named = self.open[-1] if self.open else ("", False, False, False, False)
             linked = len(" ".join(p for p, a in parts if a).split())
             n = len(text.split(" "))
-            self.blocks.append((text, n, min(n, linked), article, aside))
+            self.blocks.append((text, n, min(n, linked), article, aside, named and not aside))
 
     def _close(self, index: int) -> None:
         self.links -= sum(e[0] == "a" for e in self.open[index:])
@@ -123,15 +131,19 @@ class Flattener(HTMLParser):
             self.parts.append(("\n", False))
         if tag in VOID:
             return
-        _, silent, aside, article = self.open[-1] if self.open else ("", False, False, False)
-        named = {k: (v or "").lower() for k, v in attrs}
-        if tag in ASIDE or named.get("role") in ROLES or "hidden" in named or named.get("aria-hidden") == "true":
+        _, silent, aside, article, named = self.open[-1] if self.open else ("", False, False, False, False)
+        given = {k: (v or "").lower() for k, v in attrs}
+        classes = given.get("class", "")
+        if tag in ASIDE or given.get("role") in ROLES or "hidden" in given or given.get("aria-hidden") == "true":
             aside = True
-        elif tag not in ("body", "html") and _names_aside(named.get("class", "") + " " + named.get("id", ""), tag):
-            aside = True
-        article = article or tag in ARTICLE or named.get("role") in ("main", "article")
+        elif tag not in ("body", "html"):
+            aside = aside or _is_aside(classes, tag)
+            # A heading's id is made from its own words; what names the whole article says nothing of a block.
+            own = _names_aside(classes + " " + (given.get("id", "") if tag not in HEADINGS else ""), tag)
+            named = own or (named and tag not in ARTICLE)
+        article = article or tag in ARTICLE or given.get("role") in ("main", "article")
         self.links += tag == "a"
-        self.open.append((tag, silent or tag in SILENT, aside, article))
+        self.open.append((tag, silent or tag in SILENT, aside, article, named))
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -162,7 +174,7 @@ class Flattener(HTMLParser):
             self.parts.append((data, self.links > 0))
 
 
-def blocks(html: str | None) -> list[tuple[str, int, int, bool, bool]]:
+def blocks(html: str | None) -> list[tuple[str, int, int, bool, bool, bool]]:
     parser = Flattener()
     parser.feed(html or "")
     parser.close()
@@ -189,6 +201,7 @@ def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 numbers["links_behind"] += [*density[1:], 0.0] if found else []
                 numbers["article"] += [b[3] for b in found]
                 numbers["aside"] += [b[4] for b in found]
+                numbers["named"] += [b[5] for b in found]
                 offsets.append(len(texts))
             rows = pa.StructArray.from_arrays(
                 [pa.array(texts, pa.string()), *(pa.array([float(x) for x in numbers[f]], pa.float64()) for f in FEATURES)],
@@ -197,8 +210,8 @@ def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pydict(own | {"blocks": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rows)})
 
 
-#: Labelled blocks: FEATURES, then whether the block is main text.
-LABELLED = [
+#: Labelled blocks: FEATURES but the last, then whether the block is main text.
+_UNNAMED = [
     # Inside an article: text of any length, headings, captions, a linked paragraph.
     (120, 0.0, 8, 0.0, 90, 0.0, 1, 0, 1), (60, 0.05, 120, 0.0, 3, 0.0, 1, 0, 1), (1, 0.0, 60, 0.0, 45, 0.0, 1, 0, 1),
     (8, 0.0, 5, 1.0, 120, 0.0, 1, 0, 1), (3, 0.0, 0, 0.0, 2, 0.0, 1, 0, 1), (2, 0.0, 4, 0.0, 0, 0.0, 1, 0, 1),
@@ -221,14 +234,39 @@ LABELLED = [
     (5, 1.0, 90, 0.0, 60, 0.0, 0, 0, 0), (60, 0.7, 3, 1.0, 40, 0.6, 0, 0, 0), (2, 0.0, 0, 0.0, 3, 1.0, 0, 0, 0),
     (1, 0.0, 5, 0.9, 1, 0.0, 0, 0, 0), (6, 0.0, 4, 0.0, 0, 0.0, 0, 0, 0), (8, 0.6, 20, 0.0, 15, 0.0, 0, 0, 0),
 ]
+#: The same below a class or id that holds the name of such a part.
+_NAMED = [
+    # Long blocks with few links are text, and so are headings and short blocks next to such.
+    (30, 0.0, 5, 0.0, 40, 0.0, 0, 0, 1), (45, 0.05, 3, 1.0, 2, 1.0, 0, 0, 1), (80, 0.0, 30, 0.0, 60, 0.0, 0, 0, 1),
+    (150, 0.02, 2, 1.0, 90, 0.0, 0, 0, 1), (400, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (35, 0.1, 3, 0.0, 0, 0.0, 1, 0, 1),
+    (60, 0.0, 2, 0.0, 50, 0.0, 1, 0, 1), (200, 0.01, 80, 0.0, 3, 0.0, 1, 0, 1), (30, 0.0, 4, 0.0, 2, 1.0, 1, 0, 1),
+    (3, 0.0, 60, 0.0, 70, 0.0, 1, 0, 1), (5, 0.0, 70, 0.0, 50, 0.0, 0, 0, 1), (2, 0.0, 45, 0.0, 40, 0.0, 0, 0, 1),
+    (4, 0.0, 2, 1.0, 80, 0.0, 0, 0, 1), (2, 0.0, 3, 0.0, 90, 0.0, 1, 0, 1), (15, 0.0, 50, 0.0, 45, 0.0, 1, 0, 1),
+    # Short ones elsewhere, notices before the text, and link lists are not.
+    (8, 0.0, 4, 0.0, 1, 0.0, 1, 0, 0), (12, 0.0, 0, 0.0, 30, 0.0, 0, 0, 0), (11, 0.0, 1, 1.0, 60, 0.0, 0, 0, 0),
+    (2, 1.0, 1, 1.0, 2, 1.0, 0, 0, 0), (3, 0.0, 60, 0.0, 4, 1.0, 0, 0, 0), (6, 0.0, 14, 0.0, 9, 0.0, 1, 0, 0),
+    (9, 0.0, 90, 0.0, 0, 0.0, 0, 0, 0), (40, 0.7, 30, 0.8, 50, 0.0, 0, 0, 0), (12, 1.0, 60, 0.0, 40, 0.0, 1, 0, 0),
+    (20, 0.0, 5, 0.0, 12, 0.0, 0, 0, 0), (16, 0.0, 90, 0.0, 2, 0.0, 1, 0, 0), (24, 0.0, 0, 0.0, 60, 0.0, 0, 0, 0),
+    (22, 0.1, 12, 0.0, 70, 0.0, 1, 0, 0), (3, 0.0, 4, 0.0, 14, 0.0, 1, 0, 0), (2, 0.0, 1, 1.0, 18, 0.0, 0, 0, 0),
+    (4, 0.0, 60, 0.0, 12, 0.0, 1, 0, 0), (1, 0.0, 0, 0.0, 22, 0.0, 0, 0, 0), (5, 0.0, 18, 0.0, 20, 0.0, 1, 0, 0),
+    (12, 0.0, 2, 1.0, 60, 0.0, 0, 0, 0), (14, 0.0, 4, 0.0, 90, 0.0, 0, 0, 0), (9, 0.0, 12, 1.0, 45, 0.0, 0, 0, 0),
+    (10, 0.0, 5, 0.5, 50, 0.0, 1, 0, 0), (18, 0.0, 3, 0.0, 70, 0.0, 1, 0, 0), (8, 0.0, 9, 0.0, 55, 0.0, 0, 0, 0),
+    (2, 1.0, 1, 1.0, 80, 0.0, 0, 0, 0), (3, 1.0, 40, 0.0, 60, 0.0, 1, 0, 0), (5, 0.8, 4, 1.0, 90, 0.0, 0, 0, 0),
+    (5, 0.4, 80, 0.0, 4, 0.8, 1, 0, 0), (60, 0.8, 3, 1.0, 40, 0.6, 1, 0, 0), (14, 0.1, 5, 0.0, 6, 0.0, 1, 0, 0),
+]
+LABELLED = [(*r[:-1], named, r[-1]) for named, rows in enumerate([_UNNAMED, _NAMED]) for r in rows]
 
 
 def train_tree(spark: SparkSession, labelled=None):
-    """A tree over FEATURES from (features ..., label) rows."""
+    """A tree over FEATURES from (features ..., label) rows: its branches at the
+    root, for blocks that are not ``named`` and for those that are."""
     rows = [tuple(map(float, r)) for r in (labelled or LABELLED)]
-    data = spark.createDataFrame(rows, [*FEATURES, "label"])
-    vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(data)
-    return DecisionTreeClassifier(maxDepth=6, maxBins=64, seed=5).fit(vectors.coalesce(1))
+    branches = []
+    for named in (0.0, 1.0):
+        data = spark.createDataFrame([r for r in rows if r[-2] == named], [*FEATURES, "label"])
+        vectors = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(data)
+        branches.append(DecisionTreeClassifier(maxDepth=6, maxBins=64, seed=5).fit(vectors.coalesce(1)))
+    return branches
 
 
 def tree_column(model, block: Column) -> Column:
@@ -239,7 +277,8 @@ def tree_column(model, block: Column) -> Column:
         split = node.split()
         feature = block[FEATURES[split.featureIndex()]]
         return F.when(feature <= split.threshold(), of(node.leftChild())).otherwise(of(node.rightChild()))
-    return of(model._java_obj.rootNode())
+    plain, named = (of(branch._java_obj.rootNode()) for branch in model)
+    return F.when(block["named"] > 0, named).otherwise(plain)
 
 
 def main_text(pages: DataFrame) -> DataFrame:

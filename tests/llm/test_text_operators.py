@@ -200,6 +200,17 @@ def test_op5_reads_pages_without_end_of_head(llm, tmp_path):
     assert html_text.blocks("<head><title>T</title> bare text")[0][0] == "bare text"
 
 
+def test_op5_keeps_text_below_words_in_class_and_id(llm, tmp_path):
+    long, more = " ".join(f"l{i}" for i in range(60)), " ".join(f"m{i}" for i in range(80))
+    article = f"<h2 id='legal-status'>Legal status</h2><p>{long}</p><p>{more}</p>"
+    want = f"Legal status {long} {more}"
+    menu = "<ul class='nav-list'><li><a href=1>Home</a></li><li><a href=2>About us</a></li></ul>"
+    wrapped = [f"<section id='related-work'>{article}</section>", f"<div id='search-algorithms'>{article}</div>",
+               f"<div class='header-fixed nav-closed'>{menu}{article}</div>", f"<div class='header-fixed'><article>{article}</article></div>"]
+    pages = [f"<article>{w}</article>" if i < 2 else w for i, w in enumerate(wrapped)]
+    assert op5_text(llm, tmp_path, [*pages, f"<div class='sidebar'>{article}</div>"]) == [want] * len(pages) + [""]
+
+
 def test_the_tree_fits_its_table(llm):
     model = html_text.train_tree(llm)
     rows = llm.createDataFrame([tuple(map(float, r)) for r in html_text.LABELLED], [*html_text.FEATURES, "label"])
