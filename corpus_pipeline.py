@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import prepared, stage, table
+from strata.llm.common import prepared, table
 from strata.llm.decontaminate import drop_contaminated
 from strata.llm.jaccard_join import keep_one
 from strata.llm.language_id import keep_identified
@@ -19,31 +19,31 @@ from strata.llm.suffix_dedup import without_repeats
 from strata.session import scratch_path
 
 
-@stage
+@prepared
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a learned language; others, NULL and letterless texts go."""
     return keep_identified(docs)
 
 
-@stage
+@prepared
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates."""
     return keep_one(docs)
 
 
-@stage
+@prepared
 def suffix_array_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without strings of 400 bytes that occur again anywhere."""
+    """All documents, without strings of 240 bytes that occur again anywhere."""
     return without_repeats(docs)
 
 
-@stage
+@prepared
 def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     return drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
-@stage
+@prepared
 def sentencepiece(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, round_trip (the ids decode to the text) and ids."""
     return encode(docs, keep=["doc_id"]).select(
