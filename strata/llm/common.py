@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from pathlib import Path
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_utc, scratch_path
+from ..session import ensure_utc, remove_path, scratch_path
 
 
 #: Bytes of rows that a Python worker gets at once. Texts are held a few times
@@ -21,7 +23,8 @@ BATCH_BYTES = 2 << 20
 def prepared(query):
     """Wrap a query or stage: its Python workers can import this package from
     where the driver has it (on a cluster: installed, or the same path), get
-    small batches, and the session works in UTC."""
+    small batches, and the session works in UTC. These settings stay with the
+    session, since results are read after the query has returned."""
     @functools.wraps(query)
     def run(spark: SparkSession, *args):
         home = str(Path(__file__).resolve().parents[2])
@@ -36,34 +39,40 @@ def prepared(query):
     return run
 
 
-#: Scratch tables of the running or latest stage.
-_written: list[str] = []
+#: Folders of the innermost open ``scratch``, after those around it.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("strata_scratch", default=())
 
 
-def stage(function):
-    """Wrap a pipeline stage. Its result is written before the next stage
-    starts, so a stage first removes the scratch tables of the one before."""
-    @functools.wraps(function)
-    def run(spark: SparkSession, *args):
-        while _written:
-            folder = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
-            folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-        return prepared(function)(spark, *args)
-    return run
+@contextmanager
+def scratch(spark: SparkSession):
+    """The tables that are materialised inside belong to this block and are
+    removed at its end, but for ``lasting`` ones. Other runs' tables stay."""
+    own: list[str] = []
+    token = _open.set((*_open.get(), own))
+    try:
+        yield
+    finally:
+        _open.reset(token)
+        for path in own:
+            remove_path(spark, path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, lasting: bool = False) -> DataFrame:
     """Write a step's rows to the shared scratch folder and read them back.
 
     This cuts the lineage: a lost executor costs the tasks it was running,
-    not the steps before, and row ids given before the write stay fixed.
+    not the steps before, and row ids given before the write stay fixed. The
+    innermost ``scratch`` block removes the table; a ``lasting`` one, which
+    the block's result still reads, belongs to the block around it, if any.
     """
     path = scratch_path(df.sparkSession, name)
-    _written.append(path)
+    owners = _open.get()[:-1] if lasting else _open.get()
+    if owners:
+        owners[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

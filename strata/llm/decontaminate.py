@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import bits
-from .common import materialise, table, text_key
+from .common import materialise, scratch, table, text_key
 from .text import chunks, mix64, shingle_hashes
 
 NGRAM = 5
@@ -188,7 +188,8 @@ def find_items(docs: DataFrame, items: DataFrame, n: int = NGRAM, threshold: flo
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no test item; all columns stay."""
-    found = materialise(find_items(docs, items).select("doc_id", "h1", "h2").distinct(), "benchmark-found")
+    with scratch(docs.sparkSession):
+        found = materialise(find_items(docs, items).select("doc_id", "h1", "h2").distinct(), "benchmark-found", lasting=True)
     marks = ["_strata_h1", "_strata_h2"]
     tagged = docs.withColumns(dict(zip(marks, text_key(docs["text"]))))
     same = (tagged["doc_id"].cast("long").eqNullSafe(found["doc_id"]) & (tagged[marks[0]] == found["h1"])

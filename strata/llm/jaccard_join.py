@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups, materialise, shuffle_width, table, text_key
+from .common import groups, materialise, scratch, shuffle_width, table, text_key
 from .components import connected_components
 from .text import chunks, mix64, shingle_hashes, shingle_sets
 
@@ -276,7 +276,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each class the document
     with the smallest doc_id stays (rows that repeat it once); all columns stay."""
     key = ["doc_id", "h1", "h2"]
-    found = materialise(jaccard_join(docs).where("n_links > 0"), "jaccard-duplicates")
+    with scratch(docs.sparkSession):
+        found = materialise(jaccard_join(docs).where("n_links > 0"), "jaccard-duplicates", lasting=True)
     rows = found.groupBy(*key).agg(F.count("*").alias("n"), F.min("class_key").alias("class_key"))
     stays = (rows.groupBy("class_key")
              .agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), *key)).alias("s"))

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import bits
-from .common import materialise, table, text_key
+from .common import materialise, scratch, table, text_key
 from .text import chunks, code_points, range_hashes, word_ranges
 from .winnow import _window_min
 
@@ -197,7 +197,8 @@ def remove_later_spans(docs: DataFrame, run: int = RUN, words: int = WORDS, long
     come after all others. Rows that repeat a doc_id and its text are the same
     document and lose the same spans; other columns are ignored.
     """
-    later = materialise(later_spans(docs, run, words, long, rule), "later-spans")
+    with scratch(docs.sparkSession):
+        later = materialise(later_spans(docs, run, words, long, rule), "later-spans", lasting=True)
     h1, h2 = text_key(F.col("text"))
     tagged = docs.select(F.col("doc_id"), F.col("text"), h1.alias("t1"), h2.alias("t2"))
     joined = tagged.join(later, tagged["doc_id"].cast("long").eqNullSafe(later["doc_id"])

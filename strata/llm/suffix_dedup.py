@@ -29,13 +29,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import bits
-from .common import materialise, shuffle_width, table, text_key
+from .common import materialise, scratch, shuffle_width, table, text_key
 from .suffix_array import suffix_array
 from .winnow import Pieces, RangeHashes, batches
 
 LENGTH = 400
 #: Bytes of an anchor: three quarters of the window.
 GRAM = 300
+#: Bytes of a repeated passage in a corpus: fewer than 50 words of prose take
+#: (285 at least in the test tables), more than most license and menu lines.
+PASSAGE = 240
 #: Different contexts of one anchor that are sorted in one task.
 MOST = 1024
 #: Symbols sorted in one suffix array (a whole anchor at least).
@@ -228,9 +231,10 @@ def _cut(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.DataFrame:
 
 
 def _with_spans(docs: DataFrame, length: int, **options) -> DataFrame:
-    spans = materialise(repeated_spans(docs, length, **options).select(
-        F.col("h1").alias("_strata_h1"), F.col("h2").alias("_strata_h2"),
-        F.col("starts").alias("_strata_starts"), F.col("ends").alias("_strata_ends")), "suffix-spans")
+    with scratch(docs.sparkSession):
+        spans = materialise(repeated_spans(docs, length, **options).select(
+            F.col("h1").alias("_strata_h1"), F.col("h2").alias("_strata_h2"),
+            F.col("starts").alias("_strata_starts"), F.col("ends").alias("_strata_ends")), "suffix-spans", lasting=True)
     tagged = docs.withColumns(dict(zip(("_strata_h1", "_strata_h2"), text_key(docs["text"]))))
     return tagged.join(spans, ["_strata_h1", "_strata_h2"], "left").drop("_strata_h1", "_strata_h2")
 
@@ -258,11 +262,11 @@ def _cut_text(texts: pd.Series, starts: pd.Series, ends: pd.Series) -> pd.Series
     return pd.Series(out, dtype=object)
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
-    """``docs`` with the repeated strings cut out of ``text``, and ``n_chars``
-    set anew where it is a column. A character that loses a byte goes; a NULL
-    text stays NULL. All rows and columns stay."""
-    out = _with_spans(docs, LENGTH).select(
+def without_repeats(docs: DataFrame, length: int = PASSAGE) -> DataFrame:
+    """``docs`` with strings of ``length`` bytes that occur again cut out of
+    ``text``, and ``n_chars`` set anew where it is a column. A character that
+    loses a byte goes; a NULL text stays NULL. All rows and columns stay."""
+    out = _with_spans(docs, length, gram=length * 3 // 4).select(
         *(_cut_text("text", "_strata_starts", "_strata_ends").alias("text") if c == "text" else F.col(f"`{c}`")
           for c in docs.columns))
     if "n_chars" in docs.columns:
