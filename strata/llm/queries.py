@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .centroid_clusters import ORACLE_OP11, op11_centroid_clusters
 from .common import prepared
 from .decontaminate import op10_benchmark_decontamination
 from .html_text import op5_html_extraction
@@ -25,7 +26,11 @@ REGISTRY = {f.__name__: prepared(f) for f in (
     op8_token_files,
     op9_one_bit_neighbours,
     op10_benchmark_decontamination,
+    op11_centroid_clusters,
 )}
 
 #: DuckDB SQL by query, where SQL can express the operator.
-ORACLE_SQL: dict[str, str] = {"op9_one_bit_neighbours": ORACLE_OP9}
+ORACLE_SQL: dict[str, str] = {
+    "op9_one_bit_neighbours": ORACLE_OP9,
+    "op11_centroid_clusters": ORACLE_OP11,
+}
