@@ -11,6 +11,7 @@ from .language_id import op6_language_id
 from .one_bit_search import ORACLE_OP9, op9_one_bit_neighbours
 from .sentence_piece import op3_sentencepiece
 from .sentence_spans import op1_substring_dedup
+from .source_divergence import ORACLE_OP13, op13_source_divergence
 from .suffix_dedup import op7_suffix_array_dedup
 from .token_files import op8_token_files
 from .url_rank import op4_url_trust
@@ -27,10 +28,12 @@ REGISTRY = {f.__name__: prepared(f) for f in (
     op9_one_bit_neighbours,
     op10_benchmark_decontamination,
     op11_centroid_clusters,
+    op13_source_divergence,
 )}
 
 #: DuckDB SQL by query, where SQL can express the operator.
 ORACLE_SQL: dict[str, str] = {
     "op9_one_bit_neighbours": ORACLE_OP9,
     "op11_centroid_clusters": ORACLE_OP11,
+    "op13_source_divergence": ORACLE_OP13,
 }
