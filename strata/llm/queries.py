@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .centroid_clusters import ORACLE_OP11, op11_centroid_clusters
 from .common import prepared
+from .contextual_pii import op12_contextual_pii
 from .decontaminate import op10_benchmark_decontamination
 from .html_text import op5_html_extraction
 from .jaccard_join import op2_ngram_jaccard_join
@@ -28,6 +29,7 @@ REGISTRY = {f.__name__: prepared(f) for f in (
     op9_one_bit_neighbours,
     op10_benchmark_decontamination,
     op11_centroid_clusters,
+    op12_contextual_pii,
     op13_source_divergence,
 )}
 

@@ -1,0 +1,312 @@
+"""Operators 11, 12 and 13 against plain versions, and their edge cases."""
+
+import collections
+import hashlib
+import math
+import random
+import re
+
+import duckdb
+import numpy as np
+import pytest
+
+from strata.llm import centroid_clusters as cc
+from strata.llm import contextual_pii as pii
+from strata.llm import queries, source_divergence
+from strata.llm.common import table
+
+SF = "/root/testdata/sf0.001"
+
+
+# ------------------------------------------------------------------ op 11
+
+def plain_clusters(rows, k, rounds, seed=1):
+    """(vec_id, ints) -> sorted (vec_id, cluster, distance), centroids."""
+    order = sorted((hashlib.sha256(f"{seed}:{i}".encode()).hexdigest(), v) for i, v in rows if i is not None)
+    centroids = [list(v) for _, v in order[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c)), n) for n, c in enumerate(centroids))
+    for _ in range(rounds):
+        own = collections.defaultdict(list)
+        for _, v in rows:
+            own[nearest(v)[1]].append(v)
+        for c, members in own.items():
+            centroids[c] = [sum(m[d] for m in members) // len(members) for d in range(len(centroids[c]))]
+    return [(i, nearest(v)[1], nearest(v)[0]) for i, v in rows], centroids
+
+
+def test_threshold_walk_equals_every_distance():
+    rng = np.random.default_rng(5)
+    for spread, dim, k in ((3, 2, 9), (40, 6, 16), (1000, 3, 30), (1, 1, 5), (10**6, 64, 16)):
+        centroids = rng.integers(-spread, spread + 1, (k, dim))
+        x = rng.integers(-spread, spread + 1, (400, dim))
+        found, distance, _ = cc.Lists(centroids).nearest(x)
+        every = ((x[:, None] - centroids[None]) ** 2).sum(axis=2)
+        assert (distance == every.min(axis=1)).all() and (found == every.argmin(axis=1)).all()
+
+
+def test_threshold_walk_stops_early():
+    centroids = np.arange(50)[:, None] * np.array([[100, 100, 100]])
+    x = centroids[np.arange(500) % 50] + 3
+    found, _, taken = cc.Lists(centroids).nearest(x)
+    assert (found == np.arange(500) % 50).all() and taken < 500 * 5
+
+
+def test_walk_goes_on_while_the_frontier_ties():
+    # Centroid 1 is met first; 0 is as near and must win.
+    found, distance, _ = cc.Lists(np.array([[2], [-2]])).nearest(np.array([[0]]))
+    assert found.tolist() == [0] and distance.tolist() == [4]
+
+
+def test_clusters_match_the_plain_version(llm):
+    rng = random.Random(2)
+    rows = [(i, [rng.randrange(-9, 9) for _ in range(4)]) for i in range(120)]
+    rows += [(7, [50, 50, 50, 50]), (7, [50, 50, 50, 50]), (None, [1, 2, 3, 4])]
+    df = llm.createDataFrame(rows, "vec_id long, vector array<long>")
+    for k, rounds in ((5, 3), (1, 1), (400, 2)):
+        got, centroids = cc.cluster(df, k=k, rounds=rounds)
+        want, ends = plain_clusters(rows, k, rounds)
+        key = lambda r: (r[0] is None, r)
+        assert sorted(map(tuple, got.collect()), key=key) == sorted(want, key=key)
+        assert centroids.tolist() == ends
+
+
+def test_only_valid_vectors_are_kept(llm):
+    good = [0.5] * 64
+    rows = [(1, good, "x"), (2, good[:63], "x"), (3, [*good, 0.5], "x"), (4, [*good[:63], None], "x"), (5, None, "x"),
+            (6, [*good[:63], math.nan], "x"), (7, [*good[:63], math.inf], "x"), (8, [-0.01] * 64, None), (None, good, "x"),
+            (9, [1e30] * 64, "x"), (10, [-1e30] * 64, "x"), (11, [], "x")]
+    df = llm.createDataFrame(rows, "vec_id long, embedding array<float>, cluster string")
+    got = {r.vec_id: set(r.vector) for r in cc.integer_vectors(df).collect()}
+    assert got == {1: {32}, 8: {-1}, None: {32}, 9: {cc.MOST}, 10: {-cc.MOST}}
+    assigned, _ = cc.cluster(cc.integer_vectors(df))
+    assert assigned.count() == 5
+    none, centroids = cc.cluster(cc.integer_vectors(df.limit(0)))
+    assert none.count() == 0 and len(centroids) == 0
+    alone, _ = cc.cluster(cc.integer_vectors(df.where("vec_id IS NULL")))
+    assert alone.count() == 0
+
+
+# ------------------------------------------------------------------ op 12
+
+FORMS = (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+         r"[0-9]([\x20-]?[0-9])+", r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def plain_spans(text):
+    out = []
+    for kind, form in enumerate(FORMS):
+        for m in re.finditer(form, text):
+            digits = re.sub("[^0-9]", "", m.group())
+            if (kind == 0 or kind == 1 and all(int(p) <= 255 for p in m.group().split("."))
+                    or kind == 2 and 12 <= len(digits) <= 19 and pii.luhn(digits) or kind == 3 and 9 <= len(digits) <= 15):
+                out.append((m.start(), kind, m.end()))
+    return sorted(out)
+
+
+def test_base_forms_equal_the_plain_patterns():
+    rng = random.Random(1)
+    some = ["10.0.0.1", "a@b.c", "4465758382889437", "+1 (743) 555-3824", "é"]
+    for _ in range(20_000):
+        text = "".join(rng.choice("aZ09.25@+- ()%\n") if rng.random() < .9 else rng.choice(some) for _ in range(rng.randrange(40)))
+        base = pii.base_spans(text)
+        assert base == plain_spans(text)
+        assert not any(a < y and b > x for a, b in pii._tokens(text, base) for x, _, y in base)
+
+
+@pytest.mark.parametrize("unit", ["a", "1", "1.", "a@", "+1(", "1 ", "(at", "@a.", "+11 ", "12345 ", "a@b.c "])
+def test_reading_takes_time_in_proportion_to_the_text(unit):
+    import time
+    text = unit * (300_000 // len(unit))
+    began = time.process_time()
+    pii._instances(text)
+    assert time.process_time() - began < 10
+
+
+def _letters(i):
+    return "".join(chr(97 + (i >> (3 * j)) % 8) for j in range(4))
+
+
+@pytest.fixture(scope="module")
+def calls():
+    """Phones in one phrase; a second phrase holds only numbers that the first
+    one finds, and a third only one that the second finds."""
+    rows = [(500 + i, f"please call our office under +1 202 555 {1000 + i} any time {_letters(i)}") for i in range(30)]
+    rows += [(20 + i, f"please call our office under 0202 555 {2000 + i} any time {_letters(i)}") for i in range(2)]
+    rows += [(40 + 2 * i + j, f"{_letters(i)} reach the night desk on 0202 555 {2000 + i} or 1") for i in range(2) for j in range(3)]
+    rows += [(60 + i, f"please call our office under 24000 any time {_letters(i)}") for i in range(1)]
+    rows += [(80 + i, f"the order number {4465758382889438 + i} was sent {_letters(i)} today") for i in range(12)]
+    rows += [(100, None), (101, ""), (None, "write to me: a.b@c.de"), (102, "write to me: a.b@c.de"), (102, "write to me: a.b@c.de")]
+    return rows
+
+
+def test_contexts_discover_numbers_of_another_form(frame, calls):
+    got = collections.defaultdict(list)
+    for r in pii.personal_data(frame(calls)).collect():
+        got[r.doc_id].append((sorted(map(tuple, r.base)), sorted(map(tuple, r.spans))))
+    texts = dict(calls)
+    for i, text in calls:
+        for base, _ in got[i]:
+            assert base == plain_spans(text or "")
+    for i in (20, 21, 40, 41, 42, 43):  # found in the phrase, and then wherever it stands
+        (base, spans), = got[i]
+        at = texts[i].index("0202")
+        assert base == [] and spans == [(at, 3, at + len("0202 555 2000"))]
+    assert all(got[i] == [([], [])] for i in (60, *range(80, 92)))  # too few digits; no seeds in that context
+    assert got[100] == [([], [])] and got[101] == [([], [])]
+    assert got[None] == [([(13, 0, 21)], [(13, 0, 21)])] and got[102] == got[None] * 2
+
+
+def plain_bootstrap(edges, rounds):
+    """(pattern, instance, kind, digits, letters) -> {instance: (kind, score)}."""
+    members = collections.defaultdict(set)
+    for p, i, *_ in edges:
+        members[p].add(i)
+    edges = [e for e in edges if len(members[e[0]]) >= pii.SUPPORT]
+    seeds = {(i, k) for _, i, k, _, _ in edges if k >= 0}
+    profile = {}
+    for kind in {k for _, k in seeds}:
+        own = [(d, w) for _, _, k, d, w in edges if k == kind]
+        profile[kind] = (min(d for d, _ in own), max(d for d, _ in own), sum(w for _, w in own) / len(own) >= 0.5)
+    accepted = {}
+    for _ in range(rounds):
+        score = {key: 1.0 for key in seeds} | {(i, k): s for i, (k, s) in accepted.items()}
+        good = {}
+        for p, own in members.items():
+            for kind in profile:
+                mass = sum(score.get((i, kind), 0) for i in own)
+                if mass >= pii.SUPPORT and mass / (len(own) + 1) >= pii.CONFIDENT:
+                    good[p, kind] = mass / (len(own) + 1)
+        found = {}
+        for i in {e[1] for e in edges if e[2] < 0}:
+            for kind, (least, most, letters) in profile.items():
+                own = [good[p, kind] for p, j, k, d, w in edges
+                       if j == i and k < 0 and (p, kind) in good and least <= d <= most and w == letters]
+                s = 1 - math.prod(1 - c for c in own)
+                if len(own) >= pii.PATTERNS and s >= pii.ACCEPT:
+                    found.setdefault(i, []).append((s, -kind))
+        before, accepted = accepted, {i: (-max(f)[1], max(f)[0]) for i, f in found.items()}
+        if not accepted or len(before) == len(accepted):
+            break
+    return accepted
+
+
+def test_graph_scores_equal_the_plain_recurrence(llm):
+    rng = random.Random(4)
+    edges = set()
+    for i in range(120):
+        kind = rng.choice([-1, 0, 3, 3, 3])
+        digits, letters = rng.randrange(6, 12), kind == 0
+        for _ in range(rng.randrange(1, 7)):
+            edges.add((f"p{rng.randrange(4) if kind == 3 else rng.randrange(12)}", i, kind, digits, letters))
+    edges |= {(f"q{j}", i, 3 if i < 210 else -1, 9, False) for j in range(3) for i in range(200, 212)}
+    edges |= {(f"r{j}", i, -1, 9, False) for j in range(2) for i in [*range(210, 212), *range(300, 302)]}
+    df = llm.createDataFrame(sorted(edges), "pattern string, instance long, kind int, digits int, letters boolean")
+    for rounds in (1, 2, 4):
+        got = {r.instance: (r.kind, r.score) for r in pii.bootstrap(df, rounds)[0].collect()}
+        want = plain_bootstrap(sorted(edges), rounds)
+        assert want and {i: k for i, (k, _) in got.items()} == {i: k for i, (k, _) in want.items()}
+        assert all(abs(got[i][1] - want[i][1]) < 1e-6 for i in want)
+
+
+def test_no_documents_no_personal_data(frame):
+    assert pii.personal_data(frame([]).limit(0)).count() == 0
+    assert pii.personal_data(frame([(1, "nothing here")])).first().spans == []
+
+
+def test_registered_query_has_the_base_of_every_document(llm):
+    docs = {r.doc_id: r.text or "" for r in table(llm, SF, "documents").select("doc_id", "text").collect()}
+    rows = queries.REGISTRY["op12_contextual_pii"](llm, SF).collect()
+    assert len(rows) == len(docs)
+    for r in rows:
+        base = plain_spans(docs[r.doc_id])
+        said = [f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in base]
+        assert r.base_sha256 == hashlib.sha256(",".join(said).encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == n for _, k, _ in base) for n in range(4)]
+        assert set(said) <= set(r.spans.split(","))
+
+
+# ------------------------------------------------------------------ op 13
+
+def plain_divergence(rows, least, top):
+    counts, df, groups = collections.Counter(), collections.defaultdict(set), collections.defaultdict(set)
+    for i, (text, lang, source) in enumerate(rows):
+        text, lang, source = text or "", lang or "", source or ""
+        groups[lang].add(source)
+        low = "".join(c.lower() if c.isascii() else c for c in text)
+        for t in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", low):
+            counts[lang, source, t] += 1
+            df[lang, t].add(i)
+    out = set()
+    for lang, sources in groups.items():
+        kept = sorted(t for (l, t), d in df.items() if l == lang and len(d) >= least)
+
+        def share(count, total):
+            return 1 + 10**9 * (count + 5) // (total + 5 * len(kept))
+        size = {s: sum(counts[lang, s, t] for t in kept) for s in sources}
+        p = {(s, t): share(counts[lang, s, t], size[s]) for s in sources for t in kept}
+        q = {t: share(sum(counts[lang, s, t] for s in sources), sum(size.values())) for t in kept}
+        for s in sources:
+            pair = [(o, sum(abs(p[s, t] - p[o, t]) for t in kept)) for o in sources - {s}]
+            term = [(t, p[s, t] - q[t]) for t in kept if counts[lang, s, t] and p[s, t] > q[t]]
+            for part, items, most in (("pair", pair, len(pair)), ("term", term, top)):
+                items.sort(key=lambda x: (-x[1], x[0].encode()))
+                out |= {(lang, s, part, item, v, r) for r, (item, v) in enumerate(items[:most], 1)}
+    return out
+
+
+def documents(n, sources, seed):
+    rng = random.Random(seed)
+    words = ["The", "the", "été", "Été", "x1y", "don't", "word", "日本", "a", "B", "zz", "İ"] + [f"w{chr(97 + i)}" for i in range(20)]
+    return [(" ".join(rng.choice(words[:rng.randrange(1, len(words))]) for _ in range(rng.randrange(12))),
+             rng.choice(["en", "en", "fr", None, ""]), rng.choice(sources)) for _ in range(n)]
+
+
+@pytest.mark.parametrize("cells, block, stripes", [(250_000, 128, 4096), (40, 3, 5)])
+def test_divergence_matches_the_plain_version(llm, monkeypatch, cells, block, stripes):
+    monkeypatch.setattr(source_divergence, "BLOCK", block)
+    monkeypatch.setattr(source_divergence, "STRIPES", stripes)
+    monkeypatch.setattr(source_divergence, "TERMS", 3)
+    monkeypatch.setattr(source_divergence, "CELLS", cells)
+    rows = documents(300, [*(f"s{i}" for i in range(8)), None, "", "é"], 6)
+    rows += [(None, "de", "s1"), ("", "de", "s2"), ("only here", "it", "s1"), ("rare words", "nl", "a"), ("1 2 3", "nl", "b")]
+    df = llm.createDataFrame([(*r, 1, "x") for r in rows], "text string, lang string, source string, rank int, item string")
+    got = [tuple(r) for r in source_divergence.source_divergence(df, least=6, top=4).collect()]
+    assert len(got) == len(set(got)) and set(got) == plain_divergence(rows, 6, 4)
+
+
+def test_divergence_of_no_documents(llm):
+    df = llm.createDataFrame([], "text string, lang string, source string")
+    assert source_divergence.source_divergence(df).count() == 0
+
+
+def test_shares_are_exact():
+    rng = random.Random(3)
+    for _ in range(2000):
+        kept, size = rng.randrange(1, 10**7), rng.randrange(10 ** rng.randrange(1, 15))
+        count = rng.randrange(size + 1)
+        assert int(source_divergence.share(np.array([count]), size, kept)[0]) == 1 + 10**9 * (count + 5) // (size + 5 * kept)
+
+
+def test_spilled_stripes_hold_whole_documents():
+    import pandas as pd
+    texts = ["A b b", "b ç", None]
+    frame = pd.DataFrame({"lang": ["x"] * 2, "source": ["s", "t"], "text": texts[:2]})
+    rows = pd.concat(source_divergence._fold(iter([frame])))
+    got = {r.term: (r.df, dict(zip(r.source, r.n))) for r in rows.itertuples()}
+    assert got == {"a": (1, {"s": 1}), "b": (2, {"s": 2, "t": 1}), "ç": (1, {"t": 1})}
+
+
+# ------------------------------------------------------------ DuckDB oracles
+
+@pytest.mark.parametrize("name", ["op11_centroid_clusters", "op13_source_divergence"])
+def test_query_matches_its_oracle(llm, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
+    res = con.execute(queries.ORACLE_SQL[name])
+    columns = [d[0] for d in res.description]
+    got = queries.REGISTRY[name](llm, SF)
+    assert sorted(got.columns) == sorted(columns)
+    assert sorted(map(tuple, got.select(*columns).collect())) == sorted(res.fetchall())
