@@ -17,10 +17,14 @@ Probabilities are exact integers, ``1 + floor(10**9 * (count + 5) / (N + 5 * V))
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,7 +35,7 @@ LEAST, SMOOTH = 30, 5
 #: Most telling terms of a source that are reported.
 TOP = 50
 #: (term, source) counts that a partition holds before it spills them.
-CELLS = 250_000
+CELLS = 500_000
 #: Sources of a block, and about how many stripes one group adds up.
 BLOCK, STRIPES = 128, 4096
 #: Terms of a group that are subtracted at once.
@@ -44,26 +48,38 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else
 def terms(text: str) -> list[bytes]:
     """The terms of a text in order, as UTF-8: maximal runs of ASCII letters
     and non-ASCII characters; only A-Z are made lower case."""
-    return text.encode("utf-8", "surrogatepass").translate(_FOLD).split(b" ")
+    return text.encode().translate(_FOLD).split(b" ")
 
 
-def _fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents -> stripes (lang, term, df, source, n), each list by source."""
+_SPILLED = pa.schema([("lang", pa.string()), ("term", pa.string()), ("df", pa.int64()),
+                      ("source", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))])
+_MERGED = pa.schema([("lang", pa.string()), ("term", pa.string()), ("total", pa.int64()),
+                     ("source", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))])
+
+
+def _rows(schema: pa.Schema, lang: list[str], term: list, number: list[int], by: list[dict[str, int]]) -> pa.RecordBatch:
+    """Stripes as a batch: each with the lists of its sources and their counts."""
+    offsets = pa.array(np.concatenate([[0], np.cumsum([len(b) for b in by])]), pa.int32())
+    lists = [pa.ListArray.from_arrays(offsets, pa.array(values, kind)) for values, kind in (
+        ([s for b in by for s in b], pa.string()), ([n for b in by for n in b.values()], pa.int64()))]
+    return pa.RecordBatch.from_arrays([pa.array(lang, pa.string()), pa.array(term, pa.binary()).cast(pa.string()),
+                                       pa.array(number, pa.int64()), *lists], schema=schema)
+
+
+def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents (lang, source, text) -> stripes (lang, term, df, source, n)."""
     held: dict[str, dict[bytes, list]] = {}
     cells = 0
 
-    def spill() -> Iterator[pd.DataFrame]:
-        for lang, table_ in held.items():
-            found = iter(table_.items())
-            while rows := [(lang, t.decode("utf-8", "surrogatepass"), s[0], list(s[1]), list(s[1].values()))
-                           for (t, s), _ in zip(found, range(20_000))]:
-                yield pd.DataFrame(rows, columns=["lang", "term", "df", "source", "n"])
+    def spill() -> Iterator[pa.RecordBatch]:
+        for lang, own in held.items():
+            items = iter(own.items())
+            while part := list(islice(items, 20_000)):
+                yield _rows(_SPILLED, [lang] * len(part), [t for t, _ in part], [s[0] for _, s in part], [s[1] for _, s in part])
         held.clear()
-    for pdf in frames:
-        for text, lang, source in zip(pdf["text"], pdf["lang"], pdf["source"]):
-            counts: dict[bytes, int] = {}
-            for t in terms(text):
-                counts[t] = counts.get(t, 0) + 1
+    for batch in batches:
+        for lang, source, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "source", "text"))):
+            counts = Counter(terms(text))
             counts.pop(b"", None)
             own = held.setdefault(lang, {})
             for t, n in counts.items():
@@ -87,28 +103,44 @@ def _fold(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def _merge(least: int):
     """Spilled stripes sorted by key -> the merged stripes of ``least`` documents or more."""
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        key, df, by = None, 0, {}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, df, by = None, 0, {}  # the stripe that may go on in the next batch
         out: list[tuple] = []
 
-        def kept() -> None:
-            if key is not None and df >= least:
-                out.append((*key, sum(by.values()), list(by), list(by.values())))
-        columns = ["lang", "term", "total", "source", "n"]
-        for pdf in frames:
-            for lang, term, d, source, n in zip(*(pdf[c].tolist() for c in ("lang", "term", "df", "source", "n"))):
-                if (lang, term) != key:
-                    kept()
-                    key, df, by = (lang, term), 0, {}
-                df += d
-                for s, c in zip(source, n):
-                    by[s] = by.get(s, 0) + int(c)
+        def done() -> pa.RecordBatch:
+            rows = _rows(_MERGED, *(list(x) for x in zip(*out)))
+            out.clear()
+            return rows
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lang, term = batch.column("lang"), batch.column("term")
+            new = np.ones(batch.num_rows, dtype=bool)
+            new[1:] = ~(pc.equal(lang[1:], lang[:-1]).to_numpy(zero_copy_only=False)
+                        & pc.equal(term[1:], term[:-1]).to_numpy(zero_copy_only=False))
+            start = np.flatnonzero(new)
+            end = np.append(start[1:], batch.num_rows)
+            size = np.add.reduceat(batch.column("df").to_numpy(), start)
+            # Those of too few documents that lie inside the batch are passed over unread.
+            look = size >= least
+            look[[0, -1]] = True
+            source, n = batch.column("source"), batch.column("n")
+            for i in np.flatnonzero(look).tolist():
+                a, b = int(start[i]), int(end[i])
+                now = (lang[a].as_py(), term[a].as_py().encode())
+                if now != key:
+                    if df >= least:
+                        out.append((key[0], key[1], sum(by.values()), by))
+                    key, df, by = now, 0, {}
+                df += int(size[i])
+                for s, c in zip(source.slice(a, b - a).flatten().to_pylist(), n.slice(a, b - a).flatten().to_pylist()):
+                    by[s] = by.get(s, 0) + c
             if len(out) >= 5000:
-                yield pd.DataFrame(out, columns=columns)
-                out.clear()
-        kept()
+                yield done()
+        if df >= least:
+            out.append((key[0], key[1], sum(by.values()), by))
         if out:
-            yield pd.DataFrame(out, columns=columns)
+            yield done()
     return run
 
 
@@ -116,10 +148,10 @@ def stripes(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(lang, term, total, source, n): for each term in at least ``least``
     documents of a language its occurrences, and those by source (two lists)."""
     spark = docs.sparkSession
-    spilled = docs.select("lang", "source", "text").mapInPandas(
+    spilled = docs.select("lang", "source", "text").mapInArrow(
         _fold, "lang string, term string, df long, source array<string>, n array<long>")
     return (spilled.repartition(shuffle_width(spark), "lang", "term").sortWithinPartitions("lang", "term")
-            .mapInPandas(_merge(least), "lang string, term string, total long, source array<string>, n array<long>"))
+            .mapInArrow(_merge(least), "lang string, term string, total long, source array<string>, n array<long>"))
 
 
 def share(count, size, kept):
@@ -172,7 +204,7 @@ def _diverge(top: int):
                 for j in np.flatnonzero(over > 0):
                     best.setdefault(int(which[j]), []).append((int(over[j]), own["term"].iat[low + row[j]]))
         for i, found in best.items():
-            found.sort(key=lambda f: (-f[0], f[1].encode("utf-8", "surrogatepass")))
+            found.sort(key=lambda f: (-f[0], f[1].encode()))
             out += [(lang, names[i], None, term, value, 1) for value, term in found[:top]]
         for i, a in enumerate(left):
             for j, b in enumerate(right):
