@@ -25,6 +25,7 @@ from .session import build_session, ensure_utc
 from .sources.bootstrap import ingest_bootstrap
 from .sources.kafka import file_envelope_source, kafka_source
 from .sources.partitioned import read_partitioned
+from .store import compact_store, vacuum
 from .streaming.ingest_stream import start_ingest
 from .streaming.runner import run_streaming_job, wait
 from .streaming.sinks import compact, read_latest
@@ -79,6 +80,7 @@ def parser() -> argparse.ArgumentParser:
     _stream_args(i)
     i.add_argument("--store", required=True)
     i.add_argument("--bootstrap")
+    i.add_argument("--compact-every", type=int, help="merge the store's day folders after so many micro-batches")
     i.add_argument("--max-future", help="quarantine event times this far past arrival, e.g. '1 day'")
 
     d = sub.add_parser("load", help="landed envelope files or a bootstrap dump into the store, as one named load")
@@ -88,10 +90,10 @@ def parser() -> argparse.ArgumentParser:
     d.add_argument("--name", help="load of the envelope files; the same name again replaces its rows")
     d.add_argument("--max-future")
 
-    n = sub.add_parser("incremental", help="recompute the daily view for the given days")
+    n = sub.add_parser("incremental", help="recompute the daily view for the given or touched days")
     n.add_argument("--store", required=True)
     n.add_argument("--daily", required=True)
-    n.add_argument("--days", required=True)
+    n.add_argument("--days", help="the days; without it those that loads changed since the last refresh")
 
     v = sub.add_parser("serve", help="merge the daily batch view with the speed layer's minutes")
     v.add_argument("--daily", required=True)
@@ -105,6 +107,12 @@ def parser() -> argparse.ArgumentParser:
     c.add_argument("--keys", required=True)
     c.add_argument("--snapshot", required=True)
     c.add_argument("--remove", action="store_true", help="delete folded batches and snapshots before the last")
+
+    m = sub.add_parser("compact-store", help="merge the day folders that many loads have written")
+    m.add_argument("--store", required=True)
+    m.add_argument("--max-parts", type=int, default=1, help="merge days that more than so many loads have written")
+    m.add_argument("--days")
+    m.add_argument("--vacuum", type=int, metavar="KEEP", help="then remove all but the newest KEEP versions")
     return ap
 
 
@@ -128,7 +136,7 @@ def main(argv=None, spark=None) -> int:
     elif args.cmd == "ingest":
         queries = start_ingest(spark, _source(spark, args), args.store, args.checkpoint, bootstrap_dir=args.bootstrap,
                                available_now=args.available_now, processing_time=args.trigger,
-                               max_future=args.max_future)
+                               max_future=args.max_future, compact_every=args.compact_every)
         wait(spark, queries, args.available_now)
     elif args.cmd == "load":
         if args.bootstrap:
@@ -139,14 +147,21 @@ def main(argv=None, spark=None) -> int:
             ingest_batch(spark.read.schema(ENVELOPE).parquet(args.envelope), args.store, max_future=args.max_future,
                          load=args.name)
     elif args.cmd == "incremental":
-        posts = read_partitioned(spark, args.store, "posts")
-        serving.write_daily(posts, args.daily, days=args.days.split(","))
+        if args.days:
+            days = args.days.split(",")
+            serving.write_daily(read_partitioned(spark, args.store, "posts", days=days), args.daily, days=days)
+        else:
+            print(" ".join(serving.refresh_daily(spark, args.store, args.daily)))
     elif args.cmd == "serve":
         minutes = read_latest(spark, args.speed, ["window_start", "subreddit"], snapshot=args.snapshot)
         merged = serving.merge_batch_and_speed(spark.read.parquet(args.daily), minutes, args.cutoff)
         merged.write.mode("overwrite").parquet(args.out)
     elif args.cmd == "compact":
         compact(spark, args.changelog, args.keys.split(","), args.snapshot, remove=args.remove)
+    elif args.cmd == "compact-store":
+        compact_store(spark, args.store, args.max_parts, args.days.split(",") if args.days else None)
+        if args.vacuum:
+            vacuum(spark, args.store, keep=args.vacuum)
     return 0
 
 

@@ -8,8 +8,8 @@ that the schema lacks, or whose value is of another type, is stored with its
 whole text in ``_rescued``.
 
 One load is one write: stored and quarantined rows of all entities go out
-together under ``data_type=/status=/load=/year=/month=/day=/hour=``, and a
-load that runs again replaces its own partitions. Batch, bootstrap and
+together and are shown at once by the store's manifest (``strata.store``); a
+load that runs again replaces all that it wrote before. Batch, bootstrap and
 stream use the same writer.
 """
 
@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import functools
 import re
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,14 +25,15 @@ from pyspark.sql import types as T
 
 from ..functions.records import data_type_of, evaluate_once
 from ..functions.time import raw_time, row_time
-from ..schemas import ENTITY_SCHEMAS, LOAD_COLUMNS, PARTITION_COLUMNS, RECORD
+from ..schemas import ENTITY_SCHEMAS, META_FIELDS, PARTITION_COLUMNS, RECORD
+from ..store import commit_load
 
 # Ingest status of a record: stored when OK, quarantined under the others.
 OK, MALFORMED, MISSING_TIME, BAD_TIME, FUTURE_TIME, UNKNOWN_TOPIC = (
     "ok", "malformed_json", "missing_time", "bad_time", "future_time", "unknown_topic")
 REASONS = (MALFORMED, MISSING_TIME, BAD_TIME, FUTURE_TIME, UNKNOWN_TOPIC)
 
-META = ["_key", "_topic", "_partition", "_offset", "_arrival"]
+META = [f.name for f in META_FIELDS]
 RESCUED = "_rescued"
 
 # The fields the status depends on, shared by every entity.
@@ -50,13 +52,13 @@ def route(envelope: DataFrame) -> DataFrame:
         F.col("timestamp").alias("_arrival"))
 
 
-def _decoded(base: T.StructType) -> Column:
-    """The text in ``_raw`` decoded as the only element of an array, so that
-    text behind the object is an error instead of being ignored. Numbers are
-    decoded as text: ``parse`` casts them and can tell a value that does not
-    fit from none."""
-    schema = T.ArrayType(T.StructType([T.StructField(f.name, T.StringType()) for f in base.fields]))
-    return F.from_json(F.concat(F.lit("["), F.col("_raw"), F.lit("]")), schema)
+def _decoded(element: T.DataType, end: str) -> Column:
+    """The text in ``_raw`` decoded as the first element of an array whose second
+    and last is ``{"<end>": "1"}``. Text behind the record, text that closes the
+    array, or a second record gives other elements. ``end`` is a name that no
+    record can know. Numbers are decoded as text: ``parse`` casts them and can
+    tell a value that does not fit from none."""
+    return F.from_json(F.concat(F.lit("["), F.col("_raw"), F.lit(f',{{"{end}":"1"}}]')), T.ArrayType(element))
 
 
 def parse(texts: DataFrame, entity: str | None, keep: list[str] | None = None,
@@ -82,26 +84,37 @@ def parse(texts: DataFrame, entity: str | None, keep: list[str] | None = None,
     which is the same under every entity's schema; ``entity="*"`` decodes the
     fields of all entities. ``fields`` limits decoding to those named (and
     the times). With ``rescue`` a row whose text holds more than its columns
-    do has that text in ``_rescued``.
+    do (other fields, a key sent twice) has that text in ``_rescued``.
     """
     base = RECORD if entity == "*" else ENTITY_SCHEMAS[entity] if entity else TIME_FIELDS
     if fields is not None:
         base = T.StructType([f for f in base.fields if f.name in fields or f.name in TIME_FIELDS.fieldNames()])
     keep = [c for c in (keep or []) if c in texts.columns]
-    d = evaluate_once(texts.select(*keep, "_raw", _decoded(base).alias("_found")))
-    whole = (F.size("_found") == 1) & F.col("_raw").rlike(r"\}\s*$")
-    d = d.select(*keep, "_raw", F.when(whole, F.element_at("_found", 1)).alias("_rec"))
+    end = f"_end_{uuid.uuid4().hex}"
+    names = [f.name for f in base.fields]
+    # To rescue what the columns cannot hold, all keys are needed: the record is then a map.
+    element = (T.MapType(T.StringType(), T.StringType()) if rescue else
+               T.StructType([T.StructField(n, T.StringType()) for n in [*names, end]]))
+    d = evaluate_once(texts.select(*keep, "_raw", _decoded(element, end).alias("_found")))
+
+    def value(record: Column, name: str) -> Column:
+        return F.try_element_at(record, F.lit(name)) if rescue else record.getField(name)
+    first, last = F.get("_found", F.lit(0)), F.get("_found", F.lit(1))
+    whole = (F.size("_found") == 2) & value(last, end).isNotNull() & value(first, end).isNull() & F.col("_raw").rlike(r"^\s*\{")
+    d = d.select(*keep, "_raw", F.when(whole, first).alias("_rec"))
     columns, lost = [], F.lit(False)
     for f in base.fields:
-        text = F.col("_rec." + f.name)
+        text = value(F.col("_rec"), f.name)
         if isinstance(f.dataType, T.LongType):
             columns.append(text.try_cast("bigint").alias(f.name))
             lost = lost | (text.isNotNull() & text.try_cast("bigint").isNull())
         else:
             columns.append(text.alias(f.name))
     if rescue:
-        extra = F.size(F.array_except(F.json_object_keys("_raw"), F.lit(base.fieldNames()))) > 0
-        columns.append(F.when(F.col("_rec").isNotNull() & (lost | extra), F.col("_raw")).alias(RESCUED))
+        keys = F.map_keys("_rec")
+        extra = F.size(F.array_except(keys, F.lit(names))) > 0
+        twice = F.size(F.array_distinct(keys)) < F.size(keys)
+        columns.append(F.when(F.col("_rec").isNotNull() & (lost | extra | twice), F.col("_raw")).alias(RESCUED))
     d = d.select(*keep, "_raw", F.col("_rec").isNull().alias("_malformed"), *columns)
     status = (F.when(F.col("_malformed"), F.lit(MALFORMED))
               .when(raw_time().isNull(), F.lit(MISSING_TIME))
@@ -198,15 +211,10 @@ def load_rows(texts: DataFrame, load: str, entities=("posts", "comments", "users
         *(F.when(ok, F.col(c)).alias(c) for c in PARTITION_COLUMNS))
 
 
-def write_load(rows: DataFrame, base: str, fmt: str = "parquet", max_records_per_file: int = 1_000_000) -> None:
-    """Write one load's rows: one job, replacing what the same load wrote before.
-
-    The ``rebalance`` hint gives evenly sized tasks: small hours share one, a
-    large hour is split over several."""
-    (rows.hint("rebalance", "data_type", "status", *PARTITION_COLUMNS)
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .option("maxRecordsPerFile", max_records_per_file)
-     .partitionBy(*LOAD_COLUMNS, *PARTITION_COLUMNS).format(fmt).save(base))
+def write_load(rows: DataFrame, base: str, load: str, max_records_per_file: int = 1_000_000) -> int:
+    """Write one load's rows in one job and show them at once, in the place of
+    all that the same load wrote before. The store's version that shows them."""
+    return commit_load(rows.sparkSession, base, load, rows, max_records_per_file)
 
 
 def ingest_batch(envelope: DataFrame, base: str, entities=("posts", "comments", "users"),
@@ -214,4 +222,4 @@ def ingest_batch(envelope: DataFrame, base: str, entities=("posts", "comments",
     """Batch ingest of the given entities' records into the store, as load
     ``load``. The same load again replaces its rows; another name adds.
     A topic-partitioned landing folder is pruned to the topics read."""
-    write_load(load_rows(route(envelope), load, entities, max_future), base)
+    write_load(load_rows(route(envelope), load, entities, max_future), base, load)

@@ -41,11 +41,13 @@ fault AS (
   SELECT event_id, event_type, CASE WHEN event_id % 61 = 0 THEN 'unknown_topic'
                         WHEN event_id % 97 = 0 THEN 'malformed_json' WHEN event_id % 89 = 0 THEN 'missing_time'
                         WHEN event_id % 83 = 0 THEN 'bad_time' WHEN event_id % 79 = 0 THEN 'malformed_json'
-                        WHEN event_id % 73 = 0 THEN 'bad_time' ELSE 'ok' END AS status
+                        WHEN event_id % 73 = 0 THEN 'bad_time'
+                        WHEN event_id % 53 = 0 OR event_id % 37 = 0 THEN 'malformed_json' ELSE 'ok' END AS status
   FROM events WHERE event_type IN ('view', 'purchase', 'signup', 'click', 'error')),
 fault_counts AS (
   SELECT status, count(*) AS n FROM fault GROUP BY 1
-  UNION ALL SELECT 'rescued', count(*) FROM fault WHERE status = 'ok' AND (event_id % 71 = 0 OR event_id % 67 = 0))
+  UNION ALL SELECT 'rescued', count(*) FROM fault WHERE status = 'ok'
+    AND (event_id % 71 = 0 OR event_id % 67 = 0 OR event_id % 31 = 0))
 """
 
 BODIES = {
@@ -97,6 +99,10 @@ BODIES = {
         SELECT CAST(post_id AS VARCHAR) AS post_id, score, ts AS timestamp,
                CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month,
                CAST(day(ts) AS INT) AS day, CAST(hour(ts) AS INT) AS hour FROM posts""",
+    "store_compacted": """
+        SELECT CAST(post_id AS VARCHAR) AS post_id, score, ts AS timestamp,
+               CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month,
+               CAST(day(ts) AS INT) AS day, CAST(hour(ts) AS INT) AS hour FROM posts""",
     "partition_counts": """
         SELECT CAST(year(ts) AS INT) AS year, CAST(month(ts) AS INT) AS month, CAST(day(ts) AS INT) AS day,
                CAST(hour(ts) AS INT) AS hour, count(*) AS n FROM posts GROUP BY 1, 2, 3, 4""",
@@ -155,6 +161,7 @@ BODIES = {
         SELECT subreddit, max(window_start) AS window_start, arg_max(num_posts, window_start) AS num_posts,
                arg_max(total_score, window_start) AS total_score FROM ppm GROUP BY 1""",
     "incremental_subreddit_activity": "SELECT * FROM daily",
+    "refresh_touched_days": "SELECT * FROM daily",
     "serving_merge": "SELECT * FROM daily",
     "serving_top_posts": """
         SELECT concat_ws('|', subreddit, CAST(date AS VARCHAR), CAST(post_id AS VARCHAR), title, CAST(user_id AS VARCHAR)) AS key,

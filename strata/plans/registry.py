@@ -14,6 +14,7 @@ import functools
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import store
 from ..functions.time import as_wall_clock
 from ..operators import ingest, quality, views
 from ..schemas import ENTITY_IDS, ENVELOPE
@@ -149,6 +150,28 @@ def scan_partitioned(spark, sf):
                     "year", "month", "day", "hour")
 
 
+@query
+def store_compacted(spark, sf):
+    """A store of many loads, merged while loads go on: a load that first came
+    with another's records and is sent again, one that is sent again after it
+    was merged, and one after the merge; old versions are removed at the end."""
+    base = scratch_path(spark, "store")
+    write_envelope(B.envelope(spark, sf, ("posts",)), f"{base}/_landed")
+    landed = spark.read.schema(ENVELOPE).parquet(f"{base}/_landed")
+    part = [landed.filter(F.col("offset") % SLICES == i) for i in range(SLICES)]
+    ingest.ingest_batch(part[1], base, load="slice-0")
+    for i in range(SLICES - 1):
+        ingest.ingest_batch(part[i], base, load=f"slice-{i}")
+    store.compact_store(spark, base)
+    ingest.ingest_batch(part[1], base, load="slice-1")
+    ingest.ingest_batch(part[SLICES - 1], base, load=f"slice-{SLICES - 1}")
+    store.compact_store(spark, base)
+    store.vacuum(spark, base, keep=1)
+    remove_path(spark, f"{base}/_landed")
+    return read_partitioned(spark, base, "posts").select(
+        "post_id", "score", as_wall_clock(F.col("timestamp")).alias("timestamp"), "year", "month", "day", "hour")
+
+
 @query
 def partition_counts(spark, sf):
     base = _ingested(spark, sf, ("posts",))
@@ -422,6 +445,21 @@ def incremental_subreddit_activity(spark, sf):
     return serving.read_daily(spark, path)
 
 
+@query
+def refresh_touched_days(spark, sf):
+    """The daily table kept up with a store: after each load the days that it
+    changed, found in the store's manifest, are counted anew."""
+    d = scratch_path(spark, "touched")
+    write_envelope(B.envelope(spark, sf, ("posts",)), f"{d}/landed")
+    landed = spark.read.schema(ENVELOPE).parquet(f"{d}/landed")
+    cut = F.lit(DATE_FILTER).cast("timestamp")
+    even, early = F.col("offset") % 2 == 0, F.col("timestamp") < cut
+    for load, which in (("even", even), ("early", ~even & early), ("late", ~even & ~early)):
+        ingest.ingest_batch(landed.filter(which), f"{d}/store", load=load)
+        serving.refresh_daily(spark, f"{d}/store", f"{d}/daily")
+    return serving.read_daily(spark, f"{d}/daily")
+
+
 @query
 def serving_top_posts(spark, sf):
     path = scratch_path(spark, "serving")

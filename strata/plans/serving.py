@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.time import midnight, on_dates, parse_day
 from ..operators import views
 from ..session import remove_path
+from ..sources.partitioned import read_partitioned
+from ..store import newest_number, publish, touched_days
 
 MEASURES = ["num_posts", "total_score", "total_comments", "scored"]
 
@@ -75,6 +77,22 @@ def write_daily(posts: DataFrame, path: str, days=None) -> None:
             remove_path(spark, f"{path}/date={d.isoformat()}")
 
 
+def refresh_daily(spark: SparkSession, store: str, path: str) -> list[str]:
+    """Bring the daily table up to the store's newest version: the days that
+    its loads changed since the last refresh are counted anew, from their own
+    folders, and all others are left as they are. The days refreshed.
+
+    The version reached is noted beside the table after the days are written, so
+    an interrupted refresh is done again."""
+    noted = f"{path.rstrip('/')}/_refreshed"
+    days, version = touched_days(spark, store, "posts", since=newest_number(spark, noted))
+    if days:
+        write_daily(read_partitioned(spark, store, "posts", days=days, version=version), path, days=days)
+    if version > newest_number(spark, noted):
+        publish(spark, noted, version, "{}")
+    return days
+
+
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
     return views.finish_daily(spark.read.parquet(path))
 

@@ -49,5 +49,14 @@ ENVELOPE = T.StructType([
 
 PARTITION_COLUMNS = ["year", "month", "day", "hour"]
 
-# Partition folders above the hours: what a load wrote of each entity, stored or not.
-LOAD_COLUMNS = ["data_type", "status", "load"]
+# Partition folders of the store above the hours.
+PART_COLUMNS = ["data_type", "status", "year", "month", "day"]
+
+# Where a quarantined record came from.
+META_FIELDS = [
+    T.StructField("_key", S, True),
+    T.StructField("_topic", S, True),
+    T.StructField("_partition", T.IntegerType(), True),
+    T.StructField("_offset", L, True),
+    T.StructField("_arrival", T.TimestampType(), True),
+]

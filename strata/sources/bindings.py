@@ -156,8 +156,9 @@ def damaged_events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Fixed fault rule, by the divisor of event_id (the first that fits): 97
     record cut short, 89 both times empty, 83 unparsable time, 79 a second
-    object behind the record, 73 a time without a date, 71 a score that is no
-    whole number, 67 a field of no entity. Besides, 61: unknown topic.
+    object behind the record, 73 a time without a date, 53 brackets closed behind
+    the record, 37 a second list behind it, 71 a score that is no whole number,
+    67 a field of no entity, 31 a field sent twice. Besides, 61: unknown topic.
     """
     ev = table(spark, sf_dir, "events")
     recs = post_json(ev).unionByName(comment_json(ev))
@@ -167,8 +168,10 @@ def damaged_events_json(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.regexp_replace(j, r'"(created_utc|timestamp)":"[^"]*"', f'"$1":"{value}"')
     faults = [(97, F.expr("substring(json, 1, length(json) - 1)")), (89, times("")), (83, times("garbage")),
               (79, F.concat(j, j)), (73, times("12:30:45")),
+              (53, F.concat(j, F.lit("]}"))), (37, F.concat(j, F.lit("] ["), j)),
               (71, F.regexp_replace(j, r'"score":-?\d+', '"score":1.5')),
-              (67, F.regexp_replace(j, r"\}$", ',"awards":["x"]}'))]
+              (67, F.regexp_replace(j, r"\}$", ',"awards":["x"]}')),
+              (31, F.regexp_replace(j, r'("score":-?\d+)', "$1,$1"))]
     damaged = j
     for divisor, text in reversed(faults):
         damaged = F.when(F.col("event_id") % divisor == 0, text).otherwise(damaged)

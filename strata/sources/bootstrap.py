@@ -49,4 +49,4 @@ def ingest_bootstrap(spark: SparkSession, directory: str, base: str,
         every = None
         for t in texts.values():
             every = t if every is None else every.unionByName(t)
-        write_load(load_rows(every, load, entities), base)
+        write_load(load_rows(every, load, entities), base, load)

@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.ingest import MALFORMED, REASONS, RESCUED, parse
+from ..functions.time import on_dates, parse_day
+from ..operators.ingest import MALFORMED, META, OK, RESCUED, parse
 from ..schemas import ENTITY_SCHEMAS, PARTITION_COLUMNS
-from ..session import path_exists, subfolders
+from ..session import path_exists
+from ..store import STORED, load_manifest, read_parts
 
 
 def stored_schema(entity: str) -> T.StructType:
@@ -20,16 +22,17 @@ def stored_schema(entity: str) -> T.StructType:
     return T.StructType(fields)
 
 
-def read_partitioned(spark: SparkSession, base: str, entity: str, fmt: str = "parquet",
-                     rescued: bool = False) -> DataFrame:
+def read_partitioned(spark: SparkSession, base: str, entity: str, fmt: str = "parquet", rescued: bool = False,
+                     days: list | None = None, version: int | None = None) -> DataFrame:
     """Read one entity of the store.
 
-    The loads' folders are read (``data_type=<entity>/status=ok``) and, if
-    there are none, a plain table ``<base>/<entity>``. Reading directories
-    (not a glob of files) keeps partition discovery: ``year, month, day,
-    hour`` come back as ints and predicates on them prune directories. The
-    schema is fixed, so there is no inference scan. An entity that the store
-    does not hold is empty; a store that does not exist is an error.
+    The folders that the store's manifest shows are read (its newest version, or
+    ``version``) or, if it has none, a plain table ``<base>/<entity>``. Reading
+    directories (not a glob of files) keeps partition discovery: ``year, month,
+    day, hour`` come back as ints and predicates on them prune. ``days`` limits
+    the folders that are listed at all. The schema is fixed, so there is no
+    inference scan. An entity that the store does not hold is empty; a store that
+    does not exist is an error.
 
     JSON tables of other tools are read as text and go through the same
     parse as ingest: lines that are no record are left out, and a missing
@@ -41,42 +44,34 @@ def read_partitioned(spark: SparkSession, base: str, entity: str, fmt: str = "pa
     base = base.rstrip("/")
     schema = stored_schema(entity)
     columns = schema.fieldNames()
-    loads, plain = f"{base}/data_type={entity}/status=ok", f"{base}/{entity}"
+    plain = f"{base}/{entity}"
     if fmt == "json":
         parts = T.StructType([T.StructField("value", T.StringType()), *schema.fields[-len(PARTITION_COLUMNS):]])
         lines = spark.read.schema(parts).option("basePath", plain).text(plain)
         parsed = parse(lines.withColumnRenamed("value", "_raw"), entity, keep=PARTITION_COLUMNS)
-        return parsed.filter(F.col("_status") != MALFORMED).select(*columns)
-    if path_exists(spark, loads):
+        found = parsed.filter(F.col("_status") != MALFORMED).select(*columns)
+        return found if days is None else on_dates(found, days)
+    manifest = load_manifest(spark, base, version)
+    if manifest is not None:
+        wanted = None if days is None else {str(parse_day(d)) for d in days}
+        parts = [p for p in manifest.parts if p.data_type == entity and p.status == OK
+                 and (wanted is None or p.day in wanted)]
         schema = T.StructType([*schema.fields, T.StructField(RESCUED, T.StringType(), True)])
-        rows = spark.read.schema(schema).option("basePath", loads).parquet(loads)
-        return rows.select(*columns, *([RESCUED] if rescued else []))
+        return read_parts(spark, base, parts, schema).select(*columns, *([RESCUED] if rescued else []))
     if path_exists(spark, plain):
-        return spark.read.schema(schema).option("basePath", plain).format(fmt).load(plain)
+        found = spark.read.schema(schema).option("basePath", plain).format(fmt).load(plain)
+        return found if days is None else on_dates(found, days)
     if not path_exists(spark, base):
         raise FileNotFoundError(f"no store at {base}")
     return spark.createDataFrame([], schema)
 
 
-QUARANTINE = T.StructType([
-    T.StructField("value", T.StringType(), True),
-    T.StructField("_key", T.StringType(), True),
-    T.StructField("_topic", T.StringType(), True),
-    T.StructField("_partition", T.IntegerType(), True),
-    T.StructField("_offset", T.LongType(), True),
-    T.StructField("_arrival", T.TimestampType(), True),
-    T.StructField("data_type", T.StringType(), True),
-    T.StructField("status", T.StringType(), True),
-])
-
-
-def read_quarantine(spark: SparkSession, base: str) -> DataFrame:
+def read_quarantine(spark: SparkSession, base: str, version: int | None = None) -> DataFrame:
     """Rejected records with their reason, of all loads. Only quarantine
     folders are listed; a store without any reads as an empty table."""
     base = base.rstrip("/")
-    columns = [F.col(c) for c in QUARANTINE.fieldNames()[:-1]] + [F.col("status").alias("reason")]
-    folders = [f"{base}/{t}/status={r}" for t in subfolders(spark, base) if t.startswith("data_type=") for r in REASONS
-               if path_exists(spark, f"{base}/{t}/status={r}")]
-    if not folders:
-        return spark.createDataFrame([], QUARANTINE).select(*columns)
-    return spark.read.schema(QUARANTINE).option("basePath", base).parquet(*folders).select(*columns)
+    manifest = load_manifest(spark, base, version)
+    parts = [p for p in manifest.parts if p.status != OK] if manifest else []
+    names = ["value", *META, "data_type", "status"]
+    rows = read_parts(spark, base, parts, T.StructType([f for f in STORED.fields if f.name in names]))
+    return rows.select("value", *META, "data_type", F.col("status").alias("reason"))
