@@ -72,9 +72,10 @@ def parser() -> argparse.ArgumentParser:
     _stream_args(s)
     s.add_argument("--out", required=True)
     s.add_argument("--panels", action="store_true", help="also active users, throughput and latency")
+    s.add_argument("--late-records", action="store_true", help="also keep the posts and comments that came too late")
     s.add_argument("--console", action="store_true", help="print the comments and users views")
     s.add_argument("--late", default="report", choices=["report", "raise"],
-                   help="with --available-now: what to do when rows were dropped as late")
+                   help="what to do at the end when rows were dropped as late")
 
     i = sub.add_parser("ingest", help="records (and a bootstrap dump) into the hour-partitioned store")
     _stream_args(i)
@@ -131,7 +132,8 @@ def main(argv=None, spark=None) -> int:
         # the posts view carries the measures the serving merge needs
         per_topic = (lambda entity: _source(spark, args, topics=[TOPICS[entity]])) if args.kafka else _source(spark, args)
         run_streaming_job(spark, per_topic, args.out, args.checkpoint, late=args.late, serving=True,
-                          views=("posts", "comments", "users") + ("panels",) * args.panels, console=args.console,
+                          views=("posts", "comments", "users") + ("panels",) * args.panels
+                          + ("late",) * args.late_records, console=args.console,
                           available_now=args.available_now, processing_time=args.trigger)
     elif args.cmd == "ingest":
         queries = start_ingest(spark, _source(spark, args), args.store, args.checkpoint, bootstrap_dir=args.bootstrap,

@@ -37,6 +37,9 @@ ppm AS (
   SELECT date_trunc('minute', ts) AS window_start, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end,
          subreddit, count(post_id) AS num_posts, CAST(sum(score) AS BIGINT) AS total_score
   FROM posts GROUP BY ALL),
+slices AS (
+  SELECT p.*, (epoch_us(ts) - low) * 4 // (high - low + 1) AS slice
+  FROM posts p, (SELECT epoch_us(min(ts)) AS low, epoch_us(max(ts)) AS high FROM events)),
 fault AS (
   SELECT event_id, event_type, CASE WHEN event_id % 61 = 0 THEN 'unknown_topic'
                         WHEN event_id % 97 = 0 THEN 'malformed_json' WHEN event_id % 89 = 0 THEN 'missing_time'
@@ -144,6 +147,15 @@ BODIES = {
         FROM events WHERE event_type IN ('view', 'purchase', 'signup', 'click', 'error') GROUP BY 1""",
     "posts_per_minute": "SELECT * FROM ppm",
     "posts_per_minute_batches": "SELECT * FROM ppm",
+    "late_records": """
+        SELECT CAST(p.post_id AS VARCHAR) AS post_id, subreddit, score, p.ts AS timestamp,
+               date_trunc('minute', p.ts) + INTERVAL 1 MINUTE AS window_end, m.watermark
+        FROM (SELECT *, CASE slice WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE slice END AS turn FROM slices) p
+        JOIN (SELECT turn, max(max(date_trunc('millisecond', ts))) OVER (ORDER BY turn ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+                     - INTERVAL 10 MINUTE AS watermark
+              FROM (SELECT CASE slice WHEN 1 THEN 2 WHEN 2 THEN 1 ELSE slice END AS turn, ts FROM slices) GROUP BY turn) m
+          USING (turn)
+        WHERE date_trunc('minute', p.ts) + INTERVAL 1 MINUTE <= m.watermark""",
     "comments_per_minute": """
         SELECT date_trunc('minute', ts) AS window_start, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end,
                CAST(post_id AS VARCHAR) AS post_id, count(comment_id) AS num_comments FROM comments GROUP BY ALL""",

@@ -24,6 +24,7 @@ from ..sources.bootstrap import bootstrap_load
 from ..sources.kafka import file_envelope_source, write_envelope
 from ..sources.partitioned import read_partitioned, read_quarantine
 from ..streaming import speed
+from ..streaming.late import LateSink, read_late
 from ..streaming.runner import VIEW_FIELDS, run_streaming_job, run_to_end, start
 from ..streaming.ingest_stream import start_ingest
 from ..streaming.sinks import ChangelogSink, read_latest
@@ -39,6 +40,7 @@ TOP_K_POSTS = 3
 TOP_K_USERS = 10
 TOP_K_SUBREDDITS = 2
 SLICES = 4
+OUT_OF_ORDER = (0, 2, 1, 3)
 EMPTIED_DAY = "2023-01-01"
 
 
@@ -300,19 +302,19 @@ def _landed_envelope(spark, sf, entities, name, copies=1):
     return d, file_envelope_source(spark, f"{d}/envelope")
 
 
-def _in_slices(spark, sf, entities, d, run, copies=1):
-    """Land the records in ascending slices of event time and run the query
-    to the end after each, from its checkpoint: the result must not depend
-    on how the input was cut into micro-batches."""
+def _in_slices(spark, sf, entities, d, run, copies=1, order=None, late="raise"):
+    """Land the records in slices of event time (ascending, or in the given
+    order) and run the query to the end after each, from its checkpoint: the
+    result must not depend on how the input was cut into micro-batches."""
     env = B.envelope(spark, sf, entities)
     low, high = B.table(spark, sf, "events").agg(F.min("ts").cast("timestamp"), F.max("ts").cast("timestamp")).first()
     at = F.timestamp_add("MILLISECOND", -B.arrival_delay_ms("offset"), F.col("timestamp"))
     number = F.floor((F.unix_micros(at) - F.unix_micros(F.lit(low))) * SLICES
                      / (F.unix_micros(F.lit(high)) - F.unix_micros(F.lit(low)) + 1))
-    for i in range(SLICES):
+    for i in order or range(SLICES):
         for _ in range(copies):
             write_envelope(env.filter(number == i), f"{d}/envelope")
-        run_to_end(run(file_envelope_source(spark, f"{d}/envelope")), late="raise")
+        run_to_end(run(file_envelope_source(spark, f"{d}/envelope")), late=late)
 
 
 def _start_posts_per_minute(src, d, serving_measures=False):
@@ -347,6 +349,21 @@ def posts_per_minute_batches(spark, sf):
         "window_start", "window_end", "subreddit", "num_posts", "total_score")
 
 
+@query
+def late_records(spark, sf):
+    """The posts that came after their minute had closed, when the second and
+    third quarter of the time change places: each slice is a micro-batch after
+    a restart."""
+    d = scratch_path(spark, "late_records")
+
+    def late(src):
+        rows = ingest.decode_entity(src, "posts", fields=VIEW_FIELDS["late_posts"])
+        return start(rows, f"{d}/checkpoint", foreach_batch=LateSink(f"{d}/late", f"{d}/checkpoint"), available_now=True)
+    _in_slices(spark, sf, ("posts",), d, late, order=OUT_OF_ORDER)
+    return _wall(read_late(spark, f"{d}/late"), "timestamp", "window_end", "watermark").select(
+        "post_id", "subreddit", "score", "timestamp", "window_end", "watermark")
+
+
 @query
 def comments_per_minute(spark, sf):
     d, src = _landed_envelope(spark, sf, ("comments",), "comments_per_minute")

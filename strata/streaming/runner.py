@@ -9,6 +9,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ingest import decode_entity
 from . import speed
+from .late import LateSink, drop_counter
 from .sinks import ChangelogSink
 
 log = logging.getLogger(__name__)
@@ -19,6 +20,7 @@ def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append", foreac
           processing_time: str | None = None, name: str | None = None) -> StreamingQuery:
     """Every query gets a checkpoint: offsets, commits and state survive a
     restart, so a restarted query resumes instead of reprocessing."""
+    drop_counter(df.sparkSession)
     w = df.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
     if name:
         w = w.queryName(name)
@@ -33,12 +35,13 @@ def start(df: DataFrame, checkpoint: str, *, output_mode: str = "append", foreac
     return w.format(fmt).option("path", path).start()
 
 
-def dropped_rows(q: StreamingQuery) -> int:
+def dropped_rows(q: StreamingQuery, spark: SparkSession | None = None) -> int:
     """Rows that stateful operators left out as later than the watermark
-    allows, over the reported micro-batches. Windowed aggregates count rows
-    after partial aggregation, so this tells that rows were lost, not how many
-    records."""
-    return sum(op.get("numRowsDroppedByWatermark", 0) for p in q.recentProgress for op in p["stateOperators"])
+    allows, over all micro-batches of this run of the query. Windowed aggregates
+    count rows after partial aggregation, so this tells that rows were lost; the
+    records themselves are in the ``late`` view."""
+    spark = spark or SparkSession.getActiveSession()
+    return drop_counter(spark).of(spark, q)
 
 
 def run_to_end(q: StreamingQuery, late: str = "report") -> StreamingQuery:
@@ -48,13 +51,16 @@ def run_to_end(q: StreamingQuery, late: str = "report") -> StreamingQuery:
     err = q.exception()
     if err is not None:
         raise RuntimeError(f"streaming query failed: {err}")
-    dropped = dropped_rows(q)
+    _tell(dropped_rows(q), late)
+    return q
+
+
+def _tell(dropped: int, late: str) -> None:
     if dropped:
         said = f"{dropped} rows were later than the watermark allows and are not in the result"
         if late == "raise":
             raise RuntimeError(said)
         log.warning(said)
-    return q
 
 
 #: The fields that each speed view reads.
@@ -63,6 +69,8 @@ VIEW_FIELDS = {
     "comments": ["comment_id", "post_id"],
     "users": ["user_id", "username", "karma"],
     "panels": ["user_id"],
+    "late_posts": ["post_id", "user_id", "subreddit", "score", "num_comments"],
+    "late_comments": ["comment_id", "post_id", "user_id", "score"],
 }
 
 
@@ -71,7 +79,9 @@ def start_speed_views(envelope, out_base: str, checkpoint_base: str, *,
                       processing_time: str | None = None, serving: bool = False,
                       console: bool = False) -> dict[str, StreamingQuery]:
     """Start the posts, comments and users views of the speed layer, and with
-    the view ``panels`` active users, throughput and latency of the posts.
+    the view ``panels`` active users, throughput and latency of the posts. The
+    view ``late`` keeps the posts and comments that came after their window
+    had closed.
 
     ``envelope`` is one stream over all topics, or a function
     ``entity -> stream`` (e.g. a Kafka source subscribed to that entity's
@@ -104,24 +114,38 @@ def start_speed_views(envelope, out_base: str, checkpoint_base: str, *,
         for name, df in (("active_users", speed.active_users_per_window(posts)),
                          ("throughput", speed.events_per_minute(posts)), ("latency", speed.latency_per_minute(posts))):
             queries[name] = changelog(name, df)
+    if "late" in views:
+        for entity in ("posts", "comments"):
+            name = f"late_{entity}"
+            checkpoint = f"{checkpoint_base}/{name}"
+            queries[name] = start(decoded(entity, name), checkpoint, foreach_batch=LateSink(f"{out_base}/{name}", checkpoint), **trig)
     return queries
 
 
 def wait(spark: SparkSession, queries: dict[str, StreamingQuery], available_now: bool, late: str = "report") -> None:
     """Until the input ends, or until a query stops; on an interrupt all are
-    stopped (their checkpoints let a restart resume)."""
+    stopped (their checkpoints let a restart resume). Rows dropped as late are
+    logged micro-batch by micro-batch, and summed up at the end; with
+    ``late="raise"`` they are then an error, also of a job that was stopped. A
+    query that failed is raised."""
     if available_now:
         for q in queries.values():
             run_to_end(q, late)
         return
     try:
-        spark.streams.awaitAnyTermination()
+        # Not awaitAnyTermination: it also returns for queries that ended before.
+        while all(q.isActive for q in queries.values()):
+            next(iter(queries.values())).awaitTermination(1)
     except KeyboardInterrupt:
         pass
     finally:
         for q in queries.values():
             if q.isActive:
                 q.stop()
+    for q in queries.values():
+        if q.exception() is not None:
+            raise RuntimeError(f"streaming query failed: {q.exception()}")
+    _tell(sum(dropped_rows(q, spark) for q in queries.values()), late)
 
 
 def run_streaming_job(spark: SparkSession, envelope, out_base: str, checkpoint_base: str, late: str = "report",

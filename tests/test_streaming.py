@@ -280,3 +280,111 @@ def test_panels_and_console(spark, tmp):
     assert set(qs) == {"comments", "users", "active_users", "throughput", "latency"}
     for name in ("active_users", "throughput", "latency"):
         assert read_latest(spark, f"{tmp}/v/{name}", ["window_start"]).count() == 1
+
+
+def _late_query(spark, tmp, **options):
+    from strata.streaming.late import LateSink
+    rows = ingest.decode_entity(file_envelope_source(spark, f"{tmp}/in", **options), "posts")
+    sink = LateSink(f"{tmp}/late", f"{tmp}/late_ck")
+    run_to_end(start(rows, f"{tmp}/late_ck", foreach_batch=sink, available_now=True))
+    return sink
+
+
+def test_late_records_are_kept_whole_and_counted(spark, tmp):
+    from strata.streaming.late import read_late
+    counts = []
+    for recs in ([post("a", ts=ts(0))], [post("b", ts=ts(30)), post("none", ts="", created="")],
+                 [post("late", ts=ts(19, 59), score=7), post("edge", ts=ts(20)), post("late2", ts=ts(3))],
+                 [post("c", ts=ts(31))], [post("late3", ts=ts(19, 59)), post("late3", ts=ts(19, 59))]):
+        land(spark, f"{tmp}/in", recs)
+        sink = _late_query(spark, tmp)
+        counts.append((sink.seen, sink.late))
+    assert counts == [(1, 0), (1, 0), (3, 2), (1, 0), (2, 2)]  # without a time: in no window
+    got = sorted((r.post_id, r.score, r.batch_id, r.watermark.minute, r.window_end.minute)
+                 for r in read_late(spark, f"{tmp}/late").collect())
+    assert got == [("late", 7, 2, 20, 20), ("late2", 10, 2, 20, 4), ("late3", 10, 4, 21, 20), ("late3", 10, 4, 21, 20)]
+
+
+def test_what_a_view_leaves_out_is_among_the_late_records(spark, tmp):
+    """The same micro-batches for both: of every post either the view counts it or it is a late record."""
+    from strata.streaming.late import read_late
+    for minute, recs in ((0, 3), (40, 2), (5, 4), (50, 1), (6, 5), (45, 2)):
+        land(spark, f"{tmp}/in", [post(f"p{minute}-{i}", ts=ts(minute)) for i in range(recs)])
+        run_ppm(spark, tmp)
+        _late_query(spark, tmp)
+    late = read_late(spark, f"{tmp}/late").count()
+    assert late == 9 and sum(n for n, _ in latest(spark, tmp).values()) == 17 - late
+
+
+def test_a_replayed_micro_batch_finds_the_same_late_records(spark, tmp):
+    from strata.streaming.late import LateSink, read_late
+    sink = LateSink(f"{tmp}/late")
+    batches = [ingest.decode_entity(envelope(spark, [post(f"p{m}", ts=ts(m))]), "posts") for m in (0, 30, 5, 59)]
+    for n in (0, 1, 2, 2, 3, 3):
+        sink(batches[n], n)
+    sink = LateSink(f"{tmp}/late")
+    sink(batches[2], 2)  # the notes of later micro-batches are not looked at
+    assert [(r.post_id, r.batch_id) for r in read_late(spark, f"{tmp}/late").collect()] == [("p5", 2)]
+
+
+def test_drops_are_counted_beyond_the_list_of_recent_progress(spark, tmp):
+    from strata.streaming.runner import dropped_rows
+    for i in range(12):
+        land(spark, f"{tmp}/in", [post(f"p{i}", ts=ts(50 if i % 2 else 1 + i))])
+    key = "spark.sql.streaming.numRecentProgressUpdates"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        src = file_envelope_source(spark, f"{tmp}/in", max_files_per_trigger=1)
+        view = speed.posts_per_minute(ingest.decode_entity(src, "posts"))
+        q = run_to_end(start(view, f"{tmp}/ck", output_mode="update", foreach_batch=ChangelogSink(f"{tmp}/out"),
+                             available_now=True))
+        counted = sum(n for n, _ in latest(spark, tmp).values())
+        assert len(q.recentProgress) <= 2 and counted < 12
+        assert dropped_rows(q, spark) == 12 - counted
+    finally:
+        spark.conf.set(key, old)
+
+
+def test_a_live_job_is_interrupted_and_goes_on(spark, tmp):
+    """A running job (processing-time trigger) is stopped between records and
+    started again: each record is counted once, and the late one is kept."""
+    import threading
+    import time
+
+    import pytest
+
+    from strata.streaming.late import read_late
+    from strata.streaming.runner import start_speed_views, wait
+
+    def job(records, late, until):
+        land(spark, f"{tmp}/in", records)
+        queries = start_speed_views(file_envelope_source(spark, f"{tmp}/in"), f"{tmp}/out", f"{tmp}/ck",
+                                    views=("posts", "late"), processing_time="200 milliseconds")
+        def watch():
+            end = time.time() + 40
+            while time.time() < end:
+                try:
+                    if until():
+                        break
+                except Exception:  # noqa: BLE001  the tables do not exist yet
+                    pass
+                time.sleep(0.3)
+            for q in queries.values():
+                q.stop()
+        stop = threading.Thread(target=watch)
+        stop.start()
+        try:
+            wait(spark, queries, available_now=False, late=late)
+        finally:
+            stop.join()
+
+    def total():
+        return sum(r.num_posts for r in read_latest(spark, f"{tmp}/out/posts_per_minute", ["window_start", "subreddit"]).collect())
+    job([post("a", ts=ts(0))], "raise", lambda: total() == 1)
+    job([post("b", ts=ts(40))], "raise", lambda: total() == 2)
+    with pytest.raises(RuntimeError, match="later than the watermark"):
+        job([post("late", ts=ts(1)), post("c", ts=ts(41))], "raise",
+            lambda: total() == 3 and read_late(spark, f"{tmp}/out/late_posts").count() == 1)
+    assert total() == 3
+    assert [r.post_id for r in read_late(spark, f"{tmp}/out/late_posts").collect()] == ["late"]
