@@ -72,6 +72,7 @@ def parser() -> argparse.ArgumentParser:
     _stream_args(s)
     s.add_argument("--out", required=True)
     s.add_argument("--panels", action="store_true", help="also active users, throughput and latency")
+    s.add_argument("--totals", action="store_true", help="also the daily totals of posts and users that serving merges")
     s.add_argument("--late-records", action="store_true", help="also keep the posts and comments that came too late")
     s.add_argument("--console", action="store_true", help="print the comments and users views")
     s.add_argument("--late", default="report", choices=["report", "raise"],
@@ -133,7 +134,7 @@ def main(argv=None, spark=None) -> int:
         per_topic = (lambda entity: _source(spark, args, topics=[TOPICS[entity]])) if args.kafka else _source(spark, args)
         run_streaming_job(spark, per_topic, args.out, args.checkpoint, late=args.late, serving=True,
                           views=("posts", "comments", "users") + ("panels",) * args.panels
-                          + ("late",) * args.late_records, console=args.console,
+                          + ("late",) * args.late_records + ("totals",) * args.totals, console=args.console,
                           available_now=args.available_now, processing_time=args.trigger)
     elif args.cmd == "ingest":
         queries = start_ingest(spark, _source(spark, args), args.store, args.checkpoint, bootstrap_dir=args.bootstrap,

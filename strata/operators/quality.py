@@ -49,6 +49,9 @@ def latency_stats(records: DataFrame, by: list[str], quantiles: bool = False) ->
     ``SKETCH_ACCURACY`` records."""
     lat = latency(records).filter(F.col("latency_ms").isNotNull())
     aggs = [F.count(F.lit(1)).alias("n"), F.avg("latency_ms").alias("avg_ms"), F.max("latency_ms").alias("max_ms")]
-    if quantiles:
-        aggs += [F.percentile_approx("latency_ms", q, SKETCH_ACCURACY).alias(n) for n, q in (("p50_ms", 0.5), ("p95_ms", 0.95))]
-    return lat.groupBy(*by).agg(*aggs)
+    if not quantiles:
+        return lat.groupBy(*by).agg(*aggs)
+    # One sketch for both.
+    both = F.percentile_approx("latency_ms", [0.5, 0.95], SKETCH_ACCURACY).alias("q")
+    return lat.groupBy(*by).agg(*aggs, both).select(
+        *by, "n", "avg_ms", "max_ms", F.col("q")[0].alias("p50_ms"), F.col("q")[1].alias("p95_ms"))

@@ -46,31 +46,38 @@ def top_k_posts(posts: DataFrame, k: int = 3, date_filter=None) -> DataFrame:
     """
     if k < 1:
         raise ValueError("k must be >= 1")
+    return best_posts(post_totals(posts, date_filter), k)
+
+
+def best_posts(totals: DataFrame, k: int) -> DataFrame:
+    """The k best of each subreddit and day, of ``post_totals`` rows."""
     w = Window.partitionBy("subreddit", "date").orderBy(F.col("total_score").desc(), "post_id", "user_id", "title")
-    return (post_totals(posts, date_filter)
-            .withColumn("rank", F.row_number().over(w))
-            .filter(F.col("rank") <= k))
+    return totals.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
 # --- V2 ---------------------------------------------------------------------------------------
 
+#: What adds up over a user's days.
+USER_MEASURES = ["num_posts", "post_score", "num_comments", "comment_score"]
+
+
 def scored_activity(posts: DataFrame, comments: DataFrame) -> DataFrame:
-    """Posts and comments as one (data_type, user_id, id, score) table."""
-    return (posts.select(F.lit("posts").alias("data_type"), "user_id", F.col("post_id").alias("id"), "score")
+    """Posts and comments as one (data_type, user_id, id, score, timestamp) table."""
+    return (posts.select(F.lit("posts").alias("data_type"), "user_id", F.col("post_id").alias("id"), "score", "timestamp")
             .unionByName(comments.select(F.lit("comments").alias("data_type"), "user_id",
-                                         F.col("comment_id").alias("id"), "score")))
+                                         F.col("comment_id").alias("id"), "score", "timestamp")))
 
 
-def user_totals(records: DataFrame) -> DataFrame:
-    """Activity per user from (data_type, user_id, id, score) records: one
-    aggregation with one exchange. A user seen on one side only has zeros on
-    the other. Records without a user are not one user's: they come out as
-    one row a side, told apart by ``side`` (NULL for every real user)."""
+def user_totals(records: DataFrame, by: list | None = None) -> DataFrame:
+    """Activity per user (and ``by``, if given) from (data_type, user_id, id,
+    score) records: one aggregation with one exchange. A user seen on one side
+    only has zeros on the other. Records without a user are not one user's: they
+    come out as one row a side, told apart by ``side`` (NULL for every real user)."""
     def measure(kind: str, number: Column) -> Column:
         return F.coalesce(F.sum(F.when(F.col("data_type") == kind, number)), F.lit(0))
     counted = F.col("id").isNotNull().cast("bigint")
     return (records.withColumn("side", F.when(F.col("user_id").isNull(), F.col("data_type")))
-            .groupBy("user_id", "side").agg(
+            .groupBy("user_id", "side", *(by or [])).agg(
                 measure("posts", counted).alias("num_posts"), measure("posts", F.col("score")).alias("post_score"),
                 measure("comments", counted).alias("num_comments"),
                 measure("comments", F.col("score")).alias("comment_score"))
@@ -82,6 +89,19 @@ def user_activity_unordered(posts: DataFrame, comments: DataFrame) -> DataFrame:
     return user_totals(scored_activity(posts, comments))
 
 
+def user_day_totals(records: DataFrame) -> DataFrame:
+    """``user_totals`` per day, without what is derived: rows that add up."""
+    return user_totals(records.withColumn("date", day_of("timestamp")), ["date"]).select(
+        "user_id", "side", "date", *USER_MEASURES)
+
+
+def finish_user_totals(days: DataFrame) -> DataFrame:
+    """``user_totals`` of all days from rows per user and day."""
+    return (days.groupBy("user_id", "side").agg(*(F.sum(m).alias(m) for m in USER_MEASURES))
+            .withColumn("total_activity", F.col("num_posts") + F.col("num_comments"))
+            .withColumn("total_score", F.col("post_score") + F.col("comment_score")))
+
+
 def order_activity(totals: DataFrame) -> DataFrame:
     """Most active first. Equally active users are ordered by id, so the sort
     deals them over its tasks instead of putting all ties into one."""

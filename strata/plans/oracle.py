@@ -175,6 +175,22 @@ BODIES = {
     "incremental_subreddit_activity": "SELECT * FROM daily",
     "refresh_touched_days": "SELECT * FROM daily",
     "serving_merge": "SELECT * FROM daily",
+    "serving_merge_top_posts": """
+        SELECT * FROM (
+          SELECT subreddit, date, CAST(post_id AS VARCHAR) AS post_id, title, CAST(user_id AS VARCHAR) AS user_id,
+                 total_score, total_comments,
+                 CAST(row_number() OVER (PARTITION BY subreddit, date ORDER BY total_score DESC, CAST(post_id AS VARCHAR),
+                                         CAST(user_id AS VARCHAR), title) AS INT) AS rank
+          FROM post_totals) WHERE rank <= 3""",
+    "serving_merge_user_activity": """
+        SELECT CAST(user_id AS VARCHAR) AS user_id, num_posts, post_score, num_comments, comment_score,
+               num_posts + num_comments AS total_activity, post_score + comment_score AS total_score FROM ua""",
+    "serving_merge_active_users": """
+        SELECT date_trunc('hour', ts) AS window_start, count(DISTINCT user_id) AS active_users FROM posts GROUP BY 1""",
+    "latency_percentiles_per_minute": """
+        SELECT date_trunc('minute', ts) AS window_start, count(*) AS n, CAST(max(post_id % 2000) AS DOUBLE) AS max_ms,
+               CAST(quantile_disc(post_id % 2000, 0.5) AS DOUBLE) AS p50_ms,
+               CAST(quantile_disc(post_id % 2000, 0.95) AS DOUBLE) AS p95_ms FROM posts GROUP BY 1""",
     "serving_top_posts": """
         SELECT concat_ws('|', subreddit, CAST(date AS VARCHAR), CAST(post_id AS VARCHAR), title, CAST(user_id AS VARCHAR)) AS key,
                post_id, total_score, total_comments FROM post_totals""",

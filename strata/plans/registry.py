@@ -490,3 +490,55 @@ def serving_merge(spark, sf):
     serving.write_daily(_posts(spark, sf), path)
     minutes = _run_posts_per_minute(spark, sf, serving_measures=True)
     return serving.merge_batch_and_speed(spark.read.parquet(path), minutes, SERVING_CUTOFF)
+
+
+def _both_layers(spark, sf, name, views_):
+    """A store of all posts and comments, and the speed views over the same
+    records as a stream: (store, folder of the speed views)."""
+    base = _ingested(spark, sf, ("posts", "comments"))
+    d, src = _landed_envelope(spark, sf, ("posts", "comments"), name)
+    run_streaming_job(spark, src, f"{d}/views", f"{d}/checkpoint", late="raise", available_now=True, views=views_)
+    return base, f"{d}/views"
+
+
+@query
+def serving_merge_top_posts(spark, sf):
+    """The best posts of each subreddit and day, before the cutoff from the
+    batch job's view and after it from the stream."""
+    base, speed_views = _both_layers(spark, sf, "merge_top", ("totals",))
+    run_batch_job(spark, base, f"{base}/_views")
+    days = read_latest(spark, f"{speed_views}/posts_per_day", serving.SERVING_KEYS["posts_per_day"])
+    return serving.merge_top_posts(spark.read.parquet(f"{base}/_views/top_posts"), days, SERVING_CUTOFF, k=TOP_K_POSTS)
+
+
+@query
+def serving_merge_user_activity(spark, sf):
+    """All users' activity, before the cutoff from the batch side's days and
+    after it from the stream."""
+    base, speed_views = _both_layers(spark, sf, "merge_users", ("totals",))
+    records = views.scored_activity(read_partitioned(spark, base, "posts"), read_partitioned(spark, base, "comments"))
+    serving.write_user_days(records, f"{base}/_user_days")
+    days = read_latest(spark, f"{speed_views}/user_activity_per_day", serving.SERVING_KEYS["user_activity_per_day"])
+    return serving.merge_user_activity(spark.read.parquet(f"{base}/_user_days"), days, SERVING_CUTOFF).drop("side")
+
+
+@query
+def serving_merge_active_users(spark, sf):
+    """Users active in each hour, from stored sketches of the batch layer before
+    the cutoff and the stream's after it."""
+    base, speed_views = _both_layers(spark, sf, "merge_active", ("panels",))
+    speed.active_user_sketches(read_partitioned(spark, base, "posts")).write.parquet(f"{base}/_sketches")
+    hours = read_latest(spark, f"{speed_views}/active_user_sketches", ["window_start"])
+    return _wall(serving.merge_active_users(spark.read.parquet(f"{base}/_sketches"), hours, SERVING_CUTOFF), "window_start")
+
+
+@query
+def latency_percentiles_per_minute(spark, sf):
+    """Median and 95th percentile of the delay of each minute's posts, from the
+    sketches that the stream keeps."""
+    d, src = _landed_envelope(spark, sf, ("posts",), "latency_percentiles")
+    view = speed.latency_per_minute(ingest.decode_entity(src, "posts", fields=VIEW_FIELDS["panels"]))
+    run_to_end(start(view, f"{d}/checkpoint", output_mode="update",
+                     foreach_batch=ChangelogSink(f"{d}/serving", f"{d}/checkpoint"), available_now=True), late="raise")
+    return _wall(read_latest(spark, f"{d}/serving", ["window_start"]), "window_start").select(
+        "window_start", "n", "max_ms", "p50_ms", "p95_ms")

@@ -21,6 +21,8 @@ SERVING_KEYS = {
     "subreddit_activity": ["subreddit", "date"],
     "posts_per_minute": ["window_start", "subreddit"],
     "comments_per_minute": ["window_start", "post_id"],
+    "posts_per_day": ["subreddit", "date", "post_id", "title", "user_id"],
+    "user_activity_per_day": ["user_id", "side", "date"],
 }
 
 
@@ -109,3 +111,45 @@ def merge_batch_and_speed(batch_daily: DataFrame, speed_minutes: DataFrame, cuto
     merged = (b.unionByName(s).groupBy("subreddit", "date")
               .agg(*[F.sum(m).alias(m) for m in MEASURES]))
     return views.finish_daily(merged)
+
+
+def merge_top_posts(batch_totals: DataFrame, speed_days: DataFrame, cutoff, k: int | None = None) -> DataFrame:
+    """Top posts of both layers: days before ``cutoff`` from the batch view's
+    totals, later ones from ``speed.posts_per_day``; with ``k`` the best of each
+    subreddit and day. The layers share no day, so nothing is added twice, and
+    each task sends on at most ``k`` rows of a group."""
+    cut = F.lit(parse_day(cutoff))
+    columns = ["subreddit", "date", "post_id", "title", "user_id", "total_score", "total_comments"]
+    both = (batch_totals.where(F.col("date") < cut).select(*columns)
+            .unionByName(speed_days.where(F.col("date") >= cut).select(*columns)))
+    return both if k is None else views.best_posts(both, k)
+
+
+def write_user_days(records: DataFrame, path: str, days=None) -> None:
+    """The batch side of user activity: what adds up, per user and day, from
+    (data_type, user_id, id, score, timestamp) records, partitioned by ``date``;
+    with ``days`` only those partitions are written."""
+    if days is not None:
+        records = on_dates(records, days)
+    (views.user_day_totals(records).where("date IS NOT NULL").hint("rebalance", "date").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic" if days is not None else "static").partitionBy("date").parquet(path))
+
+
+def merge_user_activity(batch_days: DataFrame, speed_days: DataFrame, cutoff) -> DataFrame:
+    """User activity of both layers, unordered: a user's days before ``cutoff``
+    from ``write_user_days``, later ones from ``speed.user_activity_per_day``."""
+    cut = F.lit(parse_day(cutoff))
+    columns = ["user_id", "side", *views.USER_MEASURES]
+    return views.finish_user_totals(batch_days.where(F.col("date") < cut).select(*columns).unionByName(
+        speed_days.where(F.col("date") >= cut).select(*columns)))
+
+
+def merge_active_users(batch: DataFrame, speed: DataFrame, cutoff, window: str = "1 hour") -> DataFrame:
+    """Distinct users per window of both layers' hourly sketches (``users``), by
+    merging them: windows of any multiple of an hour, also across the cutoff."""
+    def side(df: DataFrame, before: bool) -> DataFrame:
+        at = midnight(parse_day(cutoff), df.schema["window_start"].dataType)
+        return df.where(F.col("window_start") < at if before else F.col("window_start") >= at).select("window_start", "users")
+    return (side(batch, True).unionByName(side(speed, False))
+            .groupBy(F.window("window_start", window).getField("start").alias("window_start"))
+            .agg(F.hll_sketch_estimate(F.hll_union_agg("users")).alias("active_users")))

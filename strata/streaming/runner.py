@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.ingest import decode_entity
+from ..operators.views import scored_activity
 from . import speed
 from .late import LateSink, drop_counter
 from .sinks import ChangelogSink
@@ -69,6 +70,9 @@ VIEW_FIELDS = {
     "comments": ["comment_id", "post_id"],
     "users": ["user_id", "username", "karma"],
     "panels": ["user_id"],
+    "posts_per_day": ["post_id", "user_id", "subreddit", "title", "score", "num_comments"],
+    "post_activity": ["post_id", "user_id", "score"],
+    "comment_activity": ["comment_id", "user_id", "score"],
     "late_posts": ["post_id", "user_id", "subreddit", "score", "num_comments"],
     "late_comments": ["comment_id", "post_id", "user_id", "score"],
 }
@@ -79,7 +83,9 @@ def start_speed_views(envelope, out_base: str, checkpoint_base: str, *,
                       processing_time: str | None = None, serving: bool = False,
                       console: bool = False) -> dict[str, StreamingQuery]:
     """Start the posts, comments and users views of the speed layer, and with
-    the view ``panels`` active users, throughput and latency of the posts. The
+    the view ``panels`` active users, throughput and latency of the posts, and
+    with ``totals`` the daily totals of posts and of users that the serving layer
+    merges with the batch views. The
     view ``late`` keeps the posts and comments that came after their window
     had closed.
 
@@ -112,7 +118,13 @@ def start_speed_views(envelope, out_base: str, checkpoint_base: str, *,
     if "panels" in views:
         posts = decoded("posts", "panels")
         for name, df in (("active_users", speed.active_users_per_window(posts)),
-                         ("throughput", speed.events_per_minute(posts)), ("latency", speed.latency_per_minute(posts))):
+                         ("throughput", speed.events_per_minute(posts)), ("latency", speed.latency_per_minute(posts)),
+                         ("active_user_sketches", speed.active_user_sketches(posts))):
+            queries[name] = changelog(name, df)
+    if "totals" in views:
+        activity = scored_activity(decoded("posts", "post_activity"), decoded("comments", "comment_activity"))
+        for name, df in (("posts_per_day", speed.posts_per_day(decoded("posts", "posts_per_day"))),
+                         ("user_activity_per_day", speed.user_activity_per_day(activity))):
             queries[name] = changelog(name, df)
     if "late" in views:
         for entity in ("posts", "comments"):

@@ -97,3 +97,50 @@ def test_serving_keys_tell_rows_apart(spark, tmp):
     for view in ("top_posts", "user_activity"):
         served = spark.read.parquet(f"{tmp}/{view}")
         assert served.select("key").distinct().count() == served.count() == 3
+
+
+CUT = "2024-01-03"
+
+
+def _layers(spark, tmp, recs):
+    """Each (post or comment) row decoded, as the batch and as the speed layer have it."""
+    posts = decoded(spark, [r for r in recs if "comment_id" not in r])
+    comments = decoded(spark, [r for r in recs if "comment_id" in r], "comments")
+    return posts, comments
+
+
+def _recs():
+    out = [post(f"p{i % 7}", user_id=f"u{i % 4}", ts=f"2024-01-0{1 + i % 5}T0{i % 9}:59:59Z", score=i) for i in range(40)]
+    out += [comment(f"c{i}", user_id=f"u{i % 6}", ts=f"2024-01-0{1 + i % 5}T23:00:00Z", score=-i) for i in range(30)]
+    return out + [post("none", user_id=None, ts="2024-01-04T00:00:00Z"), comment("nobody", user_id=None, ts="2024-01-02T00:00:00Z")]
+
+
+def test_top_posts_of_both_layers_equal_the_full_view(spark, tmp):
+    posts, _ = _layers(spark, tmp, _recs())
+    full, fast = views.post_totals(posts), speed.posts_per_day(posts)
+    for k in (None, 2):
+        want = full if k is None else views.top_k_posts(posts, k=k)
+        # What each layer holds beyond its own days does not matter.
+        got = serving.merge_top_posts(full.unionByName(full.where("date >= '2024-01-03'")), fast, CUT, k=k)
+        assert sorted(map(tuple, got.select(*want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_user_activity_of_both_layers_equals_the_full_view(spark, tmp):
+    posts, comments = _layers(spark, tmp, _recs())
+    records = views.scored_activity(posts, comments)
+    serving.write_user_days(records, f"{tmp}/days")
+    got = serving.merge_user_activity(spark.read.parquet(f"{tmp}/days"), speed.user_activity_per_day(records), CUT)
+    want = views.user_activity_unordered(posts, comments)
+    assert sorted(map(tuple, got.select(*want.columns).collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_active_users_merge_across_layers_and_into_longer_windows(spark, tmp):
+    n = 30_000
+    rows = spark.range(n).select(F.pmod("id", F.lit(20_000)).alias("user_id"),
+                                 F.timestamp_add("SECOND", F.col("id") * 5, F.lit("2024-01-02T00:00:00Z").cast("timestamp")).alias("timestamp"))
+    held = speed.active_user_sketches(rows)
+    whole = {r.window_start: r.active_users for r in serving.merge_active_users(held, held, CUT, "30 days").collect()}
+    (estimate,) = whole.values()  # one window over both sides of the cutoff
+    assert abs(estimate - 20_000) < 4 * 20_000 * 1.04 / 64
+    hours = serving.merge_active_users(held, held, CUT).collect()
+    assert len(hours) == 42 and all(abs(r.active_users - 720) <= 4 * 720 * 1.04 / 64 for r in hours[:-1] if r.active_users > 500)

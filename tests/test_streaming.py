@@ -277,8 +277,8 @@ def test_panels_and_console(spark, tmp):
                            available_now=True)
     for q in qs.values():
         run_to_end(q)
-    assert set(qs) == {"comments", "users", "active_users", "throughput", "latency"}
-    for name in ("active_users", "throughput", "latency"):
+    assert set(qs) == {"comments", "users", "active_users", "throughput", "latency", "active_user_sketches"}
+    for name in ("active_users", "throughput", "latency", "active_user_sketches"):
         assert read_latest(spark, f"{tmp}/v/{name}", ["window_start"]).count() == 1
 
 
@@ -388,3 +388,24 @@ def test_a_live_job_is_interrupted_and_goes_on(spark, tmp):
             lambda: total() == 3 and read_late(spark, f"{tmp}/out/late_posts").count() == 1)
     assert total() == 3
     assert [r.post_id for r in read_late(spark, f"{tmp}/out/late_posts").collect()] == ["late"]
+
+
+def test_streaming_percentiles_stay_within_the_sketch_error(spark, tmp):
+    """One minute with many records over three micro-batches and restarts: the
+    percentiles' ranks are within one in SKETCH_ACCURACY (and one for ties)."""
+    n = 30_000
+    late = F.pmod(F.col("id") * 7919, F.lit(n))  # every delay once
+    for part in range(3):
+        rows = spark.range(part * n // 3, (part + 1) * n // 3).select(
+            F.lit(None).cast("binary").alias("key"),
+            F.encode(F.to_json(F.struct(F.col("id").cast("string").alias("post_id"), F.lit(ts(3)).alias("timestamp"))), "UTF-8").alias("value"),
+            F.lit("reddit.posts").alias("topic"), F.lit(0).alias("partition"), F.col("id").alias("offset"),
+            F.timestamp_add("MILLISECOND", late, F.lit(ts(3)).cast("timestamp")).alias("timestamp"), F.lit(0).alias("timestampType"))
+        rows.write.mode("append").parquet(f"{tmp}/in")
+        src = ingest.decode_entity(file_envelope_source(spark, f"{tmp}/in"), "posts")
+        run_to_end(start(speed.latency_per_minute(src), f"{tmp}/ck", output_mode="update", available_now=True,
+                         foreach_batch=ChangelogSink(f"{tmp}/out", f"{tmp}/ck")))
+    r = read_latest(spark, f"{tmp}/out", ["window_start"]).first()
+    assert r.n == n and r.max_ms == n - 1
+    off = n / speed.SKETCH_ACCURACY + 1
+    assert abs(r.p50_ms - n * 0.5) <= off and abs(r.p95_ms - n * 0.95) <= off
