@@ -48,7 +48,7 @@ SPACE = "▁"
 BLOCK = 48_000_000
 #: Characters of a unit that goes through the relational lattice.
 LONGEST = 48
-#: Words whose ids a task remembers; others are put together from their units again.
+#: Words of several units whose ids a task remembers; others are put together again.
 REMEMBERED = 100_000
 #: Words that are cut into units at once.
 SLICE = 20_000
@@ -305,7 +305,7 @@ def _encode_blocks(shared, names: list[str]):
                     flat = ids.flatten().to_numpy().astype("<i4").tobytes()
                     at = ids.offsets.to_numpy() * 4
                     at = at - at[0]
-                    coder.units.update(zip(rows.column("unit").to_pylist(), (flat[a:b] for a, b in zip(at, at[1:]))))
+                    coder.learn(rows.column("unit").to_pylist(), [flat[a:b] for a, b in zip(at.tolist(), at[1:].tolist())])
                     continue
                 coded, same = coder.encode([t or "" for t in rows.column("text").to_pylist()])
                 ends = np.cumsum([0, *(len(c) // 4 for c in coded)], dtype=np.int32)
@@ -322,19 +322,44 @@ class Coder:
 
     def __init__(self, pieces: Pieces):
         self.pieces = pieces
-        self.units: dict[str, bytes] = {}  # the block's encoded units
+        self.units: dict[str, bytes] = {}  # the block's encoded units that are no words
         self.quick: dict[str, bytes] = {}  # words by ``quick_words`` -> ids
+        self.joined: list[str] = []  # those of several units
         self.wrong: set[str] = set()  # those that do not decode to themselves
 
+    def learn(self, units: list[str], codes: list[bytes]) -> None:
+        """Encoded units; one that is a whole word with its blank is kept as that word."""
+        words, own = [], []
+        for u, c in zip(units, codes):
+            if u[0] == SPACE and len(u) > 1 and u[1] != "\n" and SPACE not in u[1:]:
+                words.append(u[1:])
+                own.append(c)
+            else:
+                self.units[u] = c
+        self._keep(words, own)
+
+    def _keep(self, words: list[str], codes: list[bytes]) -> None:
+        self.quick.update(zip(words, codes))
+        texts = self.pieces.texts
+        for w, c in zip(words, codes):
+            own = texts[c[0] | c[1] << 8 | c[2] << 16] if len(c) == 4 else b"".join(map(texts.__getitem__, memoryview(c).cast("i")))
+            if own != _marked(w).replace(SPACE, " ").encode("utf-8", "surrogatepass"):
+                self.wrong.add(w)
+
+    def _code(self, unit: str) -> bytes:
+        found = self.units.get(unit)
+        if found is None and unit[0] == SPACE and unit[1:2] != "\n":
+            found = self.quick.get(unit[1:])
+        if found is None:
+            ids = self.pieces.best_path(unit)
+            found = self.units[unit] = struct.pack(f"<{len(ids)}i", *ids)
+        return found
+
     def _codes(self, words: list[str]) -> list[bytes]:
         if len(words) > SLICE:
             return [c for a in range(0, len(words), SLICE) for c in self._codes(words[a:a + SLICE])]
         units, first = self.pieces.units_of(words)
-        known = self.units
-        for u in set(units).difference(known):
-            ids = self.pieces.best_path(u)
-            known[u] = struct.pack(f"<{len(ids)}i", *ids)
-        codes = list(map(known.__getitem__, units))
+        codes = list(map(self._code, units))
         at = first.tolist()
         return [codes[a] if b - a == 1 else b"".join(codes[a:b]) for a, b in zip(at, at[1:])]
 
@@ -344,15 +369,13 @@ class Coder:
         pieces = self.pieces
         split = [pieces.quick_words(t) for t in texts]
         new = list(set().union(*(s for s in split if s is not None)).difference(self.quick))
-        if len(self.quick) + len(new) > REMEMBERED:
-            self.quick.clear()
-            new = list(set().union(*(s for s in split if s is not None)))
-        codes = self._codes([_marked(w) for w in new])
-        self.quick.update(zip(new, codes))
-        for w, c in zip(new, codes):
-            if b"".join(map(pieces.texts.__getitem__, memoryview(c).cast("i"))) != _marked(w).replace(SPACE, " ").encode(
-                    "utf-8", "surrogatepass"):
-                self.wrong.add(w)
+        if len(self.joined) + len(new) > REMEMBERED:
+            for w in self.joined:
+                del self.quick[w]
+            self.joined = []
+            new = list(set().union(*(s for s in split if s is not None)).difference(self.quick))
+        self._keep(new, self._codes([_marked(w) for w in new]))
+        self.joined += new
         out, same = [], []
         for text, words in zip(texts, split):
             if words is None:
