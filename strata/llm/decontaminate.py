@@ -200,3 +200,19 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 def op10_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     """All ``benchmark`` items found in all ``documents``."""
     return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("h1", "h2")
+
+
+# Words of the lower-cased text, and its shingles of five (all words of a shorter text).
+_SHINGLES = """SELECT rid, id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
+    ELSE list_transform(range(len(w) - 4), lambda i: w[i + 1:i + 5]) END) AS s
+  FROM (SELECT row_number() OVER () AS rid, {id} AS id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS w FROM {table}
+        WHERE text IS NOT NULL)"""
+ORACLE_OP10 = f"""
+WITH d AS (SELECT DISTINCT * FROM ({_SHINGLES.format(id="doc_id", table="documents")})),
+i AS (SELECT DISTINCT * FROM ({_SHINGLES.format(id="item_id", table="benchmark")})),
+n AS (SELECT rid, count(*) AS n_item FROM i GROUP BY 1)
+SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment FROM (
+  SELECT any_value(d.id) AS doc_id, any_value(i.id) AS item_id, count(*) AS n_shared, any_value(n.n_item) AS n_item
+  FROM d JOIN i USING (s) JOIN n ON n.rid = i.rid GROUP BY d.rid, i.rid)
+WHERE n_shared / n_item >= {THRESHOLD}
+"""

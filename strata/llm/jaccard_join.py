@@ -301,3 +301,27 @@ def keep_one(docs: DataFrame) -> DataFrame:
 def op2_ngram_jaccard_join(spark, sf_dir: str) -> DataFrame:
     """Near-duplicate classes of all ``documents``: 5-word n-grams, Jaccard 0.8."""
     return jaccard_join(table(spark, sf_dir, "documents")).drop("class_key", "h1", "h2")
+
+
+# All pairs of different n-gram sets that share one, and the closure of the links.
+ORACLE_OP2 = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}_]+') AS w FROM documents
+), g AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {NGRAM} THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(len(w) - {NGRAM - 1}), lambda i: array_to_string(w[i + 1:i + {NGRAM}], ' ')) END)) AS s FROM w
+), c AS (
+  SELECT row_number() OVER () AS sid, s, min(doc_id) AS set_id, count(*) AS n_copies FROM g WHERE len(s) > 0 GROUP BY s
+), x AS (SELECT sid, len(s) AS size, unnest(s) AS t FROM c),
+e AS (
+  SELECT a, b FROM (SELECT a.sid AS a, b.sid AS b, any_value(a.size) AS m, any_value(b.size) AS n, count(*) AS k
+                    FROM x a JOIN x b ON a.t = b.t AND a.sid <> b.sid GROUP BY ALL)
+  WHERE k / (m + n - k) >= {THRESHOLD}
+), r AS (
+  SELECT sid AS a, sid AS b FROM c UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a
+), k AS (SELECT r.a AS sid, min(set_id) AS class_id FROM r JOIN c ON c.sid = r.b GROUP BY 1),
+l AS (SELECT e.a AS sid, sum(n_copies) AS links FROM e JOIN c ON c.sid = e.b GROUP BY 1)
+SELECT doc_id, class_id, set_id, n_copies, (n_copies - 1 + coalesce(links, 0))::BIGINT AS n_links
+FROM g JOIN c USING (s) JOIN k USING (sid) LEFT JOIN l USING (sid)
+UNION ALL SELECT doc_id, doc_id, doc_id, 1, 0 FROM g WHERE len(s) = 0
+"""

@@ -31,6 +31,7 @@ import functools
 import itertools
 import re
 import struct
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -205,8 +206,19 @@ def _block(number: int, held: int) -> int:
     return number * (1 << 20) + held // BLOCK
 
 
+def _forget() -> None:
+    """Workers are used again by later stages: drop the tables that the operators
+    of earlier ones have remembered (hashes of all characters, powers)."""
+    for name in ("text", "winnow"):
+        module = sys.modules.get(f"{__package__}.{name}")
+        for value in list(vars(module).values()) if module else []:
+            if isinstance(value, functools._lru_cache_wrapper):
+                value.cache_clear()
+
+
 def _units_of_blocks(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
         pieces: Pieces = shared.value
         held, now = 0, None
         quick: set[str] = set()
@@ -293,6 +305,7 @@ def _packed_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _encode_blocks(shared, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _forget()
         pieces: Pieces = shared.value
         now = coder = None
         for batch in batches:

@@ -280,3 +280,26 @@ def op7_suffix_array_dedup(spark, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
                       "_strata_cut.n_removed", "_strata_cut.n_spans",
                       F.sha2("_strata_cut.kept", 256).alias("kept_sha256"))
+
+
+# Every window of every text by its hash; the repeated ones' bytes merged into runs.
+ORACLE_OP7 = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), w AS (
+  SELECT rid, p, md5_number(array_slice(b, p + 1, p + {LENGTH})) AS h
+  FROM (SELECT rid, b, unnest(range(octet_length(b) - {LENGTH - 1})) AS p FROM d WHERE octet_length(b) >= {LENGTH})
+), r AS (
+  SELECT rid, p, coalesce(p > lag(p) OVER (PARTITION BY rid ORDER BY p) + {LENGTH}, true) AS fresh
+  FROM w JOIN (SELECT h FROM w GROUP BY h HAVING count(*) > 1) USING (h)
+), g AS (
+  SELECT rid, run, min(p) AS s, max(p) + {LENGTH} AS e
+  FROM (SELECT rid, p, sum(fresh::INT) OVER (PARTITION BY rid ORDER BY p) AS run FROM r) GROUP BY ALL
+), k AS (
+  SELECT rid, run, e AS a, coalesce(lead(s) OVER (PARTITION BY rid ORDER BY s, run), octet_length(b)) AS z, b, e - s AS gone
+  FROM (SELECT rid, run, s, e FROM g UNION ALL SELECT rid, 0, 0, 0 FROM d) JOIN d USING (rid)
+)
+SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, n_removed, n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM (SELECT rid, string_agg(hex(array_slice(b, a + 1, z)), '' ORDER BY a, run) AS kept, sum(gone)::BIGINT AS n_removed,
+             count(*) - 1 AS n_spans FROM k GROUP BY rid) JOIN d USING (rid)
+"""
