@@ -13,7 +13,9 @@ pages are neither shuffled nor split over tasks.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -45,6 +47,7 @@ ENDS_AT = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "
            "th": {"td", "th", "tr"}}
 PARENTS = {"ul", "ol", "dl", "table", "div", "article", "section", "nav", "aside", "main", "body", "header", "footer",
            "form", "blockquote"}
+STOPS = PARENTS | ENDS_AT.keys() | {"p"}
 ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog",
          "menu", "menubar", "toolbar", "status"}
 ASIDE_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo",
@@ -54,6 +57,14 @@ ASIDE_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advert
                "subscribe", "subscription", "signup", "login", "social", "share", "sharing", "related", "recommended",
                "recommendations", "comment", "comments", "commentlist", "disqus", "replies", "respond", "pagination",
                "pager", "copyright", "legal", "disclaimer", "toolbar", "search"}
+#: Words beside such a name that leave its meaning ("comment-list", "site-footer").
+FRAME_WORDS = {"area", "article", "block", "blog", "body", "bottom", "box", "container", "content", "entry", "global", "inner",
+               "item", "items", "left", "list", "outer", "page", "post", "right", "section", "site", "text", "top", "user",
+               "wrap", "wrapper"}
+#: Names of reader comments and adverts: nothing inside is main text. Any other
+#: name says only how its own blocks look; an article inside is one.
+LASTING_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "comment", "comments", "commentlist",
+                 "disqus", "promo", "promoted", "promotion", "replies", "reply", "respond", "sponsor", "sponsored"}
 COMMENT_WORDS = {"comment", "comments", "reply", "ad", "advert", "advertisement", "sponsored"}
 _WORDS = re.compile(r"[a-z0-9]+")
 _TITLE_END = re.compile(r"</?title|<body", re.IGNORECASE)
@@ -71,9 +82,16 @@ def _names_aside(names: str, tag: str) -> bool:
     return False
 
 
-def _is_aside(classes: str, tag: str) -> bool:
-    """Whether a class is exactly such a name."""
-    return not (COMMENT_WORDS if tag in ARTICLE else ASIDE_WORDS).isdisjoint(classes.split())
+def _aside_by_name(names: str, tag: str) -> int:
+    """Whether a class or id is such a name, alone or with frame words only:
+    2 if nothing inside is main text, 1 if an article inside is, 0 if not."""
+    wanted, found = COMMENT_WORDS if tag in ARTICLE else ASIDE_WORDS, 0
+    for name in names.split():
+        words = set(_WORDS.findall(name))
+        own = words & wanted
+        if own and words <= wanted | FRAME_WORDS:
+            found = max(found, 2 if own & LASTING_WORDS else 1)
+    return found
 
 
 class Flattener(HTMLParser):
@@ -81,24 +99,30 @@ class Flattener(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, bool, bool, bool]] = []  # tag, silent, aside, article, named (inherited)
+        self.open: list[tuple[str, bool, int, bool, bool]] = []  # tag, silent, aside (0 to 2), article, named (inherited)
+        self.count: Counter[str] = Counter()  # open elements by tag
+        self.stops: list[int] = []  # places of open elements that _end_implied looks at
         self.links = 0
         self.at = 0
         self.parts: list[tuple[str, bool]] = []
-        self.blocks: list[tuple[str, int, int, bool, bool, bool]] = []
+        self.blocks: list[tuple[str, int, int, bool, int, bool]] = []
 
     def flush(self) -> None:
         parts, self.parts = self.parts, []
         text = " ".join("".join(p for p, _ in parts).split())
         if text:
-            _, _, aside, article, named = self.open[-1] if self.open else ("", False, False, False, False)
+            _, _, aside, article, named = self.open[-1] if self.open else ("", False, 0, False, False)
             linked = len(" ".join(p for p, a in parts if a).split())
             n = len(text.split(" "))
             self.blocks.append((text, n, min(n, linked), article, aside, named and not aside))
 
     def _close(self, index: int) -> None:
-        self.links -= sum(e[0] == "a" for e in self.open[index:])
+        for e in self.open[index:]:
+            self.links -= e[0] == "a"
+            self.count[e[0]] -= 1
         del self.open[index:]
+        while self.stops and self.stops[-1] >= index:
+            self.stops.pop()
 
     def parse_marked_section(self, i, report=1):
         if self.rawdata[i + 3:i + 9].lower() == "cdata[":
@@ -131,18 +155,24 @@ class Flattener(HTMLParser):
             self.parts.append(("\n", False))
         if tag in VOID:
             return
-        _, silent, aside, article, named = self.open[-1] if self.open else ("", False, False, False, False)
+        _, silent, aside, article, named = self.open[-1] if self.open else ("", False, 0, False, False)
         given = {k: (v or "").lower() for k, v in attrs}
         classes = given.get("class", "")
         if tag in ASIDE or given.get("role") in ROLES or "hidden" in given or given.get("aria-hidden") == "true":
-            aside = True
+            aside = 2
         elif tag not in ("body", "html"):
-            aside = aside or _is_aside(classes, tag)
-            # A heading's id is made from its own words; what names the whole article says nothing of a block.
-            own = _names_aside(classes + " " + (given.get("id", "") if tag not in HEADINGS else ""), tag)
-            named = own or (named and tag not in ARTICLE)
+            # A heading's id is made from its own words.
+            names = classes + " " + (given.get("id", "") if tag not in HEADINGS else "")
+            if aside == 1 and (tag in ARTICLE or given.get("role") in ("main", "article")):
+                aside = 0
+            aside = max(aside, _aside_by_name(names, tag))
+            # What names the whole article says nothing of a block.
+            named = _names_aside(names, tag) or (named and tag not in ARTICLE)
         article = article or tag in ARTICLE or given.get("role") in ("main", "article")
         self.links += tag == "a"
+        self.count[tag] += 1
+        if tag in STOPS:
+            self.stops.append(len(self.open))
         self.open.append((tag, silent or tag in SILENT, aside, article, named))
 
     def handle_startendtag(self, tag, attrs):
@@ -151,7 +181,7 @@ class Flattener(HTMLParser):
             self.handle_endtag(tag)
 
     def _end_implied(self, tag: str) -> None:
-        for i in range(len(self.open) - 1, -1, -1):
+        for i in reversed(self.stops):
             own = self.open[i][0]
             if own == "p" or tag in ENDS_AT.get(own, ()):
                 self._close(i)
@@ -162,6 +192,8 @@ class Flattener(HTMLParser):
     def handle_endtag(self, tag):
         if tag not in INLINE:
             self.flush()
+        if not self.count[tag]:
+            return
         for i in range(len(self.open) - 1, -1, -1):
             if self.open[i][0] == tag:
                 self._close(i)
@@ -175,11 +207,20 @@ class Flattener(HTMLParser):
 
 
 def blocks(html: str | None) -> list[tuple[str, int, int, bool, bool, bool]]:
+    """The page's blocks. A "<" behind the last ">" opens nothing that is ever
+    closed, so what follows there is text; looking for its end again and again
+    would take time with the square of its length."""
+    html = html or ""
+    end = html.rfind(">") + 1
     parser = Flattener()
-    parser.feed(html or "")
+    parser.feed(html[:end])
     parser.close()
+    if html[end:]:
+        parser.handle_data(unescape(html[end:]))
     parser.flush()
-    return parser.blocks
+    # A layout name that would take all of the page is a wrapper's, and is only weighed.
+    wrapped = all(b[4] for b in parser.blocks)
+    return [(*b[:4], b[4] == 2 or (b[4] == 1 and not wrapped), b[5] or (b[4] == 1 and wrapped)) for b in parser.blocks]
 
 
 def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

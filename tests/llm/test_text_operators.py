@@ -399,3 +399,36 @@ def test_stages_survive_empty_documents(llm):
         assert out.count() == 0
         if name != "sentencepiece":
             assert out.columns == docs.columns
+
+
+_LONG = ("This is a paragraph of running text about the harbour and its boats, long enough that nothing but its place on the "
+         "page tells it from the article: the boats go out before the sun is up, and come back in the afternoon with the tide, "
+         "when the market on the quay opens and people come to buy.")
+
+
+@pytest.mark.parametrize("name", ["id=comments", "class=comment-list", "class=comments-area", "class=comment-body", "class=user-comments",
+                                  "id=sidebar", "id=footer", "class=site-footer", "class=cookie-banner", "class=ad-container",
+                                  "class=sponsored-box", "class=promo-text"])
+def test_named_parts_are_no_main_text_however_long(llm, name):
+    page = f"<body><article><h1>Boats</h1><p>{_LONG} Main.</p></article><div {name}><p>{_LONG} Aside.</p></div></body>"
+    df = llm.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    text = html_text.main_text(df).first()["text"]
+    assert "Main." in text and "Aside." not in text
+
+
+@pytest.mark.parametrize("name", ["header", "widget", "search"])
+def test_a_wrapper_of_the_page_is_not_decisive(llm, name):
+    pages = [f"<body><div class='{name}'><article><p>{_LONG} Main.</p></article></div><p>{_LONG}</p></body>",
+             f"<body><div class='{name}'><p>{_LONG} Main.</p><p>{_LONG} More.</p></div></body>"]
+    df = llm.createDataFrame([(i, "u", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    assert all("Main." in r["text"] for r in html_text.main_text(df).collect())
+
+
+@pytest.mark.parametrize("unit, end", [("<a href=x ", ""), ("<span>", "</x>"), ("<span>", "<hr>"), ("<p>", ""), ("<div>", "</div>"),
+                                       ("<", ""), ("<!--", ""), ("</p", ""), ("<h1><li>", "<tr>")])
+def test_malformed_pages_take_time_in_proportion(unit, end):
+    import time
+    page = unit * (500_000 // len(unit)) + (end * (500_000 // len(end)) if end else "")
+    began = time.process_time()
+    html_text.blocks(page)
+    assert time.process_time() - began < 12
