@@ -65,6 +65,7 @@ FRAME_WORDS = {"area", "article", "block", "blog", "body", "bottom", "box", "con
 #: name says only how its own blocks look; an article inside is one.
 LASTING_WORDS = {"ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "comment", "comments", "commentlist",
                  "disqus", "promo", "promoted", "promotion", "replies", "reply", "respond", "sponsor", "sponsored"}
+WRAPPER_WORDS = {"header", "search", "widget", "widgets"}
 COMMENT_WORDS = {"comment", "comments", "reply", "ad", "advert", "advertisement", "sponsored"}
 _WORDS = re.compile(r"[a-z0-9]+")
 _TITLE_END = re.compile(r"</?title|<body", re.IGNORECASE)
@@ -84,13 +85,14 @@ def _names_aside(names: str, tag: str) -> bool:
 
 def _aside_by_name(names: str, tag: str) -> int:
     """Whether a class or id is such a name, alone or with frame words only:
-    2 if nothing inside is main text, 1 if an article inside is, 0 if not."""
+    3 if nothing inside is main text, 2 if an article inside is, 1 if it also
+    names wrappers of whole pages, 0 if not."""
     wanted, found = COMMENT_WORDS if tag in ARTICLE else ASIDE_WORDS, 0
     for name in names.split():
         words = set(_WORDS.findall(name))
         own = words & wanted
         if own and words <= wanted | FRAME_WORDS:
-            found = max(found, 2 if own & LASTING_WORDS else 1)
+            found = max(found, 3 if own & LASTING_WORDS else 1 if own <= WRAPPER_WORDS else 2)
     return found
 
 
@@ -99,7 +101,7 @@ class Flattener(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int, bool, bool]] = []  # tag, silent, aside (0 to 2), article, named (inherited)
+        self.open: list[tuple[str, bool, int, bool, bool]] = []  # tag, silent, aside (0 to 3), article, named (inherited)
         self.count: Counter[str] = Counter()  # open elements by tag
         self.stops: list[int] = []  # places of open elements that _end_implied looks at
         self.links = 0
@@ -159,11 +161,11 @@ class Flattener(HTMLParser):
         given = {k: (v or "").lower() for k, v in attrs}
         classes = given.get("class", "")
         if tag in ASIDE or given.get("role") in ROLES or "hidden" in given or given.get("aria-hidden") == "true":
-            aside = 2
+            aside = 3
         elif tag not in ("body", "html"):
             # A heading's id is made from its own words.
             names = classes + " " + (given.get("id", "") if tag not in HEADINGS else "")
-            if aside == 1 and (tag in ARTICLE or given.get("role") in ("main", "article")):
+            if aside in (1, 2) and (tag in ARTICLE or given.get("role") in ("main", "article")):
                 aside = 0
             aside = max(aside, _aside_by_name(names, tag))
             # What names the whole article says nothing of a block.
@@ -218,9 +220,9 @@ def blocks(html: str | None) -> list[tuple[str, int, int, bool, bool, bool]]:
     if html[end:]:
         parser.handle_data(unescape(html[end:]))
     parser.flush()
-    # A layout name that would take all of the page is a wrapper's, and is only weighed.
+    # Such a name that would take all of the page is a wrapper's, and is only weighed.
     wrapped = all(b[4] for b in parser.blocks)
-    return [(*b[:4], b[4] == 2 or (b[4] == 1 and not wrapped), b[5] or (b[4] == 1 and wrapped)) for b in parser.blocks]
+    return [(*b[:4], b[4] > 1 or (b[4] == 1 and not wrapped), b[5] or (b[4] == 1 and wrapped)) for b in parser.blocks]
 
 
 def flatten(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
