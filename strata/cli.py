@@ -20,6 +20,7 @@ import sys
 
 from .operators.ingest import ingest_batch
 from .plans import batch_job, serving
+from .plans.published import vacuum_views
 from .schemas import ENVELOPE, TOPICS
 from .session import build_session, ensure_utc
 from .sources.bootstrap import ingest_bootstrap
@@ -67,6 +68,8 @@ def parser() -> argparse.ArgumentParser:
     b.add_argument("--store-format", default="parquet", choices=["parquet", "json"])
     b.add_argument("--top-k", type=int, help="also write the k best posts per subreddit and day")
     b.add_argument("--serving", help="also write serving tables with keys to this folder")
+    b.add_argument("--versions", type=int, metavar="KEEP", help="show the views at once as a new version, in the place of "
+                   "writing over them, and keep the newest KEEP versions")
 
     s = sub.add_parser("stream", help="posts, comments and users views of the speed layer")
     _stream_args(s)
@@ -74,6 +77,7 @@ def parser() -> argparse.ArgumentParser:
     s.add_argument("--panels", action="store_true", help="also active users, throughput and latency")
     s.add_argument("--totals", action="store_true", help="also the daily totals of posts and users that serving merges")
     s.add_argument("--late-records", action="store_true", help="also keep the posts and comments that came too late")
+    s.add_argument("--compact-every", type=int, help="fold each view's changelog into a snapshot after so many micro-batches")
     s.add_argument("--console", action="store_true", help="print the comments and users views")
     s.add_argument("--late", default="report", choices=["report", "raise"],
                    help="what to do at the end when rows were dropped as late")
@@ -126,7 +130,9 @@ def main(argv=None, spark=None) -> int:
     if args.cmd == "batch":
         summary = batch_job.run_batch_job(spark, args.store, args.output, fmt=args.format, date_filter=args.date,
                                           store_format=args.store_format, top_k=args.top_k,
-                                          serving_path=args.serving)
+                                          serving_path=args.serving, versions=args.versions is not None)
+        for base in filter(None, (args.output, args.serving)) if args.versions else ():
+            vacuum_views(spark, base, keep=args.versions)
         for row in summary.collect():  # three rows
             print(f"{row.data_type}: {row.n}")
     elif args.cmd == "stream":
@@ -135,7 +141,7 @@ def main(argv=None, spark=None) -> int:
         run_streaming_job(spark, per_topic, args.out, args.checkpoint, late=args.late, serving=True,
                           views=("posts", "comments", "users") + ("panels",) * args.panels
                           + ("late",) * args.late_records + ("totals",) * args.totals, console=args.console,
-                          available_now=args.available_now, processing_time=args.trigger)
+                          compact_every=args.compact_every, available_now=args.available_now, processing_time=args.trigger)
     elif args.cmd == "ingest":
         queries = start_ingest(spark, _source(spark, args), args.store, args.checkpoint, bootstrap_dir=args.bootstrap,
                                available_now=args.available_now, processing_time=args.trigger,

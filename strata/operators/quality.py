@@ -22,7 +22,13 @@ def reconcile(produced: DataFrame, landed: DataFrame, key: str) -> DataFrame:
     """
     p = produced.groupBy(key).agg(F.count(F.lit(1)).alias("produced"))
     lnd = landed.groupBy(key).agg(F.count(F.lit(1)).alias("landed"))
-    j = p.join(lnd, key, "full_outer").fillna(0, subset=["produced", "landed"])
+    return judged(p.join(lnd, key, "full_outer"))
+
+
+def judged(counts: DataFrame) -> DataFrame:
+    """Rows with counts ``produced`` and ``landed`` (NULL: none) that differ, and
+    what that means."""
+    j = counts.fillna(0, subset=["produced", "landed"])
     status = (F.when(F.col("landed") == 0, F.lit("missing"))
               .when(F.col("produced") == 0, F.lit("unexpected"))
               .when(F.col("landed") > F.col("produced"), F.lit("duplicated"))

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import views
 from ..sources.partitioned import read_partitioned
-from .serving import load_serving
+from .published import publish_views
+from .serving import load_serving, serving_tables
 
 
 def compute_views(posts: DataFrame, comments: DataFrame, date_filter=None,
@@ -26,7 +27,7 @@ def compute_views(posts: DataFrame, comments: DataFrame, date_filter=None,
 
 def write_views(computed: dict[str, DataFrame], output: str, fmt: str = "parquet",
                 one_day: bool = False) -> None:
-    """Replace each view. Views with a day are partitioned by it; when they
+    """Replace each view in place (``publish_views`` leaves no gap). Views with a day are partitioned by it; when they
     were computed for one day only (``one_day``) the other days stay."""
     for name, df in computed.items():
         if "date" in df.columns:
@@ -40,10 +41,12 @@ def write_views(computed: dict[str, DataFrame], output: str, fmt: str = "parquet
 
 def run_batch_job(spark: SparkSession, store: str, output: str, fmt: str = "parquet",
                   date_filter=None, store_format: str = "parquet", top_k: int | None = None,
-                  serving_path: str | None = None) -> DataFrame:
+                  serving_path: str | None = None, versions: bool = False) -> DataFrame:
     """Load posts, comments and users from the store, write the views (and
     with ``serving_path`` their serving tables with keys) and
-    return the load summary (one job for all three counts).
+    return the load summary (one job for all three counts). With ``versions``
+    the views are shown all at once as the next version of ``output`` (and of
+    ``serving_path``) instead of being written over the ones before.
 
     Nothing is cached: each view reads only the Parquet columns it needs
     (users only for their count), which at scale is cheaper than holding
@@ -53,6 +56,12 @@ def run_batch_job(spark: SparkSession, store: str, output: str, fmt: str = "parq
     users = read_partitioned(spark, store, "users", store_format)
     summary = views.load_summary(posts, comments, users)
     computed = compute_views(posts, comments, date_filter, top_k)
+    if versions:
+        days = None if date_filter is None else [date_filter]
+        publish_views(spark, computed, output, fmt, days)
+        if serving_path is not None:
+            publish_views(spark, serving_tables(computed), serving_path, days=days)
+        return summary
     write_views(computed, output, fmt, one_day=date_filter is not None)
     if serving_path is not None:
         load_serving(computed, serving_path, one_day=date_filter is not None)

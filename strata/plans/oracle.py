@@ -139,6 +139,13 @@ BODIES = {
                      CAST(CASE WHEN event_id % 59 = 0 THEN 0 WHEN event_id % 43 = 0 THEN 2 ELSE 1 END AS BIGINT) AS produced,
                      CAST(CASE WHEN status <> 'ok' THEN 0 WHEN event_id % 47 = 0 THEN 2 ELSE 1 END AS BIGINT) AS landed
               FROM fault) WHERE produced <> landed""",
+    "reconcile_stream": """
+        SELECT *, CASE WHEN landed = 0 THEN 'missing' WHEN produced = 0 THEN 'unexpected'
+                       WHEN landed > produced THEN 'duplicated' ELSE 'short' END AS status
+        FROM (SELECT CAST(event_id AS VARCHAR) AS id,
+                     CAST(CASE WHEN event_id % 59 = 0 THEN 0 WHEN event_id % 43 = 0 THEN 2 ELSE 1 END AS BIGINT) AS produced,
+                     CAST(CASE WHEN status <> 'ok' THEN 0 WHEN event_id % 47 = 0 THEN 2 ELSE 1 END AS BIGINT) AS landed
+              FROM fault) WHERE produced <> landed""",
     "latency_stats": """
         SELECT CASE WHEN event_type IN ('click', 'error') THEN 'comments' ELSE 'posts' END AS data_type,
                count(*) AS n, avg(event_id % 2000) AS avg_ms, CAST(max(event_id % 2000) AS DOUBLE) AS max_ms,
@@ -169,11 +176,14 @@ BODIES = {
         SELECT event_id, ts FROM events WHERE event_type IN ('view', 'purchase', 'signup', 'click', 'error')""",
     "dedup_events_batches": """
         SELECT event_id, ts FROM events WHERE event_type IN ('view', 'purchase', 'signup', 'click', 'error')""",
+    "dedup_events_storm": """
+        SELECT event_id, ts FROM events WHERE event_type IN ('view', 'purchase', 'signup', 'click', 'error')""",
     "latest_window": """
         SELECT subreddit, max(window_start) AS window_start, arg_max(num_posts, window_start) AS num_posts,
                arg_max(total_score, window_start) AS total_score FROM ppm GROUP BY 1""",
     "incremental_subreddit_activity": "SELECT * FROM daily",
     "refresh_touched_days": "SELECT * FROM daily",
+    "published_views": "SELECT * FROM daily",
     "serving_merge": "SELECT * FROM daily",
     "serving_merge_top_posts": """
         SELECT * FROM (

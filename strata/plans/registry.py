@@ -15,9 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import store
-from ..functions.time import as_wall_clock
+from ..functions.time import as_wall_clock, iso_string, on_dates, parse_day
 from ..operators import ingest, quality, views
-from ..schemas import ENTITY_IDS, ENVELOPE
+from ..schemas import ENTITY_IDS, ENVELOPE, TOPICS
 from ..session import ensure_utc, remove_path, scratch_path
 from ..sources import bindings as B
 from ..sources.bootstrap import bootstrap_load
@@ -29,7 +29,8 @@ from ..streaming.runner import VIEW_FIELDS, run_streaming_job, run_to_end, start
 from ..streaming.ingest_stream import start_ingest
 from ..streaming.sinks import ChangelogSink, read_latest
 from . import serving
-from .batch_job import run_batch_job
+from .batch_job import compute_views, run_batch_job
+from .published import publish_views, read_view, vacuum_views
 
 REGISTRY: dict = {}
 
@@ -302,15 +303,19 @@ def _landed_envelope(spark, sf, entities, name, copies=1):
     return d, file_envelope_source(spark, f"{d}/envelope")
 
 
+def _slice_of(spark, sf, at):
+    """The slice of the events' time that a time lies in."""
+    low, high = B.table(spark, sf, "events").agg(F.min("ts").cast("timestamp"), F.max("ts").cast("timestamp")).first()
+    return F.floor((F.unix_micros(at) - F.unix_micros(F.lit(low))) * SLICES
+                   / (F.unix_micros(F.lit(high)) - F.unix_micros(F.lit(low)) + 1))
+
+
 def _in_slices(spark, sf, entities, d, run, copies=1, order=None, late="raise"):
     """Land the records in slices of event time (ascending, or in the given
     order) and run the query to the end after each, from its checkpoint: the
     result must not depend on how the input was cut into micro-batches."""
     env = B.envelope(spark, sf, entities)
-    low, high = B.table(spark, sf, "events").agg(F.min("ts").cast("timestamp"), F.max("ts").cast("timestamp")).first()
-    at = F.timestamp_add("MILLISECOND", -B.arrival_delay_ms("offset"), F.col("timestamp"))
-    number = F.floor((F.unix_micros(at) - F.unix_micros(F.lit(low))) * SLICES
-                     / (F.unix_micros(F.lit(high)) - F.unix_micros(F.lit(low)) + 1))
+    number = _slice_of(spark, sf, F.timestamp_add("MILLISECOND", -B.arrival_delay_ms("offset"), F.col("timestamp")))
     for i in order or range(SLICES):
         for _ in range(copies):
             write_envelope(env.filter(number == i), f"{d}/envelope")
@@ -410,9 +415,9 @@ def stream_decode(spark, sf):
     return _wall(spark.read.parquet(f"{d}/rows"), "timestamp")
 
 
-def _start_dedup(src, d):
-    p = speed.dedup_within_watermark(ingest.decode_entity(src, "posts", fields=["post_id"]), ["post_id", "timestamp"])
-    c = speed.dedup_within_watermark(ingest.decode_entity(src, "comments", fields=["comment_id"]), ["comment_id", "timestamp"])
+def _start_dedup(src, d, dedup=speed.dedup_within_watermark):
+    p = dedup(ingest.decode_entity(src, "posts", fields=["post_id"]), ["post_id", "timestamp"])
+    c = dedup(ingest.decode_entity(src, "comments", fields=["comment_id"]), ["comment_id", "timestamp"])
     rows = (p.select(F.col("post_id").alias("id"), "timestamp")
             .unionByName(c.select(F.col("comment_id").alias("id"), "timestamp")))
     return start(rows, f"{d}/checkpoint", output_mode="append", path=f"{d}/rows", available_now=True)
@@ -439,6 +444,53 @@ def dedup_events_batches(spark, sf):
     return _deduped(spark, d)
 
 
+@query
+def dedup_events_storm(spark, sf):
+    """Every record delivered twice, and the last post once more for each record
+    there is, so that it makes up a third of the stream."""
+    d, src = _landed_envelope(spark, sf, ("posts", "comments"), "dedup_storm", copies=2)
+    env = B.envelope(spark, sf, ("posts",))
+    last = env.agg(F.max_by(F.struct("key", "value", "timestamp"), "offset").alias("r")).first()["r"]  # one record
+    if last is not None:
+        storm = B.envelope(spark, sf, ("posts", "comments")).withColumns(
+            {"topic": F.lit(TOPICS["posts"]), "offset": -1 - F.col("offset"),
+             **{c: F.lit(last[c]) for c in ("key", "value", "timestamp")}})
+        write_envelope(storm, f"{d}/envelope")
+    run_to_end(_start_dedup(src, d, speed.dedup_spread), late="raise")
+    return _deduped(spark, d)
+
+
+@query
+def reconcile_stream(spark, sf):
+    """``reconcile_missing`` while both logs come in: four slices of event time,
+    the job restarted between them, and at the end a heartbeat on each log,
+    which closes the last minutes."""
+    d = scratch_path(spark, "reconcile_stream")
+    wire = _damaged_envelope(spark, sf)
+    wire = wire.unionByName(wire.filter(F.col("offset") % 47 == 0))
+    sent = (B.table(spark, sf, "events").filter(F.col("event_type").isin(B.POST_TYPES + B.COMMENT_TYPES))
+            .filter(F.col("event_id") % 59 != 0).select(F.col("event_id").alias("n"), F.col("ts").cast("timestamp").alias("timestamp")))
+    sent = sent.unionByName(sent.filter(F.col("n") % 43 == 0)).select(F.col("n").cast("string").alias("id"), "timestamp")
+    arrived = F.timestamp_add("MILLISECOND", -B.arrival_delay_ms("offset"), F.col("timestamp"))
+
+    def land(records, log):
+        write_envelope(records, f"{d}/wire")
+        log.hint("rebalance").write.mode("append").parquet(f"{d}/log")
+        src = file_envelope_source(spark, f"{d}/wire")
+        landed = [ingest.decode_entity(src, e, fields=[key]).select(F.col(key).alias("id"), "timestamp")
+                  for e, key in ENTITY_IDS.items() if e != "users"]
+        view = speed.reconcile_within_watermark(spark.readStream.schema(sent.schema).parquet(f"{d}/log"),
+                                                functools.reduce(DataFrame.unionByName, landed), "id")
+        run_to_end(start(view, f"{d}/checkpoint", path=f"{d}/rows", available_now=True), late="raise")
+    for i in range(SLICES):
+        land(wire.filter(_slice_of(spark, sf, arrived) == i), sent.filter(_slice_of(spark, sf, F.col("timestamp")) == i))
+    beat = B.table(spark, sf, "events").agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts")).select(
+        F.lit(-1).cast("bigint").alias("event_id"), "ts", F.lit("posts").alias("data_type"),
+        F.to_json(F.struct(F.lit("-1").alias("post_id"), iso_string(F.col("ts")).alias("timestamp"))).alias("json"))
+    land(B.to_envelope(beat), beat.select(F.lit("-1").alias("id"), F.col("ts").cast("timestamp").alias("timestamp")))
+    return spark.read.parquet(f"{d}/rows").select("id", "produced", "landed", "status")
+
+
 @query
 def latest_window(spark, sf):
     out = _run_posts_per_minute(spark, sf)
@@ -484,6 +536,24 @@ def serving_top_posts(spark, sf):
     return spark.read.parquet(f"{path}/top_posts").select("key", "post_id", "total_score", "total_comments")
 
 
+@query
+def published_views(spark, sf):
+    """Views published with wrong scores, then made right in two versions, the
+    days before the cutoff and the rest; the daily view as the newest version
+    has it."""
+    base = scratch_path(spark, "published")
+    posts, comments = _posts(spark, sf), _comments(spark, sf)
+    wrong = posts.withColumn("score", F.col("score") + 1)
+    publish_views(spark, compute_views(wrong, comments), base)
+    days = [r["date"] for r in read_view(spark, base, "subreddit_activity").select("date").distinct().collect()]  # one a day
+    cutoff = parse_day(SERVING_CUTOFF)
+    for some in ([d for d in days if d < cutoff], [d for d in days if d >= cutoff]):
+        publish_views(spark, compute_views(on_dates(posts, some), comments), base, days=some)
+    vacuum_views(spark, base, keep=1)
+    return read_view(spark, base, "subreddit_activity").select(
+        "subreddit", "date", "num_posts", "total_score", "total_comments", "avg_score")
+
+
 @query
 def serving_merge(spark, sf):
     path = scratch_path(spark, "daily")

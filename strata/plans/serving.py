@@ -37,16 +37,19 @@ def with_serving_key(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.withColumn("key", F.concat_ws("|", *(part(k) for k in keys if k in df.columns)))
 
 
+def serving_tables(views_by_name: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Views with their ``key`` column. Minute tables expose ``window_start`` as
+    their ``event_time``, the time field a dashboard reads."""
+    out = {name: with_serving_key(df, SERVING_KEYS[name]) for name, df in views_by_name.items()}
+    return {name: df.withColumn("event_time", F.col("window_start")) if "window_start" in df.columns else df
+            for name, df in out.items()}
+
+
 def load_serving(views_by_name: dict[str, DataFrame], path: str, one_day: bool = False) -> None:
-    """Write views as serving tables with a ``key`` column; tables with a
+    """Write views as serving tables with a ``key`` column, in place; tables with a
     ``date`` are partitioned by it, and ``one_day`` replaces only the days at
-    hand. Minute
-    tables expose ``window_start`` as their ``event_time``, the time field
-    a dashboard reads."""
-    for name, df in views_by_name.items():
-        out = with_serving_key(df, SERVING_KEYS[name])
-        if "window_start" in out.columns:
-            out = out.withColumn("event_time", F.col("window_start"))
+    hand. ``published.publish_views`` of ``serving_tables`` leaves no gap."""
+    for name, out in serving_tables(views_by_name).items():
         if "date" in out.columns:
             w = out.hint("rebalance", "date").write.partitionBy("date")
         else:

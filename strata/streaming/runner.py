@@ -77,11 +77,20 @@ VIEW_FIELDS = {
     "late_comments": ["comment_id", "post_id", "user_id", "score"],
 }
 
+#: Key columns of the changelog tables that the speed views write.
+VIEW_KEYS = {
+    "posts_per_minute": ["window_start", "subreddit"],
+    "comments_per_minute": ["window_start", "post_id"],
+    **dict.fromkeys(["active_users", "throughput", "latency", "active_user_sketches"], ["window_start"]),
+    "posts_per_day": ["subreddit", "date", "post_id", "title", "user_id"],
+    "user_activity_per_day": ["user_id", "side", "date"],
+}
+
 
 def start_speed_views(envelope, out_base: str, checkpoint_base: str, *,
                       views=("posts", "comments", "users"), available_now: bool = False,
                       processing_time: str | None = None, serving: bool = False,
-                      console: bool = False) -> dict[str, StreamingQuery]:
+                      console: bool = False, compact_every: int | None = None) -> dict[str, StreamingQuery]:
     """Start the posts, comments and users views of the speed layer, and with
     the view ``panels`` active users, throughput and latency of the posts, and
     with ``totals`` the daily totals of posts and of users that the serving layer
@@ -93,7 +102,11 @@ def start_speed_views(envelope, out_base: str, checkpoint_base: str, *,
     ``entity -> stream`` (e.g. a Kafka source subscribed to that entity's
     topic only). Windowed views go to changelog serving tables (update
     mode); the user feed is appended to a file sink. With ``console`` the
-    comments and users views are printed instead."""
+    comments and users views are printed instead.
+
+    ``compact_every``: after so many micro-batches a view's changelog is folded
+    into a snapshot under ``<out_base>/_snapshots/<view>``, from which
+    ``read_latest`` goes on."""
     source = envelope if callable(envelope) else (lambda _entity: envelope)
     trig = dict(available_now=available_now, processing_time=processing_time)
 
@@ -102,7 +115,8 @@ def start_speed_views(envelope, out_base: str, checkpoint_base: str, *,
 
     def changelog(name: str, df: DataFrame) -> StreamingQuery:
         checkpoint = f"{checkpoint_base}/{name}"
-        return start(df, checkpoint, output_mode="update", foreach_batch=ChangelogSink(f"{out_base}/{name}", checkpoint), **trig)
+        sink = ChangelogSink(f"{out_base}/{name}", checkpoint, VIEW_KEYS[name], f"{out_base}/_snapshots/{name}", compact_every)
+        return start(df, checkpoint, output_mode="update", foreach_batch=sink, **trig)
 
     queries = {}
     if "posts" in views:

@@ -31,11 +31,20 @@ class ChangelogSink:
     """``checkpoint``: the query's checkpoint, whose id names the run.
 
     A micro-batch's updates are rebalanced, so few updates make one file and
-    many make as many as their size asks for."""
+    many make as many as their size asks for.
 
-    def __init__(self, path: str, checkpoint: str | None = None):
+    With ``compact_every`` the changelog is folded into a snapshot, under
+    ``snapshot``, after so many micro-batches, between two of them; what readers
+    no longer need is removed, so the number of folders stays bounded however
+    long the query runs."""
+
+    def __init__(self, path: str, checkpoint: str | None = None, keys: list[str] | None = None,
+                 snapshot: str | None = None, compact_every: int | None = None):
+        if compact_every and not (keys and snapshot):
+            raise ValueError("compact_every needs the table's keys and a folder for snapshots")
         self.path = path.rstrip("/")
         self.checkpoint = checkpoint
+        self.keys, self.snapshot, self.compact_every = keys, snapshot, compact_every
         self.run: str | None = None
 
     def _run(self, spark: SparkSession) -> str:
@@ -49,6 +58,8 @@ class ChangelogSink:
         if self.run is None:
             self.run = self._run(batch.sparkSession)
         batch.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/run={self.run}/batch_id={batch_id}")
+        if self.compact_every and batch_id % self.compact_every == self.compact_every - 1:
+            compact(batch.sparkSession, self.path, self.keys, self.snapshot, remove=True)
 
 
 def _read_log(spark: SparkSession, path: str) -> DataFrame:

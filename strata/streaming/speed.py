@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.quality import judged
 from ..operators.views import USER_MEASURES, user_totals
 
 # Lateness allowed before a window closes, and the window size.
@@ -21,6 +22,8 @@ SKETCH_ACCURACY = 1_000
 #: Size of the distinct-count sketches, as a power of two: a relative standard
 #: error of about 1.04 / sqrt(2 ** 12), 1.6 %, and none for a few hundred users.
 SKETCH_LG_K = 12
+#: Groups over which the copies of one key are spread.
+SPREAD = 32
 
 
 def _flatten(df: DataFrame, *rest: str) -> DataFrame:
@@ -120,7 +123,41 @@ def dedup_within_watermark(records: DataFrame, keys: list[str], watermark: str =
     key is kept until the watermark passes it.
 
     Streaming deduplication has no map-side step: all copies of one key in a
-    micro-batch meet in one task. Bound micro-batches
-    (``maxOffsetsPerTrigger``) where a redelivery storm of one key is
-    possible; the batch form (``operators.quality.dedup``) pre-aggregates."""
+    micro-batch meet in one task. Where a redelivery storm of one key is
+    possible, use ``dedup_spread``; the batch form
+    (``operators.quality.dedup``) pre-aggregates."""
     return records.withWatermark("timestamp", watermark).dropDuplicatesWithinWatermark(keys)
+
+
+def dedup_spread(records: DataFrame, keys: list[str], watermark: str = WATERMARK, spread: int = SPREAD) -> DataFrame:
+    """``dedup_within_watermark`` in two steps, for records that still have their
+    place in the log (``_topic``, ``_partition``, ``_offset``): the copies of a key
+    are first spread over ``spread`` groups by that place, which keep one each, so
+    the second step gets at most ``spread`` copies of a key however often it was
+    delivered. The place, unlike a random number, is the same in a retried task.
+
+    A key delivered ``n`` times within the watermark holds min(n, spread) + 1
+    entries of state; the result is that of the plain form."""
+    group = F.pmod(F.xxhash64("_topic", "_partition", "_offset"), F.lit(spread))
+    return (records.withWatermark("timestamp", watermark).withColumn("_group", group)
+            .dropDuplicatesWithinWatermark([*keys, "_group"]).drop("_group")
+            .dropDuplicatesWithinWatermark(keys))
+
+
+def reconcile_within_watermark(produced: DataFrame, landed: DataFrame, key: str, watermark: str = WATERMARK) -> DataFrame:
+    """``quality.reconcile`` of two streams of (key, timestamp), as their event
+    time closes: the keys that were produced and landed a different number of
+    times, with their event time.
+
+    Both streams are counted per key and event time (a key alone is not unique)
+    with a map-side step, so a hot key costs one row a task, and the counts
+    are joined on both, outer on both sides. Both watermarks bound the counts' and
+    the join's state: a key is judged once, when the slower stream's watermark
+    has passed it. A copy that lands later still is not counted (it is among the
+    late records). Records without an event time are on neither side."""
+    keys = [key, "timestamp"]
+
+    def counted(records: DataFrame, name: str) -> DataFrame:
+        return (records.where("timestamp IS NOT NULL").withWatermark("timestamp", watermark)
+                .groupBy(*keys).agg(F.count(F.lit(1)).alias(name)))
+    return judged(counted(produced, "produced").join(counted(landed, "landed"), keys, "full_outer"))

@@ -409,3 +409,88 @@ def test_streaming_percentiles_stay_within_the_sketch_error(spark, tmp):
     assert r.n == n and r.max_ms == n - 1
     off = n / speed.SKETCH_ACCURACY + 1
     assert abs(r.p50_ms - n * 0.5) <= off and abs(r.p95_ms - n * 0.95) <= off
+
+
+def _operators(q, metric):
+    """A metric of the stateful operators over a run, by operator."""
+    out = {}
+    for p in q.recentProgress:
+        for i, op in enumerate(p["stateOperators"]):
+            out[i] = out.get(i, 0) + op["customMetrics"].get(metric, 0)
+    return out
+
+
+def _run_spread(spark, tmp, spread):
+    rows = ingest.decode_entity(file_envelope_source(spark, f"{tmp}/in"), "posts")
+    once = speed.dedup_spread(rows, ["post_id", "timestamp"], spread=spread)
+    return run_to_end(start(once.select("post_id", "timestamp"), f"{tmp}/ck", path=f"{tmp}/rows", available_now=True))
+
+
+def test_a_redelivery_storm_is_spread_before_it_meets(spark, tmp):
+    env = envelope(spark, [post("hot", ts=ts(1))] * 2000 + [post(f"p{i}", ts=ts(i % 5, i % 60)) for i in range(100)])
+    env.coalesce(1).write.mode("append").parquet(f"{tmp}/in")
+    q = _run_spread(spark, tmp, spread=16)
+    got = sorted(r.post_id for r in spark.read.parquet(f"{tmp}/rows").collect())
+    assert got == sorted(["hot", *(f"p{i}" for i in range(100))])
+    dropped = _operators(q, "numDroppedDuplicateRows")
+    # the first step keeps one copy for each of 16 groups, the second meets only those
+    assert sorted(dropped.values()) == [15, 2000 - 16]
+    # again after a restart: the state of both steps knows the keys
+    env.coalesce(1).write.mode("append").parquet(f"{tmp}/in")
+    _run_spread(spark, tmp, spread=16)
+    assert spark.read.parquet(f"{tmp}/rows").count() == 101
+
+
+def test_spread_dedup_equals_the_plain_form(spark, tmp):
+    recs = [post(f"p{i % 7}", ts=ts(i % 3)) for i in range(60)]
+    land(spark, f"{tmp}/in", recs)
+    _run_spread(spark, tmp, spread=4)
+    rows = ingest.decode_entity(file_envelope_source(spark, f"{tmp}/in"), "posts")
+    plain = speed.dedup_within_watermark(rows, ["post_id", "timestamp"]).select("post_id", "timestamp")
+    run_to_end(start(plain, f"{tmp}/ck2", path=f"{tmp}/plain", available_now=True))
+    key = lambda r: (r.post_id, r.timestamp)
+    got = sorted(map(key, spark.read.parquet(f"{tmp}/rows").collect()))
+    assert got == sorted(map(key, spark.read.parquet(f"{tmp}/plain").collect())) and len(got) == 21
+
+
+def test_reconciling_two_streams_as_their_time_closes(spark, tmp):
+    def at(minute):
+        return dt.datetime(2024, 1, 1, minute // 60, minute % 60, tzinfo=dt.timezone.utc)
+
+    def put(side, rows):
+        spark.createDataFrame(rows, "id string, timestamp timestamp").coalesce(1).write.mode("append").parquet(f"{tmp}/{side}")
+
+    def run():
+        a, b = (spark.readStream.schema("id string, timestamp timestamp").parquet(f"{tmp}/{s}") for s in ("sent", "got"))
+        run_to_end(start(speed.reconcile_within_watermark(a, b, "id"), f"{tmp}/ck", path=f"{tmp}/rows", available_now=True))
+        return {(r.id, r.timestamp.minute): (r.produced, r.landed, r.status) for r in spark.read.parquet(f"{tmp}/rows").collect()}
+    put("sent", [("a", at(0)), ("b", at(0)), ("c", at(1)), ("c", at(1)), ("a", at(2)), ("n", None)])
+    put("got", [("a", at(0)), ("x", at(1)), ("c", at(1)), ("a", at(2)), ("a", at(2)), ("n", None)])
+    assert run() == {}  # nothing has closed
+    put("sent", [("z", at(40))])
+    assert run() == {}  # the other stream may still bring what is missing
+    put("sent", [("y", at(40))])  # after a restart Spark knows the watermark of a stream from its next record on
+    put("got", [("z", at(40)), ("y", at(40)), ("b", at(35))])
+    want = {("b", 0): (1, 0, "missing"), ("c", 1): (2, 1, "short"), ("x", 1): (0, 1, "unexpected"), ("a", 2): (1, 2, "duplicated")}
+    assert run() == want
+    put("sent", [("end", at(90))])
+    put("got", [("end", at(90))])
+    assert run() == want | {("b", 35): (0, 1, "unexpected")}  # an id of another time is another record
+
+
+def test_changelogs_are_folded_while_the_job_runs(spark, tmp):
+    from strata.session import subfolders
+    want = {}
+    for i in range(7):
+        land(spark, f"{tmp}/in", [post(f"p{i}", subreddit="ab"[i % 2], score=i, ts=ts(i))])
+        want[(dt.datetime(2024, 1, 1, 0, i), "ab"[i % 2])] = (1, i)
+        qs = start_speed_views(file_envelope_source(spark, f"{tmp}/in"), f"{tmp}/out", f"{tmp}/ck", views=("posts",),
+                               available_now=True, compact_every=2)
+        run_to_end(qs["posts"])
+    name = f"{tmp}/out/posts_per_minute"
+    got = {(r.window_start.replace(tzinfo=None), r.subreddit): (r.num_posts, r.total_score)
+           for r in read_latest(spark, name, KEYS, snapshot=f"{tmp}/out/_snapshots/posts_per_minute").collect()}
+    assert got == want
+    run, = (f for f in subfolders(spark, name) if f.startswith("run="))
+    assert len(subfolders(spark, f"{name}/{run}")) <= 4
+    assert len(subfolders(spark, f"{tmp}/out/_snapshots/posts_per_minute")) <= 2
