@@ -17,6 +17,11 @@ is near zero, so both are partitioned by size:
 Window minima come from step minima, so all classes share one hashing of the
 text. Minima that may equal an item's (a bitmap of bounded size tells) are
 joined with the items'; each pair found is verified on full shingle sets.
+
+An item of under five words is one shingle of all its words. With ``inside`` it is
+a class of its own length ``k``, and the documents' shingles of ``k`` words are
+compared with it, so it is found wherever its words stand in a row. Without,
+only a text of just those words holds it.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from pyspark.sql import functions as F
 
 from . import bits
 from .common import materialise, scratch, table, text_key
-from .text import chunks, mix64, shingle_hashes
+from .text import chunks, mix64, shingle_hashes, word_hashes
 
 NGRAM = 5
 THRESHOLD = 0.8
@@ -75,17 +80,28 @@ def _functions(count: int) -> tuple[np.ndarray, np.ndarray]:
     return seeds[::2] | np.uint64(1), seeds[1::2]
 
 
-def _item_signatures(n: int, threshold: float, recall: float):
+def _short_keys(hashes: np.ndarray) -> np.ndarray:
+    """The key of an item that is one shingle."""
+    return mix64(hashes ^ np.uint64(0x5851F42D4C957F2D))
+
+
+def _item_signatures(n: int, threshold: float, recall: float, inside: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             texts = pdf["text"].tolist()
             for a, b in chunks(texts):
-                hashes, offsets = shingle_hashes([t or "" for t in texts[a:b]], n)
+                own = [t or "" for t in texts[a:b]]
+                hashes, offsets = shingle_hashes(own, n)
+                n_words = np.diff(word_hashes(own)[1])
                 rows = []
                 for i in range(b - a):
                     all_ = hashes[offsets[i]:offsets[i + 1]]
                     if not len(all_):
                         continue
+                    if inside and n_words[i] < n:
+                        rows.append((pdf["uid"].iloc[a + i], pdf["item_id"].iloc[a + i], -int(n_words[i]),
+                                     all_.view(np.int64), _short_keys(all_).view(np.int64)))
+                        continue
                     size = size_class(len(all_))
                     _, bands, r = layout(size, threshold, recall)
                     multiply, add = _functions(bands * r)
@@ -101,7 +117,8 @@ def _search(n: int, sizes: list[int], threshold: float, recall: float, shared):
     """Documents' rows -> those with a band key or shingle that may be an item's."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key_bits, gram_bits = (np.frombuffer(x, np.uint8) for x in shared.value)
-        plans = {s: layout(s, threshold, recall) for s in sizes}
+        plans = {s: layout(s, threshold, recall) for s in sizes if s >= 0}
+        short = [-s for s in sizes if s < 0]
         multiply, add = _functions(max((b * r for _, b, r in plans.values()), default=0))
         for pdf in batches:
             texts = pdf["text"].tolist()
@@ -133,6 +150,16 @@ def _search(n: int, sizes: list[int], threshold: float, recall: float, shared):
                         at = at[bits.contains(key_bits, own[at])]
                         for j in at:
                             found.setdefault(int(owner[j]), []).append(own[j])
+                held: dict[int, list] = {}
+                for k in short:
+                    own, first = shingle_hashes([t or "" for t in texts[a:b]], k)
+                    at = np.flatnonzero(bits.contains(gram_bits, own))
+                    at = at[bits.contains(key_bits, _short_keys(own[at]))]
+                    owner = np.searchsorted(first, at, side="right") - 1
+                    for i in np.unique(owner):
+                        grams = np.unique(own[at[owner == i]])
+                        held.setdefault(int(i), []).append(grams)
+                        found.setdefault(int(i), []).extend(_short_keys(grams))
                 if found:
                     which = sorted(found)
                     out = pdf.iloc[[a + i for i in which]].drop(columns="text")
@@ -140,27 +167,29 @@ def _search(n: int, sizes: list[int], threshold: float, recall: float, shared):
                     grams = []
                     for i in which:
                         own = np.unique(hashes[offsets[i]:offsets[i + 1]])
-                        grams.append(own[bits.contains(gram_bits, own)].view(np.int64))
+                        own = own[bits.contains(gram_bits, own)]
+                        grams.append(np.unique(np.concatenate([own, *held.get(i, [])])).view(np.int64))
                     yield out.assign(keys=keys, grams=grams)
     return run
 
 
 def find_items(docs: DataFrame, items: DataFrame, n: int = NGRAM, threshold: float = THRESHOLD,
-               recall: float = RECALL) -> DataFrame:
+               recall: float = RECALL, inside: bool = False) -> DataFrame:
     """Test items (item_id, text) contained in documents (doc_id, text).
 
     One row per document row and item row found: doc_id, item_id, n_shared,
     n_item (distinct shingles of the item), containment; plus h1, h2 (identity
     of the document's text). Other columns are ignored. NULL, empty or
-    wordless texts and items are never found; an item of under five words has
-    one shingle of all its words, so only an equally short text holds it. Rows
+    wordless texts and items are never found; an item of under five words is
+    one shingle of all its words, which only a text of just those words holds, or
+    with ``inside`` any text in which they stand in a row. Rows
     with a NULL id are judged as any other; repeated rows each give rows. No
     items or no documents give no rows.
     """
     spark = docs.sparkSession
     items = (items.select(F.col("item_id").cast("long").alias("item_id"), "text")
              .select("item_id", "text", F.monotonically_increasing_id().alias("uid"))
-             .mapInPandas(_item_signatures(n, threshold, recall),
+             .mapInPandas(_item_signatures(n, threshold, recall, inside),
                           "uid long, item_id long, size int, grams array<long>, keys array<long>"))
     items = materialise(items, "benchmark-items")
     sizes = sorted(r["size"] for r in items.select("size").distinct().collect())  # a class per power of two
@@ -187,7 +216,8 @@ def find_items(docs: DataFrame, items: DataFrame, n: int = NGRAM, threshold: flo
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that hold no test item; all columns stay."""
+    """The rows of ``docs`` that hold no test item; all columns stay. A phrase of
+    one to four words tells nothing of a longer document, which stays."""
     with scratch(docs.sparkSession):
         found = materialise(find_items(docs, items).select("doc_id", "h1", "h2").distinct(), "benchmark-found", lasting=True)
     marks = ["_strata_h1", "_strata_h2"]
@@ -199,20 +229,21 @@ def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def op10_benchmark_decontamination(spark, sf_dir: str) -> DataFrame:
     """All ``benchmark`` items found in all ``documents``."""
-    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("h1", "h2")
+    return find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), inside=True).drop("h1", "h2")
 
 
-# Words of the lower-cased text, and its shingles of five (all words of a shorter text).
-_SHINGLES = """SELECT rid, id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [w]
-    ELSE list_transform(range(len(w) - 4), lambda i: w[i + 1:i + 5]) END) AS s
-  FROM (SELECT row_number() OVER () AS rid, {id} AS id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS w FROM {table}
-        WHERE text IS NOT NULL)"""
+# Words of the lower-cased text; shingles of five, or of all words of a shorter item.
+_WORDS = """SELECT row_number() OVER () AS rid, {id} AS id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_]+') AS w
+  FROM {table} WHERE text IS NOT NULL"""
+_GRAMS = "unnest(list_transform(range(len(w) - k + 1), lambda i: w[i + 1:i + k])) AS s"
 ORACLE_OP10 = f"""
-WITH d AS (SELECT DISTINCT * FROM ({_SHINGLES.format(id="doc_id", table="documents")})),
-i AS (SELECT DISTINCT * FROM ({_SHINGLES.format(id="item_id", table="benchmark")})),
+WITH i AS (SELECT DISTINCT rid, id, k, {_GRAMS} FROM (
+  SELECT *, least(len(w), 5) AS k FROM ({_WORDS.format(id="item_id", table="benchmark")}) WHERE len(w) > 0)),
+d AS (SELECT DISTINCT rid, id, k, {_GRAMS} FROM ({_WORDS.format(id="doc_id", table="documents")}) AS t
+  JOIN (SELECT DISTINCT k FROM i) AS sizes ON len(w) >= sizes.k),
 n AS (SELECT rid, count(*) AS n_item FROM i GROUP BY 1)
 SELECT doc_id, item_id, n_shared, n_item, n_shared / n_item AS containment FROM (
   SELECT any_value(d.id) AS doc_id, any_value(i.id) AS item_id, count(*) AS n_shared, any_value(n.n_item) AS n_item
-  FROM d JOIN i USING (s) JOIN n ON n.rid = i.rid GROUP BY d.rid, i.rid)
+  FROM d JOIN i USING (k, s) JOIN n ON n.rid = i.rid GROUP BY d.rid, i.rid)
 WHERE n_shared / n_item >= {THRESHOLD}
 """

@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import bits
-from .common import materialise, scratch, table, text_key
+from .common import join_counted, materialise, scratch, table, text_key
 from .text import chunks, code_points, range_hashes, word_ranges
 from .winnow import _window_min
 
@@ -161,8 +161,9 @@ def later_spans(docs: DataFrame, run: int = RUN, words: int = WORDS, long: int =
     found = materialise(source.select("doc_id", "text", h1.alias("h1"), h2.alias("h2")).mapInPandas(
         _send(rule, run, words, long, shared), "doc_id long, h1 long, h2 long, begin long, end long, a long, b long"), "spans")
     at = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h1", "h2", "begin")
-    firsts = found.groupBy("a", "b").agg(F.min(at).alias("first"))
-    later = (found.join(firsts, ["a", "b"]).where(at != F.col("first"))
+    firsts = materialise(found.groupBy("a", "b").agg(F.min(at).alias("first"), F.count("*").alias("n")).where("n > 1"),
+                         "span-firsts")
+    later = (join_counted(found, firsts, ["a", "b"], "n").where(at != F.col("first"))
              .select("doc_id", "h1", "h2", "begin", "end").distinct())
     return (later.groupBy("doc_id", "h1", "h2")
             .agg(F.sort_array(F.collect_list(F.struct("begin", "end"))).alias("r"))

@@ -86,3 +86,43 @@ def cut_spans(rows, run=2, least=12):
                 seen.add(key)
         out[d] = text if text is None else "".join(c for c, g in zip(text, gone) if not g)
     return out
+
+
+STOPS = "[.!?\u2026\u203c\u203d\u2047-\u2049\u061f\u06d4\u0700-\u0702\u0589\u1362\u1367\u1368]"
+FULL_STOPS = "[\u3002\uff0e\uff01\uff1f\uff61\u0964\u0965\u104a\u104b\u17d4\u17d5\u0f0d\u0f0e\u1803\u1809\n]"
+ALONE = "[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u4e00-\u9fff]"
+
+
+def spans_of(text, rank, run=2, least=12, long=25):
+    """(words, begin, end) of all spans of a text: sentences from each one on, and
+    ``long`` words from each that ranks lowest of some ``long`` words in a row."""
+    found = [m for m in re.finditer(rf"(?={ALONE})\w|(?:(?!{ALONE})\w)+", text)]
+    words_, starts = [m.group(0).lower() for m in found], [m.start() for m in found]
+    firsts = [i for i, m in enumerate(found) if not i or re.search(
+        rf"{STOPS}.*\s|{FULL_STOPS}", text[starts[i - 1]:m.start()], re.S)]
+    cuts = [*firsts, len(found)]
+    ranges = set()
+    for k, i in enumerate(firsts):
+        for j in range(k + run, len(cuts)):
+            if cuts[j] - i >= least:
+                ranges.add((i, cuts[j]))
+                break
+    ranks = [(rank(w), i) for i, w in enumerate(words_)]
+    for i in range(len(found) - long + 1):
+        p = min(ranks[i:i + long])[1]
+        if p + long <= len(found):
+            ranges.add((p, p + long))
+    return [(tuple(words_[i:j]), starts[i], starts[j] if j < len(found) else len(text)) for i, j in sorted(ranges)]
+
+
+def cut_passages(rows, rank):
+    """Texts of (doc_id, text) rows, in order of different ids, without spans that
+    occurred before."""
+    first, out = {}, {}
+    for d, text in rows:
+        gone = [False] * len(text or "")
+        for key, begin, end in sorted(spans_of(text or "", rank), key=lambda s: s[1]):
+            if first.setdefault(key, (d, begin)) != (d, begin):
+                gone[begin:end] = [True] * (end - begin)
+        out[d] = text if text is None else "".join(c for c, g in zip(text, gone) if not g)
+    return out

@@ -1,12 +1,16 @@
 """Operators 1, 2, 7 and 10 against brute force on small inputs."""
 
+import functools
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import decontaminate, jaccard_join, sentence_spans, suffix_dedup
+from strata.llm.common import join_counted
 from strata.llm.components import connected_components
+from strata.llm.text import code_points, word_ranges
 from strata.llm.winnow import Pieces, batches
 
 from . import brute
@@ -226,6 +230,41 @@ def test_sentences_of_other_scripts_and_closing_marks():
     assert set(a) & set(b)
 
 
+@functools.cache
+def rank(word):
+    """The order of words by which op 1 chooses the places of its long spans."""
+    return int(word_ranges(code_points(word), unspaced=True)[2][0]) >> 32
+
+
+def test_op1_matches_brute_force(llm, tmp_path, corpus):
+    rng = random.Random(21)
+    lines = ["\n".join(f"{prose(rng, rng.randrange(1, 6))}{rng.choice(['.', '?!', '.\"', '', '...'])}" for _ in range(30)) for _ in range(6)]
+    rows = [*corpus, *((1000 + i, prose(rng, 40) + " " + rng.choice(lines) + " " + rng.choice(lines)) for i in range(25))]
+    rows += [(2000, "一二三四五六七。" * 9), (2001, "前 " + "一二三四五六七。" * 5 + "後"), (2002, None), (2003, ""), (2004, " .!? \n"),
+             (2005, "a " * 80), (2006, lines[0])]
+    rows = sorted({d: (d, t) for d, t in rows if d is not None}.values())
+    got = on_documents(llm, tmp_path, rows, sentence_spans.op1_substring_dedup)
+    assert got == brute.cut_passages(rows, rank)
+    assert sum(len(t or "") for t in got.values()) < sum(len(t or "") for _, t in rows)
+
+
+def test_op1_on_documents(llm):
+    sf = "/root/testdata/sf0.001"
+    rows = sorted((r.doc_id, r.text) for r in llm.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect())
+    got = {r.doc_id: r.text for r in sentence_spans.op1_substring_dedup(llm, sf).collect()}
+    assert got == brute.cut_passages(rows, rank)
+
+
+def test_hot_keys_are_joined_apart(llm):
+    rows = llm.range(4000).select(F.when(F.col("id") < 2500, F.lit(0)).otherwise(F.col("id")).alias("k"), "id")
+    counted = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("least"))
+    joined = join_counted(rows, counted, ["k"], "n")
+    assert sorted(map(tuple, joined.select("k", "id", "least").collect())) == sorted(
+        (k, i, k if k else 0) for i in range(4000) for k in [0 if i < 2500 else i])
+    none = join_counted(rows.limit(0), counted.limit(0), ["k"], "n")
+    assert none.columns == joined.columns and none.count() == 0
+
+
 # ------------------------------------------------------------------- op 10
 
 def test_layouts_reach_their_recall():
@@ -257,6 +296,50 @@ def test_decontamination_matches_brute_force(llm, frame):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({i for i, _ in rows} - {d for d, _, _ in got})
 
 
+def test_short_items_are_found_inside_long_texts(llm, frame, tmp_path):
+    rng = random.Random(9)
+    items = [(1, "Quick brown FOX"), (2, "zebra"), (3, "one two three four"), (4, "one two"), (5, "one two three four five"), (6, "fox quick"),
+             (7, None), (8, "..."), (9, "Quick brown fox")]
+    rows = [(i, prose(rng, 300)) for i in range(20)]
+    rows += [(20, prose(rng, 300) + " the quick, brown fox jumps " + prose(rng, 300)), (21, "zebra"), (22, "zebra " * 500),
+             (23, "one two three"), (24, prose(rng, 2_000) + " one two three four five"), (25, "quick brown foxes"), (26, None), (27, "")]
+    rows += [(28, rows[20][1]), (20, "one two")]
+    bench = llm.createDataFrame(items, "item_id long, text string")
+
+    def holds(text, item):
+        w, v = brute.words(text), brute.words(item)
+        return 0 < len(v) < 5 and any(w[i:i + len(v)] == v for i in range(len(w)))
+    docs = frame(rows)
+    got = sorted((r.doc_id, r.item_id) for r in decontaminate.find_items(docs, bench, inside=True).where("n_item = 1").collect()
+                 if r.item_id != 5)
+    assert got == sorted((d, i) for d, t in rows for i, it in items if holds(t, it))
+    assert {r.doc_id for r in decontaminate.find_items(docs, bench, inside=True).where("item_id = 5").collect()} == {24}
+    # the filter keeps long documents that hold a short phrase
+    gone = {i for i, _ in rows} - {r.doc_id for r in decontaminate.drop_contaminated(docs, bench).collect()}
+    assert gone == {21, 24}
+    # the query's SQL says the same
+    docs.select("doc_id", "text").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    bench.coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{tmp_path}/{name}.parquet/*.parquet')")
+    want = con.execute(decontaminate.ORACLE_OP10).fetchall()
+    found = decontaminate.op10_benchmark_decontamination(llm, str(tmp_path)).select(
+        "doc_id", "item_id", "n_shared", "n_item", "containment").collect()
+    assert sorted(map(tuple, found)) == sorted(want)
+
+
+def test_the_search_finds_every_item_of_the_benchmark(llm):
+    """Recall over all pairs that a full comparison finds."""
+    sf = "/root/testdata/sf0.01"
+    con = duckdb.connect()
+    for name in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM read_parquet('{sf}/{name}.parquet')")
+    want = {r[:2] for r in con.execute(decontaminate.ORACLE_OP10).fetchall()}
+    got = {(r.doc_id, r.item_id) for r in decontaminate.op10_benchmark_decontamination(llm, sf).collect()}
+    assert want and got == want
+
+
 # ------------------------------------------------------------------- empty tables
 
 def test_empty_tables(llm, frame):
