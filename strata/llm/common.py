@@ -81,24 +81,6 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-#: A key with over one in ``HOT * shuffle_width`` of the rows is joined by broadcast.
-HOT = 4
-
-
-def join_counted(rows: DataFrame, per_key: DataFrame, keys: list[str], count: str) -> DataFrame:
-    """``rows`` joined on ``keys`` with ``per_key``, whose column ``count`` says how
-    many rows have a key. Both should be written tables: they are read twice.
-
-    Keys that hold too large a share of all rows to be joined in one task are
-    sent to every task instead: by their share there are fewer than
-    ``HOT * shuffle_width`` of them, whatever the size of the data."""
-    parts = HOT * shuffle_width(rows.sparkSession)
-    total = per_key.agg(F.sum(count)).first()[0] or 0
-    hot = F.broadcast(per_key.where(F.col(count) * parts > total))
-    rest = per_key.where(F.col(count) * parts <= total)
-    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(rest, keys))
-
-
 def text_key(text: Column) -> list[Column]:
     """128-bit identity of a text, as two longs (null text: its own value)."""
     return [F.xxhash64(text, F.lit(11)), F.xxhash64(F.lit(29), text)]

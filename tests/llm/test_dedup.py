@@ -8,7 +8,6 @@ import pytest
 from pyspark.sql import functions as F
 
 from strata.llm import decontaminate, jaccard_join, sentence_spans, suffix_dedup
-from strata.llm.common import join_counted
 from strata.llm.components import connected_components
 from strata.llm.text import code_points, word_ranges
 from strata.llm.winnow import Pieces, batches
@@ -255,16 +254,6 @@ def test_op1_on_documents(llm):
     assert got == brute.cut_passages(rows, rank)
 
 
-def test_hot_keys_are_joined_apart(llm):
-    rows = llm.range(4000).select(F.when(F.col("id") < 2500, F.lit(0)).otherwise(F.col("id")).alias("k"), "id")
-    counted = rows.groupBy("k").agg(F.count("*").alias("n"), F.min("id").alias("least"))
-    joined = join_counted(rows, counted, ["k"], "n")
-    assert sorted(map(tuple, joined.select("k", "id", "least").collect())) == sorted(
-        (k, i, k if k else 0) for i in range(4000) for k in [0 if i < 2500 else i])
-    none = join_counted(rows.limit(0), counted.limit(0), ["k"], "n")
-    assert none.columns == joined.columns and none.count() == 0
-
-
 # ------------------------------------------------------------------- op 10
 
 def test_layouts_reach_their_recall():
