@@ -44,8 +44,22 @@ def file_envelope_source(spark: SparkSession, path: str, max_files_per_trigger:
     return reader.parquet(path)
 
 
-def write_envelope(envelope: DataFrame, path: str, mode: str = "append") -> None:
+#: Folders that a task of ``write_envelope`` writes side by side; only for more it sorts.
+OPEN_FOLDERS = 16
+
+
+def write_envelope(envelope: DataFrame, path: str, mode: str = "append", by=("topic",)) -> None:
     """Land an envelope DataFrame where ``file_envelope_source`` reads it:
     one folder per topic (``topic=...``), so a reader of one entity prunes
-    the others' files."""
-    envelope.hint("rebalance", "topic").write.mode(mode).partitionBy("topic").parquet(path)
+    the others' files. ``by``: the columns of the folders.
+
+    Each task writes its records as they come, to one file for each folder. No
+    task gathers or sorts a topic: a storm of equal records is small in a
+    shuffle, so one task would get all of it, however many there are."""
+    conf, most = envelope.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(most)
+    conf.set(most, str(max(OPEN_FOLDERS, int(before))))
+    try:
+        envelope.write.mode(mode).partitionBy(*by).parquet(path)
+    finally:
+        conf.set(most, before)

@@ -5,7 +5,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from strata.operators import ingest
-from strata.sources.kafka import file_envelope_source
+from strata.sources.kafka import file_envelope_source, write_envelope
 from strata.streaming import speed
 from strata.streaming.runner import run_to_end, start, start_speed_views
 from strata.streaming.sinks import ChangelogSink, read_latest
@@ -478,6 +478,20 @@ def test_reconciling_two_streams_as_their_time_closes(spark, tmp):
     assert run() == want | {("b", 35): (0, 1, "unexpected")}  # an id of another time is another record
 
 
+def test_a_storm_is_written_by_the_tasks_that_hold_it(spark, tmp):
+    from strata.session import path_exists
+    env = envelope(spark, [post("hot", ts=ts(1))] * 400).repartition(4)
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    write_envelope(env.unionByName(env.withColumn("topic", F.lit("reddit.comments"))), f"{tmp}/in")
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    files = spark.read.parquet(f"{tmp}/in").groupBy("topic", F.input_file_name().alias("file")).count().collect()
+    # equal records are small in a shuffle, after which one task got them all
+    assert sorted(r["topic"] for r in files) == ["reddit.comments"] * 4 + ["reddit.posts"] * 4
+    assert sum(r["count"] for r in files) == 800 and max(r["count"] for r in files) < 110
+    write_envelope(env.withColumn("slice", F.col("offset") % 2), f"{tmp}/by", by=("slice", "topic"))
+    assert path_exists(spark, f"{tmp}/by/slice=1/topic=reddit.posts") and spark.read.parquet(f"{tmp}/by").count() == 400
+
+
 def test_changelogs_are_folded_while_the_job_runs(spark, tmp):
     from strata.session import subfolders
     want = {}
