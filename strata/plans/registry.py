@@ -310,16 +310,25 @@ def _slice_of(spark, sf, at):
                    / (F.unix_micros(F.lit(high)) - F.unix_micros(F.lit(low)) + 1))
 
 
+def _sliced(spark, sf, env, path):
+    """A function slice -> the envelope's records in it; they are rendered once,
+    to ``path``, and not again for each slice."""
+    arrived = F.timestamp_add("MILLISECOND", -B.arrival_delay_ms("offset"), F.col("timestamp"))
+    write_envelope(env.withColumn("slice", _slice_of(spark, sf, arrived)), path, by=("slice", "topic"))
+    staged = spark.read.schema(f"{ENVELOPE.toDDL()}, slice long").parquet(path)
+    return lambda i: staged.filter(F.col("slice") == i).drop("slice")
+
+
 def _in_slices(spark, sf, entities, d, run, copies=1, order=None, late="raise"):
     """Land the records in slices of event time (ascending, or in the given
     order) and run the query to the end after each, from its checkpoint: the
     result must not depend on how the input was cut into micro-batches."""
-    env = B.envelope(spark, sf, entities)
-    number = _slice_of(spark, sf, F.timestamp_add("MILLISECOND", -B.arrival_delay_ms("offset"), F.col("timestamp")))
+    records = _sliced(spark, sf, B.envelope(spark, sf, entities), f"{d}/_slices")
     for i in order or range(SLICES):
         for _ in range(copies):
-            write_envelope(env.filter(number == i), f"{d}/envelope")
+            write_envelope(records(i), f"{d}/envelope")
         run_to_end(run(file_envelope_source(spark, f"{d}/envelope")), late=late)
+    remove_path(spark, f"{d}/_slices")
 
 
 def _start_posts_per_minute(src, d, serving_measures=False):
@@ -466,12 +475,10 @@ def reconcile_stream(spark, sf):
     the job restarted between them, and at the end a heartbeat on each log,
     which closes the last minutes."""
     d = scratch_path(spark, "reconcile_stream")
-    wire = _damaged_envelope(spark, sf)
-    wire = wire.unionByName(wire.filter(F.col("offset") % 47 == 0))
+    wire = _sliced(spark, sf, _damaged_envelope(spark, sf), f"{d}/_slices")
     sent = (B.table(spark, sf, "events").filter(F.col("event_type").isin(B.POST_TYPES + B.COMMENT_TYPES))
             .filter(F.col("event_id") % 59 != 0).select(F.col("event_id").alias("n"), F.col("ts").cast("timestamp").alias("timestamp")))
     sent = sent.unionByName(sent.filter(F.col("n") % 43 == 0)).select(F.col("n").cast("string").alias("id"), "timestamp")
-    arrived = F.timestamp_add("MILLISECOND", -B.arrival_delay_ms("offset"), F.col("timestamp"))
 
     def land(records, log):
         write_envelope(records, f"{d}/wire")
@@ -482,8 +489,10 @@ def reconcile_stream(spark, sf):
         view = speed.reconcile_within_watermark(spark.readStream.schema(sent.schema).parquet(f"{d}/log"),
                                                 functools.reduce(DataFrame.unionByName, landed), "id")
         run_to_end(start(view, f"{d}/checkpoint", path=f"{d}/rows", available_now=True), late="raise")
+    went = _slice_of(spark, sf, F.col("timestamp"))
     for i in range(SLICES):
-        land(wire.filter(_slice_of(spark, sf, arrived) == i), sent.filter(_slice_of(spark, sf, F.col("timestamp")) == i))
+        land(wire(i).unionByName(wire(i).filter(F.col("offset") % 47 == 0)), sent.filter(went == i))
+    remove_path(spark, f"{d}/_slices")
     beat = B.table(spark, sf, "events").agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts")).select(
         F.lit(-1).cast("bigint").alias("event_id"), "ts", F.lit("posts").alias("data_type"),
         F.to_json(F.struct(F.lit("-1").alias("post_id"), iso_string(F.col("ts")).alias("timestamp"))).alias("json"))

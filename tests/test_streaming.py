@@ -492,6 +492,21 @@ def test_a_storm_is_written_by_the_tasks_that_hold_it(spark, tmp):
     assert path_exists(spark, f"{tmp}/by/slice=1/topic=reddit.posts") and spark.read.parquet(f"{tmp}/by").count() == 400
 
 
+def test_reconciling_keeps_one_state_per_id_and_time(spark, tmp):
+    minute = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    rows = {"sent": [("a", minute), ("b", minute), (None, minute), (None, minute)],
+            "got": [("a", minute), (None, minute), (None, minute)]}
+    for side, own in rows.items():
+        beat = [("end", minute + dt.timedelta(hours=1))]
+        spark.createDataFrame(own + beat, "id string, timestamp timestamp").coalesce(1).write.parquet(f"{tmp}/{side}")
+    a, b = (spark.readStream.schema("id string, timestamp timestamp").parquet(f"{tmp}/{s}") for s in ("sent", "got"))
+    q = run_to_end(start(speed.reconcile_within_watermark(a, b, "id"), f"{tmp}/ck", path=f"{tmp}/rows", available_now=True))
+    assert [o["operatorName"] for o in q.lastProgress["stateOperators"]] == ["stateStoreSave"]
+    got = sorted((r.id or "", r.produced, r.landed, r.status) for r in spark.read.parquet(f"{tmp}/rows").collect())
+    # no id is equal to none of the other side
+    assert got == [("", 0, 2, "unexpected"), ("", 2, 0, "missing"), ("b", 1, 0, "missing")]
+
+
 def test_changelogs_are_folded_while_the_job_runs(spark, tmp):
     from strata.session import subfolders
     want = {}
