@@ -139,12 +139,15 @@ def _ingested(spark, sf, entities, envelope=None):
     base = scratch_path(spark, "store")
     env = envelope if envelope is not None else B.envelope(spark, sf, entities)
     write_envelope(env, f"{base}/_landed")
-    landed = spark.read.schema(ENVELOPE).parquet(f"{base}/_landed")
-    ingest.ingest_batch(landed, base, entities=entities)
+    _ingest_landed(spark, f"{base}/_landed", base, entities)
     remove_path(spark, f"{base}/_landed")
     return base
 
 
+def _ingest_landed(spark, path, base, entities):
+    ingest.ingest_batch(spark.read.schema(ENVELOPE).parquet(path), base, entities=entities)
+
+
 @query
 def scan_partitioned(spark, sf):
     base = _ingested(spark, sf, ("posts",))
@@ -573,9 +576,10 @@ def serving_merge(spark, sf):
 
 def _both_layers(spark, sf, name, views_):
     """A store of all posts and comments, and the speed views over the same
-    records as a stream: (store, folder of the speed views)."""
-    base = _ingested(spark, sf, ("posts", "comments"))
-    d, src = _landed_envelope(spark, sf, ("posts", "comments"), name)
+    landed records as a stream: (store, folder of the speed views)."""
+    base, entities = scratch_path(spark, "store"), ("posts", "comments")
+    d, src = _landed_envelope(spark, sf, entities, name)
+    _ingest_landed(spark, f"{d}/envelope", base, entities)
     run_streaming_job(spark, src, f"{d}/views", f"{d}/checkpoint", late="raise", available_now=True, views=views_)
     return base, f"{d}/views"
 

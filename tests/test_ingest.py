@@ -10,7 +10,7 @@ from strata.operators import ingest, views
 from strata.schemas import ENVELOPE, TOPICS
 from strata.sources.bootstrap import bootstrap_load
 from strata.sources.partitioned import read_partitioned, read_quarantine
-from tests.helpers import envelope, parsed, post, text
+from tests.helpers import envelope, parsed, plan_text, post, text
 
 
 def test_malformed_json_is_quarantined_not_a_null_row(spark):
@@ -270,3 +270,12 @@ def test_consecutive_days_are_one_range(spark):
     df = parsed(spark, [post("a")])
     plan = plan_text(on_dates(df, [f"2024-01-{d:02d}" for d in range(1, 29)]), "simple")
     assert " OR " not in plan
+
+
+def test_a_record_is_judged_once_however_many_columns_ask(spark):
+    env = envelope(spark, [post("p1"), "{", post("p2", ts="12:30:45")])
+    plans = [plan_text(ingest.load_rows(ingest.route(env), "load")), plan_text(ingest.decode_entity(env, "posts"))]
+    # the record's whole text is looked at once, and its time read once for the status and once as a column
+    assert all(p.count(r"^\s*\{") == 1 and p.count(r"^\s*\d{4}") <= 2 for p in plans)
+    got = {r.status for r in ingest.load_rows(ingest.route(env), "load").collect()}
+    assert got == {"ok", "malformed_json", "bad_time"}
