@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import corpus_pipeline
-from strata.llm import html_text, language_id, one_bit_search, sentence_piece, token_files, url_rank
+from strata.llm import html_text, language_id, one_bit_search, sentence_piece, suffix_dedup, token_files, url_rank
 from strata.llm.common import table
 
 from . import brute
@@ -382,7 +382,7 @@ def test_pipeline_matches_brute_force(llm, tmp, pieces):
     rows = [(r.doc_id, r.text) for r in docs.collect() if r.text and any(c.isalpha() for c in r.text)]
     groups = brute.classes(rows)
     rows = [(i, t) for i, t in rows if groups[i][0] == i]
-    cut = brute.cut_repeats([t.encode() for _, t in rows], 400)
+    cut = brute.cut_repeats([t.encode() for _, t in rows], suffix_dedup.PASSAGE)
     rows = [(i, c[4].decode("utf-8", "ignore")) for (i, _), c in zip(rows, cut)]
     found = {d for d, _, _ in brute.contained(rows, [(r.item_id, r.text) for r in bench.collect()])}
     rows = [(i, t) for i, t in rows if i not in found]
