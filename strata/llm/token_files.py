@@ -23,14 +23,15 @@ from __future__ import annotations
 
 import functools
 import itertools
+import operator
 import os
 import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -178,14 +179,21 @@ def read_blocks(data: np.ndarray, index: np.ndarray) -> np.ndarray:
 
 # ------------------------------------------------------------------ encoding
 
+_token_id = operator.attrgetter("id")
+
+
 class Encoder:
     """Ids of whole texts by the tokenizers library, remembering its answers.
 
     The tokenizer never joins a character that is not white space with white
     space behind it, so a text may be cut there and the parts encoded apart:
     at blanks and line ends, and anywhere else in the rare text that has
-    white space before a blank. The library encodes each part that is not
-    remembered.
+    white space before a blank. The library encodes each different part that
+    is not remembered; the texts' ids are then gathered by part.
+
+    A part of letters alone (and a blank in front) is one word to the library's
+    pre-tokenizer, so its model encodes it at once. Which characters are such
+    letters, and how the model spells them, is asked of the pre-tokenizer.
 
     ``added``: names of added tokens in a text ("<|endoftext|>") become these
     tokens' ids, as the library does by default, and texts that hold one are
@@ -194,22 +202,44 @@ class Encoder:
 
     _cut = re.compile(r"(?<=\S)(?=\s)")
     _marks = ".,;:!?*#%&$+=-_()[]{}<>/|\""
+    _LETTERS = 0x530  #: Latin, Greek and Cyrillic; others are encoded by the whole library
 
     def __init__(self, path: str, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added
-        names = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
-        self.added = re.compile("|".join(map(re.escape, names))) if names else None
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if added else []
         self._batch = functools.partial(self.tokenizer.encode_batch_fast, add_special_tokens=False)
         self.line_end, = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self._end = np.array([self.line_end], dtype="<u4").tobytes()
+        self._spelt = self._letters()
+        self._word = re.compile(f"\n?[{re.escape(''.join(map(chr, self._spelt)))}]+") if self._spelt else None
         self.words: dict[str, bytes] = {}  # word -> ids of it with a blank (or its own line end) in front
         self.older: dict[str, bytes] = {}  # what was known before; used words move on
         self.tails: dict[str, bytes] = {}
         self.heads: dict[str, bytes] = {}  # first words: nothing in front of them
 
+    def _letters(self) -> dict[int, str]:
+        """Code point -> spelling, of the characters that stay in a word's one
+        piece; empty if words of letters cannot be told from the model alone."""
+        named = self.tokenizer.get_added_tokens_decoder().values()
+        pieces = self.tokenizer.pre_tokenizer and self.tokenizer.pre_tokenizer.pre_tokenize_str
+        if self.tokenizer.normalizer or not pieces or not all(t.special for t in named):
+            return {}
+        spaced = [p for p, _ in pieces(" a")]
+        if len(spaced) != 1 or spaced[0][1:] != "a":
+            return {}
+        self._blank = spaced[0][0]
+        out = {}
+        for c in range(self._LETTERS):
+            found = [p for p, _ in pieces(f"a{chr(c)}a")]
+            if chr(c).isalpha() and len(found) == 1 and found[0][0] == found[0][-1] == "a":
+                out[c] = found[0][1:-1]
+        # ASCII letters are not respelt, so that words of them need no translation.
+        ascii_too = all(out.get(c) == chr(c) for c in range(128) if chr(c).isalpha())
+        return out if ascii_too and len(pieces(" " + "".join(map(chr, out)))) == 1 else {}
+
     def _encode(self, parts: list[str]) -> list[bytes]:
         out: list[bytes] = []
         for a in range(0, len(parts), 20_000):
@@ -234,65 +264,108 @@ class Encoder:
                     out += self._encode([blank + w for w in own])
         return out
 
+    def _encode_letters(self, words: list[str]) -> list[bytes]:
+        """As ``_encode_words`` of words of letters, by the library's model."""
+        tokenize, blank, spell = self.tokenizer.model.tokenize, self._blank, self._spelt
+        ids: list[int] = []
+        ends = [0]
+        for w in words:
+            spelt = w if w.isascii() else w.translate(spell)
+            ids += map(_token_id, tokenize(blank + spelt if w[0] != "\n" else spelt[1:]))
+            ends.append(len(ids))
+        raw = np.array(ids, dtype="<u4").tobytes()
+        return [self._end + raw[4 * a:4 * b] if w[0] == "\n" else raw[4 * a:4 * b]
+                for w, a, b in zip(words, ends, ends[1:])]
+
     def _learn(self, new: list[str]) -> None:
         # Marks behind a letter are tokens of their own: fewer different words.
-        cut = [(w, len(w.rstrip(self._marks))) for w in new]
-        ended = [(w, n) for w, n in cut if 0 < n < len(w) and w[n - 1].isalpha()]
-        whole = [w for w, n in cut if not (0 < n < len(w) and w[n - 1].isalpha())]
-        whole = list({*whole, *(w[:n] for w, n in ended)}.difference(self.words))
-        known = self.older
-        self.words.update((w, known[w]) for w in whole if w in known)
-        whole = [w for w in whole if w not in known]
+        whole, ended, stems = [], [], []
+        marks = self._marks
+        for w in new:
+            if w[-1] in marks:
+                stem = w.rstrip(marks)
+                if stem and stem[-1].isalpha():
+                    ended.append(w)
+                    stems.append(stem)
+                    continue
+            whole.append(w)
+        words, known = self.words, self.older
+        whole = [w for w in {*whole, *stems} if w not in words]
+        if known:
+            words.update((w, known[w]) for w in whole if w in known)
+            whole = [w for w in whole if w not in known]
+        letters = list(filter(self._word.fullmatch, whole)) if self._word else []
+        others = list(set(whole).difference(letters))
+        words.update(zip(letters, self._encode_letters(letters)))
         # White space at a word's start could join the line end in front of it.
-        line = [w for w in whole if w[0] == "\n" and not w[1:2].isspace()]
-        inside = [w for w in whole if not w[0].isspace()]
-        odd = [w for w in whole if w[0].isspace() and (w[0] != "\n" or w[1:2].isspace())]
-        self.words.update(zip(odd, self._encode([w if w[0] == "\n" else f" {w}" for w in odd])))
-        self.words.update(zip(inside, self._encode_words(inside, " ")))
+        line = [w for w in others if w[0] == "\n" and not w[1:2].isspace()]
+        inside = [w for w in others if not w[0].isspace()]
+        odd = [w for w in others if w[0].isspace() and (w[0] != "\n" or w[1:2].isspace())]
+        words.update(zip(odd, self._encode([w if w[0] == "\n" else f" {w}" for w in odd])))
+        words.update(zip(inside, self._encode_words(inside, " ")))
         end = self._end
-        self.words.update((w, end + ids) for w, ids in zip(line, self._encode_words([w[1:] for w in line], "")) if len(w) > 1)
-        tails = list({w[n:] for w, n in ended}.difference(self.tails))
-        self.tails.update(zip(tails, self._encode(tails)))
-        self.words.update((w, self.words[w[:n]] + self.tails[w[n:]]) for w, n in ended)
+        words.update((w, end + ids) for w, ids in zip(line, self._encode_words([w[1:] for w in line], "")) if len(w) > 1)
+        tails = [w[len(stem):] for w, stem in zip(ended, stems)]
+        fresh = list(set(tails).difference(self.tails))
+        self.tails.update(zip(fresh, self._encode(fresh)))
+        words.update(zip(ended, map(operator.add, map(words.__getitem__, stems), map(self.tails.__getitem__, tails))))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, as little-endian unsigned 32-bit integers."""
-        whole = [i for i, t in enumerate(texts) if self.added.search(t)] if self.added else []
-        if whole:
-            texts = list(texts)
-            ids = self._encode([texts[i] for i in whole])
-            for i in whole:
-                texts[i] = ""
-            out = self._encode_plain(texts)
-            for i, x in zip(whole, ids):
-                out[i] = x
-            return out
-        return self._encode_plain(texts)
-
-    def _encode_plain(self, texts: list[str]) -> list[bytes]:
-        words = self.words
-        split = [t.replace("\n", " \n").split(" ") for t in texts]
-        heads = [s[0] for s in split]
-        split = [s[1:] for s in split]
-        new = set().union(*split)
-        new.difference_update(words)
-        if len(words) + len(new) > REMEMBERED:
-            self.older, self.words, self.tails, self.heads = words, {}, {}, {}
-            words = self.words
-            new = set().union(*split)
+        ids, lengths = self.encode_array(pa.array(texts, pa.large_string()))
+        return _split(ids.astype("<u4", copy=False), lengths.tolist())
+
+    def encode_array(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts behind each other, and each text's number of ids (a null text is empty)."""
+        if not len(texts):
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        texts = pc.fill_null(texts.cast(pa.large_string()), "")
+        named = np.zeros(len(texts), dtype=bool)
+        for name in self.added:
+            named |= pc.match_substring(texts, name).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(named), pa.scalar("", pa.large_string()), texts) if named.any() else texts
+        split = pc.split_pattern(pc.replace_substring(plain, "\n", " \n"), " ")
+        bounds = split.offsets.to_numpy().astype(np.int64)
+        first = bounds[:-1]
+        coded = split.flatten().dictionary_encode()
+        parts = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        unit = coded.indices.to_numpy().astype(np.int64)
+
+        # First words: nothing in front of them.
+        firsts, which = np.unique(unit[first], return_inverse=True)
+        heads = [parts[i] for i in firsts.tolist()]
+        unit[first] = len(parts) + which
+        inside = np.bincount(unit, minlength=len(parts))[:len(parts)] > 0
         # White space before a blank: the text may not be cut there.
-        self._learn([w for w in new if w and not w[-1].isspace()])
-        fresh = list(set(heads).difference(self.heads))
+        usable = inside & np.fromiter((w != "" and not w[-1].isspace() for w in parts), dtype=bool, count=len(parts))
+        sought = list(itertools.compress(parts, usable.tolist()))
+        new = [w for w in sought if w not in self.words]
+        if len(self.words) + len(new) > REMEMBERED:
+            self.older, self.words, self.tails, self.heads = self.words, {}, {}, {}
+            new = sought
+        self._learn(new)
+        fresh = [h for h in heads if h not in self.heads]
         self.heads.update(zip(fresh, self._encode(fresh)))
-        out = []
-        for text, head, rest in zip(texts, heads, split):
-            try:
-                if rest and (not head or head[-1].isspace()):
-                    raise KeyError
-                out.append(self.heads[head] + b"".join(map(words.__getitem__, rest)))
-            except KeyError:
-                out.append(b"".join(self._encode(self._cut.split(text))))
-        return out
+
+        words = self.words
+        ids = [words[w] if u else b"" for w, u in zip(parts, usable.tolist())] + [self.heads[h] for h in heads]
+        uncut = np.concatenate([inside & ~usable, np.zeros(len(heads), dtype=bool)])
+        whole = np.logical_or.reduceat(uncut[unit], first)
+        odd = np.array([not h or h[-1].isspace() for h in heads])
+        whole |= odd[which] & (np.diff(bounds) > 1)
+        for i in np.flatnonzero(whole | named).tolist():
+            text = texts[i].as_py()
+            unit[bounds[i]:bounds[i + 1]] = len(ids)
+            ids.append(b"")
+            unit[bounds[i]] = len(ids)
+            ids.append(b"".join(self._encode([text] if named[i] else self._cut.split(text))))
+
+        flat = np.frombuffer(b"".join(ids), dtype="<u4")
+        size = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids)) // 4
+        start = (np.cumsum(size) - size)[unit]
+        size = size[unit]
+        start -= np.cumsum(size) - size
+        return flat[np.repeat(start, size) + np.arange(size.sum())], np.add.reduceat(size, first)
 
 
 def _split(ids: np.ndarray, sizes: list[int]) -> list[bytes]:
@@ -307,31 +380,43 @@ def _encoder(path: str, added: bool) -> Encoder:
 
 
 def _segments(path: str, added: bool):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(path, added)
-        end = np.array([END], dtype="<u4").tobytes()
-        ids: list[bytes] = []
-        docs: list = []
+        ids: list[np.ndarray] = []
+        lengths: list[np.ndarray] = []
+        docs: list[int | None] = []
         held = number = before = 0
         part = None
 
-        def done() -> pd.DataFrame:
-            lengths = np.array([len(x) // 4 for x in ids], dtype=np.int64)
-            flat = np.frombuffer(b"".join(ids), dtype="<u4")
-            return pd.DataFrame({"part": [part], "segment": [number], "before": [before], "n_ids": [len(flat)],
-                                 "doc_ids": [np.array(docs, dtype=object)], "payload": [write_segment(flat, lengths)]})
-        for pdf in batches:
-            texts = [t or "" for t in pdf["text"]]
-            part = int(pdf["part"].iloc[0]) if len(pdf) else part
-            for a in range(0, len(texts), 512):
-                for doc, x in zip(pdf["doc_id"].iloc[a:a + 512], encoder.encode(texts[a:a + 512])):
-                    ids.append(x + end)
-                    docs.append(None if pd.isna(doc) else int(doc))
-                    held += len(x) // 4 + 1
-                    if held >= SEGMENT:
-                        yield done()
-                        ids, docs, held, number, before = [], [], 0, number + 1, before + held
-        if ids:
+        def done() -> pa.RecordBatch:
+            flat = np.concatenate(ids)
+            return pa.RecordBatch.from_pydict({
+                "part": pa.array([part], pa.int32()), "segment": pa.array([number], pa.int32()),
+                "before": pa.array([before], pa.int64()), "n_ids": pa.array([len(flat)], pa.int64()),
+                "doc_ids": pa.array([docs], pa.list_(pa.int64())),
+                "payload": pa.array([write_segment(flat, np.concatenate(lengths))], pa.binary())})
+        for batch in batches:
+            rows = batch.num_rows
+            if not rows:
+                continue
+            part = batch.column("part")[0].as_py()
+            own = batch.column("doc_id").to_pylist()
+            new, length = encoder.encode_array(batch.column("text"))
+            new = np.insert(new, np.cumsum(length), END)
+            length += 1
+            ends = np.concatenate([[0], np.cumsum(length)])
+            a = 0
+            while a < rows:  # up to the document that fills the segment
+                b = min(rows, int(np.searchsorted(ends, ends[a] + SEGMENT - held)))
+                ids.append(new[ends[a]:ends[b]])
+                lengths.append(length[a:b])
+                docs += own[a:b]
+                held += int(ends[b] - ends[a])
+                a = b
+                if held >= SEGMENT:
+                    yield done()
+                    ids, lengths, docs, held, number, before = [], [], [], 0, number + 1, before + held
+        if docs:
             yield done()
     return run
 
@@ -349,7 +434,7 @@ def write_ids(docs: DataFrame, path: str, tokenizer: str | None = None, added: b
                .repartitionByRange(shuffle_width(spark), "doc_id", "h").sortWithinPartitions("doc_id", "h")
                .withColumn("part", F.spark_partition_id()).select("part", "doc_id", "text"))
     schema = "part int, segment int, before long, n_ids long, doc_ids array<long>, payload binary"
-    (ordered.mapInPandas(_segments(tokenizer or default_tokenizer(), added), schema)
+    (ordered.mapInArrow(_segments(tokenizer or default_tokenizer(), added), schema)
      .write.option("compression", "none").parquet(path))
 
 

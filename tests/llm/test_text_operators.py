@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -296,6 +297,58 @@ def test_encoder_is_the_library():
         assert np.frombuffer(raw, "<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
 
 
+def test_encoder_asks_the_model_for_words_of_letters():
+    own = token_files.Encoder(token_files.default_tokenizer(), added=True)
+    asked, batch = [], own._batch
+    own._batch = lambda parts: asked.extend(parts) or batch(parts)
+    own.encode(["First word, wörd слово λόγος\nLine of letters.", "First x1 word"])
+    assert sorted(asked) == [" x1", ",", ".", "First"]
+
+    class Known(dict):
+        def __iter__(self):
+            raise AssertionError("all known words are gone through")
+    own.words = Known(own.words)
+    own.encode(["First word and another"])
+
+
+def test_encoder_on_every_letter_and_odd_batch(monkeypatch):
+    from tokenizers import Tokenizer
+    whole = Tokenizer.from_file(token_files.default_tokenizer())
+    texts = [f"{x}{x} b{x} {x}c,\n{x}d {x}{x}.{x}\n\n{x}" for x in map(chr, [*range(0x620), 0x1C5, 0x10D0, 0x4E00, 0x1F600])]
+    texts = [None, "", *texts, "a <|endoftext|> b", " a", "a  b", "a\t b", "\n", "\nA b\n", "\r\nA b", None]
+    want = [whole.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for remembered in (token_files.REMEMBERED, 40):
+        monkeypatch.setattr(token_files, "REMEMBERED", remembered)
+        own = token_files.Encoder(token_files.default_tokenizer(), added=True)
+        for _ in range(2):
+            got = []
+            for a in range(0, len(texts), 50):
+                ids, lengths = own.encode_array(pa.array(texts).slice(a, 50))
+                ends = np.cumsum(lengths)
+                got += [ids[e - n:e].tolist() for e, n in zip(ends, lengths)]
+            assert got == want
+    assert [x.tolist() for x in own.encode_array(pa.array([None, ""], pa.string()))] == [[], [0, 0]]
+    assert [x.tolist() for x in own.encode_array(pa.array([], pa.string()))] == [[], []]
+
+
+def test_segments_hold_whole_documents(monkeypatch):
+    monkeypatch.setattr(token_files, "SEGMENT", 7)
+    texts = ["a b c", None, "d " * 40 + "e", "f", "g h i j k l", "m"]
+    batches = [pa.RecordBatch.from_pydict({"part": pa.array([3] * (b - a), pa.int32()), "doc_id": pa.array(range(a, b), pa.int64()),
+                                           "text": pa.array(texts[a:b], pa.string())}) for a, b in ((0, 4), (4, 4), (4, 6))]
+    rows = [r for out in token_files._segments(token_files.default_tokenizer(), False)(iter(batches)) for r in out.to_pylist()]
+    assert [r["doc_ids"] for r in rows] == [[0, 1, 2], [3, 4], [5]]
+    assert [(r["part"], r["segment"]) for r in rows] == [(3, 0), (3, 1), (3, 2)]
+    before = 0
+    own = token_files.Encoder(token_files.default_tokenizer())
+    for r in rows:
+        ids, lengths = token_files.read_segment(r["payload"])
+        want = [np.frombuffer(x, "<u4").tolist() + [0] for x in own.encode([texts[d] or "" for d in r["doc_ids"]])]
+        assert ids.tolist() == [i for w in want for i in w] and lengths.tolist() == list(map(len, want))
+        assert r["before"] == before and r["n_ids"] == len(ids)
+        before += len(ids)
+
+
 def test_token_files(frame, llm, tmp, monkeypatch):
     from tokenizers import Tokenizer
     whole = Tokenizer.from_file(token_files.default_tokenizer())
